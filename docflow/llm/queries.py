@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .packing import op10_best_fit_packing
+from .tiff import op4_tiff_media
 
-QUERIES = {f.__name__: f for f in (op10_best_fit_packing,)}
+QUERIES = {f.__name__: f for f in (op4_tiff_media, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {}
