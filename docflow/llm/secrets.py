@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_path, stored, table
@@ -85,11 +85,9 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     any_rule = "|".join(f"(?:{r.pattern})" for r in rules)
     parts = texts.filter(F.col("text").rlike(any_rule)).select("blob", F.explode(F.array_compact(F.array(*found))).alias("one"))
     rows = parts.select("blob", F.posexplode("one").alias("i", "m")).select("blob", "i", "m.*")
-    from pyspark.sql import Window
-
     upto = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    ends = rows.repartition("blob").withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
-    return ends.filter("keep").select("blob", "rule_version", "kind", (F.col("end") - F.col("n")).alias("start"), "end").dropDuplicates()
+    ends = rows.repartition("blob").dropDuplicates(["blob", "kind", "i"]).withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
+    return ends.filter("keep").select("blob", "rule_version", "kind", (F.col("end") - F.col("n")).alias("start"), "end")
 
 
 def scan(versions: DataFrame, keys: list[str], ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -109,7 +107,7 @@ def scan(versions: DataFrame, keys: list[str], ledger: str, rules: tuple[Rule, .
     matches(texts, rules).write.mode("append").parquet(f"{ledger}/findings")
     todo.select("blob", F.explode("todo").alias("rule_version")).write.mode("append").parquet(f"{ledger}/scanned")
     order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.version), F.lit(i))))
-    spans = _ledger(spark, ledger, "findings", _FINDINGS).withColumn("rank", order["rule_version"]).filter("rank is not null")
+    spans = _ledger(spark, ledger, "findings", _FINDINGS).withColumn("rank", order[F.col("rule_version")]).filter("rank is not null")
     spans = spans.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
     return paths.join(spans, "blob", "left")
 
