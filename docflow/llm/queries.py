@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP6_SQL, op6_benchmark_decontamination
 from .packing import op10_best_fit_packing
 from .secrets import OP1_SQL, op1_secret_scans
 from .tiff import op4_tiff_media
 from .warc import OP8_SQL, op8_warc
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_tiff_media, op8_warc, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {"op1_secret_scans": OP1_SQL, "op8_warc": OP8_SQL}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_tiff_media, op6_benchmark_decontamination, op8_warc, op10_best_fit_packing)}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scans": OP1_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_warc": OP8_SQL}
