@@ -5,7 +5,9 @@ knows which (blob, rule version) pairs were scanned and what was found; a scan t
 each blob and runs only the rules that its ledger entry lacks. A rule's version is the hash of its
 definition, so a changed rule is scanned anew. Findings are joined back to all paths and versions that hold the blob.
 
-What is shuffled: the text of a table once, by row key; keys and hashes otherwise. Copies share one scan. The
+What is shuffled: keys, hashes and, by row key, the texts to scan. Where few blobs are due, the join that picks
+them comes first (Spark broadcasts them if they are small) and seen texts meet no rule; where most are due, as in a first scan, a
+screen for any match at all runs before the join, so that texts without one aren't shuffled. Copies share one scan. The
 findings are written before the pairs are marked as scanned, so a run that is lost between the two is repeated, and
 readers drop the repeated findings.
 
@@ -74,8 +76,9 @@ def address(versions: DataFrame, keys: list[str]) -> DataFrame:
     return versions.select(*keys, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("blob"))
 
 
-def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(blob, rule_version, kind, start, end) of texts (blob, text, todo): todo has the rule versions to run."""
+def matches(texts: DataFrame, rules: tuple[Rule, ...], early: bool = True) -> DataFrame:
+    """(blob, rule_version, kind, start, end) of texts (blob, text, todo): todo has the rule versions to run.
+    early: the screen for any match may run below the join that made texts; else it sees joined rows only."""
     found = []
     for r in rules:
         due = F.array_contains("todo", r.version) & F.col("text").rlike(r.pattern)
@@ -83,7 +86,8 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
         found.append(F.when(due, F.transform(pairs, lambda p: F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version"), F.length(p["gap"]).alias("gap"), F.length(p["hit"]).alias("n"), r.keep(p["hit"]).alias("keep")))))
     any_rule = "|".join(f"(?:{r.pattern})" for r in rules)
-    parts = texts.filter(F.col("text").rlike(any_rule)).select("blob", F.explode(F.array_compact(F.array(*found))).alias("one"))
+    screen = F.col("text").rlike(any_rule)
+    parts = texts.filter(screen if early else (F.size("todo") > 0) & F.when(F.size("todo") > 0, screen)).select("blob", F.explode(F.array_compact(F.array(*found))).alias("one"))
     rows = parts.select("blob", F.posexplode("one").alias("i", "m")).select("blob", "i", "m.*")
     upto = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     ends = rows.repartition("blob").dropDuplicates(["blob", "kind", "i"]).withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
@@ -102,9 +106,10 @@ def scan(versions: DataFrame, keys: list[str], ledger: str, rules: tuple[Rule, .
     todo = blobs.select("blob", "at", F.array_except(all_rules, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")).filter(F.size("todo") > 0)
     todo = stored(todo, "todo")
     on = [versions[k].eqNullSafe(todo[f"at.{k}"]) for k in keys]
-    texts = versions.join(todo.hint("merge"), on).select("blob", F.coalesce("text", F.lit("")).alias("text"), "todo")
+    texts = versions.join(todo, on).select("blob", F.coalesce("text", F.lit("")).alias("text"), "todo")
     texts = texts.filter(F.sha2("text", 256) == F.col("blob"))  # a key that repeats with other texts
-    matches(texts, rules).write.mode("append").parquet(f"{ledger}/findings")
+    first = 2 * todo.count() >= blobs.count()  # most is new: rows without any match may go before the join
+    matches(texts, rules, first).write.mode("append").parquet(f"{ledger}/findings")
     todo.select("blob", F.explode("todo").alias("rule_version")).write.mode("append").parquet(f"{ledger}/scanned")
     order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.version), F.lit(i))))
     spans = _ledger(spark, ledger, "findings", _FINDINGS).withColumn("rank", order[F.col("rule_version")]).filter("rank is not null")
