@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP6_SQL, op6_benchmark_decontamination
 from .jaccard import OP2_SQL, op2_ngram_jaccard_join
+from .linededup import op7_line_dedup
 from .packing import op10_best_fit_packing
 from .quality import op9_quality_classifier
 from .secrets import OP1_SQL, op1_secret_scans
@@ -11,5 +12,5 @@ from .tiff import op4_tiff_media
 from .toxicity import op3_toxicity
 from .warc import OP8_SQL, op8_warc
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard_join, op3_toxicity, op4_tiff_media, op6_benchmark_decontamination, op8_warc, op9_quality_classifier, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard_join, op3_toxicity, op4_tiff_media, op6_benchmark_decontamination, op7_line_dedup, op8_warc, op9_quality_classifier, op10_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {"op1_secret_scans": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_warc": OP8_SQL}
