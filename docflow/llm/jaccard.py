@@ -4,15 +4,16 @@ A document's set holds its distinct shingles of ``k`` words. Two documents link
 ``percent`` * union. The join is exact:
 
 1. Documents of equal sets form a class; one member stands for it from here on.
-2. Shingles are ordered by rarity, from a sketch of 2**SKETCH_BITS counters summed over all documents, then by hash. Two
-   sets that link share one of their first n - ceil(n * percent / 100) + 1 shingles. Only these are shuffled; those
-   that no other set of a fitting size has are dropped in passing.
-3. Sets that meet in a shingle are partitioned into groups of similar sets: each goes to the first set (its pivot) that
-   it meets. A set that links with its pivot is in the group's core; cores need no further look within.
+2. Shingles are ordered by rarity, from a sketch of 2**SKETCH_BITS counters summed over all documents, then by hash. Of their
+   first n - ceil(n * percent / 100) + least(n) shingles, two sets that link share least(smaller n) or more, where least
+   is a tenth of the size. Only these are shuffled; those that no other set of a fitting size has are dropped in
+   passing, and then sets that are left with too few.
+3. Sets that meet are partitioned into groups of similar sets: each goes to the set (its pivot) that comes first in most of
+   its shingles. A set that links with its pivot is in the group's core; cores need no further look within.
 4. The matrix holds, for each remaining shingle, the groups that have it; groups are split by core and into chunks of
-   bounded size. A query set meets a group where the matrix says so; its overlap with the union of the
-   group's tokens bounds that with any member, and only a group that reaches what the query needs is opened
-   and its members compared, with whole sets.
+   bounded size. The number of a query's shingles that the matrix finds in a group bounds what it shares with any
+   member; where it suffices, so must its overlap with the union of all the group's tokens; only then is the
+   group opened and its members compared, with whole sets.
 5. Components of the links, by components.py.
 
 Rows of a hot shingle or group are dealt out by salts; no pairs are made within a group, and the rows that are
@@ -63,6 +64,11 @@ def _set_of(text: str, k: int) -> np.ndarray:
     return next(_sets(data, np.array([0, len(data)]), k))
 
 
+def least(n: int) -> int:
+    """How many of their first shingles two linked sets share, n being the size of the smaller."""
+    return max(1, n // 10)
+
+
 def sketch(docs: DataFrame, k: int) -> np.ndarray:
     """A level of frequency for each of 2**SKETCH_BITS buckets of shingles, over all documents."""
     size, rows = 1 << SKETCH_BITS, 64
@@ -102,7 +108,7 @@ def sets(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame
                 size.append(n)
                 h1.append(int(mix(own).sum(dtype=U64).astype(np.int64)))
                 h2.append(int(mix(own ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64).astype(np.int64)))
-                take = n - -(-n * percent // 100) + 1 if n else 0
+                take = min(n, n - -(-n * percent // 100) + least(n)) if n else 0
                 token = (shared.value[(own >> U64(64 - SKETCH_BITS)).astype(np.int64)] << U64(56)) | (own << U64(SKETCH_BITS) >> U64(8))
                 prefix.append(np.sort(token)[:take].astype(np.int64))
             values = np.concatenate(prefix) if prefix else np.empty(0, np.int64)
@@ -182,6 +188,28 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def enough(found: DataFrame) -> DataFrame:
+    """(id, core, gid): the groups that hold need or more of a query's shingles; gids has a group once for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, gid = np.empty(0, np.int64), np.empty(0, np.int64)
+            if batch.num_rows:
+                gids = batch.column("gids")
+                at = gids.offsets.to_numpy().astype(np.int64)
+                values = gids.values.to_numpy()[at[0] : at[-1]]
+                rows = np.repeat(np.arange(batch.num_rows), np.diff(at))
+                order = np.lexsort((values, rows))
+                rows, values = rows[order], values[order]
+                new = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])))[: len(rows)]
+                times = np.diff(np.append(new, len(rows)))
+                ok = new[times >= batch.column("need").to_numpy()[rows[new]]] if len(rows) else new[:0]
+                row, gid = rows[ok], values[ok]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), batch.column("core").take(pa.array(row)), pa.array(gid, pa.int64())], ["id", "core", "gid"])
+
+    return found.select("id", "core", "need", "gids").mapInArrow(run, "id long, core boolean, gid long")
+
+
 def open_groups(docs: DataFrame, members: DataFrame, probes: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) of query sets with members of the groups that they probe.
 
@@ -243,7 +271,9 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     named = stored(sets(docs, sketch(docs, k), k, percent), "sets")
     whole = stored(named.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("id"), F.min_by("prefix", "id").alias("prefix")), "classes")
     met = stored(meetings(whole, percent), "meetings")
-    groups = met.groupBy("id").agg(F.min("pivot").alias("pivot"), F.max("n").alias("n"))
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.max("n") * percent / 100) / 10)).cast("int")  # least() of the smallest set that fits
+    groups = met.groupBy("id").agg(F.mode("pivot", True).alias("pivot"), F.max("n").alias("n"), F.count(F.lit(1)).alias("met"), need.alias("need")).filter("met >= need")
+    groups = stored(groups.drop("met"), "similar")
     counted = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n").cast("long")).alias("tokens"))
     members = stored(groups.join(counted, "pivot").withColumn("salts", F.ceil(F.col("rows") / SALT_ROWS)), "members")
     cores = stored(star(docs, members, k, percent), "cores")
@@ -251,15 +281,14 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # A core set carries its pivot's name, any other its own: a bucket of one name needs no further look.
     members = members.withColumn("name", F.when(F.col("core"), F.col("pivot"))).drop("core_of")
     chunks = F.greatest(F.ceil(F.col("rows") / CHUNK_ROWS), F.ceil(F.col("tokens") / CHUNK_TOKENS))
-    members = stored(members.select("id", "n", "pivot", "core", "name", F.xxhash64("pivot", "core", F.pmod(F.xxhash64("id", F.lit(1)), chunks)).alias("gid")), "groups")
+    members = stored(members.select("id", "need", "pivot", "core", "name", F.xxhash64("pivot", "core", F.pmod(F.xxhash64("id", F.lit(1)), chunks)).alias("gid")), "groups")
     placed = met.select("id", "bucket").join(members, "id")
     matrix = placed.groupBy("bucket").agg(F.collect_set(F.struct("gid", "pivot", "core")).alias("groups"), F.min("name").alias("lo"), F.max("name").alias("hi"), F.count_if(~F.col("core")).alias("loose"))
     matrix = matrix.filter("loose > 0 or lo <> hi").select("bucket", "groups")
     seen = placed.join(matrix, "bucket")
     worth = lambda g: ~F.col("core") | (g["core"] & (g["pivot"] != F.col("pivot")))
-    probes = seen.select("id", "core", F.filter("groups", worth).alias("groups")).filter(F.size("groups") > 0)
-    probes = probes.groupBy("id", "core").agg(F.array_distinct(F.flatten(F.collect_list(F.transform("groups", lambda g: g["gid"])))).alias("gids"))
-    probes = stored(probes.select("id", "core", F.explode("gids").alias("gid")), "probes")
+    probes = seen.select("id", "core", "need", F.transform(F.filter("groups", worth), lambda g: g["gid"]).alias("gids")).filter(F.size("gids") > 0)
+    probes = stored(enough(probes.groupBy("id", "core", "need").agg(F.flatten(F.collect_list("gids")).alias("gids"))), "probes")
     links = open_groups(docs, members.select("id", "gid", "core"), probes, k, percent)
     edges = cores.select(F.col("id").alias("a"), F.col("pivot").alias("b")).unionByName(links)
     roots = components(edges)
