@@ -13,6 +13,8 @@ shorter). A line goes if an earlier line, in order of (doc_id, text hash, line n
    group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens.
 4. Candidates are verified on their whole token sets.
 
+Arrays are opened by the outer forms of explode: the plain ones add a filter that computes the whole array a second time.
+
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
 (BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64 (the order by 56).
 
@@ -60,7 +62,7 @@ def _tokens(own: DataFrame, k: int) -> DataFrame:
 
 def levels(tokens: DataFrame) -> bytes:
     """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean: a byte below 128."""
-    count = tokens.select(F.explode("tokens").alias("t")).groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
+    count = tokens.select(F.explode_outer("tokens").alias("t")).groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
     mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
     out = bytearray(1 << 16)
     for r in count:
@@ -87,7 +89,7 @@ def meetings(named: DataFrame, k: int, percent: int) -> DataFrame:
     key = lambda t: F.shiftleft(level(t).cast("long"), 56).bitwiseOR(t.bitwiseAND(F.lit((1 << 56) - 1)))
     ranked = tokens.select("doc", "line", "h1", F.size("tokens").alias("n"), F.sort_array(F.transform("tokens", key)).alias("sorted"))
     take = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    posted = ranked.select("doc", "line", "h1", "n", F.posexplode(F.slice("sorted", F.lit(1), take)).alias("pos", "token"))
+    posted = ranked.select("doc", "line", "h1", "n", F.posexplode_outer(F.slice("sorted", F.lit(1), take)).alias("pos", "token"))
     whole = Window.partitionBy("token")
     met = posted.select("*", F.min("h1").over(whole).alias("lo"), F.max("h1").over(whole).alias("hi"), F.min(F.struct("doc", "line", "h1", "n", "pos")).over(whole).alias("pivot")).filter("lo < hi")
     return met.groupBy("token", "h1").agg(F.min(F.struct("doc", "line", "h1", "n", "pos")).alias("at"), F.min("pivot").alias("pivot"))
