@@ -15,3 +15,35 @@ def test_stages_take_effect_and_keep_columns(spark):
             docs = out
     lengths = {r.sequence_id: r.n for r in out.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
     assert max(lengths.values()) <= 2048 and out.select("doc_id").distinct().count() == docs.count()
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    import test_decontaminate
+    import test_jaccard
+    import test_linededup
+
+    docs, bench = test_decontaminate.cases()
+    rows = [(i, t) for i, (_, t) in enumerate(docs)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(test_linededup.corpus(3))]
+    rows += [(300 + i, t) for i, (_, t) in enumerate(test_jaccard.corpus(5, 6, 6))]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    cut = {d: set(gone) for d, _, gone in test_linededup.brute(rows)}
+    want = []
+    for i, t in rows:
+        left = t if t is None or not cut[i] else "\n".join(s for k, s in enumerate(t.split("\n")) if k not in cut[i])
+        if t is None or not cut[i] or left.strip():
+            want.append((i, left))
+    out = stored(corpus_pipeline.line_dedup(spark, df, str(tmp_path)), "t2")
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted(want)
+
+    parts = {d: c for d, _, c in test_jaccard.brute(want, 5, 80)}
+    want = [(i, t) for i, t in want if parts[i] == i]
+    out = stored(corpus_pipeline.near_duplicates(spark, out, str(tmp_path)), "t3")
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted(want)
+
+    hit = {r[0] for r in test_decontaminate.brute(want, bench) if r[-1]}
+    want = [(i, t) for i, t in want if i not in hit]
+    out = stored(corpus_pipeline.benchmark_decontamination(spark, out, str(tmp_path)), "t4")
+    assert hit and sorted((r.doc_id, r.text) for r in out.collect()) == sorted(want)
