@@ -45,13 +45,6 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files of a stored table that nothing reads any more."""
-    for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def held_out(doc_id: Column) -> Column:
     """Rows that no model learns from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2

@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join; DataFrame functions only.
 
 A line is the part of a text between line breaks; its tokens are its distinct shingles of ``k`` words (the whole line, if
-shorter). A line goes if an earlier line, in order of (doc_id, text hash, line number), has a Jaccard similarity of
+shorter), in lower case. A line goes if an earlier line, in order of (doc_id, text hash, line number), has a Jaccard similarity of
 ``percent`` or more with it. A line without words never goes.
 
 1. Lines of equal words form an identity; only its first occurrence can stay.
@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored, table
+from .common import stored, table
 
 WORDS = 5
 PERCENT = 80
@@ -39,30 +39,45 @@ _LAST = (1 << 63) - 1
 _BLANKS = " \t\x0b\x0c\r"
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc, th, line, words) of every line with words; doc is doc_id with null last, th the text's hash."""
+def _raw(docs: DataFrame) -> DataFrame:
+    """(doc, th, line, s) of every line, in lower case; doc is doc_id with null last, th the text's hash."""
     text = F.col("text").cast("string")
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("th"), F.posexplode(F.split(ascii_lower(text), "\n")).alias("line", "s"))
-    s = F.btrim("s", F.lit(_BLANKS))
-    return d.filter(F.length(s) > 0).select("doc", "th", "line", F.split(s, r"[\x20\x09-\x0D]+", -1).alias("words"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("th"), F.posexplode_outer(F.split(F.lower(text), "\n")).alias("line", "s"))
 
 
-def _named(own: DataFrame) -> DataFrame:
-    return own.select("doc", "th", "line", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), "words")
+def _with_words(raw: DataFrame) -> DataFrame:
+    """raw with one blank between words and none around them, without lines that have no word."""
+    s = F.col("s")
+    odd = s.contains("  ") | s.startswith(" ") | s.endswith(" ")
+    for blank in _BLANKS[1:]:
+        odd = odd | s.contains(blank)
+    plain = F.when(odd, F.btrim(F.regexp_replace(s, r"[\x20\x09-\x0D]+", " "))).otherwise(s)
+    return raw.withColumn("s", plain).filter(F.col("s") != "")
 
 
-def _tokens(own: DataFrame, k: int) -> DataFrame:
-    """own with tokens, the distinct hashes of a line's shingles, in place of its words."""
-    keep = [c for c in own.columns if c != "words"]
-    hashed = own.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    at = lambda i, j: F.get("hashes", i + j)
-    shingles = F.transform(F.sequence(F.lit(0), F.size("hashes") - k), lambda i: F.xxhash64(*(at(i, j) for j in range(k))))
-    return hashed.select(*keep, F.when(F.size("hashes") >= k, F.array_distinct(shingles)).otherwise(F.array(F.xxhash64("hashes"))).alias("tokens"))
+def _hashes(own: DataFrame) -> DataFrame:
+    """own with hashes, those of a line's words, in place of s."""
+    return own.select(*(c for c in own.columns if c != "s"), F.transform(F.split("s", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+
 
+def _shingle(i: Column, k: int) -> Column:
+    return F.xxhash64(*(F.get("hashes", i + j) for j in range(k)))
 
-def levels(tokens: DataFrame) -> bytes:
-    """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean: a byte below 128."""
-    count = tokens.select(F.explode_outer("tokens").alias("t")).groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
+
+def _tokens(own: DataFrame, k: int) -> DataFrame:
+    """own with tokens, the distinct hashes of a line's shingles, in place of s."""
+    hashed = _hashes(own)
+    shingles = F.transform(F.sequence(F.lit(0), F.size("hashes") - k), lambda i: _shingle(i, k))
+    tokens = F.when(F.size("hashes") >= k, F.array_distinct(shingles)).otherwise(F.array(F.xxhash64("hashes")))
+    return hashed.select(*(c for c in hashed.columns if c != "hashes"), tokens.alias("tokens"))
+
+
+def levels(own: DataFrame, k: int) -> bytes:
+    """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean: a byte below 128.
+    Places of shingles are opened first, so that they are hashed and counted in compiled code."""
+    placed = _hashes(own).select("hashes", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("hashes") - k, F.lit(0)))).alias("i"))
+    token = F.when(F.size("hashes") >= k, _shingle(F.col("i"), k)).otherwise(F.xxhash64("hashes"))
+    count = placed.groupBy(F.shiftrightunsigned(token, 48).cast("int").alias("bucket")).count().collect()
     mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
     out = bytearray(1 << 16)
     for r in count:
@@ -80,11 +95,11 @@ def _may_match(n: Column, pos: Column, m: Column, other: Column, percent: int) -
     return fits & (F.least(n - pos, m - other) >= _need(n + m, percent))
 
 
-def meetings(named: DataFrame, k: int, percent: int) -> DataFrame:
+def meetings(own: DataFrame, k: int, percent: int) -> DataFrame:
     """(token, h1, at, pivot) of the shared first tokens of lines: at is the earliest (doc, line, h1, n, pos) of the
     line's identity, pivot that of the token."""
-    tokens = _tokens(named, k)
-    by_bucket = F.lit(levels(tokens.select("tokens")))
+    by_bucket = F.lit(levels(own.select("s"), k))
+    tokens = _tokens(own.select("doc", "line", F.xxhash64("s").alias("h1"), "s"), k)
     level = lambda t: F.ascii(F.substring(by_bucket, F.shiftrightunsigned(t, 48).cast("int") + 1, F.lit(1)).cast("string"))
     key = lambda t: F.shiftleft(level(t).cast("long"), 56).bitwiseOR(t.bitwiseAND(F.lit((1 << 56) - 1)))
     ranked = tokens.select("doc", "line", "h1", F.size("tokens").alias("n"), F.sort_array(F.transform("tokens", key)).alias("sorted"))
@@ -95,14 +110,15 @@ def meetings(named: DataFrame, k: int, percent: int) -> DataFrame:
     return met.groupBy("token", "h1").agg(F.min(F.struct("doc", "line", "h1", "n", "pos")).alias("at"), F.min("pivot").alias("pivot"))
 
 
-def _verified(pairs: DataFrame, named: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     """(h1, h2) of the later identity of every pair (a, b) of h1 that matches."""
     pairs = stored(pairs, "pairs")
     some = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
     wanted = stored(some.join(first, "h1").select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("at.doc").alias("wd"), F.col("at.th").alias("wt"), F.col("at.line").alias("wl")), "wanted")
     small = wanted.count() <= BROADCAST_ROWS
     wanted = F.broadcast(wanted) if small else wanted
-    rows = named.join(wanted, (F.col("doc") == F.col("wd")) & (F.col("th") == F.col("wt")) & (F.col("line") == F.col("wl")) & (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")), "left_semi")
+    raw = _raw(docs).join(wanted, (F.col("doc") == F.col("wd")) & (F.col("th") == F.col("wt")) & (F.col("line") == F.col("wl")))
+    rows = _with_words(raw.select("doc", "th", "line", F.col("w1").alias("h1"), F.col("w2").alias("h2"), "s"))
     sets = stored(_tokens(rows, k).select("h1", "h2", F.struct("doc", "th", "line").alias("place"), "tokens"), "line-sets")
     side = lambda x: sets.select(*(F.col(c).alias(f"{x}_{c}") for c in sets.columns))
     both = pairs.join(side("a"), F.col("a") == F.col("a_h1")).join(side("b"), F.col("b") == F.col("b_h1"))
@@ -114,18 +130,19 @@ def _verified(pairs: DataFrame, named: DataFrame, first: DataFrame, k: int, perc
 
 def removed(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc, th, lines): per document (doc_id with null last, text hash) the numbers of the lines that go."""
-    named = _named(lines(docs))
+    own = _with_words(_raw(docs))
+    named = stored(own.select("doc", "th", "line", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2")), "lines")
     first = stored(named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "th", "line")).alias("at")), "first")
-    met = stored(meetings(named, k, percent), "met")
+    met = stored(meetings(own, k, percent), "met")
     star = met.filter((F.col("h1") != F.col("pivot.h1")) & _may_match(F.col("at.n"), F.col("at.pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
-    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")).distinct(), named, first, k, percent)
+    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")).distinct(), docs, first, k, percent)
     rest = met.join(later.select("h1").distinct(), "h1", "left_anti").select("token", F.col("h1").alias("a"), F.col("at").alias("x"), F.col("pivot.h1").alias("p"))
     other = met.select(F.col("token").alias("t"), F.col("h1").alias("b"), F.col("at").alias("y"))
     meet = (F.col("token") == F.col("t")) & (F.col("b") != F.col("p")) & (F.col("y") < F.col("x")) & (F.col("a") != F.col("b"))
     pairs = rest.join(other, meet & _may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)).select("a", "b").distinct()
-    later = later.unionByName(_verified(pairs, named, first, k, percent)).distinct()
+    later = later.unionByName(_verified(pairs, docs, first, k, percent)).distinct()
     stays = first.join(later, ["h1", "h2"], "left_anti")
-    own = named.drop("words").join(stays, ["h1", "h2"], "left")
+    own = named.join(stays, ["h1", "h2"], "left")
     gone = own.filter(F.col("at").isNull() | (F.col("at") != F.struct("doc", "th", "line")))
     return gone.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 

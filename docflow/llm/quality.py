@@ -207,7 +207,10 @@ def scores(docs: DataFrame, labels: DataFrame, label: str = "quality", **options
 
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of docs that score threshold or more; every column stays. A row goes if a row of its doc_id is rejected."""
+    """The rows of docs that score threshold or more; every column stays. A row goes if a row of its doc_id is rejected.
+    Without labels to learn from nothing is known against any row, and all stay."""
+    if labels.filter(F.col(options.get("label", "quality")).isNotNull() & ~held_out(F.col("doc_id"))).isEmpty():
+        return docs
     bad = stored(scores(docs, labels, **options).filter(F.col("score") < threshold).select(F.col("doc_id").alias("bad_id")).distinct(), "rejected")
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
 
