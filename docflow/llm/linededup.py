@@ -163,6 +163,24 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = _with_removed(docs.select("doc_id", "text"))
-    none = F.array().cast("array<int>")
-    return out.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"), F.size(F.coalesce("_lines", none)).cast("long").alias("n_removed"), F.coalesce("_lines", none).alias("removed_lines"))
+    out = _with_removed(docs)
+    gone = F.coalesce("_lines", F.array().cast("array<int>"))
+    return out.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
+
+
+OP7_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(lower(text), chr(10)) AS p FROM documents),
+l AS (SELECT doc_id, unnest(range(0, len(p))) AS line, unnest(p) AS s FROM t),
+v AS (SELECT doc_id, line, trim(regexp_replace(s, '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM l),
+w AS (SELECT * FROM v WHERE s <> ''),
+f AS (SELECT s, min(struct_pack(d := doc_id, l := line)) AS begins FROM w GROUP BY s),
+i AS (SELECT s, begins, row_number() OVER (ORDER BY begins) AS id, string_split(s, ' ') AS w FROM f),
+p AS (SELECT id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM i),
+g AS (SELECT DISTINCT id, array_to_string(w[k:k + 4], ' ') AS g FROM p),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+o AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
+r AS (SELECT DISTINCT b AS id FROM o JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+gone AS (SELECT doc_id, line FROM w JOIN i USING (s) LEFT JOIN r USING (id) WHERE r.id IS NOT NULL OR begins <> struct_pack(d := doc_id, l := line)),
+by_doc AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed_lines FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(p) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, '') AS removed_lines FROM t LEFT JOIN by_doc USING (doc_id)
+"""

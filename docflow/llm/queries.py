@@ -5,7 +5,7 @@ from __future__ import annotations
 from .decontaminate import OP6_SQL, op6_benchmark_decontamination
 from .jaccard import OP2_SQL, op2_ngram_jaccard_join
 from .licenses import op5_license_scans
-from .linededup import op7_line_dedup
+from .linededup import OP7_SQL, op7_line_dedup
 from .packing import op10_best_fit_packing
 from .quality import op9_quality_classifier
 from .secrets import OP1_SQL, op1_secret_scans
@@ -14,4 +14,4 @@ from .toxicity import op3_toxicity
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_ngram_jaccard_join, op3_toxicity, op4_tiff_media, op5_license_scans, op6_benchmark_decontamination, op7_line_dedup, op8_warc, op9_quality_classifier, op10_best_fit_packing)}
-ORACLE_SQL: dict[str, str] = {"op1_secret_scans": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scans": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op6_benchmark_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_warc": OP8_SQL}
