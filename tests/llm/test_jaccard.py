@@ -67,6 +67,16 @@ def test_against_brute_force(spark, monkeypatch, k, percent, seed):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, k, percent)
 
 
+def test_batches_of_a_few_rows(spark):
+    rows = corpus(8, 6, 10)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)
+
+
 def test_repeated_ids_and_dedup(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (3, "x y z q r s"), (4, None), (5, None), (None, "a b c d e f")]
     df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _once int")
