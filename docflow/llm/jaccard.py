@@ -44,7 +44,7 @@ SKETCH_BITS = 18
 CHUNK_ROWS = 128
 CHUNK_TOKENS = 1 << 20
 SALT_ROWS = 512
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 #: Rows without an id take ids from here up inside the join.
 NO_ID = 1 << 62
 _SETS = "id long, n int, h1 long, h2 long, prefix array<long>"

@@ -34,7 +34,7 @@ from .common import stored, table
 
 WORDS = 5
 PERCENT = 80
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 _LAST = (1 << 63) - 1
 _BLANKS = " \t\x0b\x0c\r"
 

@@ -168,8 +168,9 @@ def fit(vecs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
     scale = np.sqrt(np.maximum(sum(np.array(r.q) for r in found) / n - center**2, 0))
     scale[scale < 1e-6] = 1.0
     few = np.clip((np.concatenate([np.array(r.few).reshape(-1, len(center)) for r in found]) - center) / scale, -6, 6)
-    far = np.sqrt(((few[:, None] - few[None]) ** 2).sum(-1))
-    width = float(np.median(far[far > 0])) if (far > 0).any() else 1.0
+    square = (few**2).sum(1)
+    far = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * few @ few.T, 0))
+    width = float(np.median(far[far > 1e-6])) if (far > 1e-6).any() else 1.0
     rng = np.random.default_rng(seed)
     model = Model(center, scale, rng.normal(size=(len(center), features)) / width, rng.uniform(0, 2 * np.pi, features), none, none, none)
 
