@@ -1,16 +1,18 @@
 """License scans: a trained paragraph classifier, confirmed by templates; DataFrame functions only.
 
-A paragraph is a line. Its features are hashed word 1- and 2-grams. For each license family a logistic regression on
+A paragraph is a line. Its features are hashed word 1- and 2-grams, and for up to NAME_WORDS words the whole of them. For
+each license family, and for notices that name no license, a logistic regression on
 these features is trained, on the driver, from the family's templates and variants of them (words dropped,
-cut or surrounded by other words) against the other families and plain text; the training set is fixed
+cut or surrounded by other words) against the other families, plain text and single words of licenses in other text; the training set is fixed
 by parameters and doesn't grow with the table. The model is sparse: only n-grams of the templates have weights, so that its
 size is bounded by theirs and it is broadcast. A paragraph's family is the one with the highest probability; below
-``unknown`` (calibrated on held-out variants so that a stated share of plain text stays below) it is "unknown" where
-it has a marker word, and otherwise no license at all. A prediction is confirmed where the paragraph holds at
+``unknown`` (calibrated on held-out variants so that a stated share of plain text stays below) it is no license at all, or
+"unknown" where it has a marker word. A prediction is confirmed where the paragraph holds at
 least ``confirm`` of the n-grams of one of the family's templates.
 
-Scoring: lines without any marker word are dropped in the scan; the n-grams of the rest meet the broadcast weights, and sums
-by paragraph are shuffled.
+Scoring: paragraphs without any word of Model.gate are passed over; without one, a probability of ``unknown`` or a
+share of ``confirm`` is out of reach, which the model computes from its weights. The n-grams of the rest meet the broadcast
+weights, and sums by paragraph are shuffled.
 
 Defined results: a null or empty text has no paragraphs; repeated rows of one doc_id and text are scored as one and give a
 row each; a null doc_id is a key like any other; ties go to the family that comes first by name; an empty table gives no rows; other columns
@@ -39,10 +41,26 @@ TEMPLATES = {
     "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.", "Licensed under the MIT license."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."),
 }
+#: Short names by which a line of its own or a short notice states a license.
+NAMES = {
+    "Apache-2.0": ("Apache-2.0", "Apache 2.0", "Apache License 2.0"),
+    "BSD": ("BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD License"),
+    "CC-BY": ("CC BY 4.0", "CC BY"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "CC BY-NC"),
+    "CC-BY-SA": ("CC BY-SA 4.0", "CC BY-SA"),
+    "GPL": ("GPL", "GPLv3", "GPL-3.0", "GPL-2.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "LGPL": ("LGPL", "LGPL-2.1", "LGPL-3.0"),
+    "MIT": ("MIT", "MIT License"),
+    "MPL-2.0": ("MPL-2.0", "MPL 2.0"),
+}
+#: Words before a short name.
+BEFORE = ("", "Distributed under", "Licensed under", "Released under", "License:", "SPDX-License-Identifier:")
+#: Notices that name no license.
+NOTICES = ("All rights reserved.", "Copyright (c) all rights reserved.", "See the license for details.", "No license is granted.")
 #: Words of plain text, for the negative examples.
 PLAIN = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so up said what its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too mr how little good world make very year still see own work men day get here".split()
 MARKERS = "licen[sc]|copyright|gnu|gpl|cc by|creative commons|permission is hereby|redistribut|mozilla public|free software|source code form"
-ROUNDS, VARIANTS, UNKNOWN_SHARE, CONFIRM = 300, 60, 0.02, 0.6
+ROUNDS, VARIANTS, UNKNOWN_SHARE, CONFIRM, NAME_WORDS = 300, 60, 0.02, 0.6, 8
 _WORD = r"[^a-z0-9]+"
 
 
@@ -61,34 +79,49 @@ def _grams(w: list[str]) -> set[str]:
     return {*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))}
 
 
+def _whole(w: list[str]) -> str:
+    return "= " + " ".join(w)
+
+
 class Model:
-    """Families, n-grams, weights (n-gram, family), biases, the probability below which a paragraph is unknown."""
+    """Families, n-grams, weights (n-gram, family), biases, the probability below which a paragraph is no license, and the
+    words (gate) of which a paragraph has one if it can reach that probability or be confirmed."""
 
     def __init__(self, seed: int = 3):
-        self.families = sorted(TEMPLATES)
-        self.templates = [(f, i, _grams(_words(t))) for f in self.families for i, t in enumerate(TEMPLATES[f])]
-        self.grams = sorted(set().union(*(g for _, _, g in self.templates)))
+        self.families = [*sorted(TEMPLATES), "unknown"]
+        texts = {**TEMPLATES, "unknown": NOTICES}
+        names = {f: [w for n in NAMES.get(f, ()) for b in BEFORE if len(w := _words(f"{b} {n}")) <= NAME_WORDS] for f in self.families}
+        self.templates = [(f, _grams(_words(t)), len(_grams(_words(t)))) for f in self.families for t in texts[f]]
+        self.templates += [(f, {_whole(w) for w in names[f]}, 1) for f in self.families if names[f]]  # a paragraph is one name or none
+        self.grams = sorted(set().union(*(g for _, g, _ in self.templates), *(_grams(w) for f in self.families for w in names[f])))
         place = {g: i for i, g in enumerate(self.grams)}
         rng = np.random.default_rng(seed)
         rows, y = [], []
         plain = lambda n: [str(x) for x in rng.choice(PLAIN, n)]
         for f in self.families:
-            for t in TEMPLATES[f]:
+            for t in texts[f]:
                 w = _words(t)
                 for v in range(VARIANTS):
                     kept = [x for x in w if rng.random() > (0.08 if v else 0.0)]
                     rows.append([*plain(rng.integers(0, 6)), *kept, *plain(rng.integers(0, 6))] if v else kept)
                     y.append(self.families.index(f))
-        mixed = [x for f in self.families for t in TEMPLATES[f] for x in _words(t)]
+            for w in names[f]:
+                rows += [w] * (VARIANTS // 4)
+                y += [self.families.index(f)] * (VARIANTS // 4)
+        mixed = [x for f in self.families for t in texts[f] for x in _words(t)] + [x for f in self.families for w in names[f] for x in w]
         for v in range(VARIANTS * len(self.families) * 2):  # plain text, some with words of licenses in it
             w = plain(rng.integers(3, 40))
             for _ in range(rng.integers(0, 4) if v % 2 else 0):
                 w.insert(int(rng.integers(len(w))), str(rng.choice(mixed)))
             rows.append(w)
             y.append(-1)
+        for w in sorted(set(mixed)):  # words of licenses among words that no template has, as of other languages
+            for v in range(VARIANTS // 2):
+                rows.append(["-", w, "-", *(str(x) for x in rng.choice(mixed, v % 3 // 2)), "-"])
+                y.append(-1)
         x = np.zeros((len(rows), len(self.grams)))
         for i, w in enumerate(rows):
-            own = [place[g] for g in _grams(w) if g in place]
+            own = [place[g] for g in (*_grams(w), _whole(w)) if g in place]
             x[i, own] = 1 / np.sqrt(max(1, len(own)))
         y = np.array(y)
         fitted = np.array([zlib.crc32(str(i).encode()) % 4 > 0 for i in range(len(y))])
@@ -106,43 +139,62 @@ class Model:
         self.unknown = max(0.5, float(np.quantile(self._p(x[out & (y < 0)]).max(1), 1 - UNKNOWN_SHARE)))
         self.accuracy = float((self._p(x[out & (y >= 0)]).argmax(1) == y[out & (y >= 0)]).mean())
 
+        self.gate = self._gate()
+
     def _p(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -40, 40)))
 
-
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(key, paragraph, start, end, words) of the lines with a marker word; offsets in code points."""
+    def _gate(self) -> list[str]:
+        """Words not of plain text, and more by weight until n-grams without any of them reach nothing together."""
+        parts = [g.removeprefix("= ").split() for g in self.grams]
+        gate = {w for p in parts for w in p} - set(PLAIN)
+        while True:
+            light = [i for i, p in enumerate(parts) if not gate & set(p)]
+            if not light:
+                return sorted(gate)
+            most = np.sort(self.weights[light], 0)[::-1].cumsum(0) / np.sqrt(np.arange(1, len(light) + 1))[:, None]
+            share = max(len({self.grams[i] for i in light} & g) / size for _, g, size in self.templates)
+            if (1 / (1 + np.exp(-most.max(0) - self.bias))).max() < self.unknown and share < CONFIRM:
+                return sorted(gate)
+            gate |= set(parts[max(light, key=lambda i: self.weights[i].max())])
+
+
+def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
+    """(row, key, first, last, marked, words) of the paragraphs with a marker or a word of the gate; first and last are lines."""
     text = F.col("text").cast("string")
-    d = docs.select(F.struct("doc_id", F.xxhash64(text).alias("th")).alias("key"), text.alias("text")).filter(ascii_lower(F.col("text")).rlike(MARKERS))
-    one = d.select("key", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    low = ascii_lower(F.col("line"))
-    words = F.filter(F.split(low, _WORD, -1), lambda w: w != "")
-    return one.filter(low.rlike(MARKERS)).select("key", "paragraph", F.length("line").alias("length"), words.alias("words")).filter(F.size("words") > 0).dropDuplicates(["key", "paragraph"])
+    low = ascii_lower(text)
+    lines = F.transform(F.split(low, "\n"), lambda s: F.struct(F.filter(F.split(s, _WORD, -1), lambda w: w != "").alias("words"), s.rlike(MARKERS).alias("marked")))
+    key = F.struct("doc_id", F.xxhash64(text).alias("th")).alias("key")
+    one = docs.select(F.monotonically_increasing_id().alias("row"), key, F.posexplode(lines).alias("first", "line"))
+    one = one.select("row", "key", "first", F.col("first").alias("last"), "line.marked", "line.words")
+    return one.filter(F.col("marked") | F.arrays_overlap("words", F.lit(model.gate))).filter(F.size("words") > 0)
 
 
 def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(key, paragraph, family, probability, confirmed) of every paragraph with a marker word."""
+    """(key, paragraph, family, probability, confirmed) of every paragraph of a family or with a marker word."""
     model = model or Model()
     spark = docs.sparkSession
-    own = paragraphs(docs)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i)))
-    grams = F.array_distinct(F.concat("words", F.when(F.size("words") > 1, pairs).otherwise(F.array().cast("array<string>"))))
-    known = own.select("key", "paragraph", F.explode_outer(grams).alias("gram"))
-    rows = [(g, [float(v) for v in model.weights[i]], [k for k, (_, _, t) in enumerate(model.templates) if g in t]) for i, g in enumerate(model.grams)]
+    words = F.col("words")
+    pairs = F.when(F.size(words) > 1, F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    none = F.array().cast("array<string>")
+    whole = F.when(F.size(words) <= NAME_WORDS, F.array(F.concat(F.lit("= "), F.array_join(words, " "))))
+    grams = F.concat(F.array_distinct(F.concat(words, F.coalesce(pairs, none))), F.coalesce(whole, none), F.array(F.lit("")))  # "" stands for the paragraph
+    known = paragraphs(docs, model).select("row", "key", "first", "last", "marked", F.explode(grams).alias("gram"))
+    rows = [(g, [float(v) for v in model.weights[i]], [k for k, (_, t, _) in enumerate(model.templates) if g in t]) for i, g in enumerate(model.grams)]
+    rows.append(("", [0.0] * len(model.families), []))
     weights = F.broadcast(spark.createDataFrame(rows, "gram string, weights array<double>, templates array<int>"))  # as many rows as the templates have n-grams
     n, m = len(model.families), len(model.templates)
-    hits = known.join(weights, "gram")
     sums = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(n)] + [F.count_if(F.array_contains("templates", k)).alias(f"t{k}") for k in range(m)]
-    scored = hits.groupBy("key", "paragraph").agg(F.count(F.lit(1)).alias("n"), *sums)
-    p = [F.struct((1 / (1 + F.exp(-(F.col(f"w{i}") / F.sqrt("n") + float(model.bias[i]))))).alias("p"), F.lit(-i).alias("order"), F.lit(f).alias("family"), F.greatest(*(F.col(f"t{k}") / float(len(t)) for k, (g, _, t) in enumerate(model.templates) if g == f), F.lit(0.0)).alias("share")) for i, f in enumerate(model.families)]
-    best = F.array_max(F.array(*p))
-    out = own.select("key", "paragraph").join(scored.select("key", "paragraph", best.alias("best")), ["key", "paragraph"], "left")
-    sure = F.coalesce(F.col("best.p") >= model.unknown, F.lit(False))
-    return out.select("key", "paragraph", F.when(sure, F.col("best.family")).otherwise("unknown").alias("family"), F.round(F.coalesce("best.p", F.lit(0.0)), 6).alias("probability"), (sure & (F.coalesce("best.share", F.lit(0.0)) >= CONFIRM)).alias("confirmed"))
+    scored = known.join(weights, "gram").groupBy("row", "key", "first", "last", "marked").agg(F.count_if(F.col("gram") != "").alias("n"), *sums)
+    p = [F.struct((1 / (1 + F.exp(-(F.col(f"w{i}") / F.sqrt(F.greatest("n", F.lit(1))) + float(model.bias[i]))))).alias("p"), F.lit(-i).alias("order"), F.lit(f).alias("family"), F.greatest(*(F.col(f"t{k}") / float(size) for k, (g, _, size) in enumerate(model.templates) if g == f), F.lit(0.0)).alias("share")) for i, f in enumerate(model.families)]
+    best = scored.select("key", "first", "marked", F.array_max(F.array(*p)).alias("best")).filter(F.col("marked") | (F.col("best.p") >= model.unknown))
+    sure = F.col("best.p") >= model.unknown
+    out = best.select("key", F.col("first").alias("paragraph"), F.when(sure, F.col("best.family")).otherwise("unknown").alias("family"), F.round("best.p", 6).alias("probability"), (sure & (F.col("best.family") != "unknown") & (F.col("best.share") >= CONFIRM)).alias("confirmed"))
+    return out.dropDuplicates(["key", "paragraph"])
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, n_paragraphs with a marker, families found (sorted), the confirmed of them, and each paragraph's result."""
+    """doc_id, n_paragraphs of a family or with a marker, families found (sorted), the confirmed of them, and each paragraph's result."""
     found = classified(docs, model).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("paragraph", "family", "probability", "confirmed"))).alias("found"))
     here = docs.select("doc_id", F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("th")).alias("own"))
     both = here.join(found, F.col("own").eqNullSafe(F.col("key")), "left")

@@ -1,3 +1,5 @@
+import numpy as np
+
 from docflow.llm.licenses import TEMPLATES, Model, op5_license_scans, scan
 
 
@@ -24,3 +26,30 @@ def test_planted_lines_at_small_scale(spark):
     for r in spark.read.parquet(f"{d}/documents.parquet").collect():
         want = sorted({f for line, f in lines.items() if line in (r.text or "")})
         assert [f for f in got[r.doc_id].confirmed.split(",") if f] == want
+
+
+def test_lines_without_a_marker_are_scored(spark):
+    lines = {"All rights reserved.": None, "Distributed under Apache 2.0.": "Apache-2.0", "CC-BY-SA 4.0": "CC-BY-SA", "MIT": "MIT", "BSD-3-Clause": "BSD", "SPDX-License-Identifier: MIT": "MIT", "Er kam mit dem Zug": "", "It was made of this and that": ""}
+    rows = [(i, f"The first line of it\n{t}\nand so on") for i, t in enumerate(lines)]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, f in enumerate(lines.values()):
+        assert (got[i].n_paragraphs, got[i].families, got[i].confirmed) == (int(f != ""), f or "", f or "")
+
+
+def test_nothing_is_out_of_the_gate():
+    model, rng = Model(), np.random.default_rng(5)
+    outside = [i for i, g in enumerate(model.grams) if not set(g.split()) & set(model.gate)]
+    for _ in range(300):
+        x = np.zeros((1, len(model.grams)))
+        own = rng.choice(outside, rng.integers(1, len(outside) + 1), replace=False)
+        x[0, own] = 1 / np.sqrt(len(own))
+        assert model._p(x).max() < model.unknown
+
+
+def test_reserved_rights_at_small_scale(spark):
+    d = "/root/testdata/sf0.01"
+    got = {r.doc_id: r.found for r in op5_license_scans(spark, d).collect()}
+    places = [(r.doc_id, i) for r in spark.read.parquet(f"{d}/documents.parquet").collect() for i, s in enumerate((r.text or "").split("\n")) if s == "All rights reserved."]
+    assert places
+    for doc, i in places:
+        assert any(x.startswith(f"{i}:unknown:") for x in got[doc])
