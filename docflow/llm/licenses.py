@@ -1,6 +1,7 @@
 """License scans: a trained paragraph classifier, confirmed by templates; DataFrame functions only.
 
-A paragraph is a line. Its features are hashed word 1- and 2-grams, and for up to NAME_WORDS words the whole of them. For
+A paragraph is a line, or a window: two or more whole, consecutive, non-blank lines, begun at each line and ended with the
+line of the WINDOW-th word, so that a notice that is wrapped is seen whole. Its features are hashed word 1- and 2-grams, and for up to NAME_WORDS words the whole of them. For
 each license family, and for notices that name no license, a logistic regression on
 these features is trained, on the driver, from the family's templates and variants of them (words dropped,
 cut or surrounded by other words) against the other families, plain text and single words of licenses in other text; the training set is fixed
@@ -8,7 +9,12 @@ by parameters and doesn't grow with the table. The model is sparse: only n-grams
 size is bounded by theirs and it is broadcast. A paragraph's family is the one with the highest probability; below
 ``unknown`` (calibrated on held-out variants so that a stated share of plain text stays below) it is no license at all, or
 "unknown" where it has a marker word. A prediction is confirmed where the paragraph holds at
-least ``confirm`` of the n-grams of one of the family's templates.
+least ``confirm`` of the n-grams of one of the family's templates. A window, which other text may surround, also has every family
+of which it holds ``whole`` of a template, but for one whose template is mostly within one that it holds more of.
+
+Of paragraphs that overlap, a window goes where one of its lines alone holds as much of its family's template (or, if it isn't
+confirmed, of any); of overlapping windows of one family the best stays; a line goes where a window over it that stays holds more of a template.
+A window is named by its first line.
 
 Scoring: paragraphs without any word of Model.gate are passed over; without one, a probability of ``unknown`` or a
 share of ``confirm`` is out of reach, which the model computes from its weights. The n-grams of the rest meet the broadcast
@@ -61,6 +67,7 @@ NOTICES = ("All rights reserved.", "Copyright (c) all rights reserved.", "See th
 PLAIN = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so up said what its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too mr how little good world make very year still see own work men day get here".split()
 MARKERS = "licen[sc]|copyright|gnu|gpl|cc by|creative commons|permission is hereby|redistribut|mozilla public|free software|source code form"
 ROUNDS, VARIANTS, UNKNOWN_SHARE, CONFIRM, NAME_WORDS = 300, 60, 0.02, 0.6, 8
+WINDOW, WHOLE = 64, 0.8
 _WORD = r"[^a-z0-9]+"
 
 
@@ -162,12 +169,26 @@ class Model:
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     """(row, key, first, last, marked, words) of the paragraphs with a marker or a word of the gate; first and last are lines."""
     text = F.col("text").cast("string")
-    low = ascii_lower(text)
-    lines = F.transform(F.split(low, "\n"), lambda s: F.struct(F.filter(F.split(s, _WORD, -1), lambda w: w != "").alias("words"), s.rlike(MARKERS).alias("marked")))
+    gate = F.lit(model.gate)
+
+    def line(s):
+        words = F.filter(F.split(s, _WORD, -1), lambda w: w != "")
+        return F.struct(words.alias("words"), s.rlike(MARKERS).alias("marked"), F.when(F.btrim(s, F.lit(" \t\r\f\v")) == "", 0).otherwise(F.greatest(F.size(words), F.lit(1))).alias("n"))
+
+    def length(lines, i):  # lines of the window that begins at line i
+        step = lambda a, x: F.when(a["stop"] | (x["n"] == 0), F.struct(a["k"].alias("k"), a["n"].alias("n"), F.lit(True).alias("stop"))).otherwise(F.struct((a["k"] + 1).alias("k"), (a["n"] + x["n"]).alias("n"), (a["n"] + x["n"] >= WINDOW).alias("stop")))
+        return F.aggregate(F.slice(lines, i + 1, F.lit(WINDOW)), F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(False).alias("stop")), step, lambda a: a["k"])
+
     key = F.struct("doc_id", F.xxhash64(text).alias("th")).alias("key")
-    one = docs.select(F.monotonically_increasing_id().alias("row"), key, F.posexplode(lines).alias("first", "line"))
-    one = one.select("row", "key", "first", F.col("first").alias("last"), "line.marked", "line.words")
-    return one.filter(F.col("marked") | F.arrays_overlap("words", F.lit(model.gate))).filter(F.size("words") > 0)
+    # Exploded so that the lines are computed once, not in each use.
+    docs = docs.filter(text.isNotNull()).select(F.monotonically_increasing_id().alias("row"), key, F.explode_outer(F.array(F.transform(F.split(ascii_lower(text), "\n"), line))).alias("lines"))
+    docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.arrays_overlap(x["words"], gate)))).alias("passes"))
+    at = F.sequence(F.lit(0), F.size("lines") - 1)
+    lines = F.transform(F.filter(at, lambda i: F.get("passes", i) | F.get("lines", i)["marked"]), lambda i: F.struct(i.alias("first"), i.alias("last"), F.get("lines", i)["marked"].alias("marked"), F.get("lines", i)["words"].alias("words")))
+    spans = F.transform(at, lambda i: F.struct(i.alias("first"), length(F.col("lines"), i).alias("k")))
+    spans = F.filter(spans, lambda w: (w["k"] > 1) & F.exists(F.slice("passes", w["first"] + 1, w["k"]), lambda x: x))
+    windows = F.transform(spans, lambda w: F.struct(w["first"].alias("first"), (w["first"] + w["k"] - 1).alias("last"), F.lit(False).alias("marked"), F.flatten(F.transform(F.slice("lines", w["first"] + 1, w["k"]), lambda x: x["words"])).alias("words")))
+    return docs.select("row", "key", F.explode(F.concat(lines, windows)).alias("p")).select("row", "key", "p.*").filter(F.size("words") > 0)
 
 
 def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -187,10 +208,23 @@ def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     sums = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(n)] + [F.count_if(F.array_contains("templates", k)).alias(f"t{k}") for k in range(m)]
     scored = known.join(weights, "gram").groupBy("row", "key", "first", "last", "marked").agg(F.count_if(F.col("gram") != "").alias("n"), *sums)
     p = [F.struct((1 / (1 + F.exp(-(F.col(f"w{i}") / F.sqrt(F.greatest("n", F.lit(1))) + float(model.bias[i]))))).alias("p"), F.lit(-i).alias("order"), F.lit(f).alias("family"), F.greatest(*(F.col(f"t{k}") / float(size) for k, (g, _, size) in enumerate(model.templates) if g == f), F.lit(0.0)).alias("share")) for i, f in enumerate(model.families)]
-    best = scored.select("key", "first", "marked", F.array_max(F.array(*p)).alias("best")).filter(F.col("marked") | (F.col("best.p") >= model.unknown))
-    sure = F.col("best.p") >= model.unknown
-    out = best.select("key", F.col("first").alias("paragraph"), F.when(sure, F.col("best.family")).otherwise("unknown").alias("family"), F.round("best.p", 6).alias("probability"), (sure & (F.col("best.family") != "unknown") & (F.col("best.share") >= CONFIRM)).alias("confirmed"))
-    return out.dropDuplicates(["key", "paragraph"])
+    scored = scored.select("key", "first", "last", "marked", F.explode_outer(F.array(F.array(*p))).alias("all"))
+    best = F.array_max("all")
+    inside = {(f, g) for f, a, size in model.templates for g, b, _ in model.templates if f != g and len(a & b) >= CONFIRM * size}
+    rivals = F.create_map(*(x for f in model.families for x in (F.lit(f), F.array(*(F.lit(g) for g in model.families if (f, g) in inside)).cast("array<string>"))))
+    held = F.filter("all", lambda x: ((x["share"] >= WHOLE) | ((x["order"] == best["order"]) & (x["p"] >= model.unknown))) & ~F.exists("all", lambda y: (y["share"] > x["share"]) & F.array_contains(rivals[x["family"]], y["family"])))
+    found = scored.select("key", "first", "last", "marked", F.explode(F.when(F.col("first") < F.col("last"), held).otherwise(F.array(best))).alias("x"))
+    sure = (F.col("first") < F.col("last")) | (F.col("x.p") >= model.unknown)
+    found = found.filter(sure | F.col("marked")).select("key", F.struct("first", "last", F.when(sure, F.col("x.family")).otherwise("unknown").alias("family"), F.col("x.p").alias("p"), F.when(sure, F.col("x.share")).otherwise(0.0).alias("share")).alias("x"))
+    own = found.groupBy("key").agg(F.collect_set("x").alias("all"))
+    own = own.withColumns({"lines": F.filter("all", lambda x: x["first"] == x["last"]), "windows": F.filter("all", lambda x: x["first"] < x["last"])})
+    within = lambda x, w: (w["first"] <= x["first"]) & (x["last"] <= w["last"])
+    own = own.withColumn("windows", F.filter("windows", lambda w: ~F.exists("lines", lambda x: within(x, w) & (x["share"] >= w["share"]) & ((x["family"] == w["family"]) | (w["share"] < CONFIRM)))))
+    rank = lambda w: F.struct(w["share"], w["p"], w["first"])
+    own = own.withColumn("windows", F.filter("windows", lambda w: ~F.exists("windows", lambda v: (v["family"] == w["family"]) & (v["first"] <= w["last"]) & (w["first"] <= v["last"]) & (rank(v) > rank(w)))))
+    own = own.withColumn("lines", F.filter("lines", lambda x: ~F.exists("windows", lambda w: within(x, w) & (w["share"] > x["share"]))))
+    out = own.select("key", F.explode(F.concat("lines", "windows")).alias("x"))
+    return out.select("key", F.col("x.first").alias("paragraph"), "x.family", F.round("x.p", 6).alias("probability"), ((F.col("x.family") != "unknown") & (F.col("x.share") >= CONFIRM)).alias("confirmed"))
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:

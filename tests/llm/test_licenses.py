@@ -1,4 +1,7 @@
+import textwrap
+
 import numpy as np
+import pytest
 
 from docflow.llm.licenses import TEMPLATES, Model, op5_license_scans, scan
 
@@ -53,3 +56,17 @@ def test_reserved_rights_at_small_scale(spark):
     assert places
     for doc, i in places:
         assert any(x.startswith(f"{i}:unknown:") for x in got[doc])
+
+
+@pytest.mark.parametrize("width", [20, 45, 72])
+def test_wrapped_notices(spark, width):
+    wrap = lambda t, sign="": "\n".join(sign + s for s in textwrap.wrap(t, width))
+    long = {f: max(ts, key=len) for f, ts in TEMPLATES.items()}
+    rows = [(i, wrap(t), {f}) for i, (f, t) in enumerate(long.items())]
+    rows += [(20, "Some words\n\n" + wrap(long["GPL"], "# ") + "\nand it was made by her. " + "They have been there before. " * 40, {"GPL"})]
+    rows += [(21, wrap(long["Apache-2.0"]) + "\nReleased under the MIT License.", {"Apache-2.0", "MIT"}), (22, wrap(long["BSD"]) + "\n" + wrap(long["MIT"]), {"BSD", "MIT"})]
+    rows += [(23, "The night was long\nand it was made of this\nand that", set())]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for i, _, want in rows:
+        assert {f for f in got[i].confirmed.split(",") if f} == want, (i, got[i])
+    assert got[23].n_paragraphs == 0
