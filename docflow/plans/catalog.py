@@ -311,6 +311,12 @@ def names_and_escapes(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", text.safe_name(F.concat(rest, F.lit(".pdf"))).alias("n"), report.href(F.replace("url", F.lit("http"), F.lit("h p~*"))).alias("href"), text.html_escape(F.substring("html", 1, 300)).alias("escaped"), text.last_segment(F.col("url")).alias("segment"))
 
 
+@query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM pages")
+def html_escapes(spark: SparkSession, d: str) -> DataFrame:
+    """Every page escaped whole; names_and_escapes shows the beginnings."""
+    return _t(spark, d, "pages").select("page_id", text.html_escape(F.col("html")).alias("escaped"))
+
+
 def _langid_sql() -> str:
     counts = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in ws)}))) AS {lang}" for lang, ws in STOP_WORDS.items())
     langs = list(STOP_WORDS)

@@ -61,3 +61,16 @@ def test_error_pages_and_rate_limits(spark):
 def test_language(spark):
     long = " and the cat sat on the mat of the house that was by the sea"
     assert apply(spark, detect, [long, "the", None, "zzz " * 20, "el gato y los perros que viven con la casa de una mujer por las noches"]) == ["en", None, None, None, "es"]
+
+
+def test_pages_are_escaped_whole(spark):
+    import duckdb
+
+    from docflow.plans.catalog import ORACLE_SQL, QUERIES
+
+    d = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{d}/pages.parquet").collect()}
+    got = {r.page_id: r.escaped for r in QUERIES["html_escapes"](spark, d).collect()}
+    assert max(map(len, pages.values())) > 300 and got == {i: html.escape(h) for i, h in pages.items()}
+    sql = ORACLE_SQL["html_escapes"].replace("FROM pages", f"FROM '{d}/pages.parquet'")
+    assert got == dict(duckdb.sql(sql).fetchall())
