@@ -45,6 +45,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, bad: DataFrame, tag: str) -> DataFrame:
+    """The rows of docs but those of a doc_id in bad (doc_id, key); of rows without an id those go whose text's xxhash64 is a
+    key of a row without one in bad."""
+    by_text = lambda i, key: F.when(i.isNull(), key)
+    bad = stored(bad.select(F.col("doc_id").alias("bad_id"), by_text(F.col("doc_id"), F.col("key")).alias("bad_key")).distinct(), tag)
+    own = docs["doc_id"].cast("long")
+    return docs.join(bad, own.eqNullSafe(bad["bad_id"]) & by_text(own, F.xxhash64(docs["text"].cast("string"))).eqNullSafe(bad["bad_key"]), "left_anti")
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model learns from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, LOWER, U64, blocks, run_hashes, stored, table, word_hashes, words
+from .common import ALNUM_WORDS, LOWER, U64, blocks, run_hashes, stored, table, without, word_hashes, words
 
 WINDOW = 10
 SHINGLE = 5
@@ -210,13 +210,18 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[list[int], list[int]]
     return starts[new].tolist(), reach[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)].tolist()
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Per row of docs: doc_id, n_words, starts and ends of hit spans of words, and the items that occur."""
+    return _hits(docs, benchmark, **options).drop("key")
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """hits() with key, the text's xxhash64."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n_blocks = max(1, math.ceil((items.agg(F.sum(F.octet_length("text") + F.length("item_id") + 16)).first()[0] or 0) / block_bytes))
     if n_blocks == 1:
-        return _hits_of_block(docs, [tuple(r) for r in items.collect()], window, size).drop("key")
+        return _hits_of_block(docs, [tuple(r) for r in items.collect()], window, size)
     items = stored(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))), "benchmark")
     parts = None
     for b in range(n_blocks):
@@ -238,7 +243,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int
     count = _hits_of_block(docs, [], window, size).select("doc_id", "key", "n_words")
     empty = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
     both = count.join(merged, count["doc_id"].eqNullSafe(merged["hit_id"]) & count["key"].eqNullSafe(merged["hit_key"]), "left")
-    return both.select("doc_id", "n_words", empty("starts", "int"), empty("ends", "int"), empty("items", "string"))
+    return both.select("doc_id", "key", "n_words", empty("starts", "int"), empty("ends", "int"), empty("items", "string"))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -255,10 +260,9 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs in which no window occurs; every column stays. Rows with a contaminated row's doc_id go too."""
-    bad = hits(docs, benchmark, **options).filter(F.size("items") > 0).select(F.col("doc_id").alias("bad_id")).distinct()
-    bad = stored(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
+    """The rows of docs in which no window occurs; every column stays. Rows with a contaminated row's doc_id go too;
+    rows without an id are judged by their own text."""
+    return without(docs, _hits(docs, benchmark, **options).filter(F.size("items") > 0), "contaminated")
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACE_WORDS, U64, blocks, doc_shingles, mix, stored, table, word_hashes, words
@@ -263,11 +263,20 @@ def open_groups(docs: DataFrame, members: DataFrame, probes: DataFrame, k: int,
     return sides.mapInArrow(run, "a long, b long").distinct()
 
 
+def _own_id() -> Column:
+    """The id of a row inside the join: its doc_id, or one from NO_ID up by its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 61)))
+
+
 def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
-    doc_id = F.col("doc_id").cast("long")
-    docs = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))))
+    real = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    return _classes(docs, k, percent).select(real("id").alias("doc_id"), "n_shingles", real("root").alias("component_id"))
+
+
+def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """id, n_shingles, root of every row, with ids from NO_ID up for rows without one."""
+    docs = docs.select(_own_id().alias("id"), F.col("text").cast("string").alias("text"))
     named = stored(sets(docs, sketch(docs, k), k, percent), "sets")
     whole = stored(named.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("id"), F.min_by("prefix", "id").alias("prefix")), "classes")
     met = stored(meetings(whole, percent), "meetings")
@@ -294,22 +303,18 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     roots = components(edges)
     reached = named.join(whole.select("h1", "h2", "n", F.col("id").alias("class")), ["h1", "h2", "n"], "left")
     reached = reached.join(roots, reached["class"] == roots["node"], "left")
-    found = F.coalesce("root", "class", "id")
-    real = lambda c: F.when(c < NO_ID, c)
-    return reached.select(real(F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real(found).alias("component_id"))
+    return reached.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "class", "id").alias("root"))
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of docs: of the rows with the smallest doc_id one; every column stays. Rows without
-    an id that reach none with an id stay, one of each text."""
-    found = classes(docs, k, percent)
-    ids = stored(found.filter("component_id is not null and doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct(), "keep")
-    linked = stored(found.filter("doc_id is null and component_id is not null").limit(1), "linked")
+    """One row of each component of docs: of the rows with the smallest doc_id one; every column stays. Of a component
+    without any id one row stays, that of the text with the smallest hash."""
+    ids = stored(_classes(docs, k, percent).filter("id = root").select(F.col("id").alias("keep_id")).distinct(), "keep")
     with_id = docs.join(ids, docs["doc_id"].cast("long") == ids["keep_id"], "left_semi")
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     with_id = with_id.withColumn("_once", F.row_number().over(once)).filter("_once = 1").drop("_once")
-    without = docs.filter(F.col("doc_id").cast("long").isNull())
-    return with_id.unionByName(without.dropDuplicates(["text"]) if linked.isEmpty() else without.limit(0))
+    without = docs.filter(F.col("doc_id").cast("long").isNull()).withColumn("_own", _own_id()).join(ids, F.col("_own") == ids["keep_id"], "left_semi")
+    return with_id.unionByName(without.drop("_own").dropDuplicates(["text"]))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

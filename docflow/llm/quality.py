@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORDS, blocks, held_out, run_hashes, stored, table, word_hashes, words
+from .common import SPACE_WORDS, blocks, held_out, run_hashes, stored, table, without, word_hashes, words
 
 SAMPLE_ROWS = 40_000
 FEATURES = 256
@@ -88,15 +88,15 @@ def statistics(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def vectors(docs: DataFrame) -> DataFrame:
-    """(doc_id, stats) of every row."""
+    """(doc_id, key, stats) of every row; key is the text's xxhash64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in blocks(batches):
             rows = statistics(data, offs)
             stats = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32), pa.array(rows.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), stats], ["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), stats], ["doc_id", "key", "stats"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, stats array<float>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("text")).mapInArrow(run, "doc_id long, key long, stats array<float>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -195,25 +195,30 @@ def fit(vecs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
     return model
 
 
-def scores(docs: DataFrame, labels: DataFrame, label: str = "quality", **options) -> DataFrame:
-    """(doc_id, held_out, score) of every row of docs."""
+def _scores(docs: DataFrame, labels: DataFrame, label: str = "quality", **options) -> DataFrame:
+    """(doc_id, key, score) of every row of docs."""
     vecs = stored(vectors(docs), "quality-vectors")
     model = docs.sparkSession.sparkContext.broadcast(fit(vecs, labels, label, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.scores(_matrix(batch.column("stats"))) if batch.num_rows else [], pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(model.value.scores(_matrix(batch.column("stats"))) if batch.num_rows else [], pa.float64())], ["doc_id", "key", "score"])
+
+    return vecs.mapInArrow(run, "doc_id long, key long, score double")
 
-    return vecs.mapInArrow(run, "doc_id long, score double").select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score")
+
+def scores(docs: DataFrame, labels: DataFrame, label: str = "quality", **options) -> DataFrame:
+    """(doc_id, held_out, score) of every row of docs."""
+    return _scores(docs, labels, label, **options).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score")
 
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of docs that score threshold or more; every column stays. A row goes if a row of its doc_id is rejected.
+    """The rows of docs that score threshold or more; every column stays. A row goes if a row of its doc_id is rejected,
+    a row without an id if its own text is.
     Without labels to learn from nothing is known against any row, and all stay."""
     if labels.filter(F.col(options.get("label", "quality")).isNotNull() & ~held_out(F.col("doc_id"))).isEmpty():
         return docs
-    bad = stored(scores(docs, labels, **options).filter(F.col("score") < threshold).select(F.col("doc_id").alias("bad_id")).distinct(), "rejected")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
+    return without(docs, _scores(docs, labels, **options).filter(F.col("score") < threshold), "rejected")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,10 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert hits(none, bench).count() == 0
     assert digests(hits(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), bench)).first().n_words == 2
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(spark):
+    _, bench = cases()
+    d = spark.createDataFrame([(None, "alone"), (None, "clean words"), (None, None), (3, "alone"), (3, "clean words")], "doc_id long, text string")
+    kept = decontaminated(d, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted(map(str, (r.text for r in kept if r.doc_id is None))) == ["None", "clean words"] and len(kept) == 2

@@ -98,3 +98,14 @@ def test_components(spark, bound):
         for a, b in edges:
             low[a] = low[b] = min(low[a], low[b])
     assert got == {x: r for x, r in low.items() if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(spark):
+    w = [f"w{i}" for i in range(60)]
+    linked, near, alone = " ".join(w[:30]), " ".join(w[30:]), "on its own here"
+    rows = [(1, linked), (None, linked + " x"), (None, near), (None, near), (None, near + " y"), (None, alone), (None, ""), (2, None)]
+    for d, left in ((rows, [1, 2]), (rows[2:], [2])):
+        got = deduplicated(spark.createDataFrame(d, "doc_id long, text string")).collect()
+        assert sorted(r.doc_id for r in got if r.doc_id) == left
+        none = [r.text for r in got if r.doc_id is None]
+        assert len(none) == 3 and {alone, ""} < set(none) and len({near, near + " y"} & set(none)) == 1

@@ -1,6 +1,8 @@
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 from docflow.llm.common import utf8
 from docflow.llm.quality import isotonic, kept, scores, statistics
 
@@ -44,3 +46,12 @@ def test_isotonic_is_the_nearest_monotone_fit():
     assert (np.diff(at) > 0).all() and (np.diff(value) > 0).all()
     fitted = value[np.abs(x[:, None] - at[None]).argmin(1)]
     assert abs(y.mean() - np.average(value, weights=None)) < 1 and abs(fitted).max() <= 1
+
+
+def test_rows_without_an_id_are_judged_by_their_own_text(spark):
+    docs, labels = tables(spark, 300)
+    names = {r.doc_id for r in kept(docs, labels).collect()}
+    none = docs.select(*(F.lit(None).cast("long").alias(c) if c == "doc_id" else c for c in docs.columns))
+    both = docs.unionByName(none)
+    good = sorted(r.text or "" for r in docs.collect() if r.doc_id in names)
+    assert sorted(r.text or "" for r in kept(both, labels).collect() if r.doc_id is None) == good and 0 < len(good) < docs.count()
