@@ -280,7 +280,7 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     named = stored(sets(docs, sketch(docs, k), k, percent), "sets")
     whole = stored(named.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("id"), F.min_by("prefix", "id").alias("prefix")), "classes")
     met = stored(meetings(whole, percent), "meetings")
-    need = F.greatest(F.lit(1), F.floor(F.ceil(F.max("n") * percent / 100) / 10)).cast("int")  # least() of the smallest set that fits
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.min("n") * percent / 100) / 10)).cast("int")  # least() of the smallest set that fits any of the id's
     groups = met.groupBy("id").agg(F.mode("pivot", True).alias("pivot"), F.max("n").alias("n"), F.count(F.lit(1)).alias("met"), need.alias("need")).filter("met >= need")
     groups = stored(groups.drop("met"), "similar")
     counted = groups.groupBy("pivot").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n").cast("long")).alias("tokens"))
@@ -300,8 +300,10 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     probes = stored(enough(probes.groupBy("id", "core", "need").agg(F.flatten(F.collect_list("gids")).alias("gids"))), "probes")
     links = open_groups(docs, members.select("id", "gid", "core"), probes, k, percent)
     edges = cores.select(F.col("id").alias("a"), F.col("pivot").alias("b")).unionByName(links)
-    roots = components(edges)
     reached = named.join(whole.select("h1", "h2", "n", F.col("id").alias("class")), ["h1", "h2", "n"], "left")
+    several = reached.filter("class is not null").groupBy("id").agg(F.collect_set("class").alias("all")).filter(F.size("all") > 1)
+    edges = edges.unionByName(several.select(F.col("id").alias("a"), F.explode("all").alias("b")))  # one document with several texts
+    roots = components(edges)
     reached = reached.join(roots, reached["class"] == roots["node"], "left")
     return reached.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "class", "id").alias("root"))
 

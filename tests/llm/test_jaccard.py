@@ -109,3 +109,11 @@ def test_rows_without_an_id_are_judged_by_their_own_text(spark):
         assert sorted(r.doc_id for r in got if r.doc_id) == left
         none = [r.text for r in got if r.doc_id is None]
         assert len(none) == 3 and {alone, ""} < set(none) and len({near, near + " y"} & set(none)) == 1
+
+
+def test_several_texts_of_one_id(spark):
+    w = [f"w{i}" for i in range(3000)]
+    short, long = " ".join(w[:22]), " ".join(w[100:1102])
+    rows = [(5, short), (5, long), (7, " ".join(w[:23])), (1, " ".join(w[98:1102])), (3, "only here once"), (9, "only here once"), (9, " ".join(w[2000:2030])), (11, " ".join(w[2000:2031]))]
+    got = classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)
