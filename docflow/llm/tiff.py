@@ -266,7 +266,8 @@ def tiff_pages(df: DataFrame, media: str = "media") -> DataFrame:
                     continue
                 found: list[tuple] = []
                 try:
-                    found = [(*p, None) for p in read_tiff(data)]
+                    for p in read_tiff(data):
+                        found.append((*p, None))
                 except (TiffError, struct.error, zlib.error, MemoryError) as e:
                     found.append((*(None,) * 8, str(e)[:200] or type(e).__name__))
                 for row in found:

@@ -52,3 +52,12 @@ def test_query_against_plain_python(spark, tmp_path):
         media = write_tiff([np.frombuffer(padded, np.uint8).reshape(-1, 64)], DEFLATE, 2, 256)
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
     assert got[5].feature == got[6].feature
+
+
+def test_pages_before_a_bad_one_stay(spark):
+    pages = [np.full((2, 3), i, np.uint8) for i in range(3)]
+    whole = write_tiff(pages)
+    last = whole.rindex(b"\x00\x01\x04\x00\x01\x00\x00\x00\x03\x00\x00\x00")  # width of the last directory
+    bad = whole[: last + 8] + b"\0" * 4 + whole[last + 12 :]
+    got = tiff_pages(spark.createDataFrame([(1, bytearray(bad))], "id int, media binary")).collect()
+    assert [(r.page, r.pixels is not None, r.error is None) for r in got] == [(0, True, True), (1, True, True), (None, False, False)]
