@@ -37,11 +37,11 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/docflow/{tag}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = shared_path(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

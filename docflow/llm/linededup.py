@@ -4,23 +4,28 @@ A line is the part of a text between line breaks; its tokens are its distinct sh
 shorter), in lower case. A line goes if an earlier line, in order of (doc_id, text hash, line number), has a Jaccard similarity of
 ``percent`` or more with it. A line without words never goes.
 
-1. Lines of equal words form an identity; only its first occurrence can stay.
-2. Tokens are ordered by rarity, from counts of all lines' tokens in 2**16 buckets, then by hash. Lines that match share one
-   of their first n - ceil(n * percent / 100) + 1 tokens: only these are shuffled, once, and a window over each token
-   drops those that one identity alone has.
+1. Lines of equal words form an identity; only its first occurrence can stay. Texts are read for this once; the identities are
+   stored with their words, and every later step reads those, so that copies of a line cost nothing from here on.
+2. Tokens are ordered by rarity, from counts of all identities' tokens in 2**16 buckets, then by hash. Lines that match share
+   two (where a set can match with one token: one) of their first n - ceil(n * percent / 100) + 2 tokens. Only these are shuffled,
+   once; tokens that one identity alone has are dropped, and then lines that are left with too few.
 3. What meets passes the length filter and the positional filter (the tokens left after the shared one must suffice).
    First every line is held against the earliest line of each of its tokens, which makes no pairs within a
-   group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens.
+   group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens; lists of over
+   LONG_LIST lines by pairs of tokens, the shared one and one after it, as lines that match share both.
 4. Candidates are verified on their whole token sets.
+5. Lines of a text that have words and aren't the kept occurrence of an identity go.
 
-Arrays are opened by the outer forms of explode: the plain ones add a filter that computes the whole array a second time.
+A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
+and its count come from a sum with partial sums, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
+hot. Words are hashed to 16 characters each, so that a shingle is a cut of 16 * k bytes, hashed as a whole.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
 (BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64 (the order by 56).
 
 Defined results: a null text has no lines and stays null; an empty text has one line without words; rows with the same
-doc_id and text get the same decision, as one; a null doc_id comes last; an empty table gives no rows; other columns are ignored by
-removed() and kept by deduplicated().
+doc_id and text get the same decision, as one; a null doc_id comes last; an empty table gives no rows; other columns, whatever their
+names, are ignored by kept_lines() and kept by deduplicated().
 """
 
 from __future__ import annotations
@@ -35,18 +40,22 @@ from .common import stored, table
 WORDS = 5
 PERCENT = 80
 BROADCAST_ROWS = 250_000
-_LAST = (1 << 63) - 1
+#: Lists of more lines than this are joined by pairs of tokens, unless a line of theirs shares more tokens than LONG_LINE.
+LONG_LIST, LONG_LINE = 64, 128
+#: Level (quarter octaves above the mean) from which a bucket's tokens are dealt out by SALTS.
+HOT_LEVEL, SALTS = 17, 64
 _BLANKS = " \t\x0b\x0c\r"
 
 
-def _raw(docs: DataFrame) -> DataFrame:
-    """(doc, th, line, s) of every line, in lower case; doc is doc_id with null last, th the text's hash."""
-    text = F.col("text").cast("string")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("th"), F.posexplode_outer(F.split(F.lower(text), "\n")).alias("line", "s"))
+def _own() -> list[Column]:
+    """A row's place among documents: no_id (null ids come last), doc, th."""
+    doc = F.col("doc_id").cast("long")
+    return [doc.isNull().alias("no_id"), F.coalesce(doc, F.lit(0)).alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("th")]
 
 
-def _with_words(raw: DataFrame) -> DataFrame:
-    """raw with one blank between words and none around them, without lines that have no word."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """(no_id, doc, th, line, s) of every line with words, in lower case with one blank between words."""
+    raw = docs.select(*_own(), F.posexplode_outer(F.split(F.lower(F.col("text").cast("string")), "\n")).alias("line", "s"))
     s = F.col("s")
     odd = s.contains("  ") | s.startswith(" ") | s.endswith(" ")
     for blank in _BLANKS[1:]:
@@ -55,117 +64,157 @@ def _with_words(raw: DataFrame) -> DataFrame:
     return raw.withColumn("s", plain).filter(F.col("s") != "")
 
 
-def _hashes(own: DataFrame) -> DataFrame:
-    """own with hashes, those of a line's words, in place of s."""
-    return own.select(*(c for c in own.columns if c != "s"), F.transform(F.split("s", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+def identities(docs: DataFrame) -> DataFrame:
+    """(h1, h2, at, s): the lines of different words, each with the place (no_id, doc, th, line) of its first occurrence."""
+    own = _lines(docs).select(F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2"), F.struct("no_id", "doc", "th", "line", "s").alias("at"))
+    first = own.groupBy("h1", "h2").agg(F.min("at").alias("at"))
+    return stored(first.select("h1", "h2", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at"), F.col("at.s").alias("s")), "identities", compression="zstd")
 
 
-def _shingle(i: Column, k: int) -> Column:
-    return F.xxhash64(*(F.get("hashes", i + j) for j in range(k)))
+def _hashed(lines: DataFrame) -> DataFrame:
+    """lines with hashes, 16 bytes for each word, in place of s."""
+    word = lambda w: F.lpad(F.hex(F.xxhash64(w)), 16, "0")
+    return lines.select(*(c for c in lines.columns if c != "s"), F.array_join(F.transform(F.split("s", " "), word), "").cast("binary").alias("hashes"))
 
 
-def _tokens(own: DataFrame, k: int) -> DataFrame:
-    """own with tokens, the distinct hashes of a line's shingles, in place of s."""
-    hashed = _hashes(own)
-    shingles = F.transform(F.sequence(F.lit(0), F.size("hashes") - k), lambda i: _shingle(i, k))
-    tokens = F.when(F.size("hashes") >= k, F.array_distinct(shingles)).otherwise(F.array(F.xxhash64("hashes")))
-    return hashed.select(*(c for c in hashed.columns if c != "hashes"), tokens.alias("tokens"))
+def _places(k: int) -> Column:
+    """Where shingles begin: one at least."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length("hashes") - (16 * k - 1), F.lit(1)), F.lit(16))
 
 
-def levels(own: DataFrame, k: int) -> bytes:
-    """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean: a byte below 128.
-    Places of shingles are opened first, so that they are hashed and counted in compiled code."""
-    placed = _hashes(own).select("hashes", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("hashes") - k, F.lit(0)))).alias("i"))
-    token = F.when(F.size("hashes") >= k, _shingle(F.col("i"), k)).otherwise(F.xxhash64("hashes"))
-    count = placed.groupBy(F.shiftrightunsigned(token, 48).cast("int").alias("bucket")).count().collect()
+def _shingle(place: Column, k: int) -> Column:
+    return F.xxhash64(F.substring("hashes", place, F.lit(16 * k)))
+
+
+def _tokens(lines: DataFrame, k: int) -> DataFrame:
+    """lines with tokens, the distinct hashes of a line's shingles, in place of s."""
+    hashed = _hashed(lines)
+    return hashed.select(*(c for c in hashed.columns if c != "hashes"), F.array_distinct(F.transform(_places(k), lambda i: _shingle(i, k))).alias("tokens"))
+
+
+def levels(lines: DataFrame, k: int) -> list[int]:
+    """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean, below 128."""
+    shingles = _hashed(lines.select("s")).select("hashes", F.explode_outer(_places(k)).alias("i")).select(_shingle(F.col("i"), k).alias("t"))
+    count = shingles.groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
     mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
-    out = bytearray(1 << 16)
+    out = [0] * (1 << 16)
     for r in count:
         out[r["bucket"]] = min(127, round(4 * math.log2(1 + r["count"] / mean)))
-    return bytes(out)
+    return out
 
 
-def _need(n: Column, percent: int) -> Column:
-    """The least overlap of two sets whose sizes sum to n."""
-    return F.ceil(n * percent / (100 + percent))
+def _least(n: Column, percent: int) -> Column:
+    """What a set of n tokens shares at least with one that it matches."""
+    return F.ceil(n * percent / 100).cast("int")
 
 
 def _may_match(n: Column, pos: Column, m: Column, other: Column, percent: int) -> Column:
     fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return fits & (F.least(n - pos, m - other) >= _need(n + m, percent))
-
-
-def meetings(own: DataFrame, k: int, percent: int) -> DataFrame:
-    """(token, h1, at, pivot) of the shared first tokens of lines: at is the earliest (doc, line, h1, n, pos) of the
-    line's identity, pivot that of the token."""
-    by_bucket = F.lit(levels(own.select("s"), k))
-    tokens = _tokens(own.select("doc", "line", F.xxhash64("s").alias("h1"), "s"), k)
-    level = lambda t: F.ascii(F.substring(by_bucket, F.shiftrightunsigned(t, 48).cast("int") + 1, F.lit(1)).cast("string"))
-    key = lambda t: F.shiftleft(level(t).cast("long"), 56).bitwiseOR(t.bitwiseAND(F.lit((1 << 56) - 1)))
-    ranked = tokens.select("doc", "line", "h1", F.size("tokens").alias("n"), F.sort_array(F.transform("tokens", key)).alias("sorted"))
-    take = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    posted = ranked.select("doc", "line", "h1", "n", F.posexplode_outer(F.slice("sorted", F.lit(1), take)).alias("pos", "token"))
-    whole = Window.partitionBy("token")
-    met = posted.select("*", F.min("h1").over(whole).alias("lo"), F.max("h1").over(whole).alias("hi"), F.min(F.struct("doc", "line", "h1", "n", "pos")).over(whole).alias("pivot")).filter("lo < hi")
-    return met.groupBy("token", "h1").agg(F.min(F.struct("doc", "line", "h1", "n", "pos")).alias("at"), F.min("pivot").alias("pivot"))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    return fits & (F.least(n - pos, m - other) >= F.ceil((n + m) * percent / (100 + percent)))
+
+
+def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
+    """(token, h1, doc, n, pos, q, lines, most, pivot) of the first tokens that lines share: q is how many the line h1 shares, lines
+    how many lines the token has, most the largest q of theirs, pivot the earliest (by document) of them."""
+    by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
+    level = lambda t: F.coalesce(F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int")), F.lit(0).cast("long"))
+    key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    ranked = _tokens(lines.select("h1", F.struct("at.no_id", "at.doc").alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
+    n = F.size("sorted")
+    posted = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
+    hot = F.shiftrightunsigned("token", 56) >= HOT_LEVEL
+    slot = Window.partitionBy("slot")
+    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
+    met = stored(dealt.select("*", F.min("h1").over(slot).alias("lo"), F.max("h1").over(slot).alias("hi")).filter(hot | (F.col("lo") < F.col("hi"))).drop("slot", "lo", "hi"), "met")
+    enough = met.groupBy("h1").agg(F.count("*").cast("int").alias("q"), F.min("n").alias("least")).filter(F.col("q") >= F.least(F.lit(2), _least(F.col("least"), percent))).select("h1", "q")
+    met = stored(met.join(enough, "h1"), "met-enough")
+    lists = met.groupBy("token").agg(F.count("*").alias("lines"), F.max("q").alias("most"), F.min(F.struct("doc", "h1", "n", "pos")).alias("pivot")).filter("lines > 1")
+    return stored(met.join(lists, "token"), "met-lists")
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """rows, a stored table, for a join: broadcast only if counted to be few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataFrame:
     """(h1, h2) of the later identity of every pair (a, b) of h1 that matches."""
-    pairs = stored(pairs, "pairs")
-    some = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    wanted = stored(some.join(first, "h1").select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("at.doc").alias("wd"), F.col("at.th").alias("wt"), F.col("at.line").alias("wl")), "wanted")
-    small = wanted.count() <= BROADCAST_ROWS
-    wanted = F.broadcast(wanted) if small else wanted
-    raw = _raw(docs).join(wanted, (F.col("doc") == F.col("wd")) & (F.col("th") == F.col("wt")) & (F.col("line") == F.col("wl")))
-    rows = _with_words(raw.select("doc", "th", "line", F.col("w1").alias("h1"), F.col("w2").alias("h2"), "s"))
-    sets = stored(_tokens(rows, k).select("h1", "h2", F.struct("doc", "th", "line").alias("place"), "tokens"), "line-sets")
+    pairs = stored(pairs.distinct(), "pairs")
+    some = stored(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "lines-of-pairs")
+    sets = stored(_tokens(lines.join(_few(some), "h1", "left_semi").select("h1", "h2", "at", "s"), k), "line-sets")
     side = lambda x: sets.select(*(F.col(c).alias(f"{x}_{c}") for c in sets.columns))
     both = pairs.join(side("a"), F.col("a") == F.col("a_h1")).join(side("b"), F.col("b") == F.col("b_h1"))
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     match = both.filter(100 * common >= percent * (F.size("a_tokens") + F.size("b_tokens") - common))
-    later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a_h1").alias("h1"), F.col("a_h2").alias("h2"))).otherwise(F.struct(F.col("b_h1").alias("h1"), F.col("b_h2").alias("h2")))
+    later = F.when(F.col("a_at") > F.col("b_at"), F.struct(F.col("a_h1").alias("h1"), F.col("a_h2").alias("h2"))).otherwise(F.struct(F.col("b_h1").alias("h1"), F.col("b_h2").alias("h2")))
     return stored(match.select(later.alias("l")).select("l.*").distinct(), "later")
 
 
-def removed(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc, th, lines): per document (doc_id with null last, text hash) the numbers of the lines that go."""
-    own = _with_words(_raw(docs))
-    named = stored(own.select("doc", "th", "line", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2")), "lines")
-    first = stored(named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "th", "line")).alias("at")), "first")
-    met = stored(meetings(own, k, percent), "met")
-    star = met.filter((F.col("h1") != F.col("pivot.h1")) & _may_match(F.col("at.n"), F.col("at.pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
-    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")).distinct(), docs, first, k, percent)
-    rest = met.join(later.select("h1").distinct(), "h1", "left_anti").select("token", F.col("h1").alias("a"), F.col("at").alias("x"), F.col("pivot.h1").alias("p"))
-    other = met.select(F.col("token").alias("t"), F.col("h1").alias("b"), F.col("at").alias("y"))
-    meet = (F.col("token") == F.col("t")) & (F.col("b") != F.col("p")) & (F.col("y") < F.col("x")) & (F.col("a") != F.col("b"))
-    pairs = rest.join(other, meet & _may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)).select("a", "b").distinct()
-    later = later.unionByName(_verified(pairs, docs, first, k, percent)).distinct()
-    stays = first.join(later, ["h1", "h2"], "left_anti")
-    own = named.join(stays, ["h1", "h2"], "left")
-    gone = own.filter(F.col("at").isNull() | (F.col("at") != F.struct("doc", "th", "line")))
-    return gone.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+def _others(met: DataFrame, decided: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a line that isn't decided and one of an earlier or the same document that it shares tokens with."""
+    rest = stored(met.join(_few(decided), "h1", "left_anti"), "undecided")
+    by_pair = (F.col("lines") > LONG_LIST) & (F.col("most") <= LONG_LINE)
+    columns = ("token", "h1", "doc", "n", "pos")
+    named = lambda rows, x, *more: rows.select(*(F.col(c).alias(f"{x}_{c}") for c in (*columns, *more)))
+    fits = (F.col("b_doc") <= F.col("a_doc")) & (F.col("a_h1") != F.col("b_h1")) & (F.col("b_h1") != F.col("a_pivot.h1")) & _may_match(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent)
+    found = named(rest.filter(~by_pair), "a", "pivot").join(named(met.filter(~by_pair), "b"), (F.col("a_token") == F.col("b_token")) & fits)
+    # tokens of long lists, each with those after it on the same line; with itself where one shared token can do
+    wanted = stored(rest.filter(by_pair).select("token").distinct(), "long-lists")
+    after = lambda rows: rows.select(F.col("h1").alias("own"), F.col("pos").alias("next"), F.col("token").alias("second"))
+    pairs_of = lambda rows, rest: rows.join(after(rest), (F.col("h1") == F.col("own")) & ((F.col("next") > F.col("pos")) | ((F.col("next") == F.col("pos")) & (_least(F.col("n"), percent) < 2))))
+    long = stored(pairs_of(met.filter(by_pair).join(_few(wanted), "token", "left_semi"), met).drop("own", "next"), "token-pairs")
+    mine = long.join(_few(decided), "h1", "left_anti")
+    found_too = named(mine, "a", "second", "pivot").join(named(long, "b", "second"), (F.col("a_token") == F.col("b_token")) & (F.col("a_second") == F.col("b_second")) & fits)
+    return found.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")).unionByName(found_too.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")))
+
+
+def kept_lines(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(no_id, doc, th, kept): per document the numbers of the lines with words that stay, in no order; no row where none does."""
+    lines = identities(docs)
+    met = meetings(lines, k, percent)
+    star = met.filter((F.col("h1") != F.col("pivot.h1")) & _may_match(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
+    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")), lines, k, percent)
+    decided = stored(later.select("h1").distinct(), "decided")
+    later = stored(later.unionByName(_verified(_others(met, decided, percent), lines, k, percent)).distinct(), "all-later")
+    stays = lines.select("h1", "h2", "at").join(_few(later), ["h1", "h2"], "left_anti").select("at.*")
+    return stored(stays.groupBy("no_id", "doc", "th").agg(F.collect_list("line").alias("kept")), "kept-lines")
+
+
+def _with_kept(rows: DataFrame, docs: DataFrame, **options) -> DataFrame:
+    """rows, which have no_id, doc and th, with kept."""
+    return rows.join(kept_lines(docs, **options), ["no_id", "doc", "th"], "left")
+
+
+def _split() -> Column:
+    return F.split(F.col("text").cast("string"), "\n")
+
+
+def _worded() -> Column:
+    """Numbers of a text's lines that have words."""
+    return F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.btrim(F.get("parts", i), F.lit(_BLANKS + "\n")) != "")
 
 
-def _with_removed(docs: DataFrame, **options) -> DataFrame:
-    gone = stored(removed(docs, **options), "removed-lines").withColumnsRenamed({"doc": "_doc", "th": "_th", "lines": "_lines"})
-    here = docs.withColumns({"_own": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_hash": F.xxhash64(F.col("text").cast("string"))})
-    return here.join(gone, (F.col("_own") == F.col("_doc")) & (F.col("_hash") == F.col("_th")), "left").drop("_own", "_hash", "_doc", "_th")
+def _gone() -> Column:
+    return F.coalesce(F.array_except("worded", F.coalesce("kept", F.array().cast("array<int>"))), F.array().cast("array<int>"))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """docs with the lines taken out of text; every other column stays. A document of which no line stays goes."""
-    out = _with_removed(docs, **options)
-    kept = F.filter(F.split("text", "\n"), lambda s, i: ~F.array_contains("_lines", i))
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.withColumn("text", text).filter(F.col("_lines").isNull() | (F.length(F.btrim("text", F.lit(_BLANKS + "\n"))) > 0)).select(*docs.columns)
+    """docs with the lines taken out of text; every other column stays. A document goes if it loses lines and no line with
+    words is left; one that never had words stays as it is."""
+    whole = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), *_own(), _split().alias("parts")).select("*", _worded().alias("worded"))
+    out = _with_kept(whole, docs, **options).select("row", "parts", "worded", "kept", _gone().alias("gone"))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone"), lambda i: F.get("parts", i))
+    text = F.when(F.size("gone") > 0, F.array_join(left, "\n")).otherwise(F.col("row.text").cast("string"))
+    stays = (F.size("gone") == 0) | (F.size("gone") < F.size("worded"))
+    names = {c.lower(): c for c in docs.columns}
+    return out.filter(stays).select(*(text.alias(c) if c == names["text"] else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = _with_removed(docs)
-    gone = F.coalesce("_lines", F.array().cast("array<int>"))
-    return out.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
+    rows = docs.select("doc_id", *_own(), _split().alias("parts")).select("doc_id", "no_id", "doc", "th", F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"), _worded().alias("worded"))
+    out = _with_kept(rows, docs).select("doc_id", "n_lines", _gone().alias("gone"))
+    return out.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), F.array_join("gone", ",").alias("removed_lines"))
 
 
 OP7_SQL = r"""
