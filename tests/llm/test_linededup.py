@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from docflow.llm import linededup
 from docflow.llm.linededup import deduplicated, op7_line_dedup
@@ -61,5 +62,35 @@ def test_texts(spark):
     assert got == {1: ("head\nOne  two three", 2), 2: ("keep me", 1), 4: (None, 4), 5: ("\n", 5), 6: ("\nlast", 6)}
 
 
+@pytest.mark.parametrize("longest", [64, 10**6])
+def test_hot_token_of_unlike_lines(spark, tmp_path, monkeypatch, longest):
+    """A passage that many unlike lines share, in short lines so that it lies in their prefixes, beside near copies among them; hot
+    tokens salted or not, long lists joined by pairs of tokens or by one."""
+    monkeypatch.setattr(linededup, "LONG_LIST", 8 if longest == 64 else 10**6)
+    monkeypatch.setattr(linededup, "COMMON", 0 if longest == 64 else 10**6)
+    monkeypatch.setattr(linededup, "HOT", 0 if longest == 64 else 10**6)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(14)]
+    lines = []
+    for i in range(600):
+        own = [f"u{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 6, 9]))]
+        lines.append(" ".join((own + passage) if i % 2 else (passage + own)))
+    lines += ["a a a a a", "a a a a a a", "a a a a a a a", "b b b b b b", "B  b b b b"]
+    rows = [(i, "\n".join(lines[i::40])) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_lines, [int(i) for i in r.removed_lines.split(",") if i]) for r in op7_line_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == brute(rows)
+    assert sum(len(g) for _, _, g in got) > 100
+
+
+def test_clashing_columns_and_null_ids(spark):
+    top = (1 << 63) - 1
+    rows = [(None, "same words here\nmine", 1), (top, "same words here\nlast", 2), (5, "x\nsame  words HERE", 3), (None, "same words here\nmine", 4)]
+    for name in ("_own", "_lines", "row", "Parts", "kept", "gone", "no_id", "h1", "a.b"):
+        got = deduplicated(spark.createDataFrame(rows, ["doc_id", "text", name]).withColumn("doc_id", F.col("doc_id").cast("long")))
+        assert got.columns == ["doc_id", "text", name]
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(None, "mine", 1), (top, "last", 2), (5, "x\nsame  words HERE", 3), (None, "mine", 4)], key=str)
+
+
 def test_empty_table(spark):
     assert deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
