@@ -1,4 +1,4 @@
-"""python -m docflow.cli extract|translate|summarize|index|config: the jobs from the command line."""
+"""python -m docflow.cli JOB: the jobs from the command line. Exit 1 if a download failed, 0 else."""
 
 from __future__ import annotations
 
@@ -10,17 +10,21 @@ from pyspark.sql import SparkSession
 
 from .config import load
 from .plans import jobs
+from .sources.files import RemoteListing, reader_of
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="docflow")
-    parser.add_argument("job", choices=["extract", "translate", "summarize", "index", "config"])
+    parser.add_argument("job", choices=["download", "extract", "translate", "docx", "fix-images", "summarize", "index", "plain-index", "config"])
     parser.add_argument("--root", default=".")
     parser.add_argument("--config", default="config.toml")
     parser.add_argument("--only")
     parser.add_argument("--limit", type=int)
     parser.add_argument("--force", action="store_true")
     parser.add_argument("--engine", default=None)
+    parser.add_argument("--sha", help="summarize: only entries whose hash begins so")
+    parser.add_argument("--reset-errors", action="store_true", help="docx: documents that failed are tried again")
+    parser.add_argument("--from", dest="remote", help="download: a folder of any file system that can be listed")
     parser.add_argument("--script", default="hebrew")
     a = parser.parse_args(argv)
     config = load(str(Path(a.root, a.config)), a.root)
@@ -36,14 +40,28 @@ def main(argv: list[str] | None = None) -> int:
         return spark.read.schema(df.schema).parquet(path)
 
     registry = f"{work}/registry"
+    if a.job == "download":
+        folder = (a.remote or config.folder_url).rstrip("/")
+        spark.dataSource.register(RemoteListing)
+        got = jobs.download(spark, config, store, spark.read.format("remote_listing").load(folder), reader_of(folder))
+        failed = got.filter("error is not null").collect()
+        for r in failed:
+            print(f"failed: {r.name}: {r.error}")
+        return 1 if failed else 0
     if a.job == "extract":
         jobs.extract(spark, config, registry, store, a.engine or "pdf", force=a.force, only=a.only, limit=a.limit)
     elif a.job == "translate":
         jobs.translate(spark, config, registry, f"{work}/blocks", store, a.engine or config.engine, a.force, a.only, a.limit)
+    elif a.job == "docx":
+        jobs.translate_docx(spark, config, registry, store, a.engine or config.engine, only=a.only, limit=a.limit, reset_errors=a.reset_errors)
+        Path(config.index_file).write_text(jobs.plain_index(spark, registry), "utf-8")
+    elif a.job == "fix-images":
+        jobs.fix_images(spark, config, registry, store, a.only).show()
     elif a.job == "summarize":
-        jobs.summaries(spark, config, registry, store, a.script, a.force).show()
+        jobs.summaries(spark, config, registry, store, a.script, a.force, a.only, a.limit, a.sha).show()
     else:
-        Path(config.index_file).write_text(jobs.index(spark, config, registry), "utf-8")
+        page = jobs.plain_index(spark, registry) if a.job == "plain-index" else jobs.index(spark, config, registry)
+        Path(config.index_file).write_text(page, "utf-8")
     return 0
 
 

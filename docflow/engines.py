@@ -6,7 +6,10 @@ pipelines can be run and tested; engines for outside services are registered the
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import struct
 import time
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,9 +31,52 @@ class Extract(Protocol):
 
 
 class Ocr(Protocol):
-    """The text of a page of a file's bytes in a language; page numbers start at 1."""
+    """The texts of a page of a file's bytes, one for each language, or the exception that came in its place; page numbers start at 1."""
 
-    def __call__(self, content: bytes, page: int, lang: str) -> str: ...
+    def __call__(self, content: bytes, page: int, langs: list[str]) -> list[str | Exception]: ...
+
+
+class Render(Protocol):
+    """The picture of a page, at dpi dots an inch (a page's own unit is 1/72 inch, so that it is enlarged dpi / 72 times)."""
+
+    def __call__(self, content: bytes, page: int, dpi: int) -> bytes: ...
+
+
+class Recognise(Protocol):
+    """The text in a picture in a language; command and data are where the engine's program and its language files are."""
+
+    def __call__(self, picture: bytes, lang: str, command: str, data: str) -> str: ...
+
+
+@dataclass
+class RasterOcr:
+    """An OCR engine of a renderer and a recogniser: a page is rendered once, then read in each language."""
+
+    render: Render
+    recognise: Recognise
+    dpi: int = 300
+    command: str = ""
+    data: str = ""
+
+    def __call__(self, content: bytes, page: int, langs: list[str]) -> list[str | Exception]:
+        picture = self.render(content, page, self.dpi)
+        out: list[str | Exception] = []
+        for lang in langs:
+            try:
+                out.append(self.recognise(picture, lang, self.command, self.data))
+            except Exception as e:
+                out.append(e)
+        return out
+
+
+def find_program(name: str, command: str = "", data: str = "", folders: tuple[str, ...] = (), environ: dict | None = None) -> tuple[str, str]:
+    """(command, data folder) of an outside program: what is set and exists, else the search path and folders; its data folder is
+    what is set, what the environment names, or the one beside the program. Empty where nothing is found."""
+    environ = os.environ if environ is None else environ
+    places = [command, shutil.which(name, path=environ.get("PATH", "")) or "", *(os.path.join(f, name) for f in folders)]
+    program = next((p for p in places if p and os.path.isfile(p)), "")
+    beside = os.path.join(os.path.dirname(program), "tessdata") if program else ""
+    return program, next((d for d in (data, environ.get("TESSDATA_PREFIX", ""), beside) if d and os.path.isdir(d)), "")
 
 
 def failing(pattern: str, times: int, message: str = "ConnectionError") -> Translate:
@@ -84,9 +130,46 @@ def simple_pdf_pages(content: bytes) -> Iterator[tuple[str, int]]:
         yield text, images if i == 0 else 0
 
 
+class Pictures(Protocol):
+    """(suffix, bytes) of the pictures in a file's bytes."""
+
+    def __call__(self, content: bytes) -> Iterator[tuple[str, bytes]]: ...
+
+
+def png(width: int, height: int, samples: int, pixels: bytes) -> bytes:
+    """A PNG of 8-bit gray (1 sample) or RGB (3 samples) pixels."""
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    row = width * samples
+    raw = b"".join(b"\0" + pixels[i * row : (i + 1) * row] for i in range(height))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0 if samples == 1 else 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
+
+
+def simple_pdf_images(content: bytes) -> Iterator[tuple[str, bytes]]:
+    """Pictures of a PDF: JPEG streams as they are, deflated or plain 8-bit gray and RGB ones as PNG; other kinds are left out."""
+    for head, body in _STREAM.findall(content):
+        if not re.search(rb"/Subtype\s*/Image", head):
+            continue
+        if b"/DCTDecode" in head:
+            yield "jpg", body
+            continue
+        number = lambda name: int((re.search(rb"/" + name + rb"\s+(\d+)", head) or [0, 0])[1])
+        width, height, samples = number(b"Width"), number(b"Height"), 3 if b"/DeviceRGB" in head else 1 if b"/DeviceGray" in head else 0
+        if not samples or number(b"BitsPerComponent") != 8 or re.search(rb"/Predictor\s+(?!1\b)\d", head) or b"/Filter" in head and b"/FlateDecode" not in head:
+            continue
+        size = width * height * samples
+        pixels = zlib.decompressobj().decompress(body, size) if b"/FlateDecode" in head else body[:size]
+        if size and len(pixels) == size:
+            yield "png", png(width, height, samples, pixels)
+
+
 TRANSLATORS: dict[str, Callable[[], Translate]] = {"identity": lambda: lambda t: t, "upper": lambda: str.upper, "pseudo": lambda: lambda t: f"⟦{t}⟧"}
 EXTRACTORS: dict[str, Extract] = {"text": form_feed_pages, "pdf": simple_pdf_pages}
-OCRS: dict[str, Ocr] = {"blank": lambda content, page, lang: "", "text": lambda content, page, lang: [*form_feed_pages(content)][page - 1][0]}
+IMAGES: dict[str, Pictures] = {"pdf": simple_pdf_images}
+#: By name, what makes an engine of settings (dpi, command, data).
+OCRS: dict[str, Callable[..., Ocr]] = {
+    "blank": lambda **settings: RasterOcr(lambda content, page, dpi: b"", lambda picture, lang, command, data: "", **settings),
+    "text": lambda **settings: RasterOcr(lambda content, page, dpi: [*form_feed_pages(content)][page - 1][0].encode(), lambda picture, lang, command, data: picture.decode(), **settings),
+}
 
 
 def find(engines: dict, name: str):

@@ -1,7 +1,8 @@
 """The registry of documents by content hash: upsert, work lists, state, storage.
 
-A registry is a table of schema.ENTRY with one row per SHA-256. Stored, it is a folder of versions, each written whole, and a
-pointer file that names the current one; so readers never see half a version and a re-run of a write harms nothing.
+A registry is a table of schema.ENTRY with one row per SHA-256. Stored, it is a folder of versions, each written whole, and
+numbered pointer files, the highest of which names the current one; so readers never see half a version, a re-run of a write
+harms nothing, and a run that is lost between two steps leaves the version before.
 """
 
 from __future__ import annotations
@@ -109,16 +110,29 @@ def merge_step(registry: DataFrame, results: DataFrame, step: str) -> DataFrame:
 
 # ---------------------------------------------------------------- storage
 
+_POINTER = "CURRENT-"
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, file name) of the pointers, the highest number last."""
+    fs, folder = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted((int(n[len(_POINTER) :]), n) for n in names if n.startswith(_POINTER) and n[len(_POINTER) :].isdigit())
+
+
+def _named(spark: SparkSession, path: str, pointer: str) -> str:
+    return spark.read.text(f"{path}/{pointer}").first()[0]
+
+
 def current(spark: SparkSession, path: str) -> str | None:
     """The name of the current version, None where there is none."""
-    fs, pointer = _fs(spark, f"{path}/CURRENT")
-    return spark.read.text(f"{path}/CURRENT").first()[0] if fs.exists(pointer) else None
+    found = _pointers(spark, path)
+    return _named(spark, path, found[-1][1]) if found else None
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -127,24 +141,29 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save(df: DataFrame, path: str) -> str:
-    """Writes a whole new version, then points to it; the one before stays until a later save."""
+    """Writes a whole new version, then a pointer with the next number, which takes its name by one rename.
+
+    A driver that is lost at any step leaves the highest pointer and its version whole. The version before stays until the save
+    after the next; only versions that an older pointer names are deleted, never one that no pointer names."""
     spark = df.sparkSession
-    old, version = current(spark, path), f"v-{uuid.uuid4().hex}"
+    before, version = _pointers(spark, path), f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{version}")
-    fs, pointer = _fs(spark, f"{path}/CURRENT")
-    _, made = _fs(spark, f"{path}/CURRENT-{version}")
+    _point(spark, path, version, before[-1][0] + 1 if before else 1)
+    for _, pointer in before[:-1]:
+        fs, old = _fs(spark, f"{path}/{_named(spark, path, pointer)}")
+        fs.delete(old, True)
+        fs.delete(_fs(spark, f"{path}/{pointer}")[1], False)
+    return version
+
+
+def _point(spark: SparkSession, path: str, version: str, number: int) -> None:
+    fs, made = _fs(spark, f"{path}/_{version}")
     out = fs.create(made, True)
     out.write(bytearray(f"{version}\n".encode()))
     out.close()
-    fs.delete(pointer, False)
-    if not fs.rename(made, pointer):
-        raise OSError(f"the pointer of {path} could not be moved")
-    _, folder = _fs(spark, path)
-    for s in fs.listStatus(folder):
-        name = s.getPath().getName()
-        if name.startswith("v-") and name not in (version, old):
-            fs.delete(s.getPath(), True)
-    return version
+    _, pointer = _fs(spark, f"{path}/{_POINTER}{number:012d}")
+    if fs.exists(pointer) or not fs.rename(made, pointer):
+        raise OSError(f"another writer has saved {path} meanwhile")
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

@@ -11,6 +11,14 @@ from .registry import by_name
 #: Words of the index.
 WORDS = {"yes": "כן", "no": "לא", "none": "—", "not_run": "לא הופעל", "skipped": "דילוג (עברית)", "from_translation": "מתוך התרגום לעברית", "from_original": "מתוך המקור העברי", "md_source": "Markdown (אנגלית)", "md_target": "Markdown (עברית)", "already": "כבר בעברית", "error": "שגיאה"}
 
+#: Title, line of the time, and labels of the index's counters and columns.
+TITLE = "מאמרים מתורגמים"
+MADE_AT = "נוצר אוטומטית ב-"
+COUNTERS = {"total": 'סה"כ מסמכים', "translated": "תורגמו לעברית", "already": "כבר בעברית", "errors": "שגיאות", "pending": "ממתינים", "ocr": "עברו OCR", "summaries": "עם תקציר עברי"}
+COLUMNS = ("מסמך מקור (PDF)", "תקציר קצר", "שלב 1: Markdown באנגלית", "שלב 2: Markdown בעברית", "עמודים", "תמונות", "שפת מקור", "OCR", "שלב 1 (חילוץ)", "שלב 2 (תרגום)")
+
+PLAIN_COLUMNS = ("מסמך מקור", "תרגום", "מכיל תמונות", "מספר עמודים", "שפת מקור", "תורגם ב-")
+
 
 def _at(step: Column, name: str) -> Column:
     return F.coalesce(step[name], F.lit(""))
@@ -107,8 +115,13 @@ def plain_rows(registry: DataFrame) -> DataFrame:
     return by_name(registry.select("original_name", "sha256", row.alias("row")))
 
 
-def page(rows: DataFrame, counts: DataFrame | None, at: str) -> str:
-    """The HTML page: the rows in order, streamed to the driver, and the counters. One page is a driver's object by nature."""
+def page(rows: DataFrame, counts: DataFrame | None, at: str, columns: tuple[str, ...] = COLUMNS) -> str:
+    """The HTML page: counters, a header row and the rows in order, streamed to the driver. One page is a driver's object by nature."""
     body = "\n".join(r.row for r in rows.toLocalIterator())
-    head = "" if counts is None else "<ul>" + "".join(f"<li>{k}: {v}</li>" for k, v in counts.first().asDict().items()) + "</ul>"
-    return f'<!DOCTYPE html>\n<html lang="he" dir="rtl"><head><meta charset="utf-8"><title>Index</title></head>\n<body>{head}<p>{at}</p>\n<table>\n{body or "<tr><td></td></tr>"}\n</table></body></html>\n'
+    got = {} if counts is None else counts.first().asDict()
+    head = "".join(f"<div><strong>{got[k]}</strong>{label}</div>" for k, label in COUNTERS.items() if k in got)
+    names = "".join(f"<th>{c}</th>" for c in columns)
+    return (
+        f'<!DOCTYPE html>\n<html lang="he" dir="rtl"><head><meta charset="utf-8"><title>{TITLE}</title></head>\n<body>\n<h1>{TITLE}</h1>\n<p class="subtitle">{MADE_AT}{at}</p>\n'
+        f'<div class="summary">{head}</div>\n<table>\n<thead><tr class="head">{names}</tr></thead>\n<tbody>\n{body}\n</tbody>\n</table></body></html>\n'
+    )

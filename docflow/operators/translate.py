@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..engines import TRANSLATORS, Retrying, find, translate_or_split
@@ -18,6 +18,7 @@ from ..functions.text import sha256, timestamp_text
 from .blocks import assemble_blocks, assemble_documents, parse_blocks, segments, with_images_rewritten
 
 RESULTS = "src_sha string, text string, error string"
+SLICE_TEXTS, MOST_SLICES = 5000, 64
 
 
 def run_engine(texts: DataFrame, engine: str | Callable, slots: int = 8, limit: int = fixed.CHUNK_CHARS, tries: int = fixed.LEAST_TRIES, backoff: float = 2.0, sleep: Callable[[float], None] | None = None) -> DataFrame:
@@ -69,14 +70,30 @@ def header(name: Column, engine: str, at: Column, source: Column) -> Column:
     return F.concat(F.lit("<!-- Translated automatically from "), name, F.lit(f" via {engine} on "), stamp, F.lit(". Source: "), source, F.lit(" -->\n\n"))
 
 
-def translate_markdown(docs: DataFrame, cache: DataFrame, engine: str | Callable, store: Callable[[DataFrame], DataFrame], key: str = "sha256", base: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """Documents (key, md) through the engine. store writes a table and reads it again (a lasting folder makes the run resumable).
+def in_slices(texts: DataFrame, engine: str | Callable, store: Callable[[DataFrame], DataFrame], flush: Callable[[DataFrame], None] | None, slice_texts: int = SLICE_TEXTS, **options) -> DataFrame:
+    """run_engine over slices of the texts, by their hash; each slice's good results go to flush as soon as it has ended, so that
+    a run that is lost pays again for one slice at most. Slices hold about slice_texts texts, or a MOST_SLICES-th of them."""
+    texts = store(texts)
+    n = texts.count()
+    slices = max(1, min(MOST_SLICES, -(-n // slice_texts))) if flush else 1
+    out = None
+    for i in range(slices):
+        part = store(run_engine(texts.filter(F.pmod(F.xxhash64("src_sha"), F.lit(slices)) == i) if slices > 1 else texts, engine, **options))
+        if flush:
+            flush(part.filter("error is null").select("src_sha", "text"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def translate_markdown(docs: DataFrame, cache: DataFrame, engine: str | Callable, store: Callable[[DataFrame], DataFrame], key: str = "sha256", base: str | None = None, flush: Callable[[DataFrame], None] | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Documents (key, md) through the engine. store writes a table and reads it again (a lasting folder makes the run resumable);
+    flush takes new cache rows while the run goes on.
 
     Returns (documents, new cache rows): documents have md, the translation, null where a text failed; error, the first failure;
     blocks_done, the number of blocks that succeeded; and translated_ratio, the share of characters that were sent."""
     blocks = parse_blocks(docs.select(key, "md"))
     segs = store(segments(blocks))
-    new = store(run_engine(missing(segs, cache), engine, **options))
+    new = in_slices(missing(segs, cache), engine, store, flush, **options)
     known = cache.select("src_sha", "text", F.lit(None).cast("string").alias("error")).unionByName(new)
     done = with_cache(segs, known)
     failed = done.filter("error is not null").groupBy(key).agg(F.min_by("error", F.struct("block_idx", "line_no")).alias("error"), F.count_distinct("block_idx").alias("_bad"))
@@ -90,6 +107,27 @@ def translate_markdown(docs: DataFrame, cache: DataFrame, engine: str | Callable
     return out.withColumn("blocks_done", (F.coalesce("_n", F.lit(0)) - F.coalesce("_bad", F.lit(0))).cast("int")).drop("_n", "_bad"), new.filter("error is null").select("src_sha", "text")
 
 
+def partial_cache(spark: SparkSession, path: str) -> DataFrame:
+    """(key, block_idx, translated) of block caches kept as JSON objects of a document's hash (src_sha) and its blocks by number."""
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    raw = text.select(F.from_json("value", "src_sha string, blocks map<string, string>").alias("c")).filter("c.src_sha is not null and c.blocks is not null")
+    numbered = F.map_filter("c.blocks", lambda k, v: k.rlike("^[0-9]{1,9}$"))
+    return raw.select(F.col("c.src_sha").alias("key"), F.explode(F.transform_keys(numbered, lambda k, v: k.cast("int"))).alias("block_idx", "translated"))
+
+
+def from_partial(partial: DataFrame, docs: DataFrame, key: str = "sha256") -> DataFrame:
+    """New cache rows (src_sha, text) of translated blocks (key, block_idx, translated) of documents (key, md): the units of each
+    block by those of its source, in order. A block whose lines don't match its source's, or of a document that isn't there, gives none."""
+    source = parse_blocks(docs.select(key, "md")).join(partial.select(F.col("key").alias(key), "block_idx", "translated"), [key, "block_idx"])
+    units = lambda blocks, name: segments(blocks).filter("translatable").select(key, "block_idx", "line_no", F.col("text").alias(name))
+    own = units(source.select(key, "block_idx", "kind", "text"), "source")
+    made = units(source.select(key, "block_idx", "kind", F.col("translated").alias("text")), "text")
+    count = lambda rows, name: rows.groupBy(key, "block_idx").agg(F.count(F.lit(1)).alias(name))
+    whole = count(own, "a").join(count(made, "b"), [key, "block_idx"]).filter("a = b").select(key, "block_idx")
+    rows = own.join(whole, [key, "block_idx"], "left_semi").join(made, [key, "block_idx", "line_no"])
+    return rows.groupBy(sha256(F.col("source")).alias("src_sha")).agg(F.min("text").alias("text"))
+
+
 def outcome(eligible: Column, translated: Column, in_target: Column, error: Column) -> Column:
     """What a document comes to: skipped, cached, already_hebrew, error or done, in this order."""
     return F.when(~eligible, "skipped").when(translated, "cached").when(in_target, "already_hebrew").when(error.isNotNull(), "error").otherwise("done")

@@ -6,11 +6,13 @@ its turns are pages, labels are the state of a step. Every query runs over whole
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
-from ..functions.langid import STOP_WORDS, detect
+from ..functions.langid import BY_WORDS, LETTERS, STOP_WORDS, detect
 from ..operators import blocks, chunks, pages, registry, report, summarize, translate
 
 QUERIES: dict = {}
@@ -18,11 +20,15 @@ ORACLE_SQL: dict[str, str] = {}
 _PAGE_LANGS = ["eng", "heb", "eng+heb"]
 
 
+#: BOILERPLATE_PARTS in a query's SQL stands for all marks of boilerplate, in lower case, as alternatives.
+_PARTS = "|".join(re.escape(p.lower()) for p in fixed.BOILERPLATE)
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLE_SQL[f.__name__] = sql
+            ORACLE_SQL[f.__name__] = sql.replace("BOILERPLATE_PARTS", _PARTS)
         return f
 
     return add
@@ -120,7 +126,7 @@ def lang_gate_status(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "WITH u AS (SELECT sha256(text) AS sha256, first(text ORDER BY doc_id) AS text, first(lang ORDER BY doc_id) AS lang FROM documents GROUP BY 1),"
     " l AS (SELECT lang, sha256, unnest(string_split(text, chr(10))) AS s FROM u),"
-    " c AS (SELECT lang, sha256, count(*) FILTER (length(s) BETWEEN 40 AND 600 AND len(regexp_extract_all(s, '[A-Za-z]')) >= 15 AND len(regexp_extract_all(s, '[A-Za-z]')) * 4 >= length(s) AND len(regexp_extract_all(s, '[0-9]')) / length(s) <= 0.35 AND NOT regexp_matches(lower(s), 'jstor|downloaded from|all use subject to|all rights reserved|doi\\.org/|doi:|proquest|researchgate|academia\\.edu|cambridge core|wiley online library|university of chicago press')) AS n FROM l GROUP BY 1, 2)"
+    " c AS (SELECT lang, sha256, count(*) FILTER (length(s) BETWEEN 40 AND 600 AND len(regexp_extract_all(s, '[A-Za-z]')) >= 15 AND len(regexp_extract_all(s, '[A-Za-z]')) * 4 >= length(s) AND len(regexp_extract_all(s, '[0-9]')) / length(s) <= 0.35 AND NOT regexp_matches(lower(s), 'BOILERPLATE_PARTS')) AS n FROM l GROUP BY 1, 2)"
     " SELECT lang, CASE WHEN lang = 'de' THEN 'already_hebrew' WHEN n = 0 THEN 'empty' ELSE 'summarized' END AS status, count(*) AS documents, CAST(sum(n) AS BIGINT) AS sentences FROM c GROUP BY 1, 2"
 )
 def status_rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -304,24 +310,23 @@ def error_classes(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "events").select("event_id", text.is_error_page(m).alias("error_page"), text.is_rate_limit(m).alias("rate_limit"))
 
 
-@query("SELECT page_id, trim(translate(regexp_extract(url, '[^/]*//(.*)', 1), '<>:\"/\\|?*', '_________')) AS n, replace(replace(url_encode(replace(url, 'http', 'h p~*')), '%2F', '/'), '*', '%2A') AS href, replace(replace(replace(replace(replace(left(html, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped, regexp_extract(rtrim(regexp_replace(url, '\\?.*$', ''), '/'), '[^/]*$') AS segment FROM pages")
+@query("SELECT page_id, trim(translate(regexp_extract(url, '[^/]*//(.*)', 1), '<>:\"/\\|?*', '_________')) AS n, replace(replace(url_encode(replace(url, 'http', 'h p~*')), '%2F', '/'), '*', '%2A') AS href, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped, regexp_extract(rtrim(regexp_replace(url, '\\?.*$', ''), '/'), '[^/]*$') AS segment FROM pages")
 def names_and_escapes(spark: SparkSession, d: str) -> DataFrame:
     p = _t(spark, d, "pages")
     rest = F.translate(F.regexp_extract("url", "[^/]*//(.*)", 1), "/", "|")
-    return p.select("page_id", text.safe_name(F.concat(rest, F.lit(".pdf"))).alias("n"), report.href(F.replace("url", F.lit("http"), F.lit("h p~*"))).alias("href"), text.html_escape(F.substring("html", 1, 300)).alias("escaped"), text.last_segment(F.col("url")).alias("segment"))
-
-
-@query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM pages")
-def html_escapes(spark: SparkSession, d: str) -> DataFrame:
-    """Every page escaped whole; names_and_escapes shows the beginnings."""
-    return _t(spark, d, "pages").select("page_id", text.html_escape(F.col("html")).alias("escaped"))
+    return p.select("page_id", text.safe_name(F.concat(rest, F.lit(".pdf"))).alias("n"), report.href(F.replace("url", F.lit("http"), F.lit("h p~*"))).alias("href"), text.html_escape(F.col("html")).alias("escaped"), text.last_segment(F.col("url")).alias("segment"))
 
 
 def _langid_sql() -> str:
-    counts = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in ws)}))) AS {lang}" for lang, ws in STOP_WORDS.items())
-    langs = list(STOP_WORDS)
-    cases = " ".join(f"WHEN {lang} = greatest({', '.join(langs)}) THEN '{lang}'" for lang in langs)
-    return f"WITH f AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents), w AS (SELECT doc_id, t, regexp_split_to_array(lower(left(t, 4000)), '[^a-zà-ÿß]+') AS w FROM f), c AS (SELECT doc_id, t, {counts} FROM w) SELECT doc_id, CASE WHEN length(t) < 40 OR greatest({', '.join(langs)}) = 0 THEN NULL {cases} END AS detected FROM c"
+    """Words are cut out and looked up in lists here, not matched by one pattern a language."""
+    cut = ", ".join(f"regexp_split_to_array(h, '[^{LETTERS[s]}]+') AS {s}_words, len(regexp_extract_all(h, '[{LETTERS[s]}]')) AS {s}" for s in BY_WORDS)
+    counts = ", ".join(f"len(list_filter({s}_words, lambda x: x IN ({', '.join(repr(w) for w in STOP_WORDS[lang])}))) AS {lang}" for s, langs in BY_WORDS.items() for lang in langs)
+    best = {s: f"greatest({', '.join(langs)})" for s, langs in BY_WORDS.items()}
+    cases = " ".join(f"WHEN {lang} = {best['latin']} THEN '{lang}'" for lang in BY_WORDS["latin"])
+    return f"""WITH f AS (SELECT doc_id, left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 4000) AS t FROM documents),
+w AS (SELECT doc_id, t, {cut}, len(regexp_extract_all(h, '[{LETTERS["arabic"]}]')) AS arabic FROM (SELECT *, lower(t) AS h FROM f)),
+c AS (SELECT doc_id, t, latin, hebrew, arabic, {counts} FROM w)
+SELECT doc_id, CASE WHEN length(t) < 40 THEN NULL WHEN hebrew > 0 AND hebrew >= latin AND hebrew >= arabic THEN CASE WHEN yi > he THEN 'yi' ELSE 'he' END WHEN arabic > latin THEN 'ar' WHEN {best["latin"]} = 0 THEN NULL {cases} END AS detected FROM c"""
 
 
 @query(_langid_sql())
@@ -342,7 +347,7 @@ c2 AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_repla
 c3 AS (SELECT page_id, list_transform(string_split(t, chr(10)), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')) AS l FROM c2),
 c4 AS (SELECT page_id, list_filter(l, lambda s: NOT regexp_matches(s, '^\\|.*\\|\\s*$|^\\||^---|^===|^\\*\\*\\*|^___')) AS l FROM c3),
 c5 AS (SELECT page_id, list_transform(l, lambda s: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '^\\s*#{1,6}\\s+', ''), '^[*\\-+>]\\s+', ''), '^\\d+\\.\\s+', ''), '[`*_]+', '', 'g'), '^\\s+|\\s+$', '', 'g')) AS l FROM c4),
-c6 AS (SELECT page_id, list_filter(l, lambda s: s = '' OR NOT (regexp_matches(s, '^\\s*\\(?\\d{4}\\)?[\\s.,;:]*$') OR regexp_matches(lower(s), 'jstor|downloaded from|all use subject to|all rights reserved|doi\\.org/|doi:|proquest|researchgate|academia\\.edu|cambridge core|wiley online library|university of chicago press'))) AS l FROM c5),
+c6 AS (SELECT page_id, list_filter(l, lambda s: s = '' OR NOT (regexp_matches(s, '^\\s*\\(?\\d{4}\\)?[\\s.,;:]*$') OR regexp_matches(lower(s), 'BOILERPLATE_PARTS'))) AS l FROM c5),
 c7 AS (SELECT page_id, regexp_replace(regexp_replace(array_to_string(l, chr(10)), '\\n{3,}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS plain FROM c6)"""
 
 
@@ -358,7 +363,7 @@ def strip_markdown(spark: SparkSession, d: str) -> DataFrame:
 
 _SENTENCES = f"""{_CLEAN}, s1 AS (SELECT page_id, list_filter(list_transform(string_split(plain, chr(10) || chr(10)), lambda p: trim(regexp_replace(p, '\\s+', ' ', 'g'))), lambda p: p <> '') AS p FROM c7),
 s2 AS (SELECT page_id, list_filter(list_transform(flatten(list_transform(p, lambda x: string_split(regexp_replace(x, '([.!?]) +([A-Za-z"''])', '\\1' || chr(1) || '\\2', 'g'), chr(1)))), lambda s: trim(s)), lambda s: s <> '') AS s FROM s1),
-s3 AS (SELECT page_id, list_filter(s, lambda x: length(x) BETWEEN 40 AND 600 AND len(regexp_extract_all(x, '[A-Za-z]')) >= 15 AND len(regexp_extract_all(x, '[A-Za-z]')) * 4 >= length(x) AND len(regexp_extract_all(x, '[0-9]')) / length(x) <= 0.35 AND NOT regexp_matches(lower(x), 'jstor|downloaded from|all use subject to|all rights reserved|doi\\.org/|doi:|proquest|researchgate|academia\\.edu|cambridge core|wiley online library|university of chicago press')) AS c FROM s2)"""
+s3 AS (SELECT page_id, list_filter(s, lambda x: length(x) BETWEEN 40 AND 600 AND len(regexp_extract_all(x, '[A-Za-z]')) >= 15 AND len(regexp_extract_all(x, '[A-Za-z]')) * 4 >= length(x) AND len(regexp_extract_all(x, '[0-9]')) / length(x) <= 0.35 AND NOT regexp_matches(lower(x), 'BOILERPLATE_PARTS')) AS c FROM s2)"""
 
 
 @query(f"WITH {_SENTENCES} SELECT page_id, CAST(unnest(range(0, len(s))) AS INTEGER) AS sent_no, unnest(s) AS text FROM s2")
@@ -372,7 +377,7 @@ def candidate_sentences(spark: SparkSession, d: str) -> DataFrame:
     return _page_markdown(spark, d).select("page_id", F.posexplode(summarize.candidates(F.col("md"), "latin")).alias("sent_no", "text"))
 
 
-@query("SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(lower(s), 'jstor|downloaded from|all use subject to|all rights reserved|doi\\.org/|doi:|proquest|researchgate|academia\\.edu|cambridge core|wiley online library|university of chicago press'))) AS BIGINT) AS hits FROM documents")
+@query("SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(lower(s), 'BOILERPLATE_PARTS'))) AS BIGINT) AS hits FROM documents")
 def boilerplate_hits(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.size(F.filter(F.split("text", "\n"), lambda s: text.contains_any(s, fixed.BOILERPLATE))).cast("long").alias("hits"))
 

@@ -5,19 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..engines import find_program
+from ..functions import fixed
 from ..functions.langid import detect
-from ..functions.text import safe_name, timestamp_text, without_comments
+from ..functions.text import safe_name, stem, timestamp_text, without_comments
 from ..operators import registry, report, summarize
-from ..operators.blocks import filter_foreign
-from ..operators.pages import best_reading, document_markdown, langid_sample, ordered_concat, page_stats
-from ..operators.translate import translate_markdown
-from ..schema import BLOCK_CACHE, STEP1, TRANSLATION
+from ..operators.blocks import filter_foreign, with_images_rewritten
+from ..operators.pages import best_reading, document_markdown, docx_paragraphs, langid_sample, ordered_concat, page_stats
+from ..operators.translate import translate_markdown, translate_pages
+from ..schema import BLOCK_CACHE, DOCX, STEP1, TRANSLATION
 from ..sources import files as sources
-from ..sources.sinks import write_files
+from ..sources.sinks import docx_files, quarantine, remove_files, write_files
 
 Store = Callable[[DataFrame], DataFrame]
 
@@ -38,13 +40,16 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
     work = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), registry.is_pending(F.col("step1.status"), force), limit)
     work = store(work.select("sha256", "original_name"))
     content = found.join(work, "sha256", "left_semi").dropDuplicates(["sha256"])
-    pages = store(sources.pages(content, engine))
+    read = store(sources.readings(content, engine))
+    unread = read.filter("error is not null").select("sha256", F.col("error").alias("read_error"))
+    pages = read.filter("error is null").drop("error")
     stats = page_stats(pages)
     lang = langid_sample(pages).select("sha256", detect(F.col("sample")).alias("lang"))
     facts = store(work.join(stats, "sha256", "left").join(lang, "sha256", "left").withColumn("by_ocr", registry.needs_ocr(F.col("text_layer_chars"), config.ocr_min_chars, config.ocr_when_empty, config.force_ocr)))
     text = pages.join(facts.filter("not by_ocr").select("sha256"), "sha256", "left_semi").groupBy("sha256").agg(ordered_concat("page_no", "text", "\n\n").alias("md"))
-    read = sources.ocr_candidates(content.join(facts.filter("by_ocr").select("sha256"), "sha256", "left_semi"), pages, config.ocr_languages(), ocr)
-    scanned = document_markdown(best_reading(store(read), ["sha256", "page_no"]))
+    command, data = find_program("tesseract", config.tesseract_cmd, config.tessdata_prefix)
+    seen = sources.ocr_candidates(content.join(facts.filter("by_ocr").select("sha256"), "sha256", "left_semi"), pages, config.ocr_languages(), ocr, dpi=config.ocr_dpi, command=command, data=data)
+    scanned = document_markdown(best_reading(store(seen), ["sha256", "page_no"]))
     md = text.withColumn("mode", F.lit("text")).unionByName(scanned.withColumn("mode", F.lit("ocr")))
     md = facts.join(md, "sha256", "left")
     if config.drop_foreign_paragraphs:
@@ -56,10 +61,21 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
     md = store(md)
     store(write_files(md.filter("md is not null"), config.step1_md_dir, "rel", "md"))
     folder = config.settings["paths"]["step1_md_dir"]
+    images_dir = F.concat(name, F.lit(f"/{config.images_subdir}"))
+    if config.extract_images:  # of documents whose text layer is taken; those that are read by OCR get no pictures
+        wanted = md.filter("mode = 'text' and md is not null").select("sha256", images_dir.alias("dir"))
+        pictures = sources.images(content.join(wanted, "sha256", "left_semi"), engine).join(wanted, "sha256")
+        written = store(write_files(pictures.withColumn("rel", F.concat("dir", F.lit("/"), "name")), config.step1_md_dir, "rel"))
+        counted = written.filter("error is null").groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir")).agg(F.count(F.lit(1)).cast("int").alias("images"))
+        md = md.join(wanted.join(counted, "dir").select("sha256", "images"), "sha256", "left")
+    else:
+        md = md.withColumn("images", F.lit(None).cast("int"))
+    md = md.join(unread, "sha256", "left")
     now = timestamp_text(F.current_timestamp())
     failed = F.col("md").isNull()
+    images = F.coalesce("images", F.lit(0))
     step1 = _step(
-        STEP1, status=F.when(failed, "error").otherwise("done"), md_relpath=F.when(~failed, F.concat(F.lit(folder + "/"), "rel")), image_count=F.lit(0), dropped_foreign_paragraphs=F.when(~failed, F.col("dropped")), mode=F.col("mode"), at=now, error=F.when(failed, "no page could be read")
+        STEP1, status=F.when(failed, "error").otherwise("done"), md_relpath=F.when(~failed, F.concat(F.lit(folder + "/"), "rel")), images_dir_relpath=F.when(images > 0, F.concat(F.lit(folder + "/"), images_dir)), image_count=images, dropped_foreign_paragraphs=F.when(~failed, F.col("dropped")), mode=F.col("mode"), at=now, error=F.when(failed, F.coalesce("read_error", F.lit("no page could be read")))
     )
     done = md.select(F.col("sha256").alias("_sha"), step1.alias("_step1"), F.col("page_count").alias("_pages"), F.col("has_pictures").alias("_pics"), F.col("lang").alias("_lang"), F.col("text_layer_chars").alias("_chars"))
     out = known.join(done, known["sha256"] == done["_sha"], "left")
@@ -69,20 +85,20 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
 
 
 def translate(spark: SparkSession, config: Config, registry_path: str, cache_path: str, store: Store, engine: str, force: bool = False, only: str | None = None, limit: int | None = None, **options) -> DataFrame:
-    """Markdown of step 1 to translated Markdown. The block cache is appended to, so that a later run goes on where this ends."""
+    """Markdown of step 1 to translated Markdown. The block cache is appended to slice by slice, so that a later run goes on where
+    this one ends or is lost."""
     reg = registry.load(spark, registry_path)
     entries = registry.only(reg, only) if only else reg
     step = F.col("translation_md.status")
     due = store(registry.work_list(entries, registry.is_eligible(F.col("step1")) & ~registry.is_translated(step, force), limit).select("sha256", "original_name", "source_lang", F.col("step1.md_relpath").alias("rel")))
     here = registry.in_target_language(F.col("source_lang"), skip=config.skip_already_hebrew)
-    texts = sources.whole_texts(spark, config.step1_md_dir).select(F.url_decode(F.replace(F.regexp_replace("path", r"^.*/(?=[^/]+/[^/]+$)", ""), F.lit("+"), F.lit("%2B"))).alias("tail"), F.col("text").alias("md"))
+    texts = sources.whole_texts(spark, config.step1_md_dir).select(_tail(F.col("path")).alias("tail"), F.col("text").alias("md"))
     docs = due.filter(~here).withColumn("tail", F.regexp_replace("rel", r"^.*/(?=[^/]+/[^/]+$)", "")).join(texts, "tail")
     docs = store(docs.withColumn("base", F.split("tail", "/")[0]))
     jvm = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     has = jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)
     cache = spark.read.schema(BLOCK_CACHE).parquet(cache_path).dropDuplicates(["src_sha"]) if has else spark.createDataFrame([], BLOCK_CACHE)
-    out, new = translate_markdown(docs, cache, engine, store, base="base", **options)
-    new.write.mode("append").parquet(cache_path)
+    out, _ = translate_markdown(docs, cache, engine, store, base="base", flush=lambda new: new.write.mode("append").parquet(cache_path), **options)
     now = timestamp_text(F.current_timestamp())
     from ..operators.translate import header
 
@@ -97,19 +113,22 @@ def translate(spark: SparkSession, config: Config, registry_path: str, cache_pat
     return registry.load(spark, registry_path)
 
 
-def summaries(spark: SparkSession, config: Config, registry_path: str, store: Store, script: str = "hebrew", force: bool = False) -> DataFrame:
-    """Brings the registry's summaries up to date; returns the numbers of outcomes."""
+def summaries(spark: SparkSession, config: Config, registry_path: str, store: Store, script: str = "hebrew", force: bool = False, only: str | None = None, limit: int | None = None, sha: str | None = None) -> DataFrame:
+    """Brings the registry's summaries up to date, of all entries or of those chosen; returns the numbers of outcomes."""
     reg = registry.load(spark, registry_path)
+    chosen = registry.only(reg, only) if only else reg
+    chosen = registry.with_sha_prefix(chosen, sha) if sha else chosen
+    chosen = registry.work_list(chosen, F.lit(True), limit)
     parts = []
     for folder in ("step1_md_dir", "translated_md_dir"):
-        rel = F.concat(F.lit(config.settings["paths"][folder] + "/"), F.url_decode(F.replace(F.regexp_replace("path", r"^.*/(?=[^/]+/[^/]+$)", ""), F.lit("+"), F.lit("%2B"))))
+        rel = F.concat(F.lit(config.settings["paths"][folder] + "/"), _tail(F.col("path")))
         if _exists(spark, getattr(config, folder)):
             parts.append(sources.whole_texts(spark, getattr(config, folder)).withColumn("path", rel))
     files = parts[0]
     for p in parts[1:]:
         files = files.unionByName(p)
-    out = store(summarize.summarize(reg, files, timestamp_text(F.current_timestamp()), script, force))
-    registry.save(out.drop("outcome"), registry_path)
+    out = store(summarize.summarize(chosen, files, timestamp_text(F.current_timestamp()), script, force))
+    registry.save(registry.merge_step(reg, out.filter("outcome = 'summarized'"), "summary"), registry_path)
     return summarize.outcome_counts(out)
 
 
@@ -122,7 +141,92 @@ def index(spark: SparkSession, config: Config, registry_path: str) -> str:
     for p in parts[1:]:
         listed = listed.unionByName(p)
     listed = listed.select(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), f"^{root}", "").alias("path"))
-    return report.page(report.index_rows(reg, listed, config.settings["paths"]["source_dir"]), report.counters(reg), "")
+    return report.page(report.index_rows(reg, listed, config.settings["paths"]["source_dir"]), report.counters(reg), _now(spark))
+
+
+def plain_index(spark: SparkSession, registry_path: str) -> str:
+    """The smaller HTML index, of documents kept as DOCX."""
+    reg = registry.load(spark, registry_path).filter("translation_docx is not null")
+    return report.page(report.plain_rows(reg), None, _now(spark), report.PLAIN_COLUMNS)
+
+
+def _now(spark: SparkSession) -> str:
+    return spark.range(1).select(timestamp_text(F.current_timestamp())).first()[0]
+
+
+def translate_docx(spark: SparkSession, config: Config, registry_path: str, store: Store, engine: str, extractor: str = "pdf", only: str | None = None, limit: int | None = None, reset_errors: bool = False, **options) -> DataFrame:
+    """Files of the source folder to DOCX files of their translated pages, with the original beside them. Contents that have
+    an outcome are passed over, but for errors if they are reset. A document in the target language is only copied; one
+    whose pages can't be read or translated moves to the error folder."""
+    reg = registry.load(spark, registry_path)
+    found = store(sources.with_sha(sources.scan(spark, config.source_dir, only=only)))
+    known = store(registry.upsert(reg, found))
+    status = F.col("translation_docx.status")
+    pending = status.isNull() | (F.lit(reset_errors) & (status == "error"))
+    due = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), pending, limit).select("sha256", "original_name")
+    due = store(due)
+    content = store(found.join(due, "sha256", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("sha256").orderBy("path"))).filter("nth = 1").drop("nth"))
+    read = store(sources.readings(content, extractor))
+    pages = read.filter("error is null").drop("error")
+    full = pages.groupBy("sha256").agg(ordered_concat("page_no", "text", "\n").alias("full")).select("sha256", detect(F.col("full")).alias("lang"))
+    facts = due.join(page_stats(pages), "sha256", "left").join(full, "sha256", "left").join(read.filter("error is not null").select("sha256", F.col("error").alias("read_error")), "sha256", "left")
+    facts = store(facts.withColumn("here", registry.in_target_language(F.col("lang"), skip=config.skip_already_hebrew)))
+    translated = store(translate_pages(pages.join(facts.filter("not here").select("sha256"), "sha256", "left_semi"), engine, store, **options))
+    failed = translated.groupBy("sha256").agg(F.max("error").alias("engine_error"))
+    name, folder = safe_name(F.col("original_name")), config.settings["paths"]["translated_dir"]
+    now = timestamp_text(F.current_timestamp())
+    done = facts.join(failed, "sha256", "left").withColumns({"error": F.coalesce("read_error", "engine_error"), "docx": F.concat(name, F.lit("/"), stem(F.col("original_name")), F.lit(".he.docx")), "copy": F.concat(name, F.lit("/"), "original_name"), "at": now})
+    done = store(done.withColumn("status", F.when(F.col("error").isNotNull(), "error").when(F.col("here"), "already_hebrew").otherwise("translated")))
+    good = done.filter("status = 'translated'")
+    label = lambda text, c: F.concat(F.lit(f"{text}: "), F.coalesce(c.cast("string"), F.lit("")))
+    meta = F.array(label("original", F.col("original_name")), label("language", F.col("lang")), label("pages", F.col("page_count")), label("pictures", F.col("has_pictures")), label("at", F.col("at")))
+    made = docx_files(good.select("sha256", stem(F.col("original_name")).alias("title"), meta.alias("meta"), F.col("docx").alias("path")), docx_paragraphs(translated))
+    store(write_files(made, config.translated_dir))
+    store(write_files(content.join(done.filter("status <> 'error'").select("sha256", "copy"), "sha256"), config.translated_dir, "copy"))
+    moved = store(quarantine(content, done, config.error_dir))
+    store(remove_files(moved, config.source_dir))
+    ok = F.col("status") != "error"
+    copied = F.when(ok, F.concat(F.lit(folder + "/"), "copy")).otherwise(F.concat(F.lit(config.settings["paths"]["error_dir"] + "/"), "original_name"))
+    step = _step(DOCX, status=F.col("status"), translated_relpath=F.when(F.col("status") == "translated", F.concat(F.lit(folder + "/"), "docx")), original_relpath=copied, error=F.col("error"), translated_at=F.col("at"))
+    result = done.select(F.col("sha256").alias("_sha"), step.alias("_docx"), F.col("page_count").alias("_pages"), F.col("has_pictures").alias("_pics"), F.col("lang").alias("_lang"))
+    out = known.join(result, known["sha256"] == result["_sha"], "left")
+    out = out.withColumns({"translation_docx": F.coalesce("_docx", "translation_docx"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang")})
+    registry.save(out.select(*known.columns), registry_path)
+    return registry.load(spark, registry_path)
+
+
+def fix_images(spark: SparkSession, config: Config, registry_path: str, store: Store, only: str | None = None) -> DataFrame:
+    """Rewrites the image references of translated files that are there; one row: files, changed, failed. Files that don't change aren't written."""
+    reg = registry.load(spark, registry_path)
+    entries = (registry.only(reg, only) if only else reg).filter("translation_md.translated_md_relpath is not null")
+    tails = entries.select(F.regexp_replace("translation_md.translated_md_relpath", r"^.*/(?=[^/]+/[^/]+$)", "").alias("tail")).distinct()
+    texts = sources.whole_texts(spark, config.translated_md_dir).select(_tail(F.col("path")).alias("tail"), F.col("text").alias("md"))
+    docs = texts.join(tails, "tail").withColumn("base", F.split("tail", "/")[0])
+    made = store(with_images_rewritten(docs, "base", source_dir=config.settings["paths"]["step1_md_dir"]))
+    written = store(write_files(made.filter("changed"), config.translated_md_dir, "tail", "md"))
+    return made.agg(F.count(F.lit(1)).alias("files"), F.count_if("changed").alias("changed")).withColumn("failed", F.lit(written.filter("error is not null").count()))
+
+
+def download(spark: SparkSession, config: Config, store: Store, remote: DataFrame, fetch_one: Callable[[str], bytes]) -> DataFrame:
+    """Files of a remote listing (id, name, mime) that the source folder lacks; (name, error) of each target that was due. A
+    failure is a row, and what failed is due again."""
+    wanted, _ = sources.targets(remote, config.pdfs_only)
+    none = spark.createDataFrame([], "name string, size long")
+    present = sources.listing(spark, config.source_dir).select(F.url_decode(F.replace(F.substring_index("path", "/", -1), F.lit("+"), F.lit("%2B"))).alias("name"), "size") if _exists(spark, config.source_dir) and not _is_empty(spark, config.source_dir) else none
+    named = wanted.withColumn("name", F.translate("name", fixed.UNSAFE_NAME_CHARS, "_" * len(fixed.UNSAFE_NAME_CHARS)))
+    got = store(sources.fetch(named, present, fetch_one))
+    written = store(write_files(got.filter("error is null"), config.source_dir, "name"))
+    return got.filter("error is not null").select("name", "error").unionByName(written.select(F.col("path").alias("name"), "error"))
+
+
+def _tail(path) -> Column:
+    """The last folder and name of a file's URL."""
+    return F.url_decode(F.replace(F.regexp_replace(path, r"^.*/(?=[^/]+/[^/]+$)", ""), F.lit("+"), F.lit("%2B")))
+
+
+def _is_empty(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from ..engines import EXTRACTORS, OCRS, find
+from ..engines import EXTRACTORS, IMAGES, OCRS, find
 from ..functions.text import glob
 from ..schema import OCR_CANDIDATES, PAGES
 
+OCR_PAGES = 64
 
-def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | None = None) -> DataFrame:
-    """(path, name, modificationTime, length, content) of a folder's own files with the suffix, in either case."""
+
+def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | None = None, ordered: bool = False) -> DataFrame:
+    """(path, name, modificationTime, length, content) of a folder's own files with the suffix, in either case; in order of paths
+    if asked for. Jobs don't ask for it: what depends on the order of arrival takes it from path."""
     letters = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
     df = spark.read.format("binaryFile").option("pathGlobFilter", f"*{letters}").load(folder)
     df = df.select("path", F.substring_index("path", "/", -1).alias("name"), "modificationTime", "length", "content")
-    return df.filter(glob(F.col("name"), only)) if only else df
+    df = df.filter(glob(F.col("name"), only)) if only else df
+    return df.orderBy("path") if ordered else df
 
 
 def with_sha(files: DataFrame) -> DataFrame:
@@ -39,8 +43,8 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return df.select("path", F.col("length").alias("size"), F.unix_timestamp("modificationTime").alias("mtime"))
 
 
-def pages(files: DataFrame, engine: str = "pdf") -> DataFrame:
-    """Pages of files (sha256, content); a file that can't be read has no pages."""
+def readings(files: DataFrame, engine: str = "pdf") -> DataFrame:
+    """Pages of files (sha256, content) with error null; a file that can't be read has one row, page_no null and error set."""
     extract = find(EXTRACTORS, engine)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,30 +52,64 @@ def pages(files: DataFrame, engine: str = "pdf") -> DataFrame:
             rows = []
             for sha, content in zip(batch["sha256"], batch["content"]):
                 try:
-                    rows += [(sha, i, text, n) for i, (text, n) in enumerate(extract(bytes(content)), 1)]
+                    rows += [(sha, i, text, n, None) for i, (text, n) in enumerate(extract(bytes(content)), 1)]
+                except Exception as e:
+                    rows.append((sha, None, None, None, _told(e)))
+            out = pd.DataFrame(rows, columns=["sha256", "page_no", "text", "n_images", "error"])
+            yield out.astype({"page_no": "Int32", "n_images": "Int32"})
+
+    return files.select("sha256", "content").mapInPandas(run, f"{PAGES}, error string")
+
+
+def pages(files: DataFrame, engine: str = "pdf") -> DataFrame:
+    """Pages of files (sha256, content); a file that can't be read has no pages."""
+    return readings(files, engine).filter("error is null").drop("error")
+
+
+def images(files: DataFrame, engine: str = "pdf") -> DataFrame:
+    """(sha256, image_no, name, content) of the pictures in files (sha256, content), numbered from 1; none of a file that can't be read."""
+    pictures = IMAGES.get(engine, lambda content: iter(()))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for sha, content in zip(batch["sha256"], batch["content"]):
+                rows = []
+                try:
+                    for i, (suffix, data) in enumerate(pictures(bytes(content)), 1):
+                        rows.append((sha, i, f"image-{i:04d}.{suffix}", data))
                 except Exception:
-                    continue
-            yield pd.DataFrame(rows, columns=["sha256", "page_no", "text", "n_images"])
+                    pass  # the file's own error is told with its pages
+                yield pd.DataFrame(rows, columns=["sha256", "image_no", "name", "content"])
+
+    return files.select("sha256", "content").mapInPandas(run, "sha256 string, image_no int, name string, content binary")
+
 
-    return files.select("sha256", "content").mapInPandas(run, PAGES)
+def _told(e: Exception) -> str:
+    return (str(e) or type(e).__name__)[:500]
 
 
-def ocr_candidates(files: DataFrame, page_numbers: DataFrame, languages: list[str], engine: str = "blank") -> DataFrame:
-    """A reading of every page in every language; all languages of a page in one call, so that it is rendered once."""
-    read = find(OCRS, engine)
+def ocr_candidates(files: DataFrame, page_numbers: DataFrame, languages: list[str], engine: str = "blank", part: int = OCR_PAGES, **settings) -> DataFrame:
+    """A reading of every page in every language. A file's bytes travel once for each ``part`` pages, and the engine gets
+    a page once, with all languages, so that it can render it once. A call that fails is an error of each language."""
+    read = find(OCRS, engine)(**settings)
+    wanted = page_numbers.groupBy("sha256", F.floor((F.col("page_no") - 1) / part).alias("_part")).agg(F.array_sort(F.collect_list("page_no")).alias("page_nos"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for sha, no, content in zip(batch["sha256"], batch["page_no"], batch["content"]):
-                for i, lang in enumerate(languages):
+            for sha, numbers, content in zip(batch["sha256"], batch["page_nos"], batch["content"]):
+                content = bytes(content)
+                for no in map(int, numbers):
                     try:
-                        rows.append((sha, no, lang, i, read(bytes(content), no, lang), None))
+                        texts = read(content, no, languages)
                     except Exception as e:
-                        rows.append((sha, no, lang, i, None, str(e)[:500]))
+                        texts = [e] * len(languages)
+                    for i, (lang, text) in enumerate(zip(languages, texts)):
+                        failed = isinstance(text, Exception)
+                        rows.append((sha, no, lang, i, None if failed else text, _told(text) if failed else None))
             yield pd.DataFrame(rows, columns=["sha256", "page_no", "lang", "lang_ord", "text", "error"])
 
-    return files.select("sha256", "content").join(page_numbers.select("sha256", "page_no"), "sha256").mapInPandas(run, OCR_CANDIDATES)
+    return files.select("sha256", "content").join(wanted.drop("_part"), "sha256").mapInPandas(run, OCR_CANDIDATES)
 
 
 class _Listing(DataSourceReader):
@@ -106,6 +144,20 @@ class RemoteListing(DataSource):
         return _Listing(self.options["path"])
 
 
+def reader_of(folder: str) -> Callable[[str], bytes]:
+    """What gives the bytes of a file of a folder by its id in RemoteListing."""
+    uri = folder if "://" in folder else f"file://{folder}"
+
+    def read(key: str) -> bytes:
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(uri)
+        with fs.open_input_file(f"{root.rstrip('/')}/{key}") as file:
+            return file.read()
+
+    return read
+
+
 def targets(remote: DataFrame, pdfs_only: bool = True) -> tuple[DataFrame, DataFrame]:
     """(targets, skipped) of a listing: folders never, other files than PDFs only if asked for."""
     is_folder = F.coalesce(F.col("mime").contains("folder"), F.lit(False))

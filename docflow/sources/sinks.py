@@ -48,11 +48,30 @@ def write_files(df: DataFrame, folder: str, path: str = "path", content: str = "
 
 
 def quarantine(files: DataFrame, results: DataFrame, folder: str) -> DataFrame:
-    """Copies the files (sha256, name, content) of failed results (sha256, status) into folder."""
+    """Copies the files (sha256, name, content) of failed results (sha256, status) into folder; to move them, store the result and
+    pass it to remove_files."""
     bad = results.filter(F.col("status") == "error").select("sha256")
     return write_files(files.join(bad, "sha256", "left_semi"), folder, "name", "content")
 
 
+def remove_files(copied: DataFrame, folder: str) -> DataFrame:
+    """copied (path, bytes, error), a stored table, with the files of folder deleted whose copies have no error. A file that
+    is gone already is no fault, so that the step can run again. Call an action."""
+    root_uri = folder if "://" in folder else f"file://{folder}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(root_uri)
+        for batch in batches:
+            for name, error in zip(batch["path"], batch["error"]):
+                if error is None and ".." not in name.split("/") and fs.get_file_info(f"{root}/{name}").type == pafs.FileType.File:
+                    fs.delete_file(f"{root}/{name}")
+            yield batch
+
+    return copied.mapInPandas(run, "path string, bytes long, error string")
+
+
 _W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
 
 

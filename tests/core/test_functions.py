@@ -70,7 +70,7 @@ def test_pages_are_escaped_whole(spark):
 
     d = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{d}/pages.parquet").collect()}
-    got = {r.page_id: r.escaped for r in QUERIES["html_escapes"](spark, d).collect()}
+    got = {r.page_id: r.escaped for r in QUERIES["names_and_escapes"](spark, d).collect()}
     assert max(map(len, pages.values())) > 300 and got == {i: html.escape(h) for i, h in pages.items()}
-    sql = ORACLE_SQL["html_escapes"].replace("FROM pages", f"FROM '{d}/pages.parquet'")
-    assert got == dict(duckdb.sql(sql).fetchall())
+    sql = ORACLE_SQL["names_and_escapes"].replace("FROM pages", f"FROM '{d}/pages.parquet'")
+    assert got == {r[0]: r[3] for r in duckdb.sql(sql).select("page_id, n, href, escaped, segment").fetchall()}

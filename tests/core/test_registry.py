@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from docflow import config
@@ -34,6 +35,33 @@ def test_versions_and_json(spark, tmp_path):
     assert (one.sha256, one.step1.image_count, one.summary.source_fingerprint.mtime) == ("q", 2, 4)
 
 
+def test_a_lost_run_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    """A driver lost before or after the pointer's rename, or that left half a version, costs nothing; other versions stay."""
+    path = str(tmp_path / "reg")
+    one = registry.upsert(registry.empty(spark), files(spark, ("x", "a")))
+    first = registry.save(one, path)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(registry, "_point", lost)
+        for _ in range(2):
+            with pytest.raises(OSError, match="lost"):
+                registry.save(registry.upsert(one, files(spark, ("y", "b"))), path)
+    assert registry.current(spark, path) == first and registry.load(spark, path).count() == 1
+    second = registry.save(registry.upsert(registry.load(spark, path), files(spark, ("z", "c"))), path)
+    assert registry.current(spark, path) == second and {r.sha256 for r in registry.load(spark, path).collect()} == {"x", "z"}
+    assert (tmp_path / "reg" / first).exists() and len([p for p in (tmp_path / "reg").iterdir() if p.name.startswith("v-")]) == 4
+    third = registry.save(registry.load(spark, path), path)
+    fourth = registry.save(registry.load(spark, path), path)
+    named = sorted(p.name for p in (tmp_path / "reg").iterdir() if p.name.startswith("CURRENT-"))
+    assert len(named) == 2 and not (tmp_path / "reg" / first).exists() and (tmp_path / "reg" / third).exists() and registry.current(spark, path) == fourth
+    number = int(named[-1].removeprefix("CURRENT-"))
+    with pytest.raises(OSError, match="another writer"):
+        registry._point(spark, path, fourth, number)
+
+
 def test_work_list_and_filters(spark):
     rows = [("1", "b.pdf", "done"), ("2", "A.pdf", None), ("3", "c.PDF", "error"), ("4", None, None)]
     df = spark.createDataFrame([(s, n, (st,)) for s, n, st in rows], "sha256 string, original_name string, translation_docx struct<status: string>")
