@@ -4,26 +4,25 @@ A line is the part of a text between line breaks; its tokens are its distinct sh
 shorter), in lower case. A line goes if an earlier line, in order of (doc_id, text hash, line number), has a Jaccard similarity of
 ``percent`` or more with it. A line without words never goes.
 
-1. Lines of equal words form an identity; only its first occurrence can stay. Texts are split and normalised once; the lines are
-   stored with their words, and every later step reads those.
-2. A first prefix filter over all lines. Tokens are ordered by the rarity of their first word, counted over all lines in 2**16
-   buckets (rare, common, hot), then by its hash. Lines that match share two (where a set can match with one token: one) of
-   their first n - ceil(n * percent / 100) + 2 tokens. Only these are hashed and shuffled, once; tokens that one identity alone has
-   are dropped, and then lines that are left with too few.
-3. A second one over the lines that are left, whose whole token sets are stored, by the exact counts of their tokens among them.
-   What meets passes the length filter and the positional filter (the tokens left after the shared one must suffice). First every
-   line is held against the earliest line of each of its tokens, which makes no pairs within a group; lines that match it are
-   decided. Only the others are joined with the earlier lines of their tokens; where they share few tokens, with those of lists of over
-   LONG_LIST lines by pairs of tokens, the shared one and one after it, as lines that match share both.
+1. Lines of equal words form an identity; only its first occurrence can stay. Texts are read for this once; the identities are
+   stored with their words, and every later step reads those, so that copies of a line cost nothing from here on.
+2. Tokens are ordered by rarity, from counts of all identities' tokens in 2**16 buckets, then by hash. Lines that match share
+   two (where a set can match with one token: one) of their first n - ceil(n * percent / 100) + 2 tokens. Only these are shuffled,
+   once; tokens that one identity alone has are dropped, and then lines that are left with too few.
+3. What meets passes the length filter and the positional filter (the tokens left after the shared one must suffice).
+   First every line is held against the earliest line of each of its tokens, which makes no pairs within a
+   group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens; where they share
+   few tokens, with those of lists of over LONG_LIST lines by pairs of tokens, the shared one and one after it, as lines that match
+   share both.
 4. Candidates are verified on their whole token sets.
 5. Lines of a text that have words and aren't the kept occurrence of an identity go.
 
-Tokens that begin with a hot word are dealt out by salts where the lines of a token are gathered; earliest lines and counts come
-from sums with partial sums, and joins on tokens and lines are plain equality joins, which Spark splits where a key is hot.
-Arrays are opened by the outer forms of explode: the plain ones add a filter that computes the array a second time.
+A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
+and its count come from a sum with partial sums, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
+hot. Words are hashed to 16 characters each, so that a shingle is a cut of 16 * k bytes, hashed as a whole.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
-(BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64.
+(BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64 (the order by 56).
 
 Defined results: a null text has no lines and stays null; an empty text has one line without words; rows with the same
 doc_id and text get the same decision, as one; a null doc_id comes last; an empty table gives no rows; other columns, whatever their
@@ -32,6 +31,8 @@ names, are ignored by kept_lines() and kept by deduplicated().
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +43,8 @@ PERCENT = 80
 BROADCAST_ROWS = 250_000
 #: Lines that share at most FEW_SHARED tokens meet those of lists of over LONG_LIST lines by pairs of tokens.
 LONG_LIST, FEW_SHARED = 64, 4
-#: Words are common, or hot, whose bucket holds over so many times the mean. Tokens that begin with a hot word are dealt out by SALTS.
-COMMON, HOT, SALTS = 4, 64, 64
-#: Lines with more different words than this have no positions (0 counts for all).
-MOST_RANKS = 4096
-_LAST = (1 << 63) - 1
+#: Level (quarter octaves above the mean) from which a bucket's tokens are dealt out by SALTS.
+HOT_LEVEL, SALTS = 17, 64
 _BLANKS = " \t\x0b\x0c\r"
 
 
@@ -67,39 +65,43 @@ def _lines(docs: DataFrame) -> DataFrame:
     return raw.withColumn("s", plain).filter(F.col("s") != "")
 
 
-def stored_lines(docs: DataFrame) -> DataFrame:
-    """(no_id, doc, th, line, s, h1, h2) of every line with words: h1 and h2 name its words."""
-    return stored(_lines(docs).withColumns({"h1": F.xxhash64("s"), "h2": F.xxhash64(F.lit(1), "s")}), "lines", compression="zstd")
+def identities(docs: DataFrame) -> DataFrame:
+    """(h1, h2, at, s): the lines of different words, each with the place (no_id, doc, th, line) of its first occurrence."""
+    own = _lines(docs).select(F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2"), F.struct("no_id", "doc", "th", "line", "s").alias("at"))
+    first = own.groupBy("h1", "h2").agg(F.min("at").alias("at"))
+    return stored(first.select("h1", "h2", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at"), F.col("at.s").alias("s")), "identities", compression="zstd")
 
 
-def firsts(lines: DataFrame) -> DataFrame:
-    """(h1, h2, at): the place (no_id, doc, th, line) of the first occurrence of each identity."""
-    return stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("no_id", "doc", "th", "line")).alias("at")), "firsts")
+def _hashed(lines: DataFrame) -> DataFrame:
+    """lines with hashes, 16 bytes for each word, in place of s."""
+    word = lambda w: F.lpad(F.hex(F.xxhash64(w)), 16, "0")
+    return lines.select(*(c for c in lines.columns if c != "s"), F.array_join(F.transform(F.split("s", " "), word), "").cast("binary").alias("hashes"))
 
 
-def _hashed(lines: DataFrame) -> DataFrame:
-    """lines with words, the hashes of a line's words, and n, the number of places where a shingle begins (one at least), in place of s."""
-    return lines.select(*(c for c in lines.columns if c != "s"), F.transform(F.split("s", " "), lambda w: F.xxhash64(w)).alias("words"))
+def _places(k: int) -> Column:
+    """Where shingles begin: one at least."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length("hashes") - (16 * k - 1), F.lit(1)), F.lit(16))
 
 
-def _n(k: int) -> Column:
-    return F.greatest(F.size("words") - (k - 1), F.lit(1))
+def _shingle(place: Column, k: int) -> Column:
+    return F.xxhash64(F.substring("hashes", place, F.lit(16 * k)))
 
 
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
     """lines with tokens, the distinct hashes of a line's shingles, in place of s."""
     hashed = _hashed(lines)
-    shingles = F.transform(F.sequence(F.lit(0), F.size("words") - k), lambda i: F.xxhash64(*(F.get("words", i + j) for j in range(k))))
-    tokens = F.when(F.size("words") >= k, F.array_distinct(shingles)).otherwise(F.array(F.xxhash64("words")))
-    return hashed.select(*(c for c in hashed.columns if c != "words"), tokens.alias("tokens"))
+    return hashed.select(*(c for c in hashed.columns if c != "hashes"), F.array_distinct(F.transform(_places(k), lambda i: _shingle(i, k))).alias("tokens"))
 
 
-def frequent(lines: DataFrame) -> tuple[list[int], list[int]]:
-    """Of 65,536 buckets of words those that hold over COMMON and over HOT times the mean, counted over all lines."""
-    words = lines.select(F.explode_outer(F.split("s", " ")).alias("w"))
-    count = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 48).cast("int").alias("bucket")).count().collect()
-    mean = sum(r["count"] for r in count) / (1 << 16)
-    return tuple(sorted(r["bucket"] for r in count if r["count"] > times * mean) for times in (COMMON, HOT))
+def levels(lines: DataFrame, k: int) -> list[int]:
+    """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean, below 128."""
+    shingles = _hashed(lines.select("s")).select("hashes", F.explode_outer(_places(k)).alias("i")).select(_shingle(F.col("i"), k).alias("t"))
+    count = shingles.groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
+    mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
+    out = [0] * (1 << 16)
+    for r in count:
+        out[r["bucket"]] = min(127, round(4 * math.log2(1 + r["count"] / mean)))
+    return out
 
 
 def _least(n: Column, percent: int) -> Column:
@@ -112,63 +114,23 @@ def _may_match(n: Column, pos: Column, m: Column, other: Column, percent: int) -
     return fits & (F.least(n - pos, m - other) >= F.ceil((n + m) * percent / (100 + percent)))
 
 
-def posted(lines: DataFrame, k: int, percent: int) -> DataFrame:
-    """(h1, doc, pos, token, hot) of the first tokens of every line.
-
-    The order is that of the first word's class (rare, common, hot), then of its hash, then of the token. Taken are all tokens whose
-    first word is among the first n - ceil(n * percent / 100) + 2 different ones, n being the number of places: these are as many
-    different tokens at least, and all that come before the last of them. pos is how many different first words come before, which is
-    at most the number of tokens before."""
-    common, hot = frequent(lines)
-    bucket = lambda h: F.shiftrightunsigned(h, 48).cast("int")
-    kind = lambda h: (F.when(bucket(h).isin(hot), 2) if hot else F.when(F.lit(False), 2)).when(bucket(h).isin(common) if common else F.lit(False), 1).otherwise(0)
-    key = lambda h: F.shiftleft(kind(h).cast("long"), 60).bitwiseOR(F.shiftrightunsigned(h, 4))
-    begins = _hashed(lines.select("h1", F.when(~F.col("no_id"), F.col("doc")).otherwise(_LAST).alias("doc"), "s")).select("h1", "doc", "words", F.slice("words", F.lit(1), _n(k)).alias("begins"))
-    ranked = begins.select("h1", "doc", "words", "begins", F.sort_array(F.transform(F.array_distinct("begins"), key)).alias("ranks"))
-    n = F.size("begins")
-    last = F.coalesce(F.get("ranks", n - _least(n, percent) + 1), F.lit(_LAST))
-    opened = ranked.select("h1", "doc", "words", "ranks", last.alias("last"), F.posexplode_outer("begins").alias("at", "begin"))
-    some = opened.withColumn("rank", key(F.col("begin"))).filter(F.col("rank") <= F.col("last"))
-    before = F.when(F.size("ranks") <= MOST_RANKS, F.array_position("ranks", F.col("rank")).cast("int") - 1).otherwise(0)
-    return some.select("h1", "doc", before.alias("pos"), F.xxhash64(F.slice("words", F.col("at") + 1, F.lit(k))).alias("token"), (F.shiftrightunsigned("rank", 60) > 1).alias("hot"))
-
-
-def _shared(rows: DataFrame) -> DataFrame:
-    """rows (token, h1, hot, ...) of tokens that more than one line has, and of hot ones, which are dealt out by salts."""
+def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
+    """(token, h1, doc, n, pos, q, lines, pivot) of the first tokens that lines share: q is how many the line h1 shares, lines
+    how many lines the token has, pivot the earliest (by document) of them."""
+    by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
+    level = lambda t: F.coalesce(F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int")), F.lit(0).cast("long"))
+    key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    ranked = _tokens(lines.select("h1", F.struct("at.no_id", "at.doc").alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
+    n = F.size("sorted")
+    posted = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
+    hot = F.shiftrightunsigned("token", 56) >= HOT_LEVEL
     slot = Window.partitionBy("slot")
-    dealt = rows.withColumn("slot", F.when(F.col("hot"), F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
-    both = dealt.select(*rows.columns, F.min("h1").over(slot).alias("lo"), F.max("h1").over(slot).alias("hi"))
-    return both.filter(F.col("hot") | (F.col("lo") < F.col("hi"))).drop("lo", "hi")
-
-
-def candidates(lines: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """(h1, h2, at, tokens): the whole token sets of the lines that share enough of their first tokens by words."""
-    met = stored(_shared(posted(lines, k, percent)).groupBy("token", "h1").agg(F.max("hot").alias("hot")), "met")
-    alone = stored(met.filter("hot").groupBy("token").agg(F.count("*").alias("c")).filter("c = 1").select("token"), "alone")
-    met = met.join(_few(alone), "token", "left_anti")
-    q = met.groupBy("h1").agg(F.count("*").alias("q"))
-    wanted = stored(q.join(first, "h1").select("h1", "h2", "q", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at")), "lines-that-meet")
-    here = lines.join(_few(wanted), ["h1", "h2"]).filter(F.struct("no_id", "doc", "th", "line") == F.col("at")).dropDuplicates(["h1", "h2"])
-    # Stored before tokens are used: a filter in the same plan would compute them again in each use.
-    sets = stored(_tokens(here.select("h1", "h2", "at", "q", "s"), k), "sets")
-    return sets.filter(F.col("q") >= F.least(F.lit(2), _least(F.size("tokens"), percent))).drop("q")
-
-
-def meetings(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, h1, doc, n, pos, q, lines, pivot) of the first tokens that lines share, by the candidates' own counts: n is the size of
-    the set, pos the place in it, q how many tokens the line shares, lines how many lines the token has, pivot the earliest of them."""
-    each = sets.select("h1", "h2", F.explode_outer("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    counted = each.join(counts, "token").groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("known"))
-    sized = counted.join(sets.select("h1", "h2", F.when(~F.col("at.no_id"), F.col("at.doc")).otherwise(_LAST).alias("doc"), F.size("tokens").alias("n")), ["h1", "h2"])
-    # Tokens that no other candidate has come first in the order: n - size(known) of them.
-    take = F.greatest(F.least(F.col("n"), F.col("n") - _least(F.col("n"), percent) + 2) - (F.col("n") - F.size("known")), F.lit(0))
-    opened = sized.filter(take > 0).select("h1", "doc", "n", (F.col("n") - F.size("known")).alias("before"), F.posexplode_outer(F.slice("known", F.lit(1), take)).alias("at", "t"))
-    met = opened.select(F.col("t.token").alias("token"), "h1", "doc", "n", (F.col("before") + F.col("at")).alias("pos"))
-    met = stored(met, "met-again")
-    q = met.groupBy("h1").agg(F.count("*").cast("int").alias("q"), F.min("n").alias("least")).filter(F.col("q") >= F.least(F.lit(2), _least(F.col("least"), percent))).select("h1", "q")
+    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
+    met = stored(dealt.select("*", F.min("h1").over(slot).alias("lo"), F.max("h1").over(slot).alias("hi")).filter(hot | (F.col("lo") < F.col("hi"))).drop("slot", "lo", "hi"), "met")
+    enough = met.groupBy("h1").agg(F.count("*").cast("int").alias("q"), F.min("n").alias("least")).filter(F.col("q") >= F.least(F.lit(2), _least(F.col("least"), percent))).select("h1", "q")
+    met = stored(met.join(enough, "h1"), "met-enough")
     lists = met.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "h1", "n", "pos")).alias("pivot")).filter("lines > 1")
-    return stored(met.join(q, "h1").join(lists, "token"), "met-lists")
+    return stored(met.join(lists, "token"), "met-lists")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -176,8 +138,11 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataFrame:
     """(h1, h2) of the later identity of every pair (a, b) of h1 that matches."""
+    pairs = stored(pairs.distinct(), "pairs")
+    some = stored(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "lines-of-pairs")
+    sets = stored(_tokens(lines.join(_few(some), "h1", "left_semi").select("h1", "h2", "at", "s"), k), "line-sets")
     side = lambda x: sets.select(*(F.col(c).alias(f"{x}_{c}") for c in sets.columns))
     both = pairs.join(side("a"), F.col("a") == F.col("a_h1")).join(side("b"), F.col("b") == F.col("b_h1"))
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -186,13 +151,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(match.select(later.alias("l")).select("l.*").distinct(), "later")
 
 
-def _star(met: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a line and the pivot of a token that it shares, if it comes after the pivot."""
-    later = F.struct("doc", "h1") > F.struct("pivot.doc", "pivot.h1")
-    pairs = met.filter(later & _may_match(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
-    return pairs.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")).distinct()
-
-
 def _others(met: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a line of rest, which isn't decided, and one of an earlier or the same document that it shares tokens with."""
     by_pair = (F.col("lines") > LONG_LIST) & (F.col("q") <= FEW_SHARED)
@@ -214,15 +172,13 @@ def _others(met: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
 
 def kept_lines(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(no_id, doc, th, kept): per document the numbers of the lines with words that stay, in no order; no row where none does."""
-    lines = stored_lines(docs)
-    first = firsts(lines)
-    sets = candidates(lines, first, k, percent)
-    met = meetings(sets, percent)
-    later = _verified(_star(met, percent), sets, percent)
+    lines = identities(docs)
+    met = meetings(lines, k, percent)
+    star = met.filter((F.col("h1") != F.col("pivot.h1")) & _may_match(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
+    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")), lines, k, percent)
     decided = stored(later.select("h1").distinct(), "decided")
-    rest = stored(met.join(_few(decided), "h1", "left_anti"), "undecided")
-    later = stored(later.unionByName(_verified(stored(_others(met, rest, percent).distinct(), "pairs"), sets, percent)).distinct(), "all-later")
-    stays = first.join(_few(later), ["h1", "h2"], "left_anti").select("at.*")
+    later = stored(later.unionByName(_verified(_others(met, stored(met.join(_few(decided), "h1", "left_anti"), "undecided"), percent), lines, k, percent)).distinct(), "all-later")
+    stays = lines.select("h1", "h2", "at").join(_few(later), ["h1", "h2"], "left_anti").select("at.*")
     return stored(stays.groupBy("no_id", "doc", "th").agg(F.collect_list("line").alias("kept")), "kept-lines")
 
 

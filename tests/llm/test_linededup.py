@@ -67,8 +67,7 @@ def test_hot_token_of_unlike_lines(spark, tmp_path, monkeypatch, longest):
     """A passage that many unlike lines share, in short lines so that it lies in their prefixes, beside near copies among them; hot
     tokens salted or not, long lists joined by pairs of tokens or by one."""
     monkeypatch.setattr(linededup, "LONG_LIST", 8 if longest == 64 else 10**6)
-    monkeypatch.setattr(linededup, "COMMON", 0 if longest == 64 else 10**6)
-    monkeypatch.setattr(linededup, "HOT", 0 if longest == 64 else 10**6)
+    monkeypatch.setattr(linededup, "HOT_LEVEL", 0 if longest == 64 else 10**6)
     rng = random.Random(11)
     passage = [f"p{i}" for i in range(14)]
     lines = []
