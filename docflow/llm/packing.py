@@ -9,8 +9,8 @@ where it takes fewer bins. So no round makes the result worse, and no task holds
 in expectation, at any size of the table.
 
 Defined results: a null or empty text is the end id alone (one piece of length 1); repeated rows are packed
-each on its own; an empty table gives no rows; a null doc_id is kept as it is; columns besides doc_id and
-text are ignored.
+each on its own; an empty table gives no rows; a null doc_id is kept as it is; pieces() ignores columns besides doc_id and
+text; pack() keeps all columns but those named sequence_id, offset or certified, which its own replace.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from .common import stored, table
 CAPACITY = 2048
 PART_ROWS = 40_000
 ROUNDS = 3
+#: A sequence_id is level, group and bin, from these bits up: at most 32 levels, 2**27 groups, 2**31 bins of a group.
+LEVEL_BIT, GROUP_BIT = 58, 31
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _CACHE_ROWS = 400_000
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -172,45 +174,48 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 def pack(items: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS, rounds: int = ROUNDS) -> DataFrame:
     """items (doc_id, piece, length, ...) with sequence_id, offset and certified (its group met the lower bound)."""
-    items = stored(items, "pieces")
-    keep = [c for c in items.columns]
-    parts = max(1, math.ceil(items.count() / part_rows))
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in items.schema)}, sequence_id long, offset long, certified boolean, open boolean"
+    columns = [f"`{c}`" for c in items.columns]
+    items = stored(items.select(F.struct(*columns).alias("row"), F.col("length").cast("long").alias("length")), "pieces")
+    parts = _parts(items.count(), part_rows)
+    schema = f"row {items.schema['row'].dataType.simpleString()}, length long, sequence_id long, offset long, certified boolean, open boolean"
 
     def packer(level: int):
         def run(rows: pa.Table) -> pa.Table:
             lengths = rows.column("length").to_numpy()
             group = int(rows.column("part")[0].as_py())
             bins, offsets, used = best_fit(lengths, capacity)
+            bins = bins + ((level << LEVEL_BIT) + (group << GROUP_BIT))
             if level:
                 old = rows.column("sequence_id").to_numpy()
                 if len(np.unique(old)) <= used:
                     bins, offsets, used = old, rows.column("offset").to_numpy(), len(np.unique(old))
-                else:
-                    bins = bins + (((level << 31) + group) << 31)
-            else:
-                bins = bins + (group << 31)
             tight = used <= lower_bound(lengths, capacity)
             fill = dict(zip(*(x.tolist() for x in _fills(bins, lengths))))
             loose = np.array([not tight and fill[b] < capacity for b in bins.tolist()])
-            out = rows.select(keep)
-            for name, column in (("sequence_id", pa.array(bins, pa.int64())), ("offset", pa.array(offsets, pa.int64())), ("certified", pa.array(np.full(len(lengths), tight))), ("open", pa.array(loose))):
-                out = out.append_column(name, column)
-            return out
+            return pa.table({"row": rows.column("row"), "length": rows.column("length"), "sequence_id": pa.array(bins, pa.int64()), "offset": pa.array(offsets, pa.int64()), "certified": np.full(len(lengths), tight), "open": loose})
 
         return run
 
-    packed = stored(items.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts))).groupBy("part").applyInArrow(packer(0), schema), "packed")
+    dealt = items.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))  # rows, not ids: repeated and null ids are dealt out too
+    packed = stored(dealt.groupBy("part").applyInArrow(packer(0), schema), "packed")
     done = packed.filter("not open")
     for level in range(1, rounds + 1):
         loose = packed.filter("open")
         n = loose.count()
         if not n:
             break
-        again = loose.withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(max(1, math.ceil(n / part_rows)))))
+        again = loose.withColumn("part", F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(_parts(n, part_rows))))
         packed = stored(again.groupBy("part").applyInArrow(packer(level), schema), "packed")
         done = done.unionByName(packed.filter("not open"))
-    return done.unionByName(packed.filter("open")).drop("open")
+    own = [F.col(f"row.{c}") for c in columns if c.strip("`").lower() not in ("sequence_id", "offset", "certified")]
+    return done.unionByName(packed.filter("open")).select(*own, "sequence_id", "offset", "certified")
+
+
+def _parts(rows: int, part_rows: int) -> int:
+    parts = max(1, math.ceil(rows / part_rows))
+    if parts > 1 << (LEVEL_BIT - GROUP_BIT):
+        raise ValueError(f"{parts} groups of {part_rows} pieces; a sequence_id has room for {1 << (LEVEL_BIT - GROUP_BIT)}: raise part_rows")
+    return parts
 
 
 def _fills(bins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -49,5 +49,54 @@ def test_pack_is_gapless_and_whole(spark, part_rows):
         assert at <= 2048
 
 
+def test_later_rounds(spark):
+    """Bins saved in rounds 1 to 3 get ids of their own; every piece stays, without gaps, and no round takes more bins."""
+    rows = [(i, 0, int(n)) for i, n in enumerate(np.random.default_rng(3).integers(300, 1100, 600))]
+    items = spark.createDataFrame(rows, "doc_id long, piece int, length long")
+    used = []
+    for rounds in range(4):
+        got = pack(items, part_rows=50, rounds=rounds).collect()
+        check(got)
+        assert sorted((r.doc_id, r.piece, r.length) for r in got) == rows
+        used.append(len({r.sequence_id for r in got}))
+    assert used == sorted(used, reverse=True) and used[3] < used[0]
+    levels = {r.sequence_id >> 58 for r in got}
+    assert max(levels) >= 2 and min(levels) == 0
+
+
+def check(got):
+    at = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == at.get(r.sequence_id, 0) and r.sequence_id >= 0
+        at[r.sequence_id] = r.offset + r.length
+        assert at[r.sequence_id] <= 2048
+
+
+def test_null_and_repeated_ids_are_dealt_out(spark):
+    rows = [(None, 0, 700 + i % 9) for i in range(150)] + [(7, 0, 900)] * 150
+    got = pack(spark.createDataFrame(rows, "doc_id long, piece int, length long"), part_rows=30, rounds=0).collect()
+    check(got)
+    assert sorted(((r.doc_id, r.length) for r in got), key=str) == sorted(((d, n) for d, _, n in rows), key=str)
+    groups = [r.sequence_id >> 31 for r in got]
+    assert len(set(groups)) == 10 and max(map(groups.count, groups)) < 90
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 0, 5, "p", "o", "s", "r")], "doc_id long, piece int, length long, part string, open string, Sequence_ID string, row string")
+    (row,) = pack(df).collect()
+    assert row.asDict() == {"doc_id": 1, "piece": 0, "length": 5, "part": "p", "open": "o", "row": "r", "sequence_id": 0, "offset": 0, "certified": True}
+
+
+def test_both_libraries_agree(spark):
+    """The faster library reads the same vocabulary; its ids are the tokenizer's, over whole texts of the tables and odd ones."""
+    from tokenizers import Tokenizer
+
+    tok, enc = Tokenizer.from_file(default_tokenizer()), encoder(default_tokenizer())
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    odd = ["".join(map(chr, row)) for row in np.random.default_rng(5).choice([9, 10, 32, 32, 39, 65, 97, 115, 116, 48, 0xE9, 0x301, 0x5D0, 0x4E2D, 0x1F600, 0xA0, 0x2028, 0x3000], (400, 24))]
+    for t in [*(t or "" for t in texts), *odd]:
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_empty_table(spark):
     assert pack(pieces(spark.createDataFrame([], "doc_id long, text string"), default_tokenizer())).count() == 0
