@@ -4,8 +4,10 @@ Reads classic TIFF of either byte order: strips and tiles; no compression, PackB
 1 and 2; 8- and 16-bit samples, one or more to a pixel, interleaved or in planes. ``write_tiff`` makes such files.
 
 Defined results: a null media value gives no rows; bytes that aren't a readable TIFF give one row with page
-null and ``error`` set, so that no task fails on a bad file; an empty table gives no rows; all other columns
-of the table stay, and a column of theirs with the name of an output column is replaced by the output's.
+null and ``error`` set, after the pages before the fault, so that no task fails on a bad file; a page whose pixels, or a strip
+or tile of which, would take more than ``max_page_bytes`` is such a fault, and no codec gives out more than its strip or tile
+holds; an empty table gives no rows; all other columns of the table stay, and a column of theirs with the name of an
+output column is replaced by the output's.
 """
 
 from __future__ import annotations
@@ -25,6 +27,9 @@ from .common import table
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 _FORMATS = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i"}
+#: A page of more bytes is an error, so that a small file can't fill an executor's memory.
+MAX_PAGE_BYTES = 1 << 29
+_FLUSH_BYTES = 32 << 20
 PAGE = T.StructType([T.StructField(n, t) for n, t in (("page", T.IntegerType()), ("width", T.IntegerType()), ("height", T.IntegerType()), ("samples", T.IntegerType()), ("bits", T.IntegerType()), ("compression", T.IntegerType()), ("predictor", T.IntegerType()), ("pixels", T.BinaryType()), ("error", T.StringType()))])
 
 
@@ -32,9 +37,10 @@ class TiffError(ValueError):
     pass
 
 
-def unpack_bits(data: bytes) -> bytes:
+def unpack_bits(data: bytes, most: int) -> bytes:
+    """The first ``most`` bytes or a little more; all if there are fewer."""
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < most:
         n = data[i]
         i += 1
         if n < 128:
@@ -64,8 +70,8 @@ def pack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unpack_lzw(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, high bits first; each width ends one code early."""
+def unpack_lzw(data: bytes, most: int) -> bytes:
+    """Codes of 9 to 12 bits, high bits first; each width ends one code early. Ends as unpack_bits does."""
     out = bytearray()
     names: list[bytes] = [bytes((i,)) for i in range(256)] + [b"", b""]
     width, bits, held, last = 9, 0, 0, b""
@@ -77,7 +83,7 @@ def unpack_lzw(data: bytes) -> bytes:
         bits -= width
         code = held >> bits
         held &= (1 << bits) - 1
-        if code == 257:
+        if code == 257 or len(out) >= most:
             break
         if code == 256:
             del names[258:]
@@ -90,7 +96,7 @@ def unpack_lzw(data: bytes) -> bytes:
         else:
             raise TiffError("LZW code out of range")
         out += entry
-        if last:
+        if last and len(names) < 4096:
             names.append(last + entry[:1])
         last = entry
         width = 9 if len(names) < 511 else 10 if len(names) < 1023 else 11 if len(names) < 2047 else 12
@@ -145,7 +151,7 @@ def pack_lzw(data: bytes) -> bytes:
     return bytes(out)
 
 
-_DECODE = {NONE: lambda d, n: d, LZW: lambda d, n: unpack_lzw(d), DEFLATE: lambda d, n: zlib.decompressobj().decompress(d, n), OLD_DEFLATE: lambda d, n: zlib.decompressobj().decompress(d, n), PACKBITS: lambda d, n: unpack_bits(d)}
+_DECODE = {NONE: lambda d, n: d, LZW: unpack_lzw, DEFLATE: lambda d, n: zlib.decompressobj().decompress(d, n), OLD_DEFLATE: lambda d, n: zlib.decompressobj().decompress(d, n), PACKBITS: unpack_bits}
 _ENCODE = {NONE: bytes, LZW: pack_lzw, DEFLATE: lambda d: zlib.compress(d, 1), PACKBITS: pack_bits}
 
 
@@ -174,18 +180,25 @@ def _directories(data: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
         (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * n)
 
 
-def read_tiff(data: bytes) -> Iterator[tuple]:
-    """(page, width, height, samples, bits, compression, predictor, pixels) of every image directory."""
+def read_tiff(data: bytes, max_page_bytes: int = MAX_PAGE_BYTES) -> Iterator[tuple]:
+    """(page, width, height, samples, bits, compression, predictor, pixels) of every image directory; TiffError, struct.error or
+    zlib.error at the first fault."""
     for page, (order, t) in enumerate(_directories(data)):
         one = lambda tag, default=None: t[tag][0] if t.get(tag) else default
         width, height, samples = one(256), one(257), one(277, 1)
         bits, compression, predictor, planes = one(258, 1), one(259, 1), one(317, 1), one(284, 1)
         if not width or not height or bits not in (8, 16) or compression not in _DECODE or predictor not in (1, 2):
             raise TiffError(f"unsupported: {width} x {height}, {bits} bits, compression {compression}, predictor {predictor}")
+        if min(width, height, samples) < 1 or planes not in (1, 2):
+            raise TiffError(f"no image: {width} x {height}, {samples} samples, planes {planes}")
         kind = np.dtype(np.uint8 if bits == 8 else f"{order}u2")
         per = samples if planes == 1 else 1
         tiled = 322 in t
         wide, tall = (one(322), one(323)) if tiled else (width, min(one(278, height), height))
+        if not wide or not tall or min(wide, tall) < 1:
+            raise TiffError(f"strips or tiles of {wide} x {tall}")
+        if max(width * height * samples, wide * tall * per) * kind.itemsize > max_page_bytes:
+            raise TiffError(f"more than {max_page_bytes} bytes: {width} x {height}, {samples} samples, in parts of {wide} x {tall}")
         across, down = -(-width // wide), -(-height // tall)
         starts, counts = t.get(324 if tiled else 273), t.get(325 if tiled else 279)
         if not starts or not counts or len(starts) < across * down * (samples // per) or len(counts) < len(starts):
@@ -196,6 +209,8 @@ def read_tiff(data: bytes) -> Iterator[tuple]:
             y, x = cell // across * tall, cell % across * wide
             rows = tall if tiled else min(tall, height - y)
             size = rows * wide * per * kind.itemsize
+            if starts[k] < 0 or counts[k] < 0:
+                raise TiffError("a strip or tile lies before the file")
             part = _DECODE[compression](data[starts[k] : starts[k] + counts[k]], size)
             if len(part) < size:
                 raise TiffError("a strip or tile is short")
@@ -250,37 +265,37 @@ def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: i
     return bytes(out)
 
 
-def tiff_pages(df: DataFrame, media: str = "media") -> DataFrame:
+def tiff_pages(df: DataFrame, media: str = "media", max_page_bytes: int = MAX_PAGE_BYTES) -> DataFrame:
     """One row per page of the TIFF in column media: the table's other columns, then those of PAGE."""
-    others = [c for c in df.columns if c != media and c not in PAGE.names]
+    others = [c for c in df.columns if c != media and c.lower() not in PAGE.names]
     schema = T.StructType([*(df.schema[c] for c in others), *PAGE.fields])
 
+    def rows(data: bytes) -> Iterator[tuple]:
+        try:
+            for page in read_tiff(data, max_page_bytes):
+                yield *page, None
+        except (ValueError, TypeError, ArithmeticError, LookupError, struct.error, zlib.error, MemoryError) as e:  # TiffError is a ValueError
+            yield *(None,) * 8, f"{type(e).__name__}: {e}"[:200]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in PAGE.names]
             source: list[int] = []
             size = 0
             for i, value in enumerate(batch.column(media)):
-                data = value.as_py()
-                if data is None:
+                if not value.is_valid:
                     continue
-                found: list[tuple] = []
-                try:
-                    for p in read_tiff(data):
-                        found.append((*p, None))
-                except (TiffError, struct.error, zlib.error, MemoryError) as e:
-                    found.append((*(None,) * 8, str(e)[:200] or type(e).__name__))
-                for row in found:
+                for row in rows(value.as_py()):
                     source.append(i)
                     size += len(row[7] or b"")
                     for column, v in zip(out, row):
                         column.append(v)
-                if size > 32 << 20:
-                    yield _rows(batch, others, source, out)
-                    out, source, size = [[] for _ in PAGE.names], [], 0
+                    if size > _FLUSH_BYTES:
+                        yield _rows(batch, others, source, out)
+                        out, source, size = [[] for _ in PAGE.names], [], 0
             yield _rows(batch, others, source, out)
 
-    return df.select(*others, media).mapInArrow(run, schema)
+    return df.select(*(f"`{c}`" for c in others), f"`{media}`").mapInArrow(run, schema)
 
 
 def _rows(batch: pa.RecordBatch, others: list[str], source: list[int], out: list[list]) -> pa.RecordBatch:
