@@ -13,7 +13,10 @@ Files are opened by pyarrow's file systems (local paths, file://, s3://, hdfs://
 
 Defined results: null header columns are left out; control characters and blanks in them are percent-encoded;
 a null payload is empty; a revisit record stores no payload, only the digest and length of its response's; a
-truncated last record ends its file; an empty folder or table gives no rows; unknown columns are ignored.
+truncated last record ends its file; an empty folder or table gives no rows; unknown columns are ignored. A file that isn't
+WARC, a content length that is no number or below zero, or damaged gzip bytes end the file there: the records before
+stay, and a row with nothing but ``error`` follows, which names the file and the fault; it comes where the schema has error and
+no predicate is pushed. With the option mode=failfast such a file fails the read instead.
 """
 
 from __future__ import annotations
@@ -33,12 +36,13 @@ from pyspark.sql.types import StructType
 
 from .common import shared_path, table
 
-SCHEMA = "record_type string, record_id string, target_uri string, warc_date string, refers_to string, payload_digest string, content_type string, payload_bytes long, payload binary"
+SCHEMA = "record_type string, record_id string, target_uri string, warc_date string, refers_to string, payload_digest string, content_type string, payload_bytes long, payload binary, error string"
 _HEADER = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "warc_date": "warc-date", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest", "content_type": "content-type"}
 _KINDS = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
 _LENGTH = "x-payload-length"
 _HTTP_OK = b"HTTP/1.1 200 OK\r\n"
 MIN_REVISIT_BYTES = 1000
+_SLICE = 1 << 14
 
 
 class _Bytes:
@@ -88,8 +92,10 @@ class _Bytes:
                         self.member_end, self.member_left = self.at - len(self.raw) + packed, plain
             if not self._peek(1):
                 return False
-            out = self.inflate.decompress(self.raw, 1 << 14 if self.member_end else 1 << 18)
-            self.raw = self.inflate.unconsumed_tail or self.inflate.unused_data
+            part = self.raw[:_SLICE]  # what a call leaves over is copied: a slice, not all that was read
+            out = self.inflate.decompress(part, _SLICE if self.member_end else 1 << 18)
+            left = self.inflate.unconsumed_tail or self.inflate.unused_data
+            self.raw = left + self.raw[_SLICE:] if len(self.raw) > _SLICE else left
             if self.inflate.eof:
                 self.inflate = None
             if self.member_end:
@@ -139,7 +145,10 @@ def records(file: pa.NativeFile, wanted, payloads: bool) -> Iterator[tuple[dict[
         if not version.startswith("WARC/"):
             raise ValueError(f"not a WARC record: {version[:60]!r}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        n = int(headers.get("content-length", 0))
+        length = headers.get("content-length", "0")
+        if not (length.isascii() and length.isdigit() and len(length) < 19):
+            raise ValueError(f"content length {length[:40]!r}")
+        n = int(length)
         if not wanted(headers):
             stream.skip(n + 4)
         elif payloads:
@@ -167,8 +176,8 @@ class Files(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType, split_bytes: int):
-        self.path, self.columns, self.split_bytes = path, [(f.name, f.dataType.simpleString()) for f in schema], split_bytes
+    def __init__(self, path: str, schema: StructType, split_bytes: int, failfast: bool = False):
+        self.path, self.columns, self.split_bytes, self.failfast = path, [(f.name, f.dataType.simpleString()) for f in schema], split_bytes, failfast
         self.filters: list = []
 
     def pushFilters(self, filters):  # noqa: N802
@@ -224,13 +233,19 @@ class WarcReader(DataSourceReader):
         size = 0
         for path in partition.paths:
             with fs.open_input_file(path) as file:
-                for headers, block in records(file, self._wanted, need):
-                    payload = _payload(headers, block)
-                    rows.append(tuple(payload if n == "payload" else _length(headers, payload) if n == "payload_bytes" else headers.get(_HEADER.get(n, n)) for n in names))
-                    size += len(payload or b"") + 200
-                    if size > 8 << 20:
-                        yield _batch(rows, schema)
-                        rows, size = [], 0
+                try:
+                    for headers, block in records(file, self._wanted, need):
+                        payload = _payload(headers, block)
+                        rows.append(tuple(payload if n == "payload" else _length(headers, payload) if n == "payload_bytes" else headers.get(_HEADER[n]) if n in _HEADER else None for n in names))
+                        size += len(payload or b"") + 200
+                        if size > 8 << 20:
+                            yield _batch(rows, schema)
+                            rows, size = [], 0
+                except (ValueError, zlib.error, struct.error) as e:
+                    if self.failfast:
+                        raise ValueError(f"{path}: {e}") from e
+                    if "error" in names and not self.filters:
+                        rows.append(tuple(f"{path}: {e}" if n == "error" else None for n in names))
         if rows:
             yield _batch(rows, schema)
 
@@ -321,7 +336,7 @@ def member(data: bytes) -> bytes:
 
 
 class WarcSource(DataSource):
-    """Options: path; split_bytes (read); gzip, file_bytes (write)."""
+    """Options: path; split_bytes, mode (read); gzip, file_bytes (write)."""
 
     @classmethod
     def name(cls) -> str:
@@ -335,7 +350,7 @@ class WarcSource(DataSource):
         return path if "://" in path else "file://" + path.removeprefix("file:")
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(self._path(), schema, int(self.options.get("split_bytes", 64 << 20)))
+        return WarcReader(self._path(), schema, int(self.options.get("split_bytes", 64 << 20)), self.options.get("mode", "permissive").lower() == "failfast")
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         if overwrite:
@@ -373,20 +388,29 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
 
 
+def pages_of(archive_path: str, spark: SparkSession) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of archives of page_records.
+
+    Responses are read with their payloads, and their length and digest are those of the bytes read; revisits are read
+    by a pushed predicate without any payload, and take both from the response that they refer to, if it agrees with
+    the digest in their own headers; else (a response that is missing or isn't the same) they keep the headers'."""
+    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    archive = spark.read.format("warc")
+    plain = archive.schema("record_type string, record_id string, payload binary").load(archive_path).filter("record_type = 'response'")
+    responses = plain.select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
+    again = archive.schema("record_type string, record_id string, refers_to string, payload_digest string, payload_bytes long").load(archive_path).filter("record_type = 'revisit'")
+    revisits = again.select("record_id", "refers_to", F.regexp_replace("payload_digest", "^sha1:", "").alias("stated"), F.col("payload_bytes").alias("stated_bytes"))
+    there = responses.select(F.col("record_id").alias("target"), F.col("payload_bytes").alias("found_bytes"), F.col("payload_digest").alias("found"))
+    told = revisits.join(there, (F.col("refers_to") == F.col("target")) & (F.col("stated") == F.col("found")), "left")
+    same = responses.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    return same.unionByName(told.select(number("record_id").alias("page_id"), F.coalesce("found_bytes", "stated_bytes").alias("payload_bytes"), F.coalesce("found", "stated").alias("payload_digest"), F.lit("revisit").alias("record_type"), number("refers_to").alias("refers_to")))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark)
     path = shared_path(spark, "warc")
     page_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
-    archive = spark.read.format("warc").load(path)
-    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
-    revisit = F.col("record_type") == "revisit"
-    return archive.select(
-        number("record_id").alias("page_id"),
-        F.when(revisit, F.col("payload_bytes")).otherwise(F.octet_length("payload")).cast("long").alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace("payload_digest", "^sha1:", "")).otherwise(F.sha1("payload")).alias("payload_digest"),
-        "record_type",
-        number("refers_to").alias("refers_to"),
-    )
+    return pages_of(path, spark)
 
 
 OP8_SQL = """

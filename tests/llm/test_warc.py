@@ -41,6 +41,39 @@ def test_source_pushes_predicates(spark, tmp_path):
     assert list(reader.pushFilters([warc.EqualTo(("record_id",), "x"), warc.EqualTo(("payload",), b"x")])) == [warc.EqualTo(("payload",), b"x")]
 
 
+def test_damaged_files(spark, tmp_path):
+    """Records before the damage stay and one error row follows; the read fails only where asked to."""
+    register(spark)
+    good = b"".join(map(render, ROWS))
+    bad = {
+        "text.warc": b"hello\r\n\r\nworld",
+        "number.warc": good + render(ROWS[3]).replace(b"\r\nContent-Length: ", b"\r\nContent-Length: x"),
+        "negative.warc": good + b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: -7\r\n\r\nabc",
+        "bytes.warc.gz": member(good) + member(b"".join(map(render, ROWS)))[:60] + b"\xff" * 400,
+        "cut.warc": good + render(ROWS[0])[:300],
+    }
+    for name, data in bad.items():
+        (tmp_path / name).write_bytes(data)
+        got = spark.read.format("warc").load(f"{tmp_path}/{name}").collect()
+        errors = [r.error for r in got if r.error]
+        assert len(errors) == (name != "cut.warc") and all(name in e for e in errors)
+        assert len([r for r in got if r.record_id]) >= (0 if name == "text.warc" else 4)
+        assert spark.read.format("warc").load(f"{tmp_path}/{name}").filter("record_type = 'metadata'").count() >= (name != "text.warc")
+        if name != "cut.warc":
+            with pytest.raises(Exception, match=name):
+                spark.read.format("warc").option("mode", "failfast").load(f"{tmp_path}/{name}").collect()
+    assert spark.read.format("warc").load(str(tmp_path)).filter("error is null").count() >= 16
+
+
+def test_revisits_are_held_against_their_response(spark, tmp_path):
+    register(spark)
+    rows = [("response", "<urn:page:9>", None, None, bytearray(b"abc"), None), ("revisit", "<urn:page:1>", "<urn:page:9>", "sha1:" + hashlib.sha1(b"abc").hexdigest(), None, 77), ("revisit", "<urn:page:2>", "<urn:page:9>", "sha1:other", None, 5), ("revisit", "<urn:page:3>", "<urn:page:8>", "sha1:gone", None, 6)]
+    spark.createDataFrame(rows, "record_type string, record_id string, refers_to string, payload_digest string, payload binary, payload_bytes long").write.format("warc").mode("append").save(f"{tmp_path}/w")
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.pages_of(f"{tmp_path}/w", spark).collect()}
+    sha = hashlib.sha1(b"abc").hexdigest()
+    assert got == {9: (3, sha, "response", None), 1: (3, sha, "revisit", 9), 2: (5, "other", "revisit", 9), 3: (6, "gone", "revisit", 8)}
+
+
 def test_query(spark, tmp_path):
     big, other = "é" * 500, "b" * 999
     rows = [(1, "u", big, 1), (2, None, big, 1), (3, "u", other, 1), (4, "u", other, 1), (5, "u", None, 1), (6, "u", "", 1), (9, "u", big, 1), (None, "u", big, 1), (9, "v", big, 1)]
