@@ -45,9 +45,9 @@ CHUNK_ROWS = 128
 CHUNK_TOKENS = 1 << 20
 SALT_ROWS = 512
 BROADCAST_ROWS = 250_000
-#: Rows without an id take ids from here up inside the join.
+#: Rows without an id take ids of their text's hash from here up inside the join, and are known by a flag, not by these.
 NO_ID = 1 << 62
-_SETS = "id long, n int, h1 long, h2 long, prefix array<long>"
+_SETS = "id long, none boolean, n int, h1 long, h2 long, prefix array<long>"
 
 
 def _sets(data: np.ndarray, offs: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -113,9 +113,9 @@ def sets(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame
                 prefix.append(np.sort(token)[:take].astype(np.int64))
             values = np.concatenate(prefix) if prefix else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, prefix)], dtype=np.int32), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], ["id", "n", "h1", "h2", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("none"), pa.array(size, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], ["id", "none", "n", "h1", "h2", "prefix"])
 
-    return docs.select("id", "text").mapInArrow(run, _SETS)
+    return docs.select("id", "none", "text").mapInArrow(run, _SETS)
 
 
 def meetings(classes: DataFrame, percent: int) -> DataFrame:
@@ -270,13 +270,13 @@ def _own_id() -> Column:
 
 def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
-    real = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    return _classes(docs, k, percent).select(real("id").alias("doc_id"), "n_shingles", real("root").alias("component_id"))
+    real = lambda c, none: F.when(~F.col(none), F.col(c))
+    return _classes(docs, k, percent).select(real("id", "none").alias("doc_id"), "n_shingles", real("root", "root_none").alias("component_id"))
 
 
 def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """id, n_shingles, root of every row, with ids from NO_ID up for rows without one."""
-    docs = docs.select(_own_id().alias("id"), F.col("text").cast("string").alias("text"))
+    """id, none, n_shingles, root, root_none of every row: none marks rows without an id, root_none components of such rows alone."""
+    docs = docs.select(_own_id().alias("id"), F.col("doc_id").cast("long").isNull().alias("none"), F.col("text").cast("string").alias("text"))
     named = stored(sets(docs, sketch(docs, k), k, percent), "sets")
     whole = stored(named.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("id"), F.min_by("prefix", "id").alias("prefix")), "classes")
     met = stored(meetings(whole, percent), "meetings")
@@ -305,18 +305,23 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     edges = edges.unionByName(several.select(F.col("id").alias("a"), F.explode("all").alias("b")))  # one document with several texts
     roots = components(edges)
     reached = reached.join(roots, reached["class"] == roots["node"], "left")
-    return reached.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "class", "id").alias("root"))
+    out = reached.select("id", "none", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "class", "id").alias("root"))
+    if named.filter("none").isEmpty():
+        return out.withColumn("root_none", F.lit(False))
+    # Where rows have no id, a component's id is the smallest of those that have one, whatever stands for the others.
+    out = stored(out, "roots")
+    least_of = out.groupBy(F.col("root").alias("of")).agg(F.min(F.struct("none", "id")).alias("first"))
+    return out.join(least_of, out["root"] == least_of["of"]).select("id", "none", "n_shingles", F.col("first.id").alias("root"), F.col("first.none").alias("root_none"))
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of docs: of the rows with the smallest doc_id one; every column stays. Of a component
-    without any id one row stays, that of the text with the smallest hash."""
-    ids = stored(_classes(docs, k, percent).filter("id = root").select(F.col("id").alias("keep_id")).distinct(), "keep")
-    with_id = docs.join(ids, docs["doc_id"].cast("long") == ids["keep_id"], "left_semi")
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    with_id = with_id.withColumn("_once", F.row_number().over(once)).filter("_once = 1").drop("_once")
-    without = docs.filter(F.col("doc_id").cast("long").isNull()).withColumn("_own", _own_id()).join(ids, F.col("_own") == ids["keep_id"], "left_semi")
-    return with_id.unionByName(without.drop("_own").dropDuplicates(["text"]))
+    """One row of each component of docs: of the rows with the smallest doc_id the one whose text has the smallest hash; every
+    column stays. Of a component without any id one row stays, chosen in the same way."""
+    ids = stored(_classes(docs, k, percent).filter("id = root and none = root_none").select(F.col("id").alias("keep_id"), F.col("none").alias("keep_none")).distinct(), "keep")
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), _own_id().alias("own"), F.col("doc_id").cast("long").isNull().alias("none"), F.xxhash64(F.col("text").cast("string")).alias("th"))
+    here = rows.join(ids, (F.col("own") == F.col("keep_id")) & (F.col("none") == F.col("keep_none")), "left_semi")
+    once = Window.partitionBy("own", "none").orderBy("th")
+    return here.withColumn("nth", F.row_number().over(once)).filter("nth = 1").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,8 +80,23 @@ def test_batches_of_a_few_rows(spark):
 def test_repeated_ids_and_dedup(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (3, "x y z q r s"), (4, None), (5, None), (None, "a b c d e f")]
     df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _once int")
-    got = deduplicated(df.withColumnRenamed("_once", "extra"))
-    assert got.columns == ["doc_id", "text", "extra"] and sorted(r.doc_id for r in got.collect()) == [1, 3, 4, 5]
+    got = deduplicated(df)
+    assert got.columns == ["doc_id", "text", "_once"] and sorted(r.doc_id for r in got.collect()) == [1, 3, 4, 5]
+    for name in ("own", "none", "ROW", "nth", "keep_id", "id", "a.b"):
+        got = deduplicated(df.withColumnRenamed("_once", name))
+        assert got.columns == ["doc_id", "text", name] and sorted(r.doc_id for r in got.collect()) == [1, 3, 4, 5]
+
+
+def test_ids_of_any_size(spark):
+    """Ids of 64-bit hashes, above and below 2**62 and negative, beside rows without an id."""
+    big, w = 1 << 62, [f"w{i}" for i in range(60)]
+    rows = [(big + 5, " ".join(w[:20])), (big + 6, " ".join(w[:20]) + " x"), ((1 << 63) - 1, " ".join(w[20:40])), (-(1 << 63), ""), (-7, " ".join(w[40:])), (big + 9, " ".join(w[40:]))]
+    for more in ([], [(None, " ".join(w[:20])), (None, " ".join(w[20:40])), (None, "no id at all"), (None, "no id at all")]):
+        df = spark.createDataFrame(rows + more, "doc_id long, text string")
+        assert sorted((tuple(r) for r in classes(df, 3, 90).collect()), key=str) == brute(rows + more, 3, 90)
+        kept = sorted(r.doc_id for r in deduplicated(df, 3, 90).collect() if r.doc_id is not None)
+        assert kept == [-(1 << 63), -7, big + 5, (1 << 63) - 1]
+        assert deduplicated(df, 3, 90).filter("doc_id is null").count() == (1 if more else 0)
 
 
 def test_empty_table(spark):
