@@ -267,8 +267,9 @@ def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: i
 
 def tiff_pages(df: DataFrame, media: str = "media", max_page_bytes: int = MAX_PAGE_BYTES) -> DataFrame:
     """One row per page of the TIFF in column media: the table's other columns, then those of PAGE."""
-    others = [c for c in df.columns if c != media and c.lower() not in PAGE.names]
-    schema = T.StructType([*(df.schema[c] for c in others), *PAGE.fields])
+    names = [c for c in df.columns if c != media and c.lower() not in PAGE.names]
+    others = [f"_{i}" for i in range(len(names))]  # mapInArrow can't take every name, such as one with a dot
+    schema = T.StructType([*(T.StructField(o, df.schema[c].dataType) for o, c in zip(others, names)), *PAGE.fields])
 
     def rows(data: bytes) -> Iterator[tuple]:
         try:
@@ -282,7 +283,7 @@ def tiff_pages(df: DataFrame, media: str = "media", max_page_bytes: int = MAX_PA
             out: list[list] = [[] for _ in PAGE.names]
             source: list[int] = []
             size = 0
-            for i, value in enumerate(batch.column(media)):
+            for i, value in enumerate(batch.column("_media")):
                 if not value.is_valid:
                     continue
                 for row in rows(value.as_py()):
@@ -295,7 +296,7 @@ def tiff_pages(df: DataFrame, media: str = "media", max_page_bytes: int = MAX_PA
                         out, source, size = [[] for _ in PAGE.names], [], 0
             yield _rows(batch, others, source, out)
 
-    return df.select(*(f"`{c}`" for c in others), f"`{media}`").mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(names, others)), F.col(f"`{media}`").alias("_media")).mapInArrow(run, schema).toDF(*names, *PAGE.names)
 
 
 def _rows(batch: pa.RecordBatch, others: list[str], source: list[int], out: list[list]) -> pa.RecordBatch:
