@@ -400,7 +400,7 @@ def pages_of(archive_path: str, spark: SparkSession) -> DataFrame:
     responses = plain.select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
     again = archive.schema("record_type string, record_id string, refers_to string, payload_digest string, payload_bytes long").load(archive_path).filter("record_type = 'revisit'")
     revisits = again.select("record_id", "refers_to", F.regexp_replace("payload_digest", "^sha1:", "").alias("stated"), F.col("payload_bytes").alias("stated_bytes"))
-    there = responses.select(F.col("record_id").alias("target"), F.col("payload_bytes").alias("found_bytes"), F.col("payload_digest").alias("found"))
+    there = responses.select(F.col("record_id").alias("target"), F.col("payload_bytes").alias("found_bytes"), F.col("payload_digest").alias("found")).dropDuplicates(["target", "found"])
     told = revisits.join(there, (F.col("refers_to") == F.col("target")) & (F.col("stated") == F.col("found")), "left")
     same = responses.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
     return same.unionByName(told.select(number("record_id").alias("page_id"), F.coalesce("found_bytes", "stated_bytes").alias("payload_bytes"), F.coalesce("found", "stated").alias("payload_digest"), F.lit("revisit").alias("record_type"), number("refers_to").alias("refers_to")))
