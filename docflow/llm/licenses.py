@@ -183,6 +183,7 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     # Exploded so that the lines are computed once, not in each use.
     docs = docs.filter(text.isNotNull()).select(F.monotonically_increasing_id().alias("row"), key, F.explode_outer(F.array(F.transform(F.split(ascii_lower(text), "\n"), line))).alias("lines"))
     docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.arrays_overlap(x["words"], gate)))).alias("passes"))
+    docs = docs.filter(F.exists("passes", lambda x: x) | F.exists("lines", lambda x: x["marked"]))  # no other text has a paragraph
     at = F.sequence(F.lit(0), F.size("lines") - 1)
     lines = F.transform(F.filter(at, lambda i: F.get("passes", i) | F.get("lines", i)["marked"]), lambda i: F.struct(i.alias("first"), i.alias("last"), F.get("lines", i)["marked"].alias("marked"), F.get("lines", i)["words"].alias("words")))
     spans = F.transform(at, lambda i: F.struct(i.alias("first"), length(F.col("lines"), i).alias("k")))
