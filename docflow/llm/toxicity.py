@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, LOWER, U64, blocks, held_out, mix, table, word_hashes, words
+from .common import ALNUM_WORDS, LOWER, U64, blocks, held_out, mix, stored, table, word_hashes, words
 
 SAMPLE_ROWS = 24_000
 BITS = 20
@@ -46,7 +46,7 @@ def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterato
         packed |= padded[starts + i].astype(U64) << U64(8 * i)
         if i + 1 in PREFIXES:
             longer = np.flatnonzero(ends - starts > i + 1)
-            yield longer, (mix(packed[longer] + U64(i) * U64(0x9E3779B97F4A7C15)) >> U64(64 - BITS)).astype(np.int64)
+            yield longer, (mix(packed[longer] + U64(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> U64(64 - BITS)).astype(np.int64)
 
 
 def sentences(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -131,7 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
     if n > sample_rows:  # a bounded number of ids, so they may be broadcast
         y = y.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
 
-    sample = docs.join(F.broadcast(y), "doc_id").select("doc_id", "text", "y")
+    # Rows that are the same count once, and texts of one id are few, or fewer are taken, by their hash.
+    sample = stored(docs.join(F.broadcast(y), "doc_id").select("doc_id", "text", "y").dropDuplicates(["doc_id", "text"]), "toxicity-sample")
+    rows = sample.count()
+    if rows > 2 * sample_rows:
+        sample = sample.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit("row")), F.lit(1 << 30)) < int((1 << 30) * 2 * sample_rows / rows))
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros((2, 1 << BITS), np.int64)
@@ -144,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
         some = np.flatnonzero(count.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(count[0, some], pa.int64()), pa.array(count[1, some], pa.int64())], ["bucket", "negative", "positive"])
 
-    size = docs.select("doc_id").join(F.broadcast(y), "doc_id").agg(F.count(F.lit(1)), F.count_if(F.col("y") >= 0.5)).first()
+    size = sample.agg(F.count(F.lit(1)), F.count_if(F.col("y") >= 0.5)).first()
     if not size[1] or size[0] == size[1]:
         return Model(np.zeros(1 << BITS), -20.0, constant=float(size[1] / size[0]) if size[0] else 0.5)
     df = sample.mapInArrow(frequency, "bucket int, negative long, positive long").groupBy("bucket").agg(F.sum("negative").alias("n"), F.sum("positive").alias("p"))
@@ -168,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int32())], ["doc_id", "y", "bucket", "sentence", "n"])
 
     rows = sample.mapInArrow(bags, "doc_id long, y double, bucket binary, sentence binary, n int").toPandas().sort_values(["doc_id", "bucket"], kind="stable", ignore_index=True)
-    later = rows["doc_id"].to_numpy() * 0x9E3779B1 % 4 == 1  # a quarter of the sample calibrates the rest
+    later = mix(rows["doc_id"].to_numpy().astype(np.int64).view(U64)) % U64(4) == 1  # a quarter of the sample calibrates the rest
     if not 0 < (rows["y"][~later] >= 0.5).sum() < (~later).sum():
         later[:] = False
     part = rows[~later]

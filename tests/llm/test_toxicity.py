@@ -52,3 +52,54 @@ def test_noisy_or_blames_the_sentence():
     bucket = np.where((sentence % 2 == 0) & (doc < 8), 1, 0)
     w, bias = train_noisy_or(bucket, sentence, doc, (np.arange(20) < 8).astype(float), 2)
     assert w[1] + bias > 1 and w[0] + bias < -1
+
+
+def test_query_against_plain_scoring(spark, tmp_path):
+    """Scores of the query equal noisy-or over sentences written plainly, word by word, with the weights that fit() learns."""
+    import re
+    import zlib
+
+    from docflow.llm import toxicity
+
+    docs, labels = tables(spark, 200)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+
+    def buckets(word):
+        data, offs = utf8(pa.array([word]))
+        return sentences(data, offs)[0]
+
+    def score(text):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        none = 1.0
+        for part in re.split(r"[.!?\n]", low):
+            found = re.findall(r"[0-9a-z\x80-\U0010ffff]+", part)
+            if found:
+                z = model.bias + sum(model.weights[b] for w in found for b in buckets(w))
+                none *= 1 / (1 + np.exp(np.clip(z, -700, 700)))
+        total = np.clip(-np.log(max(none, 1e-300)), 1e-6, 50)
+        logit = total if total > 30 else np.log(np.expm1(total))
+        return 1 / (1 + np.exp(-np.clip(model.slope * logit + model.shift, -50, 50)))
+
+    got = [r for r in toxicity.op3_toxicity(spark, str(tmp_path)).collect()]
+    want = {r.doc_id: score(r.text) for r in docs.filter("length(text) < 10000 or text is null").collect()}
+    assert len(got) == docs.count()
+    for r in got:
+        if r.doc_id in want:
+            assert abs(r.score - want[r.doc_id]) < 1e-6 and r.predicted == (r.score >= 0.3)
+            assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_ids_of_one_remainder_and_repeated_rows(spark):
+    """Ids that are all multiples of 4 still leave a part to calibrate on; rows that repeat count once in the fit."""
+    from docflow.llm import toxicity
+    from pyspark.sql import functions as F
+
+    docs, labels = tables(spark, 240)
+    four = lambda df: df.filter("doc_id < 240").withColumn("doc_id", F.col("doc_id") * 4)
+    model = toxicity.fit(four(docs).select("doc_id", "text"), four(labels))
+    assert (model.slope, model.shift) != (1.0, 0.0)
+    many = four(docs).unionByName(four(docs).filter("doc_id = 12").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("n"))
+    again = toxicity.fit(many.select("doc_id", "text"), four(labels))
+    assert np.allclose(model.weights, again.weights) and model.slope == again.slope
