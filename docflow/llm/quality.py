@@ -141,18 +141,21 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled(rows: DataFrame, labels: DataFrame, label: str, sample_rows: int) -> DataFrame:
-    """rows with y, the mean label of their doc_id: those not held out, at most about sample_rows by a hash of doc_id."""
+    """rows with y, the mean label of their doc_id: those not held out, at most about sample_rows by a hash of doc_id. Rows of one
+    doc_id and text count once; where ids have so many texts that the rows exceed twice sample_rows, some are taken by a hash."""
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).filter("doc_id is not null and y is not null")
     y = y.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("y").alias("y"))
     n = y.count()
     if n > sample_rows:
         y = y.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
-    return rows.join(y, "doc_id")
+    found = stored(rows.join(y, "doc_id").dropDuplicates(["doc_id", "key"]), "labelled")
+    n = found.count()
+    return found if n <= 2 * sample_rows else found.filter(F.pmod(F.xxhash64("doc_id", "key", F.lit("row")), F.lit(1 << 30)) < int((1 << 30) * 2 * sample_rows / n))
 
 
 def fit(vecs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, features: int = FEATURES, seed: int = 1) -> Model:
     train = labelled(vecs, labels, label, sample_rows).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(SUMS)).cast("int")).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
-    train = stored(train, "quality-train")
+    train = stored(train, "quality-train")  # cut off from its inputs: three passes read it
 
     def moments(rows: pa.Table) -> pa.Table:
         x = _matrix(rows.column("stats").combine_chunks())
