@@ -25,9 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset and Spark runs on this machine alone, a
+    temporary folder is set. On a cluster an unset folder is an error, as executors would not see a folder of the driver's."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is unset on {master}; set it to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='docflow-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -147,7 +151,11 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         np.cumsum(lens[:-1], out=first[1:])
         place = np.arange(int(lens.sum())) - np.repeat(first, lens)
         chars = data[place + np.repeat(starts[i:j], lens)].astype(U64) + U64(1)
-        out[i:j] = np.add.reduceat(chars * _POWERS[place & 0xFFFF], first) + lens.astype(U64)
+        weights = _POWERS[place & 0xFFFF]
+        far = np.flatnonzero(place > 0xFFFF)  # in a very long word every part of 65,536 bytes has weights of its own
+        if len(far):
+            weights[far] = mix(weights[far] + (place[far] >> 16).astype(U64) * U64(0xD6E8FEB86659FD93)) | U64(1)
+        out[i:j] = np.add.reduceat(chars * weights, first) + lens.astype(U64)
         i = j
     return mix(out)
 
