@@ -19,7 +19,7 @@ shorter), in lower case. A line goes if an earlier line, in order of (doc_id, te
 
 A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
 and its count come from a sum with partial sums, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
-hot. Words are hashed to 16 characters each, so that a shingle is a cut of 16 * k bytes, hashed as a whole.
+hot. A shingle's hash runs over its words, so that no shingle is ever made as a text.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
 (BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64 (the order by 56).
@@ -72,30 +72,30 @@ def identities(docs: DataFrame) -> DataFrame:
     return stored(first.select("h1", "h2", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at"), F.col("at.s").alias("s")), "identities", compression="zstd")
 
 
-def _hashed(lines: DataFrame) -> DataFrame:
-    """lines with hashes, 16 bytes for each word, in place of s."""
-    word = lambda w: F.lpad(F.hex(F.xxhash64(w)), 16, "0")
-    return lines.select(*(c for c in lines.columns if c != "s"), F.array_join(F.transform(F.split("s", " "), word), "").cast("binary").alias("hashes"))
+def _worded_lines(lines: DataFrame) -> DataFrame:
+    """lines with words, an array, in place of s; exploded so that they are cut once, not in each use."""
+    return lines.select(*(c for c in lines.columns if c != "s"), F.explode_outer(F.array(F.split("s", " "))).alias("words"))
 
 
 def _places(k: int) -> Column:
     """Where shingles begin: one at least."""
-    return F.sequence(F.lit(1), F.greatest(F.octet_length("hashes") - (16 * k - 1), F.lit(1)), F.lit(16))
+    return F.sequence(F.lit(0), F.greatest(F.size("words") - k, F.lit(0)))
 
 
 def _shingle(place: Column, k: int) -> Column:
-    return F.xxhash64(F.substring("hashes", place, F.lit(16 * k)))
+    """The hash of k words from a place on, or of all, where there are fewer."""
+    return F.xxhash64(*(F.get("words", place + i) for i in range(k)))
 
 
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
     """lines with tokens, the distinct hashes of a line's shingles, in place of s."""
-    hashed = _hashed(lines)
-    return hashed.select(*(c for c in hashed.columns if c != "hashes"), F.array_distinct(F.transform(_places(k), lambda i: _shingle(i, k))).alias("tokens"))
+    cut = _worded_lines(lines)
+    return cut.select(*(c for c in cut.columns if c != "words"), F.array_distinct(F.transform(_places(k), lambda i: _shingle(i, k))).alias("tokens"))
 
 
 def levels(lines: DataFrame, k: int) -> list[int]:
     """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean, below 128."""
-    shingles = _hashed(lines.select("s")).select("hashes", F.explode_outer(_places(k)).alias("i")).select(_shingle(F.col("i"), k).alias("t"))
+    shingles = _worded_lines(lines.select("s")).select("words", F.explode_outer(_places(k)).alias("i")).select(_shingle(F.col("i"), k).alias("t"))
     count = shingles.groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
     mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
     out = [0] * (1 << 16)
@@ -118,7 +118,7 @@ def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
     """(token, h1, doc, n, pos, q, lines, pivot) of the first tokens that lines share: q is how many the line h1 shares, lines
     how many lines the token has, pivot the earliest (by document) of them."""
     by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
-    level = lambda t: F.coalesce(F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int")), F.lit(0).cast("long"))
+    level = lambda t: F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int"))
     key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
     ranked = _tokens(lines.select("h1", F.struct("at.no_id", "at.doc").alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
     n = F.size("sorted")
