@@ -17,7 +17,8 @@ confirmed, of any); of overlapping windows of one family the best stays; a line
 A window is named by its first line.
 
 Scoring: paragraphs without any word of Model.gate are passed over; without one, a probability of ``unknown`` or a
-share of ``confirm`` is out of reach, which the model computes from its weights. The n-grams of the rest meet the broadcast
+share of ``confirm`` is out of reach, which the model computes from its weights. N-grams are hashed once a line and only the
+model's kept, of which windows are put together, with the pairs across the ends of lines. They meet the broadcast
 weights, and sums by paragraph are shuffled.
 
 Defined results: a null or empty text has no paragraphs; repeated rows of one doc_id and text are scored as one and give a
@@ -166,48 +167,75 @@ class Model:
             gate |= set(parts[max(light, key=lambda i: self.weights[i].max())])
 
 
-def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, key, first, last, marked, words) of the paragraphs with a marker or a word of the gate; first and last are lines."""
+def gram_hashes(spark: SparkSession, model: Model) -> dict[str, int]:
+    """The hash of every n-gram of the model (as many as its templates have), and of "", which stands for a paragraph."""
+    gram = F.col("gram")
+    at = F.when(gram.startswith("= ") | (gram == ""), F.xxhash64(gram)).otherwise(F.xxhash64(F.get(F.split(gram, " "), F.lit(0)), F.get(F.split(gram, " "), F.lit(1))))
+    return {r["gram"]: r["at"] for r in spark.createDataFrame([(g,) for g in ["", *model.grams]], "gram string").select("gram", at.alias("at")).collect()}
+
+
+def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFrame:
+    """(row, key, first, last, marked, grams) of the paragraphs with a marker or a word of the gate; first and last are lines,
+    grams the hashes of n-grams, once each, those of the model among them."""
     text = F.col("text").cast("string")
-    gate = F.lit(model.gate)
+    longs = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
+    gate, known = longs(hashes[w] for w in model.gate), longs(hashes[g] for g in model.grams)
 
     def line(s):
-        words = F.filter(F.split(s, _WORD, -1), lambda w: w != "")
-        return F.struct(words.alias("words"), s.rlike(MARKERS).alias("marked"), F.when(F.btrim(s, F.lit(" \t\r\f\v")) == "", 0).otherwise(F.greatest(F.size(words), F.lit(1))).alias("n"))
+        blank = F.btrim(s, F.lit(" \t\r\f\v")) == ""
+        return F.struct(F.array_remove(F.split(s, _WORD, -1), "").alias("words"), s.rlike(MARKERS).alias("marked"), blank.alias("blank"))
+
+    def pairs(a, b):  # the last has none after it: its hash is that of a word
+        return F.zip_with(a, F.slice(a, F.lit(2), F.size(a)), b)
+
+    def features(x):
+        words = x["words"]
+        grams = F.concat(F.transform(words, lambda w: F.xxhash64(w)), pairs(words, lambda v, w: F.xxhash64(v, w)))
+        n = F.when(x["blank"], 0).otherwise(F.greatest(F.size(words), F.lit(1)))
+        return F.struct(F.array_intersect(grams, known).alias("grams"), F.when(F.size(words) <= NAME_WORDS, words).alias("few"), F.get(words, F.lit(0)).alias("head"), F.get(words, F.size(words) - 1).alias("tail"), F.size(words).alias("size"), x["marked"].alias("marked"), n.alias("n"))
+
+    def whole(words):  # null, if there are more
+        return F.when(F.size(words) <= NAME_WORDS, F.array(F.xxhash64(F.concat(F.lit("= "), F.array_join(words, " ")))))
 
     def length(lines, i):  # lines of the window that begins at line i
         step = lambda a, x: F.when(a["stop"] | (x["n"] == 0), F.struct(a["k"].alias("k"), a["n"].alias("n"), F.lit(True).alias("stop"))).otherwise(F.struct((a["k"] + 1).alias("k"), (a["n"] + x["n"]).alias("n"), (a["n"] + x["n"] >= WINDOW).alias("stop")))
         return F.aggregate(F.slice(lines, i + 1, F.lit(WINDOW)), F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(False).alias("stop")), step, lambda a: a["k"])
 
     key = F.struct("doc_id", F.xxhash64(text).alias("th")).alias("key")
+    none = F.array().cast("array<bigint>")
     # Exploded so that the lines are computed once, not in each use.
-    docs = docs.filter(text.isNotNull()).select(F.monotonically_increasing_id().alias("row"), key, F.explode_outer(F.array(F.transform(F.split(ascii_lower(text), "\n"), line))).alias("lines"))
-    docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.arrays_overlap(x["words"], gate)))).alias("passes"))
+    docs = docs.filter(text.isNotNull()).select(F.monotonically_increasing_id().alias("row"), key, F.explode_outer(F.array(F.transform(F.split(ascii_lower(text), "\n"), line))).alias("cut"))
+    docs = docs.select("row", "key", F.explode_outer(F.array(F.transform("cut", features))).alias("lines"))
+    docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.arrays_overlap(x["grams"], gate)))).alias("passes"))
     docs = docs.filter(F.exists("passes", lambda x: x) | F.exists("lines", lambda x: x["marked"]))  # no other text has a paragraph
     at = F.sequence(F.lit(0), F.size("lines") - 1)
-    lines = F.transform(F.filter(at, lambda i: F.get("passes", i) | F.get("lines", i)["marked"]), lambda i: F.struct(i.alias("first"), i.alias("last"), F.get("lines", i)["marked"].alias("marked"), F.get("lines", i)["words"].alias("words")))
+    named = lambda x: F.concat(x["grams"], F.coalesce(whole(x["few"]), none))
+    lines = F.transform(F.filter(at, lambda i: (F.get("passes", i) | F.get("lines", i)["marked"]) & (F.get("lines", i)["size"] > 0)), lambda i: F.struct(i.alias("first"), i.alias("last"), F.get("lines", i)["marked"].alias("marked"), named(F.get("lines", i)).alias("grams")))
     spans = F.transform(at, lambda i: F.struct(i.alias("first"), length(F.col("lines"), i).alias("k")))
     spans = F.filter(spans, lambda w: (w["k"] > 1) & F.exists(F.slice("passes", w["first"] + 1, w["k"]), lambda x: x))
-    windows = F.transform(spans, lambda w: F.struct(w["first"].alias("first"), (w["first"] + w["k"] - 1).alias("last"), F.lit(False).alias("marked"), F.flatten(F.transform(F.slice("lines", w["first"] + 1, w["k"]), lambda x: x["words"])).alias("words")))
-    return docs.select("row", "key", F.explode(F.concat(lines, windows)).alias("p")).select("row", "key", "p.*").filter(F.size("words") > 0)
+
+    def joined(own):  # grams of lines together: theirs, those across their ends, and the whole of them
+        across = pairs(F.filter(own, lambda x: x["size"] > 0), lambda a, b: F.xxhash64(a["tail"], b["head"]))
+        few = F.when(F.forall(own, lambda x: x["size"] <= NAME_WORDS), F.flatten(F.transform(own, lambda x: x["few"])))
+        return F.array_distinct(F.concat(F.flatten(F.transform(own, lambda x: x["grams"])), across, F.coalesce(whole(few), none)))
+
+    windows = F.transform(spans, lambda w: F.struct(w["first"].alias("first"), (w["first"] + w["k"] - 1).alias("last"), F.lit(False).alias("marked"), joined(F.slice("lines", w["first"] + 1, w["k"])).alias("grams")))
+    return docs.select("row", "key", F.explode(F.concat(lines, windows)).alias("p")).select("row", "key", "p.*")
 
 
 def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(key, paragraph, family, probability, confirmed) of every paragraph of a family or with a marker word."""
     model = model or Model()
     spark = docs.sparkSession
-    words = F.col("words")
-    pairs = F.when(F.size(words) > 1, F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)))
-    none = F.array().cast("array<string>")
-    whole = F.when(F.size(words) <= NAME_WORDS, F.array(F.concat(F.lit("= "), F.array_join(words, " "))))
-    grams = F.concat(F.array_distinct(F.concat(words, F.coalesce(pairs, none))), F.coalesce(whole, none), F.array(F.lit("")))  # "" stands for the paragraph
-    known = paragraphs(docs, model).select("row", "key", "first", "last", "marked", F.explode(grams).alias("gram"))
-    rows = [(g, [float(v) for v in model.weights[i]], [k for k, (_, t, _) in enumerate(model.templates) if g in t]) for i, g in enumerate(model.grams)]
-    rows.append(("", [0.0] * len(model.families), []))
-    weights = F.broadcast(spark.createDataFrame(rows, "gram string, weights array<double>, templates array<int>"))  # as many rows as the templates have n-grams
+    hashes = gram_hashes(spark, model)
+    grams = F.concat("grams", F.array(F.lit(hashes[""])))  # a row for the paragraph too
+    known = paragraphs(docs, model, hashes).select("row", "key", "first", "last", "marked", F.explode(grams).alias("gram"))
+    rows = [(hashes[g], [float(v) for v in model.weights[i]], [k for k, (_, t, _) in enumerate(model.templates) if g in t]) for i, g in enumerate(model.grams)]
+    rows.append((hashes[""], [0.0] * len(model.families), []))
+    weights = F.broadcast(spark.createDataFrame(rows, "gram long, weights array<double>, templates array<int>"))  # as many rows as the templates have n-grams
     n, m = len(model.families), len(model.templates)
     sums = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(n)] + [F.count_if(F.array_contains("templates", k)).alias(f"t{k}") for k in range(m)]
-    scored = known.join(weights, "gram").groupBy("row", "key", "first", "last", "marked").agg(F.count_if(F.col("gram") != "").alias("n"), *sums)
+    scored = known.join(weights, "gram").groupBy("row", "key", "first", "last", "marked").agg(F.count_if(F.col("gram") != hashes[""]).alias("n"), *sums)
     p = [F.struct((1 / (1 + F.exp(-(F.col(f"w{i}") / F.sqrt(F.greatest("n", F.lit(1))) + float(model.bias[i]))))).alias("p"), F.lit(-i).alias("order"), F.lit(f).alias("family"), F.greatest(*(F.col(f"t{k}") / float(size) for k, (g, _, size) in enumerate(model.templates) if g == f), F.lit(0.0)).alias("share")) for i, f in enumerate(model.families)]
     scored = scored.select("key", "first", "last", "marked", F.explode_outer(F.array(F.array(*p))).alias("all"))
     best = F.array_max("all")
