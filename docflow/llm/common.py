@@ -58,6 +58,25 @@ def without(docs: DataFrame, bad: DataFrame, tag: str) -> DataFrame:
     return docs.join(bad, own.eqNullSafe(bad["bad_id"]) & by_text(own, F.xxhash64(docs["text"].cast("string"))).eqNullSafe(bad["bad_key"]), "left_anti")
 
 
+HOT = 1024
+
+
+def joined(rows: DataFrame, few: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """The inner join of rows with few, a stored table of a row for each key, whose column weight counts the rows that have it. Keys
+    that more than one row in HOT has are HOT at most; they are broadcast, so that no task gathers their rows."""
+    total = few.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight).cast("decimal(38,0)") * HOT > F.lit(total).cast("decimal(38,0)")
+    hot = few.filter(is_hot)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(few.filter(~is_hot), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
+def finite(column: Column) -> Column:
+    """Whether an array of doubles is there and holds no null and no non-finite value."""
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    return column.isNotNull() & ~F.exists(column, bad)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model learns from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
