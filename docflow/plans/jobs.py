@@ -19,7 +19,7 @@ from ..operators.pages import best_reading, document_markdown, docx_paragraphs,
 from ..operators.translate import translate_markdown, translate_pages
 from ..schema import BLOCK_CACHE, DOCX, STEP1, TRANSLATION
 from ..sources import files as sources
-from ..sources.sinks import docx_files, quarantine, remove_files, write_files
+from ..sources.sinks import docx_files, forget, quarantine, recover, remove_files, write_errors, write_files, write_with_outcome
 
 Store = Callable[[DataFrame], DataFrame]
 
@@ -35,6 +35,7 @@ def _step(ddl: str, **values):
 
 def extract(spark: SparkSession, config: Config, registry_path: str, store: Store, engine: str = "pdf", ocr: str = "blank", force: bool = False, only: str | None = None, limit: int | None = None) -> DataFrame:
     """Files of the source folder to Markdown files and their registry entries: text layer, or OCR where that is nearly empty."""
+    log = _log(spark, registry_path)
     found = sources.with_sha(sources.scan(spark, config.source_dir, only=only))
     known = store(registry.upsert(registry.load(spark, registry_path), found))
     work = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), registry.is_pending(F.col("step1.status"), force), limit)
@@ -59,34 +60,44 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
     name = safe_name(F.col("original_name"))
     md = md.withColumns({"lang": F.when(F.col("mode") == "ocr", F.coalesce(detect(without_comments(F.col("md"))), "lang")).otherwise(F.col("lang")), "rel": F.concat(name, F.lit("/"), name, F.lit(".md"))})
     md = store(md)
-    store(write_files(md.filter("md is not null"), config.step1_md_dir, "rel", "md"))
+    unwritten = write_errors(write_with_outcome(md.filter("md is not null"), config.step1_md_dir, log, path="rel", content="md"), "write_error")
     folder = config.settings["paths"]["step1_md_dir"]
     images_dir = F.concat(name, F.lit(f"/{config.images_subdir}"))
     if config.extract_images:  # of documents whose text layer is taken; those that are read by OCR get no pictures
         wanted = md.filter("mode = 'text' and md is not null").select("sha256", images_dir.alias("dir"))
         pictures = sources.images(content.join(wanted, "sha256", "left_semi"), engine).join(wanted, "sha256")
-        written = store(write_files(pictures.withColumn("rel", F.concat("dir", F.lit("/"), "name")), config.step1_md_dir, "rel"))
-        counted = written.filter("error is null").groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir")).agg(F.count(F.lit(1)).cast("int").alias("images"))
-        md = md.join(wanted.join(counted, "dir").select("sha256", "images"), "sha256", "left")
+        written = write_with_outcome(pictures.withColumn("rel", F.concat("dir", F.lit("/"), "name")), config.step1_md_dir, log, path="rel")
+        counted = written.filter("error is null").groupBy(F.col("key").alias("sha256")).agg(F.count(F.lit(1)).cast("int").alias("images"))
+        md = md.join(counted, "sha256", "left").join(write_errors(written, "image_error"), "sha256", "left")
     else:
-        md = md.withColumn("images", F.lit(None).cast("int"))
-    md = md.join(unread, "sha256", "left")
+        md = md.withColumns({"images": F.lit(None).cast("int"), "image_error": F.lit(None).cast("string")})
+    md = md.join(unread, "sha256", "left").join(unwritten, "sha256", "left")
     now = timestamp_text(F.current_timestamp())
-    failed = F.col("md").isNull()
+    md = md.withColumn("error", F.coalesce("read_error", F.when(F.col("md").isNull(), "no page could be read"), "write_error", "image_error"))
+    failed = F.col("error").isNotNull()
     images = F.coalesce("images", F.lit(0))
     step1 = _step(
-        STEP1, status=F.when(failed, "error").otherwise("done"), md_relpath=F.when(~failed, F.concat(F.lit(folder + "/"), "rel")), images_dir_relpath=F.when(images > 0, F.concat(F.lit(folder + "/"), images_dir)), image_count=images, dropped_foreign_paragraphs=F.when(~failed, F.col("dropped")), mode=F.col("mode"), at=now, error=F.when(failed, F.coalesce("read_error", F.lit("no page could be read")))
+        STEP1, status=F.when(failed, "error").otherwise("done"), md_relpath=F.when(~failed, F.concat(F.lit(folder + "/"), "rel")), images_dir_relpath=F.when(images > 0, F.concat(F.lit(folder + "/"), images_dir)), image_count=images, dropped_foreign_paragraphs=F.when(~failed, F.col("dropped")), mode=F.col("mode"), at=now, error=F.col("error")
     )
     done = md.select(F.col("sha256").alias("_sha"), step1.alias("_step1"), F.col("page_count").alias("_pages"), F.col("has_pictures").alias("_pics"), F.col("lang").alias("_lang"), F.col("text_layer_chars").alias("_chars"))
     out = known.join(done, known["sha256"] == done["_sha"], "left")
     out = out.withColumns({"step1": F.coalesce("_step1", "step1"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang"), "text_layer_chars": F.coalesce("_chars", "text_layer_chars")})
     registry.save(out.select(*known.columns), registry_path)
+    forget(spark, log)
     return registry.load(spark, registry_path)
 
 
+def _log(spark: SparkSession, registry_path: str) -> str:
+    """Where a registry's jobs keep the manifests of their writes; writes that a lost run left half done are completed first."""
+    log = f"{registry_path}-writes"
+    recover(spark, log)
+    return log
+
+
 def translate(spark: SparkSession, config: Config, registry_path: str, cache_path: str, store: Store, engine: str, force: bool = False, only: str | None = None, limit: int | None = None, **options) -> DataFrame:
     """Markdown of step 1 to translated Markdown. The block cache is appended to slice by slice, so that a later run goes on where
     this one ends or is lost."""
+    log = _log(spark, registry_path)
     reg = registry.load(spark, registry_path)
     entries = registry.only(reg, only) if only else reg
     step = F.col("translation_md.status")
@@ -103,13 +114,15 @@ def translate(spark: SparkSession, config: Config, registry_path: str, cache_pat
     from ..operators.translate import header
 
     made = store(out.join(docs.select("sha256", "original_name", "rel", "base", "md").withColumnRenamed("md", "source").withColumnRenamed("base", "name"), "sha256").withColumn("at", now))
-    good = made.filter("error is null").select(F.concat("name", F.lit("/"), "name", F.lit(".he.md")).alias("path"), F.concat(header(F.col("original_name"), engine, F.current_timestamp(), F.col("rel")), F.col("md")).alias("content"))
-    store(write_files(good, config.translated_md_dir))
+    good = made.filter("error is null").select("sha256", F.concat("name", F.lit("/"), "name", F.lit(".he.md")).alias("path"), F.concat(header(F.col("original_name"), engine, F.current_timestamp(), F.col("rel")), F.col("md")).alias("content"))
+    unwritten = write_errors(write_with_outcome(good, config.translated_md_dir, log), "write_error")
+    made = made.join(unwritten, "sha256", "left").withColumn("error", F.coalesce("error", "write_error"))
     folder = config.settings["paths"]["translated_md_dir"]
     ok = F.col("error").isNull()
     result = made.select("sha256", _step(TRANSLATION, status=F.when(ok, "done").otherwise("error"), translated_md_relpath=F.when(ok, F.concat(F.lit(folder + "/"), "name", F.lit("/"), "name", F.lit(".he.md"))), source_md_relpath=F.col("rel"), engine=F.lit(engine), target_language=F.lit(config.target_language), at=F.col("at"), error=F.col("error"), partial_blocks_done=F.when(~ok, F.col("blocks_done"))).alias("translation_md"))
     skipped = due.filter(here).select("sha256", _step(TRANSLATION, status=F.lit("already_hebrew"), source_md_relpath=F.col("rel"), at=now).alias("translation_md"))
     registry.save(registry.merge_step(reg, result.unionByName(skipped), "translation_md"), registry_path)
+    forget(spark, log)
     return registry.load(spark, registry_path)
 
 
@@ -158,6 +171,7 @@ def translate_docx(spark: SparkSession, config: Config, registry_path: str, stor
     """Files of the source folder to DOCX files of their translated pages, with the original beside them. Contents that have
     an outcome are passed over, but for errors if they are reset. A document in the target language is only copied; one
     whose pages can't be read or translated moves to the error folder."""
+    log = _log(spark, registry_path)
     reg = registry.load(spark, registry_path)
     found = store(sources.with_sha(sources.scan(spark, config.source_dir, only=only)))
     known = store(registry.upsert(reg, found))
@@ -181,8 +195,10 @@ def translate_docx(spark: SparkSession, config: Config, registry_path: str, stor
     label = lambda text, c: F.concat(F.lit(f"{text}: "), F.coalesce(c.cast("string"), F.lit("")))
     meta = F.array(label("original", F.col("original_name")), label("language", F.col("lang")), label("pages", F.col("page_count")), label("pictures", F.col("has_pictures")), label("at", F.col("at")))
     made = docx_files(good.select("sha256", stem(F.col("original_name")).alias("title"), meta.alias("meta"), F.col("docx").alias("path")), docx_paragraphs(translated))
-    store(write_files(made, config.translated_dir))
-    store(write_files(content.join(done.filter("status <> 'error'").select("sha256", "copy"), "sha256"), config.translated_dir, "copy"))
+    wrote = write_errors(write_with_outcome(made, config.translated_dir, log), "docx_error")
+    copied = write_errors(write_with_outcome(content.join(done.filter("status <> 'error'").select("sha256", "copy"), "sha256"), config.translated_dir, log, path="copy"), "copy_error")
+    done = done.join(wrote, "sha256", "left").join(copied, "sha256", "left").withColumn("error", F.coalesce("error", "docx_error", "copy_error"))
+    done = store(done.withColumn("status", F.when(F.col("error").isNotNull(), "error").otherwise(F.col("status"))).drop("docx_error", "copy_error"))
     moved = store(quarantine(content, done, config.error_dir))
     store(remove_files(moved, config.source_dir))
     ok = F.col("status") != "error"
@@ -192,6 +208,7 @@ def translate_docx(spark: SparkSession, config: Config, registry_path: str, stor
     out = known.join(result, known["sha256"] == result["_sha"], "left")
     out = out.withColumns({"translation_docx": F.coalesce("_docx", "translation_docx"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang")})
     registry.save(out.select(*known.columns), registry_path)
+    forget(spark, log)
     return registry.load(spark, registry_path)
 
 
