@@ -1,16 +1,21 @@
 """Ranked lexical search: the highest-scoring documents of every item, by the three phases of TPUT over postings by term.
 
 Postings are laid out by term and falling contribution, so that a frequent term's list lies over as many partitions as it
-needs. An item's score is the sum of its terms' contributions. The phases, for all items at once:
+needs. An item's score is the sum of its terms' contributions. The phases, for all items of a block at once:
 
-1. The heads of the lists, k postings each, give partial sums; an item's k-th largest is a lower bound of its k-th score.
+1. The heads of the lists are fetched, k postings each. The k-th best score of an item among their documents is a lower bound
+   of its k-th score.
 2. That bound divided by the item's number of lists is its uniform threshold: a document that is below it in every list can't be among
-   the k. The postings at or above it are fetched from every list; their sums give a better lower bound, and what
-   a document may gain from the lists where it wasn't seen (below the threshold, and at most the list's largest) gives an upper one.
-3. Documents whose upper bound reaches the lower one are candidates; their terms are looked up and their exact scores ranked.
+   the k. Postings at or above the threshold are fetched from every list. A document's sum over them, and what it may have in
+   the lists where it wasn't seen (below the threshold, and at most the list's largest), is an upper bound of its score.
+3. Documents whose upper bound reaches the lower one of an item are candidates; their terms are looked up and scored exactly.
 
-Only terms of items are kept of the documents: up to TERMS of them by a table sent to the tasks, beyond that by a join. Terms
-are compared by 64-bit hashes. Nothing is cut: thresholds drop only what provably can't be in the result.
+A posting that several items ask for is fetched once, and documents meet items in memory: no rows are made of pairs of
+documents and items but the k best that each task has of an item.
+
+Only terms of items are kept of the documents: up to TERMS of them by a table sent to the tasks, beyond that by a join. Items are
+taken in blocks of about SENT_ROWS of their terms, which are sent to the tasks; each block reads the postings anew. Terms are compared by
+64-bit hashes. Nothing is cut: thresholds drop only what provably can't be in the result.
 
 Defined results: a null or empty text has no terms, and such a document isn't counted; an item without terms, or whose terms no
 document has, gives no rows; rows of one item_id (also null) are one item, a term counts once; rows of one doc_id are
@@ -27,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, LOWER, U64, blocks, mix, stored, table, word_hashes, words
+from .common import ALNUM_WORDS, LOWER, U64, blocks, stored, table, word_hashes, words
 from .decontaminate import Lookup
 
 BEST = 10
 TERMS = 1_000_000  # terms of items that are sent to the tasks, 8 bytes each; more are joined
-SENT_ROWS = 250_000  # rows of a table by term or item that are broadcast; more are joined by a shuffle
+SENT_ROWS = 250_000  # terms of items in a block, about; an item's terms are never parted
 _SCHEMA = "doc long, doc_id long, n long, terms array<long>, tf array<long>"
 
 
@@ -64,77 +69,177 @@ def term_counts(docs: DataFrame, known: np.ndarray | None = None) -> DataFrame:
     return docs.mapInArrow(run, _SCHEMA)
 
 
-def _sent(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SENT_ROWS else df
-
+class Lists:
+    """The lists of a block of items by term: for each term the items that have it, with the term's weight."""
+
+    def __init__(self, rows: pa.Table):
+        item, term, w = (rows.column(c).to_numpy() for c in ("item", "term", "w"))
+        self.items, at = np.unique(item, return_inverse=True)
+        order = np.argsort(term, kind="stable")
+        self.terms, first = np.unique(term[order], return_index=True)
+        self.first = np.append(first, len(term))
+        self.item, self.w = at[order], w[order]
+        self.top = rows.column("top").to_numpy()[order]
+        self.size = np.bincount(at, minlength=len(self.items))
+        self.rows = max(1, (1 << 21) // max(1, len(self.items)))  # documents that are worked on at a time
+        self.exact = float((self.w * self.top).max(initial=0)) * self.size.max(initial=0) < 1 << 53
+
+    def spread(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, list): for each of terms, by its place, the lists of items that have it."""
+        if not len(terms) or not len(self.terms):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        n = np.where(self.terms[at] == terms, self.first[at + 1] - self.first[at], 0)
+        place = np.repeat(np.arange(len(terms)), n)
+        return place, np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n) + self.first[at][place]
+
+    def sums(self, rows: int, row: np.ndarray, lists: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Sums of values by (row, item)."""
+        key, cells = row * len(self.items) + self.item[lists], rows * len(self.items)
+        if self.exact:
+            out = np.bincount(key, value, cells).astype(np.int64)
+        else:
+            out = np.zeros(cells, np.int64)
+            np.add.at(out, key, value)
+        return out.reshape(rows, -1)
+
+
+class _Best:
+    """The k best (score, doc_id) of each item among those that come by; ties go by doc_id, null ids last."""
+
+    def __init__(self, items: int, k: int):
+        self.k, self.least = k, np.ones(items, np.int64)
+        self.found: list[np.ndarray] = [np.empty((0, 4), np.int64)]  # item, score, null id, id
+        self.held = 0
+
+    def add(self, score: np.ndarray, doc: np.ndarray, no_id: np.ndarray) -> None:
+        row, item = np.nonzero(score >= self.least)
+        self.found.append(np.column_stack([item, score[row, item], no_id[row], doc[row]]))
+        self.held += len(row)
+        if self.held > 4 * self.k * len(self.least) + 100_000:
+            self.settle()
+
+    def settle(self) -> np.ndarray:
+        all_ = np.concatenate(self.found)
+        all_ = all_[np.lexsort([all_[:, 3], all_[:, 2], -all_[:, 1], all_[:, 0]])]
+        nth = np.arange(len(all_)) - np.searchsorted(all_[:, 0], all_[:, 0])
+        self.found, self.held = [all_[nth < self.k]], int((nth < self.k).sum())
+        last = all_[nth == self.k - 1]
+        self.least[last[:, 0]] = last[:, 1]
+        return self.found[0]
+
+
+def _scored(rows: DataFrame, lists: Lists, k: int) -> DataFrame:
+    """(item, doc_id, score): exact scores of rows (doc_id, m, terms, tf) for all items of lists; of each task an item's k best."""
+    held = rows.sparkSession.sparkContext.broadcast(lists)
 
-def _kth(sums: DataFrame, k: int) -> DataFrame:
-    """(item, kth): the k-th largest value of rows (item, value); no row of an item with fewer."""
-    nth = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("value")))
-    return sums.select("item", "value").withColumn("nth", nth).filter(F.col("nth") <= k).filter(F.col("nth") == k).select("item", F.col("value").alias("kth"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = held.value
+        best = _Best(len(lists.items), k)
+        for whole in batches:
+            for i in range(0, whole.num_rows, lists.rows):
+                batch = whole.slice(i, lists.rows)
+                n, column = batch.num_rows, batch.column("terms")
+                row = np.repeat(np.arange(n), np.diff(column.offsets.to_numpy()))
+                tf, m = batch.column("tf").flatten().to_numpy(), batch.column("m").to_numpy()[row]
+                place, own = lists.spread(column.flatten().to_numpy())
+                u = 1_000_000_000 * tf // (1000 * tf + 8 * m)
+                ids = batch.column("doc_id")
+                best.add(lists.sums(n, row[place], own, lists.w[own] * u[place]), ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False))
+        out = best.settle()
+        yield pa.RecordBatch.from_arrays([pa.array(lists.items[out[:, 0]]), pa.array(out[:, 3], pa.int64(), mask=out[:, 2] > 0), pa.array(out[:, 1])], ["item", "doc_id", "score"])
 
+    return rows.select("doc_id", "m", "terms", "tf").mapInArrow(run, "item long, doc_id long, score long")
 
-def _exact(rows: DataFrame) -> DataFrame:
-    """(item, doc_id, score) of rows (item, lists array<struct<term, w>>, doc_id, m, terms, tf)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
-            lengths = np.diff(column.offsets.to_numpy())
-            return np.repeat(np.arange(len(column)), lengths), column.flatten()
+def _kth(scores: DataFrame, k: int) -> dict[int, int]:
+    """The k-th largest score of each item that has so many."""
+    nth = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))
+    return {r["item"]: r["score"] for r in scores.select("item", "score").withColumn("nth", nth).filter(F.col("nth") <= k).filter(F.col("nth") == k).collect()}
 
-        def keys(row: np.ndarray, term: pa.Array) -> np.ndarray:  # a term in a row of the batch
-            return mix(term.to_numpy().view(U64) ^ (row.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(1)))
 
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                row, pairs = flat(batch.column("lists"))
-                want, weight = keys(row, pairs.field("term")), pairs.field("w").to_numpy()
-                at, terms = flat(batch.column("terms"))
-                tf, have = flat(batch.column("tf"))[1].to_numpy(), keys(at, terms)
-                order = np.argsort(want)
-                want, weight, score = want[order], weight[order], np.zeros(batch.num_rows, np.int64)
-                place = np.minimum(np.searchsorted(want, have), max(0, len(want) - 1))
-                hit = np.flatnonzero(want[place] == have) if len(want) else np.empty(0, np.int64)
-                m = batch.column("m").to_numpy()[at[hit]]
-                np.add.at(score, at[hit], weight[place[hit]] * (1_000_000_000 * tf[hit] // (1000 * tf[hit] + 8 * m)))
-                yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("doc_id"), pa.array(score)], ["item", "doc_id", "score"])
-
-    return rows.mapInArrow(run, "item long, doc_id long, score long")
-
-
-def postings(found: DataFrame, docs: int, length: int) -> DataFrame:
-    """(term, doc, u), by term and falling u: a contribution is u times the term's weight. docs and length: all documents with terms,
-    and all their terms."""
-    one = found.select("doc", _m(docs, length), F.explode(F.arrays_zip("terms", "tf")).alias("x"))
-    u = F.expr("(1000000000 * x.tf) div (1000 * x.tf + 8 * m)")
-    return one.select(F.col("x.terms").alias("term"), "doc", u.alias("u"))
+def postings(found: DataFrame) -> DataFrame:
+    """(term, doc, u) of found (doc, m, terms, tf), by term and falling u: a contribution is u times the term's weight."""
+    one = found.select("doc", "m", F.explode(F.arrays_zip("terms", "tf")).alias("x"))
+    return one.select(F.col("x.terms").alias("term"), "doc", F.expr("cast((1000000000 * x.tf) div (1000 * x.tf + 8 * m) as int)").alias("u"))
 
 
 def _m(docs: int, length: int) -> Column:
     return F.expr(f"cast(10 + (cast(90 as decimal(2,0)) * cast(n as decimal(18,0)) * cast({docs} as decimal(18,0))) div cast({max(1, length)} as decimal(18,0)) as long)").alias("m")
 
 
-def candidates(lists: DataFrame, held: DataFrame, k: int, pairs: int) -> DataFrame:
-    """(item, doc) that may be among an item's k best; lists (item, term, w, top), held (term, doc, u). Phases 1 and 2."""
+def candidates(held: DataFrame, lists: Lists, least: np.ndarray, k: int) -> DataFrame:
+    """(doc) that may be among the k best of an item: phase 2. held is (term, doc, u), least a lower bound of each item's k-th score.
+
+    Fetched are the postings that reach the uniform threshold of an item that has the term. A task sees all that is fetched of its
+    documents; the k-th partial sum that it has seen of an item is a lower bound too."""
+    spark = held.sparkSession
+    threshold = np.maximum(1, -(-least // lists.size))
+    weight = np.maximum(1, lists.w)
+    need = np.minimum.reduceat(-(-threshold[lists.item] // weight), lists.first[:-1])
+    rows = pa.table({"term": lists.terms, "need": need})
+    needs = F.broadcast(spark.createDataFrame(rows.to_pandas(), "term long, need long"))  # a row for each term of the block
+    bound = np.minimum(threshold[lists.item] - 1, lists.w * lists.top)
+    shared = spark.sparkContext.broadcast((lists, bound, np.bincount(lists.item, bound, len(lists.items)).astype(np.int64), least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, bound, all_, least = shared.value
+        kept = np.empty((0, len(lists.items)), np.int64)
+        left: list[tuple[np.ndarray, ...]] = []
+
+        def judged(doc: np.ndarray, term: np.ndarray, u: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal kept
+            names, row = np.unique(doc, return_inverse=True)
+            at = np.searchsorted(row, np.arange(0, len(names) + lists.rows, lists.rows))
+            for i in range(len(at) - 1):
+                own = slice(at[i], at[i + 1])
+                if at[i] == at[i + 1]:
+                    continue
+                n = int(row[at[i + 1] - 1]) - i * lists.rows + 1
+                place, list_ = lists.spread(term[own])
+                r = row[own][place] - i * lists.rows
+                value = lists.sums(n, r, list_, lists.w[list_] * u[own][place])
+                upper = value + all_ - lists.sums(n, r, list_, bound[list_])
+                kept = np.concatenate([kept, value])
+                if len(kept) > k:
+                    kept = -np.partition(-kept, k - 1, 0)[:k]
+                low = np.maximum(least, kept.min(0)) if len(kept) == k else least
+                some = np.flatnonzero(((upper >= low) & (upper > 0)).any(1))
+                yield pa.RecordBatch.from_arrays([pa.array(names[i * lists.rows :][some])], ["doc"])
+
+        for batch in batches:
+            doc, term, u = (batch.column(c).to_numpy() for c in ("doc", "term", "u"))
+            if not len(doc):
+                continue
+            last = int(np.searchsorted(doc, doc[-1]))  # the last document may go on in the next batch
+            if last == 0 and left and left[0][0][0] == doc[0]:
+                left.append((doc, term, u))
+                continue
+            parts = [*left, (doc[:last], term[:last], u[:last])]
+            left = [(doc[last:], term[last:], u[last:])]
+            yield from judged(*(np.concatenate(x) for x in zip(*parts)))
+        if left:
+            yield from judged(*(np.concatenate(x) for x in zip(*left)))
+
+    fetched = held.join(needs, "term").filter(F.col("u") >= F.col("need")).select("doc", "term", F.col("u").cast("long").alias("u"))
+    return fetched.repartition("doc").sortWithinPartitions("doc").mapInArrow(run, "doc long")
+
+
+def _block(found: DataFrame, held: DataFrame, lists: Lists, k: int) -> DataFrame:
+    """(item, doc_id, score): the best of the items of lists, k of each and maybe more."""
+    spark = found.sparkSession
+    terms = F.broadcast(spark.createDataFrame(pa.table({"term": lists.terms}).to_pandas(), "term long"))
     nth = F.row_number().over(Window.partitionBy("term").orderBy(F.desc("u"), "doc"))
-    heads = held.withColumn("nth", nth).filter(F.col("nth") <= k).drop("nth")
-    value = (F.col("w") * F.col("u")).alias("value")
-    partial = heads.join(_sent(lists, pairs), "term").select("item", "doc", value).groupBy("item", "doc").agg(F.sum("value").alias("value"))
-    first = lists.groupBy("item").agg(F.count(F.lit(1)).alias("n")).join(_kth(partial, k), "item", "left")
-    least = F.greatest(F.lit(1).cast("long"), F.expr("(coalesce(kth, 0) + n - 1) div n"))
-    bound = F.least(F.col("least") - 1, F.col("w") * F.col("top"))  # what a document not fetched has at most
-    lists = stored(lists.join(first.select("item", "kth", least.alias("least")), "item").withColumn("bound", bound), "lists")
-    fetched = held.join(_sent(lists.select("item", "term", "w", "least", "bound"), pairs), "term").filter(F.col("w") * F.col("u") >= F.col("least"))
-    sums = stored(fetched.select("item", "doc", value, "bound").groupBy("item", "doc").agg(F.sum("value").alias("value"), F.sum("bound").alias("seen")), "partial-sums")
-    second = lists.groupBy("item").agg(F.sum("bound").alias("all"), F.first("kth").alias("kth1")).join(_kth(sums, k), "item", "left")
-    second = second.select("item", "all", F.greatest(F.lit(1).cast("long"), F.coalesce("kth1", F.lit(0)), F.coalesce("kth", F.lit(0))).alias("least"))
-    return sums.join(second, "item").filter(F.col("value") + F.col("all") - F.col("seen") >= F.col("least")).select("item", "doc")
-
-
-def ranked(docs: DataFrame, items: DataFrame, k: int = BEST, known_terms: int = TERMS) -> DataFrame:
+    heads = held.join(terms, "term").withColumn("nth", nth).filter(F.col("nth") <= k).select("doc").distinct()
+    of = lambda docs: found.join(docs, "doc", "left_semi")
+    first = _kth(_scored(of(stored(heads, "heads")), lists, k), k)
+    least = np.array([first.get(int(i), 1) for i in lists.items], np.int64)
+    return _scored(of(stored(candidates(held, lists, least, k), "candidates")), lists, k)
+
+
+def ranked(docs: DataFrame, items: DataFrame, k: int = BEST, known_terms: int = TERMS, block_rows: int = SENT_ROWS) -> DataFrame:
     """(item_id, rank, doc_id, score): the k best documents (doc_id, text) of every item (item_id, text), with scores above 0."""
-    item = F.xxhash64(F.col("item_id").cast("string"))
+    spark, item = docs.sparkSession, F.xxhash64(F.col("item_id").cast("string"))
     texts = items.select(item.alias("doc"), F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = stored(term_counts(texts).select(F.col("doc").alias("item"), F.explode("terms").alias("term")).distinct(), "item-terms")
     names = items.select(item.alias("item"), "item_id").distinct()
@@ -144,16 +249,22 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = BEST, known_terms: int =
     rows = docs.select(F.monotonically_increasing_id().alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(term_counts(rows, known), "document-terms")
     n, length = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    held = postings(found, n, length)
+    found = found.select("doc", "doc_id", _m(n, length), "terms", "tf")
+    held = postings(found)
     held = held if few else held.join(terms, "term", "left_semi")
     held = stored(held.repartitionByRange("term", F.desc("u")).sortWithinPartitions("term", F.desc("u")), "postings")
-    facts = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("u").alias("top"))
+    facts = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("u").cast("long").alias("top"))
     w = F.floor(1000 * F.log((2.0 * n + 2) / (2.0 * F.col("df") + 1))).cast("long")
-    lists = stored(wanted.join(facts, "term").select("item", "term", w.alias("w"), "top"), "weighted-terms")
-    pairs = lists.count()
-    whole = lists.groupBy("item").agg(F.collect_list(F.struct("term", "w")).alias("lists"))  # an item's terms
-    chosen = candidates(lists, held, k, pairs).join(found.select("doc", "doc_id", _m(n, length), "terms", "tf"), "doc")
-    scores = _exact(chosen.join(_sent(whole, pairs), "item").select("item", "lists", "doc_id", "m", "terms", "tf")).filter("score > 0")
+    lists = stored(wanted.join(facts, "term").select("item", "term", w.alias("w"), "top").filter("w > 0"), "weighted-terms")
+    blocks_ = -(-lists.count() // block_rows)
+    scores = None
+    for b in range(blocks_):
+        own = lists.filter(F.pmod(F.xxhash64("item", F.lit("block")), F.lit(blocks_)) == b).toArrow()  # about block_rows
+        if own.num_rows:
+            part = _block(found, held, Lists(own), k)
+            scores = part if scores is None else scores.unionByName(part)
+    if scores is None:
+        scores = spark.createDataFrame([], "item long, doc_id long, score long")
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     best = scores.withColumn("rank", rank).filter(F.col("rank") <= k)
     return best.join(names, "item").select("item_id", "rank", "doc_id", "score")

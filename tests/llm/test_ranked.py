@@ -2,9 +2,12 @@ import math
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from docflow.llm.ranked import ranked
+from docflow.llm.ranked import Lists, candidates, ranked
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,14 +71,25 @@ def test_empty_tables(spark):
     assert [tuple(r) for r in ranked(some, one).collect()] == brute([(1, "w1 w2")], [("a", "w1")])
 
 
-def test_thresholds_leave_most_postings_unread(spark):
-    """Frequent terms lie below the threshold of an item with rare ones: few documents are candidates."""
-    from pyspark.sql import functions as F
+def test_items_in_blocks(spark):
+    docs, items = cases(4)
+    a = spark.createDataFrame([(*d, "x", 1) for d in docs], DOCS).repartition(6)
+    b = spark.createDataFrame([(*i, 1) for i in items], ITEMS)
+    got = sorted((tuple(r) for r in ranked(a, b, k=3, block_rows=60).collect()), key=str)
+    assert got == brute(docs, items, 3)
+
+
+def test_thresholds_leave_most_documents_out(spark):
+    """A frequent term lies below the threshold of an item with a rare one: its postings are not fetched."""
+    held = spark.range(20000).select(F.lit(1).cast("long").alias("term"), F.col("id").alias("doc"), (F.lit(100) + F.col("id") % 7).cast("int").alias("u"))
+    held = held.unionByName(spark.range(15).select(F.lit(2).cast("long").alias("term"), F.col("id").alias("doc"), F.lit(500).cast("int").alias("u")))
+    lists = Lists(pa.table({"item": [9, 9], "term": [1, 2], "w": [1, 9000], "top": [106, 500]}))
+    got = candidates(held, lists, np.array([9000 * 500 + 100]), 10)
+    assert sorted(r.doc for r in got.collect()) == list(range(15))
 
-    from docflow.llm.ranked import candidates
 
-    held = spark.range(20000).select(F.lit(1).cast("long").alias("term"), F.col("id").alias("doc"), (F.lit(100) + F.col("id") % 7).alias("u"))
-    held = held.unionByName(spark.range(15).select(F.lit(2).cast("long").alias("term"), F.col("id").alias("doc"), F.lit(500).cast("long").alias("u")))
-    lists = spark.createDataFrame([(9, 1, 1, 106), (9, 2, 9000, 500)], "item long, term long, w long, top long")
-    got = candidates(lists, held, 10, 2)
-    assert got.count() == 15
+def test_sums_beyond_exact_doubles():
+    lists = Lists(pa.table({"item": [1, 1], "term": [5, 6], "w": [1 << 30, 1 << 30], "top": [1 << 30, 1 << 30]}))
+    assert not lists.exact
+    place, own = lists.spread(np.array([5, 6, 7]))
+    assert lists.sums(1, np.zeros(len(place), np.int64), own, lists.w[own] * np.array([(1 << 30) - 1, 1, 5])[place])[0, 0] == 1 << 60
