@@ -131,6 +131,13 @@ def outcome(source: Column, fingerprint: Column, fresh: Column, text: Column) ->
     return F.when(source.isNull() | fingerprint.isNull(), "skipped").when(fresh, "cached").when(F.length(F.coalesce(text, F.lit(""))) == 0, "empty").otherwise("summarized")
 
 
+def stale(registry: DataFrame, files: DataFrame, force: bool = False) -> DataFrame:
+    """(sha256, path) of the sources that have to be read: by the listing alone, files (path, size, mtime)."""
+    f = files.select("path", F.struct(F.col("size").cast("long").alias("size"), F.col("mtime").cast("long").alias("mtime")).alias("_print"))
+    df = registry.withColumn("_src", source_of(F.col("step1"), F.col("translation_md"))).join(f, F.col("_src.relpath") == F.col("path"))
+    return (df if force else df.filter(~is_fresh(F.col("summary"), F.col("_src"), F.col("_print")))).select("sha256", "path")
+
+
 def summarize(registry: DataFrame, files: DataFrame, at: Column, script: str = "hebrew", force: bool = False) -> DataFrame:
     """registry with summary brought up to date and outcome. files has (path, text, size, mtime) of the sources; only
     documents that aren't fresh are read further."""

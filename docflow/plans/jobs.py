@@ -19,8 +19,11 @@ from ..operators.pages import best_reading, document_markdown, docx_paragraphs,
 from ..operators.translate import translate_markdown, translate_pages
 from ..schema import BLOCK_CACHE, DOCX, STEP1, TRANSLATION
 from ..sources import files as sources
+from ..sources import ledger
 from ..sources.sinks import docx_files, forget, quarantine, recover, remove_files, write_errors, write_files, write_with_outcome
 
+TEXT_BYTES = 64 << 10  # what a Markdown file is taken to have where work is dealt out
+
 Store = Callable[[DataFrame], DataFrame]
 
 
@@ -36,12 +39,17 @@ def _step(ddl: str, **values):
 def extract(spark: SparkSession, config: Config, registry_path: str, store: Store, engine: str = "pdf", ocr: str = "blank", force: bool = False, only: str | None = None, limit: int | None = None) -> DataFrame:
     """Files of the source folder to Markdown files and their registry entries: text layer, or OCR where that is nearly empty."""
     log = _log(spark, registry_path)
-    found = sources.with_sha(sources.scan(spark, config.source_dir, only=only))
+    found, first = _found(spark, config, registry_path, store, only, (lambda fresh: sources.read_files(fresh, engine)) if limit is None else sources.hashed)
     known = store(registry.upsert(registry.load(spark, registry_path), found))
     work = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), registry.is_pending(F.col("step1.status"), force), limit)
     work = store(work.select("sha256", "original_name"))
-    content = found.join(work, "sha256", "left_semi").dropDuplicates(["sha256"])
-    read = store(sources.readings(content, engine))
+    content = store(_one_each(found).join(work, "sha256", "left_semi"))  # (sha256, path, length): no content yet
+    if limit is None:  # what is new has been read once, hashed and cut into pages
+        now_read = first.join(content.select("path"), "path", "left_semi").select("sha256", "page_no", "text", "n_images", "error").filter("page_no is not null or error is not null")
+        later = sources.readings(_contents(content.join(first.select("path").distinct(), "path", "left_anti")), engine)
+        read = store(now_read.unionByName(later))
+    else:
+        read = store(sources.readings(_contents(content), engine))
     unread = read.filter("error is not null").select("sha256", F.col("error").alias("read_error"))
     pages = read.filter("error is null").drop("error")
     stats = page_stats(pages)
@@ -49,7 +57,7 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
     facts = store(work.join(stats, "sha256", "left").join(lang, "sha256", "left").withColumn("by_ocr", registry.needs_ocr(F.col("text_layer_chars"), config.ocr_min_chars, config.ocr_when_empty, config.force_ocr)))
     text = pages.join(facts.filter("not by_ocr").select("sha256"), "sha256", "left_semi").groupBy("sha256").agg(ordered_concat("page_no", "text", "\n\n").alias("md"))
     command, data = find_program("tesseract", config.tesseract_cmd, config.tessdata_prefix)
-    seen = sources.ocr_candidates(content.join(facts.filter("by_ocr").select("sha256"), "sha256", "left_semi"), pages, config.ocr_languages(), ocr, dpi=config.ocr_dpi, command=command, data=data)
+    seen = sources.ocr_candidates(_contents(content.join(facts.filter("by_ocr").select("sha256"), "sha256", "left_semi")), pages, config.ocr_languages(), ocr, dpi=config.ocr_dpi, command=command, data=data)
     scanned = document_markdown(best_reading(store(seen), ["sha256", "page_no"]))
     md = text.withColumn("mode", F.lit("text")).unionByName(scanned.withColumn("mode", F.lit("ocr")))
     md = facts.join(md, "sha256", "left")
@@ -65,7 +73,7 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
     images_dir = F.concat(name, F.lit(f"/{config.images_subdir}"))
     if config.extract_images:  # of documents whose text layer is taken; those that are read by OCR get no pictures
         wanted = md.filter("mode = 'text' and md is not null").select("sha256", images_dir.alias("dir"))
-        pictures = sources.images(content.join(wanted, "sha256", "left_semi"), engine).join(wanted, "sha256")
+        pictures = sources.images(_contents(content.join(wanted, "sha256", "left_semi")), engine).join(wanted, "sha256")
         written = write_with_outcome(pictures.withColumn("rel", F.concat("dir", F.lit("/"), "name")), config.step1_md_dir, log, path="rel")
         counted = written.filter("error is null").groupBy(F.col("key").alias("sha256")).agg(F.count(F.lit(1)).cast("int").alias("images"))
         md = md.join(counted, "sha256", "left").join(write_errors(written, "image_error"), "sha256", "left")
@@ -80,13 +88,51 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
         STEP1, status=F.when(failed, "error").otherwise("done"), md_relpath=F.when(~failed, F.concat(F.lit(folder + "/"), "rel")), images_dir_relpath=F.when(images > 0, F.concat(F.lit(folder + "/"), images_dir)), image_count=images, dropped_foreign_paragraphs=F.when(~failed, F.col("dropped")), mode=F.col("mode"), at=now, error=F.col("error")
     )
     done = md.select(F.col("sha256").alias("_sha"), step1.alias("_step1"), F.col("page_count").alias("_pages"), F.col("has_pictures").alias("_pics"), F.col("lang").alias("_lang"), F.col("text_layer_chars").alias("_chars"))
-    out = known.join(done, known["sha256"] == done["_sha"], "left")
-    out = out.withColumns({"step1": F.coalesce("_step1", "step1"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang"), "text_layer_chars": F.coalesce("_chars", "text_layer_chars")})
-    registry.save(out.select(*known.columns), registry_path)
+    values = {"step1": F.coalesce("_step1", "step1"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang"), "text_layer_chars": F.coalesce("_chars", "text_layer_chars")}
+    _commit(spark, registry_path, found, store(done), values)
     forget(spark, log)
     return registry.load(spark, registry_path)
 
 
+def _found(spark: SparkSession, config: Config, registry_path: str, store: Store, only: str | None, read: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(found, first): the source folder's files (path, name, length, mtime, sha256), and what read gave of those that the ledger
+    didn't have as they are, which are the only ones that are opened."""
+    at = f"{registry_path}-files"
+    known, fresh = ledger.split(store(sources.listed(spark, config.source_dir, only=only)), store(ledger.load(spark, at)))
+    fresh = store(fresh)
+    first = store(read(fresh))
+    seen = store(fresh.join(first.select("path", "sha256").filter("sha256 is not null").distinct(), "path"))
+    ledger.add(spark, at, seen)
+    return store(known.unionByName(seen)), first
+
+
+def _one_each(found: DataFrame) -> DataFrame:
+    """(sha256, path, name, length): the first file of each content."""
+    return found.groupBy("sha256").agg(F.min(F.struct("path", "name", "length")).alias("f")).select("sha256", "f.*")
+
+
+def _contents(files: DataFrame) -> DataFrame:
+    """files (sha256, path, length, ...) with their content; one that is gone meanwhile has none and is passed over."""
+    return sources.with_content(files).filter("error is null").drop("error")
+
+
+def _commit(spark: SparkSession, registry_path: str, found: DataFrame, results: DataFrame, values: dict[str, Column]) -> None:
+    """Commits the entries of found that are new or change by results (_sha, ...), as values say, upon the registry as it is then."""
+
+    def change(state: DataFrame) -> DataFrame:
+        own = state.join(found.select("sha256").distinct(), "sha256", "left_semi").select(*state.columns)
+        out = registry.upsert(own, found).join(results, F.col("sha256") == F.col("_sha"), "left").withColumns(values)
+        return out.select(*state.columns).subtract(own)
+
+    registry.update(spark, registry_path, change)
+
+
+def _merge(spark: SparkSession, registry_path: str, results: DataFrame, step: str) -> None:
+    """Commits a step's results (sha256, step) upon the registry as it is then."""
+    own = lambda state: state.join(results.select("sha256"), "sha256", "left_semi").select(*state.columns)
+    registry.update(spark, registry_path, lambda state: registry.merge_step(own(state), results, step))
+
+
 def _log(spark: SparkSession, registry_path: str) -> str:
     """Where a registry's jobs keep the manifests of their writes; writes that a lost run left half done are completed first."""
     log = f"{registry_path}-writes"
@@ -103,9 +149,10 @@ def translate(spark: SparkSession, config: Config, registry_path: str, cache_pat
     step = F.col("translation_md.status")
     due = store(registry.work_list(entries, registry.is_eligible(F.col("step1")) & ~registry.is_translated(step, force), limit).select("sha256", "original_name", "source_lang", F.col("step1.md_relpath").alias("rel")))
     here = registry.in_target_language(F.col("source_lang"), skip=config.skip_already_hebrew)
-    texts = sources.whole_texts(spark, config.step1_md_dir).select(_tail(F.col("path")).alias("tail"), F.col("text").alias("md"))
-    docs = due.filter(~here).withColumn("tail", F.regexp_replace("rel", r"^.*/(?=[^/]+/[^/]+$)", "")).join(texts, "tail")
-    docs = store(docs.withColumn("base", F.split("tail", "/")[0]))
+    tail = F.regexp_replace("rel", r"^.*/(?=[^/]+/[^/]+$)", "")
+    docs = due.filter(~here).withColumns({"tail": tail, "path": F.concat(F.lit(f"{config.step1_md_dir}/"), tail), "length": F.lit(TEXT_BYTES)})
+    docs = store(sources.with_content(docs, text=True).withColumnRenamed("content", "md").withColumn("base", F.split("tail", "/")[0]))
+    gone, docs = docs.filter("error is not null"), docs.filter("error is null").drop("error", "path", "length")
     jvm = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     has = jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)
     cache = spark.read.schema(BLOCK_CACHE).parquet(cache_path).dropDuplicates(["src_sha"]) if has else spark.createDataFrame([], BLOCK_CACHE)
@@ -120,8 +167,9 @@ def translate(spark: SparkSession, config: Config, registry_path: str, cache_pat
     folder = config.settings["paths"]["translated_md_dir"]
     ok = F.col("error").isNull()
     result = made.select("sha256", _step(TRANSLATION, status=F.when(ok, "done").otherwise("error"), translated_md_relpath=F.when(ok, F.concat(F.lit(folder + "/"), "name", F.lit("/"), "name", F.lit(".he.md"))), source_md_relpath=F.col("rel"), engine=F.lit(engine), target_language=F.lit(config.target_language), at=F.col("at"), error=F.col("error"), partial_blocks_done=F.when(~ok, F.col("blocks_done"))).alias("translation_md"))
+    lost = gone.filter("error <> 'missing'").select("sha256", _step(TRANSLATION, status=F.lit("error"), source_md_relpath=F.col("rel"), engine=F.lit(engine), target_language=F.lit(config.target_language), at=now, error=F.concat(F.lit("not read: "), "rel", F.lit(": "), "error")).alias("translation_md"))
     skipped = due.filter(here).select("sha256", _step(TRANSLATION, status=F.lit("already_hebrew"), source_md_relpath=F.col("rel"), at=now).alias("translation_md"))
-    registry.save(registry.merge_step(reg, result.unionByName(skipped), "translation_md"), registry_path)
+    _merge(spark, registry_path, store(result.unionByName(skipped).unionByName(lost)), "translation_md")
     forget(spark, log)
     return registry.load(spark, registry_path)
 
@@ -132,16 +180,20 @@ def summaries(spark: SparkSession, config: Config, registry_path: str, store: St
     chosen = registry.only(reg, only) if only else reg
     chosen = registry.with_sha_prefix(chosen, sha) if sha else chosen
     chosen = registry.work_list(chosen, F.lit(True), limit)
-    parts = []
+    chosen = store(chosen)
+    files = None
     for folder in ("step1_md_dir", "translated_md_dir"):
-        rel = F.concat(F.lit(config.settings["paths"][folder] + "/"), _tail(F.col("path")))
         if _exists(spark, getattr(config, folder)):
-            parts.append(sources.whole_texts(spark, getattr(config, folder)).withColumn("path", rel))
-    files = parts[0]
-    for p in parts[1:]:
-        files = files.unionByName(p)
+            rel = F.concat(F.lit(config.settings["paths"][folder] + "/"), F.regexp_replace("path", r"^.*/(?=[^/]+/[^/]+$)", ""))
+            part = sources.listing(spark, getattr(config, folder)).select(rel.alias("rel"), "path", F.col("size").alias("length"), "mtime")
+            files = part if files is None else files.unionByName(part)
+    files = store(files if files is not None else spark.createDataFrame([], "rel string, path string, length long, mtime long"))
+    listed = files.select(F.col("rel").alias("path"), F.col("length").alias("size"), "mtime")
+    stale = summarize.stale(chosen, listed, force).select(F.col("path").alias("rel")).distinct()
+    texts = sources.with_content(files.join(stale, "rel", "left_semi"), text=True).filter("error is null").select(F.col("rel").alias("path"), F.col("content").alias("text"))
+    files = listed.join(store(texts), "path", "left")
     out = store(summarize.summarize(chosen, files, timestamp_text(F.current_timestamp()), script, force))
-    registry.save(registry.merge_step(reg, out.filter("outcome = 'summarized'"), "summary"), registry_path)
+    _merge(spark, registry_path, store(out.filter("outcome = 'summarized'").select("sha256", "summary")), "summary")
     return summarize.outcome_counts(out)
 
 
@@ -172,14 +224,19 @@ def translate_docx(spark: SparkSession, config: Config, registry_path: str, stor
     an outcome are passed over, but for errors if they are reset. A document in the target language is only copied; one
     whose pages can't be read or translated moves to the error folder."""
     log = _log(spark, registry_path)
-    reg = registry.load(spark, registry_path)
-    found = store(sources.with_sha(sources.scan(spark, config.source_dir, only=only)))
-    known = store(registry.upsert(reg, found))
+    found, first = _found(spark, config, registry_path, store, only, lambda fresh: _hashed_contents(fresh) if limit is None else sources.hashed(fresh))
+    known = store(registry.upsert(registry.load(spark, registry_path), found))
     status = F.col("translation_docx.status")
     pending = status.isNull() | (F.lit(reset_errors) & (status == "error"))
     due = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), pending, limit).select("sha256", "original_name")
     due = store(due)
-    content = store(found.join(due, "sha256", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("sha256").orderBy("path"))).filter("nth = 1").drop("nth"))
+    content = _one_each(found).join(due, "sha256", "left_semi")
+    if limit is None:
+        now_read = first.select("path", "content")
+        content = content.join(now_read, "path").unionByName(_contents(content.join(now_read.select("path"), "path", "left_anti")), allowMissingColumns=True)
+    else:
+        content = _contents(content)
+    content = store(content.select("sha256", "path", "name", "content"))
     read = store(sources.readings(content, extractor))
     pages = read.filter("error is null").drop("error")
     full = pages.groupBy("sha256").agg(ordered_concat("page_no", "text", "\n").alias("full")).select("sha256", detect(F.col("full")).alias("lang"))
@@ -205,13 +262,16 @@ def translate_docx(spark: SparkSession, config: Config, registry_path: str, stor
     copied = F.when(ok, F.concat(F.lit(folder + "/"), "copy")).otherwise(F.concat(F.lit(config.settings["paths"]["error_dir"] + "/"), "original_name"))
     step = _step(DOCX, status=F.col("status"), translated_relpath=F.when(F.col("status") == "translated", F.concat(F.lit(folder + "/"), "docx")), original_relpath=copied, error=F.col("error"), translated_at=F.col("at"))
     result = done.select(F.col("sha256").alias("_sha"), step.alias("_docx"), F.col("page_count").alias("_pages"), F.col("has_pictures").alias("_pics"), F.col("lang").alias("_lang"))
-    out = known.join(result, known["sha256"] == result["_sha"], "left")
-    out = out.withColumns({"translation_docx": F.coalesce("_docx", "translation_docx"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang")})
-    registry.save(out.select(*known.columns), registry_path)
+    values = {"translation_docx": F.coalesce("_docx", "translation_docx"), "page_count": F.coalesce("_pages", "page_count"), "has_pictures": F.coalesce("_pics", "has_pictures"), "source_lang": F.coalesce("_lang", "source_lang")}
+    _commit(spark, registry_path, found, store(result), values)
     forget(spark, log)
     return registry.load(spark, registry_path)
 
 
+def _hashed_contents(files: DataFrame) -> DataFrame:
+    return sources.with_content(files).withColumn("sha256", F.when(F.col("error").isNull(), F.sha2("content", 256))).drop("error")
+
+
 def fix_images(spark: SparkSession, config: Config, registry_path: str, store: Store, only: str | None = None) -> DataFrame:
     """Rewrites the image references of translated files that are there; one row: files, changed, failed. Files that don't change aren't written."""
     reg = registry.load(spark, registry_path)

@@ -16,6 +16,7 @@ ENTRY = (
     "sha256 string, original_name string, duplicates array<string>, page_count int, has_pictures boolean, source_lang string, text_layer_chars bigint, "
     f"step1 {_struct(STEP1)}, translation_md {_struct(TRANSLATION)}, translation_docx {_struct(DOCX)}, summary {_struct(SUMMARY)}"
 )
+LEDGER = "path string, length bigint, mtime timestamp, sha256 string"
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 PAGES = "sha256 string, page_no int, text string, n_images int"
 OCR_CANDIDATES = "sha256 string, page_no int, lang string, lang_ord int, text string, error string"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -15,6 +16,7 @@ from ..functions.text import glob
 from ..schema import OCR_CANDIDATES, PAGES
 
 OCR_PAGES = 64
+PART_BYTES = 128 << 20
 
 
 def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | None = None, ordered: bool = False) -> DataFrame:
@@ -27,6 +29,84 @@ def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | Non
     return df.orderBy("path") if ordered else df
 
 
+def listed(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | None = None) -> DataFrame:
+    """(path, name, length, mtime) of a folder's own files with the suffix; contents aren't read."""
+    return scan(spark, folder, suffix, only).select("path", "name", "length", F.col("modificationTime").alias("mtime"))
+
+
+def _bytes_of(path: str) -> bytes:
+    """A file's content by its path as Spark lists it."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:") or "://" not in path:
+        with open("/" + path.removeprefix("file:").lstrip("/"), "rb") as f:
+            return f.read()
+    scheme, _, rest = path.partition("://")
+    host, _, name = rest.partition("/")
+    fs, root = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
+    with fs.open_input_file(f"{root.rstrip('/')}/{name}") as f:
+        return f.read()
+
+
+def _dealt(files: DataFrame, part_bytes: int) -> DataFrame:
+    """files over as many partitions as their bytes (length) need, and one for each slot at least."""
+    total = files.agg(F.sum(F.coalesce("length", F.lit(0)))).first()[0] or 0
+    return files.repartition(max(files.sparkSession.sparkContext.defaultParallelism, -(-total // part_bytes)))
+
+
+def with_content(files: DataFrame, text: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
+    """files (path, length, ...) with content, read by path and nothing else of their folders: bytes, or with text a string; and
+    error, set where a file can't be read. A file that isn't there has the error "missing"."""
+    kind = "string" if text else "binary"
+    columns = files.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields) + f", content {kind}, error string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # a file at a time, as one may be large
+                data, error = None, None
+                try:
+                    data = _bytes_of(batch.column("path")[i].as_py())
+                    data = data.decode("utf-8", "replace") if text else data
+                except FileNotFoundError:
+                    error = "missing"
+                except Exception as e:
+                    error = _told(e)
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([data], pa.string() if text else pa.binary()), pa.array([error], pa.string())], [*columns, "content", "error"])
+
+    return _dealt(files, part_bytes).mapInArrow(run, schema)
+
+
+def hashed(files: DataFrame) -> DataFrame:
+    """files (path, length, ...) with sha256, null where a file can't be read."""
+    read = with_content(files)
+    return read.withColumn("sha256", F.when(F.col("error").isNull(), F.sha2("content", 256))).drop("content", "error")
+
+
+def read_files(files: DataFrame, engine: str = "pdf", part_bytes: int = PART_BYTES) -> DataFrame:
+    """(path, sha256, page_no, text, n_images, error) of files (path, length), each read once: hashed and cut into pages. A file that can't
+    be opened has a row without sha256; one that the engine can't read a row without page_no."""
+    extract = find(EXTRACTORS, engine)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        for batch in batches:
+            for path in batch["path"]:
+                sha = None
+                try:
+                    data = _bytes_of(path)
+                    sha = hashlib.sha256(data).hexdigest()
+                    rows = [(path, sha, i, text, n, None) for i, (text, n) in enumerate(extract(data), 1)]
+                except Exception as e:
+                    rows = [(path, sha, None, None, None, _told(e))]
+                rows = rows or [(path, sha, None, None, None, None)]  # no page and no error
+                yield pd.DataFrame(rows, columns=["path", "sha256", "page_no", "text", "n_images", "error"]).astype({"page_no": "Int32", "n_images": "Int32"})
+
+    return _dealt(files, part_bytes).select("path").mapInPandas(run, f"path string, {PAGES}, error string")
+
+
 def with_sha(files: DataFrame) -> DataFrame:
     return files.withColumn("sha256", F.sha2("content", 256))
 

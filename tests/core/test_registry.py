@@ -62,6 +62,62 @@ def test_a_lost_run_leaves_the_version_before(spark, tmp_path, monkeypatch):
         registry._point(spark, path, fourth, number)
 
 
+def size_of(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_a_commit_writes_in_proportion_to_its_change(spark, tmp_path):
+    path = str(tmp_path / "reg")
+    many = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("sha256"), F.concat(F.lit("n"), F.col("id")).alias("name"), F.col("id").cast("int").alias("path"))
+    registry.save(registry.upsert(registry.empty(spark), many), path)
+    known = many.first().sha256
+    change = lambda *rows: registry.update(spark, path, lambda state: registry.upserted(state, files(spark, *rows)))
+    number = change(("new", "A"), (known, "again"))
+    [delta] = [p for p in (tmp_path / "reg").iterdir() if p.name.startswith("d-")]
+    [base] = [p for p in (tmp_path / "reg").iterdir() if p.name.startswith("v-")]
+    assert size_of(delta) < size_of(base) / 20 and spark.read.parquet(str(delta)).count() == 2
+    assert change(("new", "A"), (known, "again")) == number and len(list((tmp_path / "reg").glob("d-*"))) == 1  # nothing changes: nothing is written
+    change(("new", "B"))
+    got = {r.sha256: (r.original_name, r.duplicates) for r in registry.load(spark, path).filter(F.col("sha256").isin("new", known)).collect()}
+    assert got["new"] == ("A", ["B"]) and got[known][1] == ["again"] and registry.load(spark, path).count() == 20001
+    registry.compact(spark, path)
+    assert registry.load(spark, path).count() == 20001 and len(registry._state(spark, path)[1]) == 1
+
+
+def test_deltas_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "MOST_DELTAS", 3)
+    path = str(tmp_path / "reg")
+    for i in range(8):
+        registry.update(spark, path, lambda state, i=i: registry.upserted(state, files(spark, (f"s{i % 5}", f"n{i}"))))
+        assert len(registry._state(spark, path)[1]) <= 4
+    assert {r.sha256: r.duplicates for r in registry.load(spark, path).collect()} == {"s0": ["n5"], "s1": ["n6"], "s2": ["n7"], "s3": [], "s4": []}
+    assert len([p for p in (tmp_path / "reg").iterdir() if p.name.startswith("CURRENT-")]) <= 2
+
+
+def test_two_writers_at_once_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "reg")
+
+    def write(who):
+        for i in range(4):
+            registry.update(spark, path, lambda state: registry.upserted(state, files(spark, (f"{who}{i}", "n"), ("shared", f"{who}{i}"))))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, "abc"))
+    got = {r.sha256: r for r in registry.load(spark, path).collect()}
+    assert set(got) == {"shared", *(f"{w}{i}" for w in "abc" for i in range(4))}
+    assert {got["shared"].original_name, *got["shared"].duplicates} == {f"{w}{i}" for w in "abc" for i in range(4)}
+
+
+def test_a_pointer_is_taken_once(spark, tmp_path):
+    path = str(tmp_path / "reg")
+    registry.save(registry.upsert(registry.empty(spark), files(spark, ("x", "a"))), path)
+    with pytest.raises(FileExistsError):
+        registry._point(spark, path, "v-other", 1)
+    assert registry.load(spark, path).count() == 1 and not [p for p in (tmp_path / "reg").iterdir() if p.name.startswith("_")]
+
+
 def test_work_list_and_filters(spark):
     rows = [("1", "b.pdf", "done"), ("2", "A.pdf", None), ("3", "c.PDF", "error"), ("4", None, None)]
     df = spark.createDataFrame([(s, n, (st,)) for s, n, st in rows], "sha256 string, original_name string, translation_docx struct<status: string>")
