@@ -16,6 +16,7 @@ from ..engines import TRANSLATORS, Retrying, find, translate_or_split
 from ..functions import fixed
 from ..functions.text import sha256, timestamp_text
 from .blocks import assemble_blocks, assemble_documents, parse_blocks, segments, with_images_rewritten
+from .lookup import narrowed
 
 RESULTS = "src_sha string, text string, error string"
 SLICE_TEXTS, MOST_SLICES = 5000, 64
@@ -93,6 +94,8 @@ def translate_markdown(docs: DataFrame, cache: DataFrame, engine: str | Callable
     blocks_done, the number of blocks that succeeded; and translated_ratio, the share of characters that were sent."""
     blocks = parse_blocks(docs.select(key, "md"))
     segs = store(segments(blocks))
+    due = store(segs.filter("translatable").select(sha256(F.col("text")).alias("src_sha")).distinct())
+    cache = store(narrowed(cache, due, "src_sha").dropDuplicates(["src_sha"]))  # what is left is about as large as what is due
     new = in_slices(missing(segs, cache), engine, store, flush, **options)
     known = cache.select("src_sha", "text", F.lit(None).cast("string").alias("error")).unionByName(new)
     done = with_cache(segs, known)

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.langid import BY_WORDS, LETTERS, STOP_WORDS, detect
-from ..operators import blocks, chunks, pages, registry, report, summarize, translate
+from ..operators import blocks, chunks, lookup, pages, registry, report, summarize, translate
+from ..schema import LEDGER
+from ..sources import ledger, sinks
+from ..storage import shared_path, stored
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -79,6 +82,53 @@ def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
     return registry.upsert(old, files.filter("doc_id % 2 = 1")).select("sha256", "original_name", _joined("duplicates"), "page_count", "has_pictures")
 
 
+_ARRIVAL = "CASE WHEN doc_id % 2 = 0 THEN 0 WHEN doc_id % 4 = 1 THEN 1 ELSE 2 END, doc_id"
+
+
+@query(f"WITH {_FILES}, g AS (SELECT sha256, list(name ORDER BY {_ARRIVAL}) AS n FROM f GROUP BY 1) SELECT sha256, n[1] AS original_name, coalesce(array_to_string(n[2:], '|'), '') AS duplicates, 0 AS page_count, false AS has_pictures FROM g")
+def registry_by_deltas(spark: SparkSession, d: str) -> DataFrame:
+    """Upserts by commits: a base, two deltas over it that share contents with it, and a merge on read."""
+    files, path = _files(spark, d).select("sha256", "name", "path", "doc_id"), shared_path(spark, "registry")
+    registry.save(registry.upsert(registry.empty(spark), files.filter("doc_id % 2 = 0")), path)
+    for rest in (1, 3):
+        part = files.filter(F.col("doc_id") % 4 == rest)
+        registry.update(spark, path, lambda known, part=part: registry.upserted(known, part))
+    return registry.load(spark, path).select("sha256", "original_name", _joined("duplicates"), "page_count", "has_pictures")
+
+
+@query(f"WITH {_FILES} SELECT doc_id, name, CASE WHEN doc_id % 3 = 0 THEN 'fresh' WHEN doc_id % 3 = 1 AND doc_id % 2 = 0 THEN 'fresh' ELSE 'known' END AS state, CASE WHEN doc_id % 3 = 0 OR (doc_id % 3 = 1 AND doc_id % 2 = 0) THEN NULL ELSE sha256 END AS sha256 FROM f")
+def ledger_states(spark: SparkSession, d: str) -> DataFrame:
+    """Which files have to be read: the ledger lacks a third of them and has some of the others as they were before a change."""
+    files = _files(spark, d)
+    listed = files.select(F.col("doc_id").cast("string").alias("path"), "name", F.length("text").cast("long").alias("length"), F.timestamp_seconds(F.col("doc_id")).alias("mtime"), "doc_id", "sha256")
+    old = (F.col("doc_id") % 2 == 0) & (F.col("doc_id") % 3 == 1)
+    held = stored(listed.filter("doc_id % 3 > 0").select("path", F.when(old, F.col("length") + 1).otherwise(F.col("length")).alias("length"), "mtime", "sha256"), "read-files")
+    at = shared_path(spark, "ledger")
+    for part in (0, 1):
+        ledger.add(spark, at, held.filter(F.col("path").cast("long") % 2 == part))
+    known, fresh = ledger.split(listed.drop("sha256"), registry.load(spark, at, LEDGER, "path"))
+    return known.select("doc_id", "name", F.lit("known").alias("state"), "sha256").unionByName(fresh.select("doc_id", "name", F.lit("fresh").alias("state"), F.lit(None).cast("string").alias("sha256")))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) AS bytes, sha256(text) AS sha256, false AS failed FROM documents UNION ALL SELECT -doc_id - 1, -1, NULL, true FROM documents WHERE doc_id % 10 = 0")
+def files_with_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a file of its own, in two steps with a manifest; for every tenth, a second one whose path can't be written."""
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    good = docs.select("doc_id", F.concat((F.col("doc_id") % 100).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), "text")
+    bad = docs.filter("doc_id % 10 = 0").select((-F.col("doc_id") - 1).alias("doc_id"), F.concat(F.lit("../"), F.col("doc_id").cast("string")).alias("path"), "text")
+    wrote = sinks.write_with_outcome(good.unionByName(bad), shared_path(spark, "files"), shared_path(spark, "writes"), "doc_id", content="text")
+    return wrote.select(F.col("key").cast("long").alias("doc_id"), F.coalesce("bytes", F.lit(-1)).alias("bytes"), "sha256", F.col("error").isNotNull().alias("failed"))
+
+
+@query("SELECT p.page_id, p.url, d.n FROM pages p JOIN (SELECT DISTINCT page_id // 7 * 7 AS page_id, page_id // 7 AS n FROM pages WHERE page_id % 7 = 3) d USING (page_id)")
+def cache_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """A large table by key, narrowed to the keys that are due before it is joined with them."""
+    pages_ = _t(spark, d, "pages")
+    n = F.floor(F.col("page_id") / 7).cast("long")
+    due = stored(pages_.filter("page_id % 7 = 3").select((n * 7).alias("page_id"), n.alias("n")).distinct(), "due-keys")
+    return lookup.narrowed(pages_.select("page_id", "url"), due, "page_id").join(due, "page_id").select("page_id", "url", "n")
+
+
 def _entries(spark: SparkSession, d: str) -> DataFrame:
     """documents left joined with labels, as registry entries in different states."""
     labels = _t(spark, d, "labels").select(F.col("doc_id").alias("_id"), "quality", "toxic")
@@ -278,12 +328,51 @@ def image_ref_rewrite(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- chunks
 
 
-@query()
+def _chunk_sql(parts: str) -> str:
+    """SQL of the fold: parts gives (doc_id, i, s, glue, brk) of long texts, i from 1, with parts longer than the limit cut to it;
+    a part joins the chunk that is held, unless it breaks or the limit would be passed."""
+    limit = fixed.CHUNK_CHARS
+    return f"""
+WITH RECURSIVE long_texts AS (SELECT doc_id, text FROM documents WHERE length(text) > {limit}), {parts},
+r AS (
+  SELECT doc_id, 0 AS i, CAST(0 AS BIGINT) AS held, 0 AS chunk, false AS first FROM long_texts
+  UNION ALL
+  SELECT r.doc_id, p.i, CASE WHEN r.held = 0 OR p.brk OR r.held + 1 + length(p.s) > {limit} THEN length(p.s) ELSE r.held + 1 + length(p.s) END,
+    r.chunk + CASE WHEN r.held > 0 AND (p.brk OR r.held + 1 + length(p.s) > {limit}) THEN 1 ELSE 0 END,
+    r.held = 0 OR p.brk OR r.held + 1 + length(p.s) > {limit}
+  FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1
+), c AS (
+  SELECT r.doc_id, r.chunk, string_agg((CASE WHEN r.first THEN '' ELSE p.glue END) || p.s, '' ORDER BY p.i) AS text
+  FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i GROUP BY r.doc_id, r.chunk
+)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chunk) - 1 AS INTEGER) AS chunk_no, text FROM c WHERE text <> ''
+UNION ALL SELECT doc_id, 0, text FROM documents WHERE length(text) BETWEEN 1 AND {limit}
+"""
+
+
+#: Pieces of at most the limit of a part s, numbered by j; an empty part is one piece.
+_PIECES = f"unnest(range(1, greatest(1, CAST(ceil(length(s) / {fixed.CHUNK_CHARS}.0) AS BIGINT)) + 1)) AS j"
+_PIECE = f"substring(s, CAST((j - 1) * {fixed.CHUNK_CHARS} + 1 AS BIGINT), {fixed.CHUNK_CHARS})"
+_LINES_SQL = f"""
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM long_texts),
+cut AS (SELECT doc_id, line, length(s) > {fixed.CHUNK_CHARS} AS over, CASE WHEN length(s) > {fixed.CHUNK_CHARS} THEN string_split(regexp_replace(s, '([?!.]) ', '\\1' || chr(1), 'g'), chr(1)) ELSE [s] END AS parts FROM lines),
+parts AS (SELECT doc_id, line, over, unnest(parts) AS s, unnest(range(1, len(parts) + 1)) AS k FROM cut),
+pieces AS (SELECT *, {_PIECES} FROM parts),
+p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line, k, j) AS i, {_PIECE} AS s, CASE WHEN over THEN ' ' ELSE chr(10) END AS glue, over AND k = 1 AND j = 1 AS brk FROM pieces)"""
+_SENTENCES_SQL = f"""
+cut AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: regexp_matches(s, '\\S')) AS found FROM long_texts),
+whole AS (SELECT doc_id, CASE WHEN len(found) > 0 THEN found ELSE [text] END AS parts FROM cut),
+parts AS (SELECT doc_id, unnest(parts) AS s, unnest(range(1, len(parts) + 1)) AS k FROM whole),
+pieces AS (SELECT *, {_PIECES} FROM parts),
+p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) AS i, {_PIECE} AS s, ' ' AS glue, false AS brk FROM pieces)"""
+
+
+@query(_chunk_sql(_LINES_SQL))
 def chunk_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.posexplode(chunks.chunks(F.col("text"))).alias("chunk_no", "text"))
 
 
-@query()
+@query(_chunk_sql(_SENTENCES_SQL))
 def chunk_sentences(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.posexplode(chunks.chunks(F.col("text"), by="sentences")).alias("chunk_no", "text"))
 

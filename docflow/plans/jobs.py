@@ -155,7 +155,7 @@ def translate(spark: SparkSession, config: Config, registry_path: str, cache_pat
     gone, docs = docs.filter("error is not null"), docs.filter("error is null").drop("error", "path", "length")
     jvm = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     has = jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm)
-    cache = spark.read.schema(BLOCK_CACHE).parquet(cache_path).dropDuplicates(["src_sha"]) if has else spark.createDataFrame([], BLOCK_CACHE)
+    cache = spark.read.schema(BLOCK_CACHE).parquet(cache_path) if has else spark.createDataFrame([], BLOCK_CACHE)
     out, _ = translate_markdown(docs, cache, engine, store, base="base", flush=lambda new: new.write.mode("append").parquet(cache_path), **options)
     now = timestamp_text(F.current_timestamp())
     from ..operators.translate import header
