@@ -81,7 +81,8 @@ class Lists:
         self.item, self.w = at[order], w[order]
         self.top = rows.column("top").to_numpy()[order]
         self.size = np.bincount(at, minlength=len(self.items))
-        self.rows = max(1, (1 << 21) // max(1, len(self.items)))  # documents that are worked on at a time
+        # documents that are worked on at a time: neither their cells nor what they have of all lists exceeds a bound
+        self.rows = max(1, min((1 << 21) // max(1, len(self.items)), (1 << 22) // max(1, len(term))))
         self.exact = float((self.w * self.top).max(initial=0)) * self.size.max(initial=0) < 1 << 53
 
     def spread(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
