@@ -1,4 +1,4 @@
-"""python -m docflow.cli JOB: the jobs from the command line. Exit 1 if a download failed, 0 else."""
+"""python -m docflow.cli JOB: the jobs from the command line. Exit 1 if a download failed or no entry has the hash asked for, 0 else."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .config import load
+from .operators.registry import load as load_registry
+from .operators.registry import with_sha_prefix
 from .plans import jobs
 from .sources.files import RemoteListing, reader_of
 
@@ -26,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--reset-errors", action="store_true", help="docx: documents that failed are tried again")
     parser.add_argument("--from", dest="remote", help="download: a folder of any file system that can be listed")
     parser.add_argument("--script", default="hebrew")
+    parser.add_argument("--ocr", default="blank", help="extract: the OCR engine, by name")
+    parser.add_argument("--rate", type=float, help="translate: calls a second of all slots together")
+    parser.add_argument("--per-page", type=int, help="index: entries of a file; all in one without it")
     a = parser.parse_args(argv)
     config = load(str(Path(a.root, a.config)), a.root)
     if a.job == "config":
@@ -49,16 +54,23 @@ def main(argv: list[str] | None = None) -> int:
             print(f"failed: {r.name}: {r.error}")
         return 1 if failed else 0
     if a.job == "extract":
-        jobs.extract(spark, config, registry, store, a.engine or "pdf", force=a.force, only=a.only, limit=a.limit)
+        jobs.extract(spark, config, registry, store, a.engine or "pdf", a.ocr, force=a.force, only=a.only, limit=a.limit)
     elif a.job == "translate":
-        jobs.translate(spark, config, registry, f"{work}/blocks", store, a.engine or config.engine, a.force, a.only, a.limit)
+        jobs.translate(spark, config, registry, f"{work}/blocks", store, a.engine or config.engine, a.force, a.only, a.limit, rate=a.rate, pause=f"{work}/pause")
     elif a.job == "docx":
         jobs.translate_docx(spark, config, registry, store, a.engine or config.engine, only=a.only, limit=a.limit, reset_errors=a.reset_errors)
         Path(config.index_file).write_text(jobs.plain_index(spark, registry), "utf-8")
     elif a.job == "fix-images":
         jobs.fix_images(spark, config, registry, store, a.only).show()
     elif a.job == "summarize":
+        if a.sha and with_sha_prefix(load_registry(spark, registry), a.sha).isEmpty():
+            print(f"no entry's hash begins with {a.sha}")
+            return 1
         jobs.summaries(spark, config, registry, store, a.script, a.force, a.only, a.limit, a.sha).show()
+    elif a.job == "index" and a.per_page:
+        wrote = jobs.index_pages(spark, config, registry, store, a.per_page)
+        for r in wrote.filter("error is not null").collect():
+            print(f"failed: {r.path}: {r.error}")
     else:
         page = jobs.plain_index(spark, registry) if a.job == "plain-index" else jobs.index(spark, config, registry)
         Path(config.index_file).write_text(page, "utf-8")

@@ -6,6 +6,7 @@ pipelines can be run and tested; engines for outside services are registered the
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import shutil
@@ -162,6 +163,15 @@ def simple_pdf_images(content: bytes) -> Iterator[tuple[str, bytes]]:
             yield "png", png(width, height, samples, pixels)
 
 
+def _ranged(extract: Extract, count: Callable[[bytes], int]) -> Extract:
+    """An extractor that can tell a file's pages and read a range of them (first, end) alone."""
+    extract.count = count
+    extract.read_range = lambda content, first, end: itertools.islice(extract(content), first - 1, end - 1)
+    return extract
+
+
+_ranged(form_feed_pages, lambda content: content.count(b"\f") + 1)
+
 TRANSLATORS: dict[str, Callable[[], Translate]] = {"identity": lambda: lambda t: t, "upper": lambda: str.upper, "pseudo": lambda: lambda t: f"⟦{t}⟧"}
 EXTRACTORS: dict[str, Extract] = {"text": form_feed_pages, "pdf": simple_pdf_pages}
 IMAGES: dict[str, Pictures] = {"pdf": simple_pdf_images}
@@ -225,6 +235,61 @@ class Retrying:
             return out or ""
 
 
+@dataclass
+class Paced:
+    """An engine that many slots call, kept below a rate for all of them together.
+
+    Each of slots paces itself at its share of the rate (calls a second), the first calls apart from one another; slots is the
+    number of partitions that hold the work, so that no more of them ever run at a time. Where one is told of a rate limit, it notes in a
+    file of the shared folder pause until when nobody should call, and all slots, which look there before each call, wait."""
+
+    engine: Translate
+    rate: float
+    slots: int = 1
+    slot: int = 0
+    pause: str = ""
+    sleep: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.time
+    _next: float = field(default=0.0, repr=False)
+
+    def __call__(self, text: str) -> str:
+        if not self._next:
+            self._next = self.clock() + self.slot / self.rate
+        while (wait := max(self._next, self._paused()) - self.clock()) > 0:
+            self.sleep(wait)
+        self._next = max(self._next, self.clock() - 1e-9) + self.slots / self.rate
+        try:
+            return self.engine(text)
+        except Exception as e:
+            if self.pause and any(s.lower() in str(e).lower() for s in fixed.RATE_LIMIT):
+                self._note(self.clock() + fixed.RATE_LIMIT_WAITS[0])
+            raise
+
+    def _folder(self):
+        import pyarrow.fs as pafs
+
+        return pafs.FileSystem.from_uri(self.pause if "://" in self.pause else f"file://{self.pause}")
+
+    def _paused(self) -> float:
+        """Until when nobody should call."""
+        if not self.pause:
+            return 0.0
+        fs, root = self._folder()
+        try:
+            with fs.open_input_stream(f"{root}/until") as f:
+                return float(f.read().decode() or 0)
+        except (FileNotFoundError, ValueError):
+            return 0.0
+
+    def _note(self, until: float) -> None:
+        fs, root = self._folder()
+        fs.create_dir(root, recursive=True)
+        own = f"{root}/.until-{self.slot}"
+        with fs.open_output_stream(own) as f:
+            f.write(f"{until:.3f}".encode())
+        fs.move(own, f"{root}/until")
+
+
 def translate_long(text: str, engine: Translate, limit: int = fixed.CHUNK_CHARS) -> str:
     """Chunk by chunk, joined by blanks; outer white space goes, and a blank text is empty."""
     text = text.strip()

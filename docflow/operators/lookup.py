@@ -38,6 +38,6 @@ def narrowed(table: DataFrame, due: DataFrame, key: str, keys: int | None = None
     bits = min(MOST_BITS, max(64, 1 << (keys * BITS_PER_KEY - 1).bit_length()))
     word, bit = _places(F.col(key), bits)
     marked = table.withColumns({"_word": word, "_bit": bit})
-    words = filter_words(due, key, bits).withColumnRenamed("word", "_at")
-    hit = (F.col("_word") == F.col("_at")) & (F.expr("shiftright(`set`, `_bit`) & 1") == 1)
+    words = filter_words(due, key, bits).select(F.col("word").alias("_at"), F.col("set").alias("_set"))
+    hit = (F.col("_word") == F.col("_at")) & (F.expr("shiftright(`_set`, `_bit`) & 1") == 1)
     return marked.join(F.broadcast(words), hit, "left_semi").drop("_word", "_bit")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,13 +117,53 @@ def plain_rows(registry: DataFrame) -> DataFrame:
     return by_name(registry.select("original_name", "sha256", row.alias("row")))
 
 
+PAGE_ROWS = 1000
+
+
+def numbered(rows: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """rows (original_name, sha256, ...) with number, from 0 in order of names: dealt out by ranges of names, numbered within each,
+    and moved on by the counts of the ranges before, one number for each partition."""
+    order = [F.lower(F.coalesce("original_name", F.lit(""))), F.col("sha256")]
+    ranged = store(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    counts = sorted((r["part"], r["count"]) for r in ranged.groupBy(part.alias("part")).count().collect())
+    before, offsets = 0, []
+    for p, n in counts:
+        offsets.append((p, before))
+        before += n
+    offset = F.broadcast(rows.sparkSession.createDataFrame(offsets, "_part long, _before long"))  # a row for each partition
+    return ranged.join(offset, part == F.col("_part")).withColumn("number", F.col("_before") + F.col("_at") - F.shiftleft("_part", 33)).drop("_part", "_before", "_at")
+
+
+def pages(rows: DataFrame, counts: DataFrame | None, at: str, store: Callable[[DataFrame], DataFrame], name: str = "index.html", per_page: int = PAGE_ROWS, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """(path, content): the index in files of per_page rows (original_name, sha256, row) in order, each with links to the one before
+    and the one after. The first has the name, the others the name and their number. Only counters reach the driver."""
+    own = numbered(rows.select("original_name", "sha256", "row"), store).withColumn("page", F.floor(F.col("number") / per_page) + 1)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "row"))), lambda x: x["row"]), "\n")  # of per_page rows
+    made = own.groupBy("page").agg(body.alias("body"))
+    last = max(1, -(-rows.count() // per_page))
+    made = made if last > 1 or not rows.isEmpty() else rows.sparkSession.createDataFrame([(1, "")], "page long, body string")
+    base, dot, kind = name.rpartition(".")
+    file = lambda n: F.when(n == 1, name).otherwise(F.concat(F.lit(f"{base if dot else kind}-"), n.cast("string"), F.lit(f".{kind}" if dot else "")))
+    link = lambda n, sign, there: F.when(there, F.concat(F.lit('<a href="'), html_escape(href(file(n))), F.lit(f'">{sign}</a> '))).otherwise("")
+    n = F.col("page")
+    links = F.concat(F.lit('<div class="pages">'), link(n - 1, "&lsaquo;", n > 1), n.cast("string"), F.lit(f" / {last} "), link(n + 1, "&rsaquo;", n < last), F.lit("</div>"))
+    top, bottom = _frame({} if counts is None else counts.first().asDict(), at, columns)
+    return made.select(file(n).alias("path"), F.concat(F.lit(top), F.col("body"), F.lit("\n</tbody>\n</table>\n"), links, F.lit(bottom)).alias("content"))
+
+
 def page(rows: DataFrame, counts: DataFrame | None, at: str, columns: tuple[str, ...] = COLUMNS) -> str:
     """The HTML page: counters, a header row and the rows in order, streamed to the driver. One page is a driver's object by nature."""
     body = "\n".join(r.row for r in rows.toLocalIterator())
-    got = {} if counts is None else counts.first().asDict()
+    top, bottom = _frame({} if counts is None else counts.first().asDict(), at, columns)
+    return f"{top}{body}\n</tbody>\n</table>{bottom}"
+
+
+def _frame(got: dict, at: str, columns: tuple[str, ...]) -> tuple[str, str]:
+    """What stands before an index's rows and after its table."""
     head = "".join(f"<div><strong>{got[k]}</strong>{label}</div>" for k, label in COUNTERS.items() if k in got)
     names = "".join(f"<th>{c}</th>" for c in columns)
     return (
         f'<!DOCTYPE html>\n<html lang="he" dir="rtl"><head><meta charset="utf-8"><title>{TITLE}</title></head>\n<body>\n<h1>{TITLE}</h1>\n<p class="subtitle">{MADE_AT}{at}</p>\n'
-        f'<div class="summary">{head}</div>\n<table>\n<thead><tr class="head">{names}</tr></thead>\n<tbody>\n{body}\n</tbody>\n</table></body></html>\n'
-    )
+        f'<div class="summary">{head}</div>\n<table>\n<thead><tr class="head">{names}</tr></thead>\n<tbody>\n'
+    ), "</body></html>\n"

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..engines import TRANSLATORS, Retrying, find, translate_or_split
+from ..engines import TRANSLATORS, Paced, Retrying, find, translate_or_split
 from ..functions import fixed
 from ..functions.text import sha256, timestamp_text
 from .blocks import assemble_blocks, assemble_documents, parse_blocks, segments, with_images_rewritten
@@ -22,12 +23,16 @@ RESULTS = "src_sha string, text string, error string"
 SLICE_TEXTS, MOST_SLICES = 5000, 64
 
 
-def run_engine(texts: DataFrame, engine: str | Callable, slots: int = 8, limit: int = fixed.CHUNK_CHARS, tries: int = fixed.LEAST_TRIES, backoff: float = 2.0, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """(src_sha, text, error) of texts (src_sha, source). slots bounds how many engines run at a time."""
+def run_engine(texts: DataFrame, engine: str | Callable, slots: int = 8, limit: int = fixed.CHUNK_CHARS, tries: int = fixed.LEAST_TRIES, backoff: float = 2.0, sleep: Callable[[float], None] | None = None, rate: float | None = None, pause: str = "") -> DataFrame:
+    """(src_sha, text, error) of texts (src_sha, source). slots bounds how many engines run at a time, rate (calls a second) how often
+    they are called by all slots together; a rate limit that one of them meets is noted in the shared folder pause, and all wait."""
     make = find(TRANSLATORS, engine) if isinstance(engine, str) else engine
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        translate = Retrying(make(), tries, backoff, **({"sleep": sleep} if sleep else {}))
+        engine_ = make()
+        if rate:
+            engine_ = Paced(engine_, rate, slots, TaskContext.get().partitionId() % slots, pause)
+        translate = Retrying(engine_, tries, backoff, **({"sleep": sleep} if sleep else {}))
         for batch in batches:
             out, errors = [], []
             for text in batch["source"]:

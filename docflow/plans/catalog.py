@@ -120,6 +120,16 @@ def files_with_outcome(spark: SparkSession, d: str) -> DataFrame:
     return wrote.select(F.col("key").cast("long").alias("doc_id"), F.coalesce("bytes", F.lit(-1)).alias("bytes"), "sha256", F.col("error").isNotNull().alias("failed"))
 
 
+@query(f"WITH {_FILES}, r AS (SELECT name, (row_number() OVER (ORDER BY lower(name), sha256 || doc_id) - 1) // 100 + 1 AS page FROM f) SELECT CASE WHEN page = 1 THEN 'index.html' ELSE 'index-' || page || '.html' END AS path, count(*) AS n_rows, min(lower(name)) AS first_name, max(lower(name)) AS last_name FROM r GROUP BY page")
+def index_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The index of all documents in files of 100 rows; of each file its rows and the first and last name in it."""
+    files = _files(spark, d).select(F.col("name").alias("original_name"), F.concat("sha256", F.col("doc_id").cast("string")).alias("sha256"))
+    rows = files.withColumn("row", F.concat(F.lit("<tr><td>"), text.html_escape(F.col("original_name")), F.lit("</td></tr>")))
+    made = report.pages(rows, None, "now", lambda df: stored(df, "index"), per_page=100)
+    names = F.regexp_extract_all("content", F.lit("<tr><td>(.*?)</td></tr>"), 1)
+    return made.select("path", names.alias("n")).select("path", F.size("n").cast("long").alias("n_rows"), F.lower(F.get("n", F.lit(0))).alias("first_name"), F.lower(F.element_at("n", -1)).alias("last_name"))
+
+
 @query("SELECT p.page_id, p.url, d.n FROM pages p JOIN (SELECT DISTINCT page_id // 7 * 7 AS page_id, page_id // 7 AS n FROM pages WHERE page_id % 7 = 3) d USING (page_id)")
 def cache_lookup(spark: SparkSession, d: str) -> DataFrame:
     """A large table by key, narrowed to the keys that are due before it is joined with them."""

@@ -39,7 +39,7 @@ def _step(ddl: str, **values):
 def extract(spark: SparkSession, config: Config, registry_path: str, store: Store, engine: str = "pdf", ocr: str = "blank", force: bool = False, only: str | None = None, limit: int | None = None) -> DataFrame:
     """Files of the source folder to Markdown files and their registry entries: text layer, or OCR where that is nearly empty."""
     log = _log(spark, registry_path)
-    found, first = _found(spark, config, registry_path, store, only, (lambda fresh: sources.read_files(fresh, engine)) if limit is None else sources.hashed)
+    found, first = _found(spark, config, registry_path, store, only, (lambda fresh: sources.read_files(fresh, engine, store=store)) if limit is None else sources.hashed)
     known = store(registry.upsert(registry.load(spark, registry_path), found))
     work = registry.work_list(known.join(found.select("sha256").distinct(), "sha256", "left_semi"), registry.is_pending(F.col("step1.status"), force), limit)
     work = store(work.select("sha256", "original_name"))
@@ -50,8 +50,8 @@ def extract(spark: SparkSession, config: Config, registry_path: str, store: Stor
         read = store(now_read.unionByName(later))
     else:
         read = store(sources.readings(_contents(content), engine))
-    unread = read.filter("error is not null").select("sha256", F.col("error").alias("read_error"))
-    pages = read.filter("error is null").drop("error")
+    unread = store(read.filter("error is not null").groupBy("sha256").agg(F.min("error").alias("read_error")))
+    pages = read.filter("error is null").drop("error").join(unread.select("sha256"), "sha256", "left_anti")  # of whole files
     stats = page_stats(pages)
     lang = langid_sample(pages).select("sha256", detect(F.col("sample")).alias("lang"))
     facts = store(work.join(stats, "sha256", "left").join(lang, "sha256", "left").withColumn("by_ocr", registry.needs_ocr(F.col("text_layer_chars"), config.ocr_min_chars, config.ocr_when_empty, config.force_ocr)))
@@ -101,7 +101,7 @@ def _found(spark: SparkSession, config: Config, registry_path: str, store: Store
     known, fresh = ledger.split(store(sources.listed(spark, config.source_dir, only=only)), store(ledger.load(spark, at)))
     fresh = store(fresh)
     first = store(read(fresh))
-    seen = store(fresh.join(first.select("path", "sha256").filter("sha256 is not null").distinct(), "path"))
+    seen = store(fresh.join(first.filter("sha256 is not null").select("path", "sha256").distinct(), "path"))
     ledger.add(spark, at, seen)
     return store(known.unionByName(seen)), first
 
@@ -199,6 +199,12 @@ def summaries(spark: SparkSession, config: Config, registry_path: str, store: St
 
 def index(spark: SparkSession, config: Config, registry_path: str) -> str:
     """The HTML index of the registry."""
+    rows = report.index_rows(*_indexed(spark, config, registry_path))
+    return report.page(rows, report.counters(registry.load(spark, registry_path)), _now(spark))
+
+
+def _indexed(spark: SparkSession, config: Config, registry_path: str) -> tuple[DataFrame, DataFrame, str]:
+    """The registry, the listing of what is there, and the source folder, as index_rows() takes them."""
     reg = registry.load(spark, registry_path)
     root = f"{config.root}/"
     parts = [sources.listing(spark, getattr(config, f)) for f in ("source_dir", "step1_md_dir", "translated_md_dir") if _exists(spark, getattr(config, f))]
@@ -206,7 +212,16 @@ def index(spark: SparkSession, config: Config, registry_path: str) -> str:
     for p in parts[1:]:
         listed = listed.unionByName(p)
     listed = listed.select(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), f"^{root}", "").alias("path"))
-    return report.page(report.index_rows(reg, listed, config.settings["paths"]["source_dir"]), report.counters(reg), _now(spark))
+    return reg, listed, config.settings["paths"]["source_dir"]
+
+
+def index_pages(spark: SparkSession, config: Config, registry_path: str, store: Store, per_page: int = report.PAGE_ROWS) -> DataFrame:
+    """The HTML index in files of per_page entries, written by the tasks beside the index file; (path, bytes, sha256, error) of each. No
+    row of the registry passes the driver."""
+    log = _log(spark, registry_path)
+    folder, _, name = config.index_file.rpartition("/")
+    made = report.pages(report.index_rows(*_indexed(spark, config, registry_path)), report.counters(registry.load(spark, registry_path)), _now(spark), store, name, per_page)
+    return write_with_outcome(made, folder, log, "path").drop("key")
 
 
 def plain_index(spark: SparkSession, registry_path: str) -> str:

@@ -17,6 +17,7 @@ from ..schema import OCR_CANDIDATES, PAGES
 
 OCR_PAGES = 64
 PART_BYTES = 128 << 20
+PART_PAGES = 200
 
 
 def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", only: str | None = None, ordered: bool = False) -> DataFrame:
@@ -84,12 +85,20 @@ def hashed(files: DataFrame) -> DataFrame:
     return read.withColumn("sha256", F.when(F.col("error").isNull(), F.sha2("content", 256))).drop("content", "error")
 
 
-def read_files(files: DataFrame, engine: str = "pdf", part_bytes: int = PART_BYTES) -> DataFrame:
-    """(path, sha256, page_no, text, n_images, error) of files (path, length), each read once: hashed and cut into pages. A file that can't
-    be opened has a row without sha256; one that the engine can't read a row without page_no."""
+def read_files(files: DataFrame, engine: str = "pdf", part_bytes: int = PART_BYTES, part_pages: int = PART_PAGES, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(path, sha256, page_no, text, n_images, error) of files (path, length): hashed and cut into pages. A file that can't be opened has a
+    row without sha256; one that the engine can't read a row without page_no.
+
+    A file of at most part_pages pages is read once. Of a longer one, if the engine can count pages and read a range of them, the
+    first pass only tells the number, and its ranges are dealt out to tasks, each of which reads the file once; store
+    keeps the first pass, so that it runs once."""
     extract = find(EXTRACTORS, engine)
+    count, read_range = getattr(extract, "count", None), getattr(extract, "read_range", None)
+    columns = ["path", "sha256", "page_no", "text", "n_images", "error", "pages"]
+    schema = f"path string, {PAGES}, error string, pages int"
+    frame = lambda rows: pd.DataFrame(rows, columns=columns).astype({"page_no": "Int32", "n_images": "Int32", "pages": "Int32"})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
         for batch in batches:
@@ -98,13 +107,32 @@ def read_files(files: DataFrame, engine: str = "pdf", part_bytes: int = PART_BYT
                 try:
                     data = _bytes_of(path)
                     sha = hashlib.sha256(data).hexdigest()
-                    rows = [(path, sha, i, text, n, None) for i, (text, n) in enumerate(extract(data), 1)]
+                    n = count(data) if count and read_range else 0
+                    if n > part_pages:
+                        rows = [(path, sha, None, None, None, None, n)]
+                    else:
+                        rows = [(path, sha, i, text, k, None, None) for i, (text, k) in enumerate(extract(data), 1)]
                 except Exception as e:
-                    rows = [(path, sha, None, None, None, _told(e))]
-                rows = rows or [(path, sha, None, None, None, None)]  # no page and no error
-                yield pd.DataFrame(rows, columns=["path", "sha256", "page_no", "text", "n_images", "error"]).astype({"page_no": "Int32", "n_images": "Int32"})
+                    rows = [(path, sha, None, None, None, _told(e), None)]
+                yield frame(rows or [(path, sha, None, None, None, None, None)])  # no page and no error
 
-    return _dealt(files, part_bytes).select("path").mapInPandas(run, f"path string, {PAGES}, error string")
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, sha, a, n in zip(batch["path"], batch["sha256"], batch["a"], batch["pages"]):
+                try:
+                    rows = [(path, sha, i, text, k, None, None) for i, (text, k) in enumerate(read_range(_bytes_of(path), int(a), min(int(a) + part_pages, int(n) + 1)), int(a))]
+                except Exception as e:
+                    rows = [(path, sha, None, None, None, f"pages from {a}: {_told(e)}", None)]
+                yield frame(rows)
+
+    found = _dealt(files, part_bytes).select("path").mapInPandas(first, schema)
+    if count is None or read_range is None:
+        return found.drop("pages")
+    found = store(found) if store else found
+    long = found.filter("pages is not null").select("path", "sha256", "pages", F.explode(F.sequence(F.lit(1), F.col("pages"), F.lit(part_pages))).alias("a"))
+    slots = files.sparkSession.sparkContext.defaultParallelism
+    dealt = long.repartition(max(slots, 64), "path", "a").mapInPandas(ranges, schema)
+    return found.filter("pages is null").unionByName(dealt).drop("pages")
 
 
 def with_sha(files: DataFrame) -> DataFrame:
