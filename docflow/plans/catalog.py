@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.langid import BY_WORDS, LETTERS, STOP_WORDS, detect
-from ..operators import blocks, chunks, lookup, pages, registry, report, summarize, translate
+from ..operators import blocks, chunks, langmodel, lookup, pages, registry, report, summarize, translate
 from ..schema import LEDGER
 from ..sources import ledger, sinks
 from ..storage import shared_path, stored
@@ -433,6 +433,41 @@ def detect_language(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", detect(F.col("text")).alias("detected"))
 
 
+_GRAMS = " UNION ALL ".join(f"SELECT *, unnest(list_transform(range(1, greatest(length(t) - {k - 1}, 0) + 1), lambda i: substring(t, CAST(i AS BIGINT), {k}))) AS gram FROM TEXTS" for k in (1, 2, 3))
+_PLAIN = "lower(trim(regexp_replace(text, '[\\x20\\x09-\\x0D]+', ' ', 'g')))"
+_LOG = "CAST(round(1000 * ln((CAST(NUMBER AS DOUBLE) + 0.5::DOUBLE) / (CAST(total AS DOUBLE) + 0.5::DOUBLE * (number + 1)))) AS BIGINT)"
+
+
+def _scores_sql(name: str, texts: str, key: str) -> str:
+    return f"""{name}_t AS (SELECT * FROM ({texts}) WHERE t <> ''), {name}_g AS MATERIALIZED (SELECT {key}, gram, count(*) AS n FROM ({_GRAMS.replace("TEXTS", f"{name}_t")}) GROUP BY ALL),
+{name}_n AS (SELECT {key}, sum(n) AS n FROM {name}_g GROUP BY ALL),
+{name}_gain AS (SELECT {key}, m.lang AS of, sum(n * (w - floor)) AS gain FROM {name}_g JOIN m USING (gram) JOIN fl ON fl.lang = m.lang GROUP BY ALL),
+{name} AS (SELECT *, gain + n * floor AS score FROM {name}_gain JOIN {name}_n USING ({key}) JOIN fl ON fl.lang = of)"""
+
+
+@query(
+    f"""WITH tr AS (SELECT lang, {_PLAIN} AS t FROM documents WHERE doc_id % 4 <> 2 AND text IS NOT NULL AND lang IS NOT NULL),
+cn AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM ({_GRAMS.replace("TEXTS", "(SELECT * FROM tr WHERE t <> '')")}) GROUP BY ALL),
+k AS MATERIALIZED (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(gram), encode(gram)) AS r FROM cn) WHERE r <= {langmodel.PROFILE}),
+tot AS (SELECT lang, sum(n) AS total FROM cn GROUP BY lang), num AS (SELECT count(*) AS number FROM k),
+m AS MATERIALIZED (SELECT k.gram, tot.lang, {_LOG.replace("NUMBER", "coalesce(cn.n, 0)")} AS w FROM k CROSS JOIN tot CROSS JOIN num LEFT JOIN cn ON cn.gram = k.gram AND cn.lang = tot.lang),
+fl AS MATERIALIZED (SELECT lang, {_LOG.replace("NUMBER", "0")} AS floor FROM tot, num),
+{_scores_sql("own", f"SELECT doc_id, lang AS named, {_PLAIN} AS t FROM documents WHERE doc_id % 4 <> 2 AND text IS NOT NULL AND lang IS NOT NULL", "doc_id, named")},
+me AS (SELECT of AS lang, CAST(floor(CAST(score * 1000 AS DOUBLE) / n) AS BIGINT) AS mean, count(*) AS c FROM own WHERE of = named GROUP BY ALL),
+cu AS (SELECT lang, mean, sum(c) OVER (PARTITION BY lang ORDER BY mean) AS so_far, sum(c) OVER (PARTITION BY lang) AS every FROM me),
+le AS (SELECT lang, min(mean) AS least FROM cu WHERE so_far > floor(every * {langmodel.REJECT_THOUSANDTHS} / 1000.0) GROUP BY lang),
+{_scores_sql("held", f"SELECT doc_id, line, {_PLAIN} AS t FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents WHERE doc_id % 4 = 2)", "doc_id, line")},
+b AS (SELECT doc_id, line, of, score, n, row_number() OVER (PARTITION BY doc_id, line ORDER BY score DESC, of) AS r FROM held)
+SELECT doc_id, CAST(line AS INTEGER) AS line, CASE WHEN score * 1000 >= least * n THEN of END AS lang, CAST(score AS BIGINT) AS score, CAST(n AS BIGINT) AS n FROM b JOIN le ON le.lang = b.of WHERE r = 1"""
+)
+def language_model(spark: SparkSession, d: str) -> DataFrame:
+    """A language model trained on three of four documents by their language, and the language of every line of the others."""
+    docs = _t(spark, d, "documents")
+    model = langmodel.trained(docs.filter("doc_id % 4 <> 2").select(F.col("doc_id").alias("id"), "lang", "text"), lambda df: stored(df, "language"))
+    lines = docs.filter("doc_id % 4 = 2").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return model.classified(lines, ["doc_id", "line"])
+
+
 @query()
 def foreign_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "conversations").groupBy("conv_id").agg(pages.ordered_concat("turn", "text", "\n\n").alias("md"))
