@@ -12,12 +12,14 @@ from .config import load
 from .operators.registry import load as load_registry
 from .operators.registry import with_sha_prefix
 from .plans import jobs
-from .sources.files import RemoteListing, reader_of
+from .sources.files import RemoteListing, reader_of, targets
+from .sources.remote import HttpListing
+from .sources.remote import reader_of as http_reader
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="docflow")
-    parser.add_argument("job", choices=["download", "extract", "translate", "docx", "fix-images", "summarize", "index", "plain-index", "config"])
+    parser.add_argument("job", choices=["download", "extract", "translate", "docx", "fix-images", "summarize", "index", "plain-index", "import-cache", "config"])
     parser.add_argument("--root", default=".")
     parser.add_argument("--config", default="config.toml")
     parser.add_argument("--only")
@@ -26,7 +28,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--engine", default=None)
     parser.add_argument("--sha", help="summarize: only entries whose hash begins so")
     parser.add_argument("--reset-errors", action="store_true", help="docx: documents that failed are tried again")
-    parser.add_argument("--from", dest="remote", help="download: a folder of any file system that can be listed")
+    parser.add_argument("--from", dest="remote", help="download: a folder of any file system that can be listed, or the base URL of an HTTP listing; import-cache: the folder of partial caches")
+    parser.add_argument("--folder", default="root", help="download: the folder's id in an HTTP listing")
     parser.add_argument("--script", default="hebrew")
     parser.add_argument("--ocr", default="blank", help="extract: the OCR engine, by name")
     parser.add_argument("--rate", type=float, help="translate: calls a second of all slots together")
@@ -47,13 +50,23 @@ def main(argv: list[str] | None = None) -> int:
     registry = f"{work}/registry"
     if a.job == "download":
         folder = (a.remote or config.folder_url).rstrip("/")
-        spark.dataSource.register(RemoteListing)
-        got = jobs.download(spark, config, store, spark.read.format("remote_listing").load(folder), reader_of(folder))
+        if folder.startswith(("http://", "https://")):
+            spark.dataSource.register(HttpListing)
+            listing, fetch = spark.read.format("http_listing").option("folder", a.folder).load(folder), http_reader(folder)
+        else:
+            spark.dataSource.register(RemoteListing)
+            listing, fetch = spark.read.format("remote_listing").load(folder), reader_of(folder)
+        listing = store(listing.select("id", "name", "mime"))
+        wanted, skipped = targets(listing, config.pdfs_only)
+        print(f"{wanted.count()} to have, {skipped.count()} skipped")
+        got = jobs.download(spark, config, store, listing, fetch)
         failed = got.filter("error is not null").collect()
         for r in failed:
             print(f"failed: {r.name}: {r.error}")
         return 1 if failed else 0
-    if a.job == "extract":
+    if a.job == "import-cache":
+        print(f"{jobs.import_cache(spark, config, registry, f'{work}/blocks', store, a.remote)} texts taken up")
+    elif a.job == "extract":
         jobs.extract(spark, config, registry, store, a.engine or "pdf", a.ocr, force=a.force, only=a.only, limit=a.limit)
     elif a.job == "translate":
         jobs.translate(spark, config, registry, f"{work}/blocks", store, a.engine or config.engine, a.force, a.only, a.limit, rate=a.rate, pause=f"{work}/pause")

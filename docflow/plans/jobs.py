@@ -15,6 +15,7 @@ from ..functions.langid import detect
 from ..functions.text import safe_name, stem, timestamp_text, without_comments
 from ..operators import registry, report, summarize
 from ..operators.blocks import filter_foreign, with_images_rewritten
+from ..operators.lookup import narrowed
 from ..operators.pages import best_reading, document_markdown, docx_paragraphs, langid_sample, ordered_concat, page_stats
 from ..operators.translate import translate_markdown, translate_pages
 from ..schema import BLOCK_CACHE, DOCX, STEP1, TRANSLATION
@@ -311,6 +312,26 @@ def download(spark: SparkSession, config: Config, store: Store, remote: DataFram
     return got.filter("error is not null").select("name", "error").unionByName(written.select(F.col("path").alias("name"), "error"))
 
 
+def import_cache(spark: SparkSession, config: Config, registry_path: str, cache_path: str, store: Store, folder: str) -> int:
+    """Takes up translated blocks of documents whose run was broken off, kept as JSON files in a folder; returns how many texts the block
+    cache has gained. Only the Markdown of documents that the files name is read."""
+    from ..operators.translate import from_partial, partial_cache
+
+    partial = store(partial_cache(spark, folder))
+    reg = registry.load(spark, registry_path).filter("step1.md_relpath is not null").select("sha256", F.col("step1.md_relpath").alias("rel"))
+    tail = F.regexp_replace("rel", r"^.*/(?=[^/]+/[^/]+$)", "")
+    docs = reg.join(partial.select(F.col("key").alias("sha256")).distinct(), "sha256", "left_semi").select("sha256", F.concat(F.lit(f"{config.step1_md_dir}/"), tail).alias("path"), F.lit(TEXT_BYTES).alias("length"))
+    docs = store(sources.with_content(docs, text=True).filter("error is null").select("sha256", F.col("content").alias("md")))
+    found = store(from_partial(partial, docs))
+    if _exists(spark, cache_path):
+        held = narrowed(spark.read.schema(BLOCK_CACHE).parquet(cache_path), found.select("src_sha"), "src_sha")
+        found = store(found.join(held.select("src_sha"), "src_sha", "left_anti"))
+    new = found.count()
+    if new:
+        found.select("src_sha", "text").write.mode("append").parquet(cache_path)
+    return new
+
+
 def _tail(path) -> Column:
     """The last folder and name of a file's URL."""
     return F.url_decode(F.replace(F.regexp_replace(path, r"^.*/(?=[^/]+/[^/]+$)", ""), F.lit("+"), F.lit("%2B")))
