@@ -416,19 +416,20 @@ def names_and_escapes(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", text.safe_name(F.concat(rest, F.lit(".pdf"))).alias("n"), report.href(F.replace("url", F.lit("http"), F.lit("h p~*"))).alias("href"), text.html_escape(F.col("html")).alias("escaped"), text.last_segment(F.col("url")).alias("segment"))
 
 
-def _langid_sql() -> str:
-    """Words are cut out and looked up in lists here, not matched by one pattern a language."""
+def _langid(name: str, source: str, key: str, least: int = fixed.LANGID_LEAST) -> str:
+    """SQL of name (key, detected) from a table source (key, text). Words are cut out and looked up in lists here, not matched by
+    one pattern a language."""
     cut = ", ".join(f"regexp_split_to_array(h, '[^{LETTERS[s]}]+') AS {s}_words, len(regexp_extract_all(h, '[{LETTERS[s]}]')) AS {s}" for s in BY_WORDS)
     counts = ", ".join(f"len(list_filter({s}_words, lambda x: x IN ({', '.join(repr(w) for w in STOP_WORDS[lang])}))) AS {lang}" for s, langs in BY_WORDS.items() for lang in langs)
     best = {s: f"greatest({', '.join(langs)})" for s, langs in BY_WORDS.items()}
     cases = " ".join(f"WHEN {lang} = {best['latin']} THEN '{lang}'" for lang in BY_WORDS["latin"])
-    return f"""WITH f AS (SELECT doc_id, left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 4000) AS t FROM documents),
-w AS (SELECT doc_id, t, {cut}, len(regexp_extract_all(h, '[{LETTERS["arabic"]}]')) AS arabic FROM (SELECT *, lower(t) AS h FROM f)),
-c AS (SELECT doc_id, t, latin, hebrew, arabic, {counts} FROM w)
-SELECT doc_id, CASE WHEN length(t) < 40 THEN NULL WHEN hebrew > 0 AND hebrew >= latin AND hebrew >= arabic THEN CASE WHEN yi > he THEN 'yi' ELSE 'he' END WHEN arabic > latin THEN 'ar' WHEN {best["latin"]} = 0 THEN NULL {cases} END AS detected FROM c"""
+    return f"""{name}_f AS (SELECT {key}, left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 4000) AS t FROM {source}),
+{name}_w AS (SELECT {key}, t, {cut}, len(regexp_extract_all(h, '[{LETTERS["arabic"]}]')) AS arabic FROM (SELECT *, lower(t) AS h FROM {name}_f)),
+{name}_c AS (SELECT {key}, t, latin, hebrew, arabic, {counts} FROM {name}_w),
+{name} AS (SELECT {key}, CASE WHEN length(t) < {least} THEN NULL WHEN hebrew > 0 AND hebrew >= latin AND hebrew >= arabic THEN CASE WHEN yi > he THEN 'yi' ELSE 'he' END WHEN arabic > latin THEN 'ar' WHEN {best["latin"]} = 0 THEN NULL {cases} END AS detected FROM {name}_c)"""
 
 
-@query(_langid_sql())
+@query(f"WITH {_langid('d', 'documents', 'doc_id')} SELECT doc_id, detected FROM d")
 def detect_language(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", detect(F.col("text")).alias("detected"))
 
@@ -468,7 +469,20 @@ def language_model(spark: SparkSession, d: str) -> DataFrame:
     return model.classified(lines, ["doc_id", "line"])
 
 
-@query()
+@query(
+    f"""WITH md AS (SELECT conv_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn, text), '') AS text FROM conversations GROUP BY conv_id),
+{_langid("doc", "md", "conv_id")},
+bl AS (SELECT conv_id, unnest(b) AS block, unnest(range(1, len(b) + 1)) AS i FROM (SELECT conv_id, string_split_regex(text, '\\n\\s*\\n') AS b FROM md)),
+pl AS (SELECT conv_id, i, block, trim(regexp_replace(regexp_replace(regexp_replace(block, '[*_`~]+', ' ', 'g'), '(?m)^\\s*(#{{1,6}}|[-*+]|\\d+\\.)\\s+', '', 'g'), '\\s+', ' ', 'g')) AS text FROM bl),
+{_langid("para", "pl", "conv_id, i", 0)},
+kp AS (
+  SELECT conv_id, i, block, doc.detected AS lang, doc.detected IS NULL OR NOT regexp_matches(block, '\\S') OR len(list_filter(string_split(block, chr(10)), lambda s: regexp_matches(s, {_ST}))) > 0
+    OR len(regexp_extract_all(pl.text, '{fixed.LETTERS}')) <= {fixed.FOREIGN_LETTERS} OR para.detected IS NULL OR para.detected = doc.detected AS keep
+  FROM pl JOIN para USING (conv_id, i) JOIN doc USING (conv_id))
+SELECT conv_id, any_value(lang) AS lang, count(*) FILTER (NOT keep) AS dropped,
+  CASE WHEN count(*) FILTER (NOT keep) > 0 THEN coalesce(string_agg(block, chr(10) || chr(10) ORDER BY i) FILTER (keep), '') ELSE any_value(md.text) END AS md
+FROM kp JOIN md USING (conv_id) GROUP BY conv_id"""
+)
 def foreign_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "conversations").groupBy("conv_id").agg(pages.ordered_concat("turn", "text", "\n\n").alias("md"))
     return blocks.filter_foreign(docs.withColumn("lang", detect(F.col("md"))), "lang", lambda c: detect(c, 0)).select("conv_id", "lang", "dropped", "md")

@@ -63,3 +63,30 @@ def test_cells(spark):
     assert [r[0] for r in df.select(report.status_pill(F.col("s"), ("done", "already_hebrew"))).limit(2).collect()][1].split('"')[1] == "pill ok"
     assert df.select(report.yes_no(F.lit(None).cast("boolean"))).first()[0] == "—"
     assert df.select(report.file_link(F.lit("a b/é.md"), F.lit("<l>"), F.lit(True))).first()[0] == '<a href="a%20b/%C3%A9.md">&lt;l&gt;</a>'
+
+
+def test_ranks_are_those_of_a_plain_decomposition(spark):
+    """Every text of the small table, against one dense matrix and the decomposition as it is defined; ties by place."""
+    import re
+
+    import numpy as np
+
+    def plain(sentences, top=3):
+        words = [re.findall(r"\w+", s.lower()) for s in sentences]
+        terms = sorted({w for ws in words for w in ws})
+        a = np.array([[ws.count(t) for ws in words] for t in terms], float)
+        a = a / np.maximum(a.max(0), 1) * np.log(1 + len(sentences) / (a > 0).sum(1))[:, None]
+        _, s, v = np.linalg.svd(a, full_matrices=False)
+        score = np.sqrt(((s[:3, None] * v[:3]) ** 2).sum(0))
+        return score, sorted(sorted(range(len(score)), key=lambda i: (-round(score[i], 9), i))[:top])
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(summarize.candidates(F.col("text"), "latin").alias("found"))
+    texts = [list(r.found)[:60] for r in df.collect() if r.found and len(r.found) > 3]
+    assert len(texts) > 20
+    for found in texts:
+        score, want = plain(found)
+        got = summarize.lsa_rank(found)
+        if got != want:  # only where scores are as good as equal
+            assert np.allclose(sorted(score[got]), sorted(score[want]), atol=1e-6), found[:2]
+    tied = ["the same words are here"] * 3 + ["other things that differ"] * 3
+    assert summarize.lsa_rank(tied) == plain(tied)[1] == [0, 1, 2]
