@@ -28,7 +28,9 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,35 +40,53 @@ from .common import ascii_lower, table
 
 #: Short notices by which licenses are stated, by family.
 TEMPLATES = {
+    "AGPL": ("Licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "Apache-1.1": ("Licensed under the Apache License, Version 1.1.", "Licensed under the Apache Software License, version 1.1."),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Use of this source code is governed by a BSD-style license.", "Released under the BSD 3-Clause License."),
     "CC-BY": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."),
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-NC-ND": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-SA": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-ND": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     "CC-BY-SA": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "GPL": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "CC0": ("This work is dedicated to the public domain under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "Licensed under the Eclipse Public License, version 2.0."),
+    "GPL": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "Licensed under the GNU General Public License, version 2."),
+    "ISC": ("Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     "LGPL": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.", "Licensed under the GNU Lesser General Public License, version 2.1."),
     "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.", "Licensed under the MIT license."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense."),
 }
 #: Short names by which a line of its own or a short notice states a license.
 NAMES = {
+    "AGPL": ("AGPL", "AGPLv3", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "Apache-1.1": ("Apache-1.1", "Apache 1.1", "Apache License 1.1"),
     "Apache-2.0": ("Apache-2.0", "Apache 2.0", "Apache License 2.0"),
     "BSD": ("BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD License"),
     "CC-BY": ("CC BY 4.0", "CC BY"),
     "CC-BY-NC": ("CC BY-NC 4.0", "CC BY-NC"),
+    "CC-BY-NC-ND": ("CC BY-NC-ND 4.0", "CC BY-NC-ND"),
+    "CC-BY-NC-SA": ("CC BY-NC-SA 4.0", "CC BY-NC-SA"),
+    "CC-BY-ND": ("CC BY-ND 4.0", "CC BY-ND"),
     "CC-BY-SA": ("CC BY-SA 4.0", "CC BY-SA"),
+    "CC0": ("CC0", "CC0 1.0", "CC0 1.0 Universal"),
+    "EPL-2.0": ("EPL-2.0", "EPL 2.0", "Eclipse Public License v 2.0"),
     "GPL": ("GPL", "GPLv3", "GPL-3.0", "GPL-2.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "ISC": ("ISC", "ISC License"),
     "LGPL": ("LGPL", "LGPL-2.1", "LGPL-3.0"),
     "MIT": ("MIT", "MIT License"),
     "MPL-2.0": ("MPL-2.0", "MPL 2.0"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
 }
 #: Words before a short name.
 BEFORE = ("", "Distributed under", "Licensed under", "Released under", "License:", "SPDX-License-Identifier:")
 #: Notices that name no license.
-NOTICES = ("All rights reserved.", "Copyright (c) all rights reserved.", "See the license for details.", "No license is granted.")
+NOTICES = ("All rights reserved.", "Copyright (c) all rights reserved.", "See the license for details.", "No license is granted.", "Proprietary and confidential.", "Unauthorized copying of this file is strictly prohibited.", "The software is provided \"as is\", without warranty of any kind, express or implied.")
 #: Words of plain text, for the negative examples.
 PLAIN = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so up said what its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too mr how little good world make very year still see own work men day get here".split()
-MARKERS = "licen[sc]|copyright|gnu|gpl|cc by|creative commons|permission is hereby|redistribut|mozilla public|free software|source code form"
+MARKERS = "licen[sc]|without warranty|proprietary and confidential|copyright|gnu|gpl|cc by|creative commons|permission is hereby|redistribut|mozilla public|free software|source code form"
 ROUNDS, VARIANTS, UNKNOWN_SHARE, CONFIRM, NAME_WORDS = 300, 60, 0.02, 0.6, 8
 WINDOW, WHOLE = 64, 0.8
 _WORD = r"[^a-z0-9]+"
@@ -91,6 +111,30 @@ def _whole(w: list[str]) -> str:
     return "= " + " ".join(w)
 
 
+class _Rows:
+    """Sparse rows of n-grams that are there, each weighing 1 / sqrt of how many a row has."""
+
+    def __init__(self, cells: list[list[int]]):
+        size = np.array([len(c) for c in cells])
+        self.n, self.some = len(cells), np.flatnonzero(size)
+        self.col = np.array([g for c in cells for g in c], np.int64)
+        self.row = np.repeat(np.arange(len(cells)), size)
+        self.value = (1 / np.sqrt(np.maximum(size, 1)))[self.row, None]
+        self.starts = np.searchsorted(self.row, self.some)
+        self.order = np.argsort(self.col, kind="stable")
+        self.cols, self.begins = np.unique(self.col[self.order], return_index=True)
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, weights.shape[1]))
+        out[self.some] = np.add.reduceat(weights[self.col] * self.value, self.starts)
+        return out
+
+    def back(self, off: np.ndarray, columns: int) -> np.ndarray:
+        out = np.zeros((columns, off.shape[1]))
+        out[self.cols] = np.add.reduceat((off[self.row] * self.value)[self.order], self.begins)
+        return out
+
+
 class Model:
     """Families, n-grams, weights (n-gram, family), biases, the probability below which a paragraph is no license, and the
     words (gate) of which a paragraph has one if it can reach that probability or be confirmed."""
@@ -127,30 +171,32 @@ class Model:
             for v in range(VARIANTS // 2):
                 rows.append(["-", w, "-", *(str(x) for x in rng.choice(mixed, v % 3 // 2)), "-"])
                 y.append(-1)
-        x = np.zeros((len(rows), len(self.grams)))
-        for i, w in enumerate(rows):
-            own = [place[g] for g in (*_grams(w), _whole(w)) if g in place]
-            x[i, own] = 1 / np.sqrt(max(1, len(own)))
+        cells = [sorted({place[g] for g in (*_grams(w), _whole(w)) if g in place}) for w in rows]
         y = np.array(y)
         fitted = np.array([zlib.crc32(str(i).encode()) % 4 > 0 for i in range(len(y))])
         self.weights, self.bias = np.zeros((len(self.grams), len(self.families))), np.full(len(self.families), -2.0)
-        target = (y[:, None] == np.arange(len(self.families))).astype(float)
+        own = Counter((tuple(c), k) for c, k, f in zip(cells, y.tolist(), fitted) if f)  # equal rows are one with a weight
+        learn, weight = _Rows([list(c) for c, _ in own]), np.array([*own.values()], float)[:, None]
+        target = (np.array([k for _, k in own])[:, None] == np.arange(len(self.families))).astype(float)
         step = np.zeros_like(self.weights), np.zeros_like(self.bias)
         for _ in range(ROUNDS):
-            p = self._p(x[fitted])
-            gw, gb = x[fitted].T @ (p - target[fitted]) / fitted.sum() + 1e-5 * self.weights, (p - target[fitted]).mean(0)
+            off = (self._sure(learn.times(self.weights)) - target) * weight / weight.sum()
+            gw, gb = learn.back(off, len(self.grams)) + 1e-5 * self.weights, off.sum(0)
             step[0][:], step[1][:] = step[0] + gw**2, step[1] + gb**2
             self.weights -= 0.5 * gw / (np.sqrt(step[0]) + 1e-6)
             self.bias -= 0.5 * gb / (np.sqrt(step[1]) + 1e-6)
         self.weights[np.abs(self.weights) < 1e-3] = 0.0
-        out = ~fitted
-        self.unknown = max(0.5, float(np.quantile(self._p(x[out & (y < 0)]).max(1), 1 - UNKNOWN_SHARE)))
-        self.accuracy = float((self._p(x[out & (y >= 0)]).argmax(1) == y[out & (y >= 0)]).mean())
+        held = self._sure(_Rows([c for c, f in zip(cells, fitted) if not f]).times(self.weights))
+        self.unknown = max(0.5, float(np.quantile(held[y[~fitted] < 0].max(1), 1 - UNKNOWN_SHARE)))
+        self.accuracy = float((held[y[~fitted] >= 0].argmax(1) == y[~fitted][y[~fitted] >= 0]).mean())
 
         self.gate = self._gate()
 
+    def _sure(self, sums: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(sums + self.bias, -40, 40)))
+
     def _p(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -40, 40)))
+        return self._sure(x @ self.weights)
 
     def _gate(self) -> list[str]:
         """Words not of plain text, and more by weight until n-grams without any of them reach nothing together."""
@@ -167,6 +213,12 @@ class Model:
             gate |= set(parts[max(light, key=lambda i: self.weights[i].max())])
 
 
+@functools.cache
+def default_model() -> Model:
+    """The model of the fixed templates, trained once a process."""
+    return Model()
+
+
 def gram_hashes(spark: SparkSession, model: Model) -> dict[str, int]:
     """The hash of every n-gram of the model (as many as its templates have), and of "", which stands for a paragraph."""
     gram = F.col("gram")
@@ -178,8 +230,7 @@ def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFra
     """(row, key, first, last, marked, grams) of the paragraphs with a marker or a word of the gate; first and last are lines,
     grams the hashes of n-grams, once each, those of the model among them."""
     text = F.col("text").cast("string")
-    longs = lambda values: F.array(*map(F.lit, values)).cast("array<bigint>")
-    gate, known = longs(hashes[w] for w in model.gate), longs(hashes[g] for g in model.grams)
+    gate, known = [hashes[w] for w in model.gate], [hashes[g] for g in model.grams]  # sets that are made once, not for every line
 
     def line(s):
         blank = F.btrim(s, F.lit(" \t\r\f\v")) == ""
@@ -192,7 +243,7 @@ def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFra
         words = x["words"]
         grams = F.concat(F.transform(words, lambda w: F.xxhash64(w)), pairs(words, lambda v, w: F.xxhash64(v, w)))
         n = F.when(x["blank"], 0).otherwise(F.greatest(F.size(words), F.lit(1)))
-        return F.struct(F.array_intersect(grams, known).alias("grams"), F.when(F.size(words) <= NAME_WORDS, words).alias("few"), F.get(words, F.lit(0)).alias("head"), F.get(words, F.size(words) - 1).alias("tail"), F.size(words).alias("size"), x["marked"].alias("marked"), n.alias("n"))
+        return F.struct(F.array_distinct(F.filter(grams, lambda g: g.isin(known))).alias("grams"), F.when(F.size(words) <= NAME_WORDS, words).alias("few"), F.get(words, F.lit(0)).alias("head"), F.get(words, F.size(words) - 1).alias("tail"), F.size(words).alias("size"), x["marked"].alias("marked"), n.alias("n"))
 
     def whole(words):  # null, if there are more
         return F.when(F.size(words) <= NAME_WORDS, F.array(F.xxhash64(F.concat(F.lit("= "), F.array_join(words, " ")))))
@@ -206,7 +257,7 @@ def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFra
     # Exploded so that the lines are computed once, not in each use.
     docs = docs.filter(text.isNotNull()).select(F.monotonically_increasing_id().alias("row"), key, F.explode_outer(F.array(F.transform(F.split(ascii_lower(text), "\n"), line))).alias("cut"))
     docs = docs.select("row", "key", F.explode_outer(F.array(F.transform("cut", features))).alias("lines"))
-    docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.arrays_overlap(x["grams"], gate)))).alias("passes"))
+    docs = docs.select("row", "key", "lines", F.explode_outer(F.array(F.transform("lines", lambda x: F.exists(x["grams"], lambda g: g.isin(gate))))).alias("passes"))
     docs = docs.filter(F.exists("passes", lambda x: x) | F.exists("lines", lambda x: x["marked"]))  # no other text has a paragraph
     at = F.sequence(F.lit(0), F.size("lines") - 1)
     named = lambda x: F.concat(x["grams"], F.coalesce(whole(x["few"]), none))
@@ -225,7 +276,7 @@ def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFra
 
 def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """(key, paragraph, family, probability, confirmed) of every paragraph of a family or with a marker word."""
-    model = model or Model()
+    model = model or default_model()
     spark = docs.sparkSession
     hashes = gram_hashes(spark, model)
     grams = F.concat("grams", F.array(F.lit(hashes[""])))  # a row for the paragraph too
@@ -238,10 +289,12 @@ def classified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     scored = known.join(weights, "gram").groupBy("row", "key", "first", "last", "marked").agg(F.count_if(F.col("gram") != hashes[""]).alias("n"), *sums)
     p = [F.struct((1 / (1 + F.exp(-(F.col(f"w{i}") / F.sqrt(F.greatest("n", F.lit(1))) + float(model.bias[i]))))).alias("p"), F.lit(-i).alias("order"), F.lit(f).alias("family"), F.greatest(*(F.col(f"t{k}") / float(size) for k, (g, _, size) in enumerate(model.templates) if g == f), F.lit(0.0)).alias("share")) for i, f in enumerate(model.families)]
     scored = scored.select("key", "first", "last", "marked", F.explode_outer(F.array(F.array(*p))).alias("all"))
-    best = F.array_max("all")
     inside = {(f, g) for f, a, size in model.templates for g, b, _ in model.templates if f != g and len(a & b) >= CONFIRM * size}
     rivals = F.create_map(*(x for f in model.families for x in (F.lit(f), F.array(*(F.lit(g) for g in model.families if (f, g) in inside)).cast("array<string>"))))
-    held = F.filter("all", lambda x: ((x["share"] >= WHOLE) | ((x["order"] == best["order"]) & (x["p"] >= model.unknown))) & ~F.exists("all", lambda y: (y["share"] > x["share"]) & F.array_contains(rivals[x["family"]], y["family"])))
+    held_more = lambda x: F.exists("all", lambda y: (y["share"] > x["share"]) & F.array_contains(rivals[x["family"]], y["family"]))
+    scored = scored.withColumn("all", F.filter("all", lambda x: ~held_more(x)))  # no family of which a rival's template is held better
+    best = F.array_max("all")
+    held = F.filter("all", lambda x: (x["share"] >= WHOLE) | ((x["order"] == best["order"]) & (x["p"] >= model.unknown)))
     found = scored.select("key", "first", "last", "marked", F.explode(F.when(F.col("first") < F.col("last"), held).otherwise(F.array(best))).alias("x"))
     sure = (F.col("first") < F.col("last")) | (F.col("x.p") >= model.unknown)
     found = found.filter(sure | F.col("marked")).select("key", F.struct("first", "last", F.when(sure, F.col("x.family")).otherwise("unknown").alias("family"), F.col("x.p").alias("p"), F.when(sure, F.col("x.share")).otherwise(0.0).alias("share")).alias("x"))

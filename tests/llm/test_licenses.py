@@ -1,9 +1,10 @@
+import re
 import textwrap
 
 import numpy as np
 import pytest
 
-from docflow.llm.licenses import TEMPLATES, Model, op5_license_scans, scan
+from docflow.llm.licenses import MARKERS, TEMPLATES, Model, _grams, _whole, _words, default_model, op5_license_scans, scan
 
 
 def test_held_out_variants_and_plain_text():
@@ -70,3 +71,69 @@ def test_wrapped_notices(spark, width):
     for i, _, want in rows:
         assert {f for f in got[i].confirmed.split(",") if f} == want, (i, got[i])
     assert got[23].n_paragraphs == 0
+
+
+@pytest.mark.parametrize(
+    "text, family",
+    [
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3.", "AGPL"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA"),
+        ("Eclipse Public License - v 2.0", "EPL-2.0"),
+        ("It was made available under the terms of the Eclipse Public License 2.0", "EPL-2.0"),
+        ("CC0 1.0 Universal", "CC0"),
+        ("ISC", "ISC"),
+        ("AGPL-3.0", "AGPL"),
+        ("GNU General Public License version 2", "GPL"),
+        ("Licensed under the Apache License, Version 1.1", "Apache-1.1"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED", "unknown"),
+        ("Proprietary and confidential. Unauthorized copying of this file is prohibited", "unknown"),
+    ],
+)
+def test_rivals_are_told_apart(spark, text, family):
+    [row] = scan(spark.createDataFrame([(1, f"Intro.\n\n{text}\n\nend")], "doc_id long, text string")).collect()
+    assert [x.split(":")[1] for x in row.found] == [family]
+    assert row.confirmed in ("", family if family != "unknown" else "")
+
+
+def plainly(model, line):
+    """The scores of a line by the model's weights, one by one: (families held best, its probability, its share)."""
+    w = _words(line)
+    grams = {g for g in (*_grams(w), *([_whole(w)] if len(w) <= 8 else [])) if g in set(model.grams)}
+    at = [model.grams.index(g) for g in sorted(grams)]
+    p = 1 / (1 + np.exp(-(model.weights[at].sum(0) / np.sqrt(max(1, len(at))) + model.bias)))
+    share = [max([len(grams & g) / size for f, g, size in model.templates if f == family], default=0.0) for family in model.families]
+    rivals = {(f, g) for f, a, size in model.templates for g, b, _ in model.templates if f != g and len(a & b) >= 0.6 * size}
+    left = [i for i, f in enumerate(model.families) if not any(share[j] > share[i] and (f, g) in rivals for j, g in enumerate(model.families))]
+    best = max(left, key=lambda i: (p[i], -i))
+    return model.families[best], float(p[best]), share[best]
+
+
+def test_every_line_against_plain_scores(spark):
+    """All lines of the small table, each a text of its own so that no window is over it, with the notices among them."""
+    lines = sorted({s for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() for s in (r.text or "").split("\n")})
+    lines += [t for ts in TEMPLATES.values() for t in ts] + ["", " ", "MIT", "Distributed under Apache 2.0."]
+    model = default_model()
+    got = {r.doc_id: r.found for r in scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    told = 0
+    for i, line in enumerate(lines):
+        if not _words(line):
+            assert got[i] == []
+            continue
+        family, p, share = plainly(model, line)
+        marked = re.search(MARKERS, line.lower()) is not None
+        if abs(p - model.unknown) < 1e-6:
+            continue
+        want = family if p >= model.unknown else "unknown" if marked else None
+        assert [x.split(":")[1] for x in got[i]] == ([want] if want else []), line[:80]
+        if want:
+            told += 1
+            assert abs(float(got[i][0].split(":")[2]) - p) < 1e-3
+    assert told > 30
+
+
+def test_a_very_long_text_and_ties(spark):
+    text = "\n".join(["It was made of this and that, and so on.", "and more of it here", ""] * 4000) + "\nReleased under the MIT License."
+    got = {r.doc_id: r for r in scan(spark.createDataFrame([(1, text), (2, text), (2, text), (3, "word " * 50000 + "MIT License")], "doc_id long, text string")).collect()}
+    assert got[1].confirmed == got[2].confirmed == "MIT" and got[1].found == got[2].found and 3 in got
