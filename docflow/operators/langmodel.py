@@ -7,17 +7,18 @@ language is the one with the highest score, at a tie the one that comes first by
 calibrated on the training texts: a text whose mean weight per n-gram is below that of all but REJECT of a language's own texts, has no
 language.
 
-The model is a table of at most languages * PROFILE rows (the kept n-grams) and one of a row for each language; they are
-broadcast, and n-grams of texts are summed by text with partial sums. It knows the languages that its training rows have.
+The model is a table of a row for each kept n-gram (languages * PROFILE at most) and language, and one of a row for each
+language; every task holds both, and a text is scored where it is, without a shuffle. It knows the languages that its
+training rows have.
 
 Defined results: texts are lower-cased, white space runs are one blank; a null text, an empty one, and one without any kept
 n-gram have no language; rows without a label or text don't train; no training rows give a model that rejects all;
-repeated ids are one text each, so ids should be distinct.
+repeated ids are scored a row each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PROFILE = 300
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 REJECT_THOUSANDTHS = 5
 
 
@@ -48,26 +49,64 @@ def gram_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(out)
 
 
-def counted(texts: DataFrame, key: list[str]) -> DataFrame:
-    """(key, gram, n) of texts (key, text): n-grams are cut and counted a block of texts at a time, then summed."""
+def _blocks(texts: DataFrame, key: list[str], work: Callable, more: str) -> DataFrame:
+    """work(key columns of the block, texts) of blocks of texts (key, text) of about BLOCK_CHARS, with columns key and more."""
     own = texts.select(*key, plain(F.col("text")).alias("_t")).filter("_t <> ''")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1]) + ", gram long, n long"
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own.schema.fields[:-1]) + more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = np.cumsum([0, *pc.utf8_length(batch.column(batch.num_columns - 1)).to_pylist()])
+            last = batch.num_columns - 1
+            size = np.cumsum([0, *pc.utf8_length(batch.column(last)).to_pylist()])
             i = 0
-            while i < batch.num_rows:  # a block of texts, or one that is larger
+            while i < batch.num_rows:  # texts of so many characters, or one that is longer
                 j = max(i + 1, int(np.searchsorted(size, size[i] + BLOCK_CHARS, "right")) - 1)
                 part, i = batch.slice(i, j - i), j
-                row, gram = gram_numbers(part.column(part.num_columns - 1).to_pylist())
-                order = np.lexsort([gram, row])
-                row, gram = row[order], gram[order]
-                first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])))
-                n = np.diff(np.append(first, len(row)))
-                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row[first])) for c in part.columns[:-1]), pa.array(gram[first]), pa.array(n)], [*key, "gram", "n"])
+                yield from work(part.columns[:-1], part.column(last).to_pylist())
 
-    return own.mapInArrow(run, schema).groupBy(*key, "gram").agg(F.sum("n").alias("n"))
+    return own.mapInArrow(run, schema)
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n) of texts (lang, text): n-grams are counted by language in each block, then summed."""
+
+    def work(key: list[pa.Array], found: list[str]) -> Iterator[pa.RecordBatch]:
+        langs = key[0].dictionary_encode()
+        of = langs.indices.to_numpy()
+        row, gram = gram_numbers(found)
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            names, n = np.unique(gram[of[row] == k], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
+    return _blocks(texts, ["lang"], work, "gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+class _Scorer:
+    """The model's table in memory: kept n-grams in order, their weights by language, and in the last row that of all others."""
+
+    def __init__(self, weights: list, floors: list):
+        self.langs = sorted(r["lang"] for r in floors)
+        place = {lang: i for i, lang in enumerate(self.langs)}
+        self.grams = np.unique(np.array([r["gram"] for r in weights], np.int64))
+        self.weights = np.zeros((len(self.grams) + 1, len(self.langs)), np.int64)
+        self.least = np.zeros(len(self.langs), np.int64)
+        for r in floors:
+            self.weights[-1, place[r["lang"]]] = r["floor"]
+            self.least[place[r["lang"]]] = r["least"] or 0
+        if weights:
+            self.weights[np.searchsorted(self.grams, [r["gram"] for r in weights]), [place[r["lang"]] for r in weights]] = [r["w"] for r in weights]
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows with a kept n-gram, their scores by language, their numbers of n-grams)."""
+        row, gram = gram_numbers(texts)
+        if not len(self.grams):
+            return np.empty(0, np.int64), np.empty((0, len(self.langs)), np.int64), np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+        hit = self.grams[at] == gram
+        at[~hit] = len(self.grams)
+        sums = [np.bincount(row, self.weights[at, k], len(texts)) for k in range(len(self.langs))]  # whole numbers below 2**53
+        some = np.flatnonzero(np.bincount(row[hit], minlength=len(texts)))
+        return some, np.column_stack(sums).astype(np.int64)[some], np.bincount(row, minlength=len(texts))[some]
 
 
 @dataclass
@@ -78,21 +117,34 @@ class LanguageModel:
     weights: DataFrame
     floors: DataFrame
 
+    def _held(self):
+        """The model's two small tables in the memory of every task."""
+        return self.weights.sparkSession.sparkContext.broadcast(_Scorer(self.weights.collect(), self.floors.collect()))
+
     def scores(self, texts: DataFrame, key: list[str]) -> DataFrame:
         """(key, lang, score, n): the score of each text (key, text) in each language, and its number of n-grams."""
-        own = counted(texts, key)
-        size = own.groupBy(*key).agg(F.sum("n").alias("n"))
-        floors = F.broadcast(self.floors.select("lang", "floor"))
-        gain = self.weights.join(floors, "lang").select("gram", "lang", (F.col("w") - F.col("floor")).alias("gain"))
-        gained = own.join(F.broadcast(gain), "gram").groupBy(*key, "lang").agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
-        return gained.join(size, key).join(floors, "lang").select(*key, "lang", (F.col("gain") + F.col("n") * F.col("floor")).alias("score"), "n")
+        held = self._held()
+
+        def work(own: list[pa.Array], found: list[str]) -> Iterator[pa.RecordBatch]:
+            some, score, n = held.value.scores(found)
+            for k, lang in enumerate(held.value.langs):
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(some)) for c in own), pa.array([lang] * len(some), pa.string()), pa.array(score[:, k]), pa.array(n, pa.int64())], [*key, "lang", "score", "n"])
+
+        return _blocks(texts, key, work, "lang string, score long, n long")
 
     def classified(self, texts: DataFrame, key: list[str]) -> DataFrame:
-        """(key, lang, score, n): the language of each text that has kept n-grams, null where it is rejected."""
-        best = self.scores(texts, key).groupBy(*key).agg(F.max(F.struct("score", F.lit(0).alias("_"))).alias("top"), F.min_by("lang", F.struct(-F.col("score"), "lang")).alias("lang"), F.max("n").alias("n"))
-        known = best.select(*key, F.col("lang").alias("_lang"), F.col("top.score").alias("score"), "n").join(F.broadcast(self.floors.select(F.col("lang").alias("_lang"), "least")), "_lang")
-        sure = F.col("score") * 1000 >= F.col("least") * F.col("n")
-        return known.select(*key, F.when(sure, F.col("_lang")).alias("lang"), "score", "n")
+        """(key, lang, score, n): the language of each text that has kept n-grams, null where it is rejected. Nothing is shuffled."""
+        held = self._held()
+
+        def work(own: list[pa.Array], found: list[str]) -> Iterator[pa.RecordBatch]:
+            some, score, n = held.value.scores(found)
+            best = score.argmax(1) if len(some) else np.empty(0, np.int64)  # the first by name of equal ones
+            top = score[np.arange(len(some)), best] if len(some) else np.empty(0, np.int64)
+            sure = top * 1000 >= held.value.least[best] * n
+            lang = [held.value.langs[k] if ok else None for k, ok in zip(best, sure)]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(some)) for c in own), pa.array(lang, pa.string()), pa.array(top, pa.int64()), pa.array(n, pa.int64())], [*key, "lang", "score", "n"])
+
+        return _blocks(texts, key, work, "lang string, score long, n long")
 
 
 def trained(texts: DataFrame, store, profile: int = PROFILE, reject_thousandths: int = REJECT_THOUSANDTHS) -> LanguageModel:
@@ -100,7 +152,7 @@ def trained(texts: DataFrame, store, profile: int = PROFILE, reject_thousandths:
     from pyspark.sql import Window
 
     texts = texts.filter("lang is not null and text is not null").select("id", "lang", "text")
-    count = store(counted(texts, ["lang"]))
+    count = store(counted(texts))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = store(count.withColumn("_r", rank).filter(F.col("_r") <= profile).select("gram").distinct())
     of_kept = count.join(F.broadcast(kept), "gram")
