@@ -130,8 +130,10 @@ def read_files(files: DataFrame, engine: str = "pdf", part_bytes: int = PART_BYT
         return found.drop("pages")
     found = store(found) if store else found
     long = found.filter("pages is not null").select("path", "sha256", "pages", F.explode(F.sequence(F.lit(1), F.col("pages"), F.lit(part_pages))).alias("a"))
-    slots = files.sparkSession.sparkContext.defaultParallelism
-    dealt = long.repartition(max(slots, 64), "path", "a").mapInPandas(ranges, schema)
+    parts = long.count() if store else 64
+    if not parts:
+        return found.drop("pages")
+    dealt = long.repartition(min(parts, 10_000), "path", "a").mapInPandas(ranges, schema)
     return found.filter("pages is null").unionByName(dealt).drop("pages")
 
 
