@@ -86,7 +86,7 @@ BEFORE = ("", "Distributed under", "Licensed under", "Released under", "License:
 NOTICES = ("All rights reserved.", "Copyright (c) all rights reserved.", "See the license for details.", "No license is granted.", "Proprietary and confidential.", "Unauthorized copying of this file is strictly prohibited.", "The software is provided \"as is\", without warranty of any kind, express or implied.")
 #: Words of plain text, for the negative examples.
 PLAIN = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were all her she there would their we him been has when who will no more if out so up said what its about than into them can only other time new some could these two may first then do any like my now over such our man me even most made after also did many off before must well back through years much where your way down should because long each just state those people too mr how little good world make very year still see own work men day get here".split()
-MARKERS = "licen[sc]|without warranty|proprietary and confidential|copyright|gnu|gpl|cc by|creative commons|permission is hereby|redistribut|mozilla public|free software|source code form"
+MARKERS = ("licens", "licenc", "without warranty", "proprietary and confidential", "copyright", "gnu", "gpl", "cc by", "creative commons", "permission is hereby", "redistribut", "mozilla public", "free software", "source code form")  # parts of a line that make it one of a licence
 ROUNDS, VARIANTS, UNKNOWN_SHARE, CONFIRM, NAME_WORDS = 300, 60, 0.02, 0.6, 8
 WINDOW, WHOLE = 64, 0.8
 _WORD = r"[^a-z0-9]+"
@@ -234,7 +234,7 @@ def paragraphs(docs: DataFrame, model: Model, hashes: dict[str, int]) -> DataFra
 
     def line(s):
         blank = F.btrim(s, F.lit(" \t\r\f\v")) == ""
-        return F.struct(F.array_remove(F.split(s, _WORD, -1), "").alias("words"), s.rlike(MARKERS).alias("marked"), blank.alias("blank"))
+        return F.struct(F.array_remove(F.split(s, _WORD, -1), "").alias("words"), functools.reduce(lambda a, m: a | s.contains(m), MARKERS, F.lit(False)).alias("marked"), blank.alias("blank"))
 
     def pairs(a, b):  # the last has none after it: its hash is that of a word
         return F.zip_with(a, F.slice(a, F.lit(2), F.size(a)), b)
