@@ -6,7 +6,9 @@ so that no Python object is made for a word and memory follows the block, not th
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -41,14 +43,28 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/docflow/{tag}-{uuid.uuid4().hex}"
 
 
+#: Seconds from which a step counts as large, so that what Spark keeps of it is let go as soon as it is stored.
+LARGE_STEP = 1.0
+
+
 def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = shared_path(spark, tag)
+    began = time.monotonic()
     df.write.parquet(path, compression=compression)
+    if time.monotonic() - began >= LARGE_STEP:
+        released(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Has the driver collect its garbage. Spark drops the shuffle files and broadcasts of a step that is over only when that happens;
+    left to chance, disk holds those of many large steps at once, and the driver's heap grows to all that it may take."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def without(docs: DataFrame, bad: DataFrame, tag: str) -> DataFrame:
     """The rows of docs but those of a doc_id in bad (doc_id, key); of rows without an id those go whose text's xxhash64 is a
     key of a row without one in bad."""

@@ -8,7 +8,7 @@ shorter), in lower case. A line goes if an earlier line, in order of (doc_id, te
    stored with their words, and every later step reads those, so that copies of a line cost nothing from here on.
 2. Tokens are ordered by rarity, from counts of all identities' tokens in 2**16 buckets, then by hash. Lines that match share
    two (where a set can match with one token: one) of their first n - ceil(n * percent / 100) + 2 tokens. Only these are shuffled,
-   once; tokens that one identity alone has are dropped, and then lines that are left with too few.
+   once; where they meet, a token's lines are counted and its earliest is told, and tokens that one identity alone has are dropped.
 3. What meets passes the length filter and the positional filter (the tokens left after the shared one must suffice).
    First every line is held against the earliest line of each of its tokens, which makes no pairs within a
    group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens; where they share
@@ -18,11 +18,11 @@ shorter), in lower case. A line goes if an earlier line, in order of (doc_id, te
 5. Lines of a text that have words and aren't the kept occurrence of an identity go.
 
 A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
-and its count come from a sum with partial sums, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
+and its count come from a sum over the salts' rows, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
 hot. A shingle's hash runs over its words, so that no shingle is ever made as a text.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
-(BROADCAST_ROWS). Identities are told apart by 128 bits, tokens by 64 (the order by 56).
+(BROADCAST_ROWS). Shuffle files of a step are let go once its result is stored, so that disk holds those of one large step at a time. Identities are told apart by 128 bits, tokens by 64 (their order by 56, meetings by 41 and the level).
 
 Defined results: a null text has no lines and stays null; an empty text has one line without words; rows with the same
 doc_id and text get the same decision, as one; a null doc_id comes last; an empty table gives no rows; other columns, whatever their
@@ -55,20 +55,20 @@ def _own() -> list[Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(no_id, doc, th, line, s) of every line with words, in lower case with one blank between words."""
+    """(no_id, doc, th, line, s) of every line, in lower case with one blank between words; s is empty where it has none."""
     raw = docs.select(*_own(), F.posexplode_outer(F.split(F.lower(F.col("text").cast("string")), "\n")).alias("line", "s"))
     s = F.col("s")
     odd = s.contains("  ") | s.startswith(" ") | s.endswith(" ")
     for blank in _BLANKS[1:]:
         odd = odd | s.contains(blank)
     plain = F.when(odd, F.btrim(F.regexp_replace(s, r"[\x20\x09-\x0D]+", " "))).otherwise(s)
-    return raw.withColumn("s", plain).filter(F.col("s") != "")
+    return raw.withColumn("s", plain)
 
 
 def identities(docs: DataFrame) -> DataFrame:
     """(h1, h2, at, s): the lines of different words, each with the place (no_id, doc, th, line) of its first occurrence."""
     own = _lines(docs).select(F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2"), F.struct("no_id", "doc", "th", "line", "s").alias("at"))
-    first = own.groupBy("h1", "h2").agg(F.min("at").alias("at"))
+    first = own.groupBy("h1", "h2").agg(F.min("at").alias("at")).filter("at.s <> ''")  # above, a filter would work s out twice
     return stored(first.select("h1", "h2", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at"), F.col("at.s").alias("s")), "identities", compression="zstd")
 
 
@@ -115,22 +115,26 @@ def _may_match(n: Column, pos: Column, m: Column, other: Column, percent: int) -
 
 
 def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
-    """(token, h1, doc, n, pos, q, lines, pivot) of the first tokens that lines share: q is how many the line h1 shares, lines
-    how many lines the token has, pivot the earliest (by document) of them."""
+    """(token, h1, doc, n, pos, lines, pivot) of the first tokens that lines share: lines is how many have the token, pivot
+    (doc, h1, n, pos) the earliest (by document) of them. A null id counts as the largest."""
     by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
     level = lambda t: F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int"))
     key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    ranked = _tokens(lines.select("h1", F.struct("at.no_id", "at.doc").alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
+    doc = F.when(F.col("at.no_id"), F.lit((1 << 63) - 1)).otherwise(F.col("at.doc"))
+    ranked = _tokens(lines.select("h1", doc.alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
     n = F.size("sorted")
-    posted = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
-    hot = F.shiftrightunsigned("token", 56) >= HOT_LEVEL
+    first = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
+    # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one
+    posted = first.select("h1", "doc", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("place"), F.shiftrightunsigned("token", 16).alias("token"))
+    hot = F.shiftrightunsigned("token", 40) >= HOT_LEVEL
+    of_place = lambda place: (F.shiftrightunsigned(place, 32).cast("int").alias("n"), place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
     slot = Window.partitionBy("slot")
     dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
-    met = stored(dealt.select("*", F.min("h1").over(slot).alias("lo"), F.max("h1").over(slot).alias("hi")).filter(hot | (F.col("lo") < F.col("hi"))).drop("slot", "lo", "hi"), "met")
-    enough = met.groupBy("h1").agg(F.count("*").cast("int").alias("q"), F.min("n").alias("least")).filter(F.col("q") >= F.least(F.lit(2), _least(F.col("least"), percent))).select("h1", "q")
-    met = stored(met.join(enough, "h1"), "met-enough")
-    lists = met.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "h1", "n", "pos")).alias("pivot")).filter("lines > 1")
-    return stored(met.join(lists, "token"), "met-lists")
+    met = dealt.select("*", F.count("*").over(slot).alias("lines"), F.min(F.struct("doc", "h1", "place")).over(slot).alias("pivot")).filter(hot | (F.col("lines") > 1))
+    pivot = F.struct("pivot.doc", "pivot.h1", *of_place(F.col("pivot.place"))).alias("pivot")
+    met = stored(met.select("token", "h1", "doc", *of_place(F.col("place")), "lines", pivot), "met")
+    lists = stored(met.filter(hot).groupBy("token").agg(F.count("*").alias("lines"), F.min("pivot").alias("pivot")).filter("lines > 1"), "hot-lists")
+    return met.filter(~hot).unionByName(stored(met.filter(hot).drop("lines", "pivot").join(_few(lists), "token"), "met-hot"))
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -153,16 +157,18 @@ def _verified(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataF
 
 def _others(met: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a line of rest, which isn't decided, and one of an earlier or the same document that it shares tokens with."""
-    by_pair = (F.col("lines") > LONG_LIST) & (F.col("q") <= FEW_SHARED)
+    few = rest.groupBy("h1").agg(F.count("*").alias("q"), F.max("lines").alias("most")).filter((F.col("most") > LONG_LIST) & (F.col("q") <= FEW_SHARED))
+    few = _few(stored(few.select("h1"), "few-shared"))
+    long = rest.filter(F.col("lines") > LONG_LIST)
     columns = ("token", "h1", "doc", "n", "pos")
     named = lambda rows, x, *more: rows.select(*(F.col(c).alias(f"{x}_{c}") for c in (*columns, *more)))
     fits = (F.col("b_doc") <= F.col("a_doc")) & (F.col("a_h1") != F.col("b_h1")) & (F.col("b_h1") != F.col("a_pivot.h1")) & _may_match(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent)
-    found = named(rest.filter(~by_pair), "a", "pivot").join(named(met, "b"), (F.col("a_token") == F.col("b_token")) & fits)
+    found = named(rest.filter(F.col("lines") <= LONG_LIST).unionByName(long.join(few, "h1", "left_anti")), "a", "pivot").join(named(met, "b"), (F.col("a_token") == F.col("b_token")) & fits)
     # tokens of long lists, each with those after it on the same line; with itself where one shared token can do
     after = lambda rows: rows.select(F.col("h1").alias("own"), F.col("pos").alias("next"), F.col("token").alias("second"))
     ordered = (F.struct("next", "second") > F.struct("pos", "token")) | ((F.col("second") == F.col("token")) & (_least(F.col("n"), percent) < 2))
     pairs_of = lambda rows, all_of: rows.join(after(all_of), (F.col("h1") == F.col("own")) & ordered).drop("own", "next")
-    mine = stored(pairs_of(rest.filter(by_pair), rest), "token-pairs")
+    mine = stored(pairs_of(long.join(few, "h1", "left_semi"), rest), "token-pairs")
     tokens = stored(mine.select("token").distinct(), "long-lists")
     seconds = stored(mine.select("second").distinct().withColumnRenamed("second", "token"), "seconds")
     theirs = pairs_of(met.join(_few(tokens), "token", "left_semi"), met.join(_few(seconds), "token", "left_semi"))

@@ -93,3 +93,26 @@ def test_clashing_columns_and_null_ids(spark):
 
 def test_empty_table(spark):
     assert deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_shuffle_files_go_with_their_step(spark, monkeypatch):
+    """Once a large step is stored, Spark keeps no shuffle files of it: disk holds those of one step, whatever the table's size."""
+    import time
+
+    from docflow.llm import common
+
+    files = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+
+    def settled(most):
+        end = time.monotonic() + 15
+        while files() > most and time.monotonic() < end:
+            time.sleep(0.2)
+        return files()
+
+    common.released(spark)
+    before = settled(0)
+    monkeypatch.setattr(common, "LARGE_STEP", 0)
+    lines = linededup.identities(spark.createDataFrame(corpus(4), "doc_id long, text string"))
+    assert settled(before) <= before
+    linededup.meetings(lines, 5, 80)
+    assert settled(before) <= before
