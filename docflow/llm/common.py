@@ -43,8 +43,9 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/docflow/{tag}-{uuid.uuid4().hex}"
 
 
-#: Seconds from which a step counts as large, so that what Spark keeps of it is let go as soon as it is stored.
-LARGE_STEP = 1.0
+#: Seconds from which a step counts as large, so that what Spark keeps of it is let go as soon as it is stored; and those that
+#: Spark is given to lose sight of it.
+LARGE_STEP, PAUSE = 1.0, 0.5
 
 
 def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
@@ -60,9 +61,12 @@ def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
 
 def released(spark: SparkSession) -> None:
     """Has the driver collect its garbage. Spark drops the shuffle files and broadcasts of a step that is over only when that happens;
-    left to chance, disk holds those of many large steps at once, and the driver's heap grows to all that it may take."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    left to chance, disk holds those of many large steps at once, and the driver's heap grows to all that it may take. Twice, as the
+    first may come while listeners still hold the step, which then is old and left alone by all but another full collection."""
+    for _ in range(2):
+        time.sleep(PAUSE)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def without(docs: DataFrame, bad: DataFrame, tag: str) -> DataFrame:

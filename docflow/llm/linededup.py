@@ -124,15 +124,17 @@ def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
     ranked = _tokens(lines.select("h1", doc.alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
     n = F.size("sorted")
     first = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
-    # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one
-    posted = first.select("h1", "doc", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("place"), F.shiftrightunsigned("token", 16).alias("token"))
+    # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one, and
+    # a struct that the window takes as it is, else it would be shuffled beside its fields
+    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("place")
+    posted = first.select(F.struct("doc", "h1", place).alias("at"), F.shiftrightunsigned("token", 16).alias("token"))
     hot = F.shiftrightunsigned("token", 40) >= HOT_LEVEL
     of_place = lambda place: (F.shiftrightunsigned(place, 32).cast("int").alias("n"), place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
     slot = Window.partitionBy("slot")
-    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
-    met = dealt.select("*", F.count("*").over(slot).alias("lines"), F.min(F.struct("doc", "h1", "place")).over(slot).alias("pivot")).filter(hot | (F.col("lines") > 1))
+    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("at.h1", F.lit(SALTS)))).otherwise(F.col("token")))
+    met = dealt.select("*", F.count("*").over(slot).alias("lines"), F.min("at").over(slot).alias("pivot")).filter(hot | (F.col("lines") > 1))
     pivot = F.struct("pivot.doc", "pivot.h1", *of_place(F.col("pivot.place"))).alias("pivot")
-    met = stored(met.select("token", "h1", "doc", *of_place(F.col("place")), "lines", pivot), "met")
+    met = stored(met.select("token", "at.h1", "at.doc", *of_place(F.col("at.place")), "lines", pivot), "met")
     lists = stored(met.filter(hot).groupBy("token").agg(F.count("*").alias("lines"), F.min("pivot").alias("pivot")).filter("lines > 1"), "hot-lists")
     return met.filter(~hot).unionByName(stored(met.filter(hot).drop("lines", "pivot").join(_few(lists), "token"), "met-hot"))
 
