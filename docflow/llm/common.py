@@ -46,6 +46,8 @@ def shared_path(spark: SparkSession, tag: str) -> str:
 #: Seconds from which a step counts as large, so that what Spark keeps of it is let go as soon as it is stored; and those that
 #: Spark is given to lose sight of it.
 LARGE_STEP, PAUSE = 1.0, 0.5
+#: Share of the heap it may take that the driver holds, garbage with it, from which small steps have it collected too.
+HEAP_SHARE = 0.5
 
 
 def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
@@ -56,9 +58,17 @@ def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     df.write.parquet(path, compression=compression)
     if time.monotonic() - began >= LARGE_STEP:
         released(spark)
+    elif heap_share(spark) > HEAP_SHARE:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def heap_share(spark: SparkSession) -> float:
+    """What the driver's heap has taken of the machine's memory, as a share of all that it may take."""
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    return heap.totalMemory() / heap.maxMemory()
+
+
 def released(spark: SparkSession) -> None:
     """Has the driver collect its garbage. Spark drops the shuffle files and broadcasts of a step that is over only when that happens;
     left to chance, disk holds those of many large steps at once, and the driver's heap grows to all that it may take. Twice, as the
