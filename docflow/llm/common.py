@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,7 @@ def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
         released(spark)
     elif heap_share(spark) > HEAP_SHARE:
         spark.sparkContext._jvm.System.gc()
+        trimmed(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -77,6 +79,22 @@ def released(spark: SparkSession) -> None:
         time.sleep(PAUSE)
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+    trimmed(spark)
+
+
+def trimmed(spark: SparkSession) -> bool:
+    """Has the driver's JVM give back what it has freed outside its heap (compilers, buffers), which the C library keeps thread by thread
+    for later, up to half of the JVM's memory. False where the JVM has no such command: not on Linux, or older than 17.0.9."""
+    gateway, java = spark.sparkContext._gateway, spark.sparkContext._jvm
+    try:
+        # by the interface, as the server's own class can't be called from outside its module
+        call = next(m for m in java.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods() if m.getName() == "invoke")
+        args = gateway.new_array(java.Object, 4)
+        args[0], args[1] = java.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(java.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        return False
+    return True
 
 
 def without(docs: DataFrame, bad: DataFrame, tag: str) -> DataFrame:

@@ -60,3 +60,17 @@ def test_small_steps_have_garbage_collected(spark, monkeypatch):
     before = full()
     stored(spark.range(3).toDF("x"), "small-step")
     assert full() > before
+
+
+def test_steps_give_back_memory_outside_the_heap(spark, monkeypatch):
+    """What the driver's JVM has freed outside its heap goes back after a large step, and after a small one once the heap has grown."""
+    from docflow.llm import common
+
+    assert common.trimmed(spark)
+    calls, trimmed = [], common.trimmed
+    monkeypatch.setattr(common, "trimmed", lambda s: calls.append(trimmed(s)))
+    for large, share in ((0, 1), (10**6, 0), (10**6, 1)):
+        monkeypatch.setattr(common, "LARGE_STEP", large)
+        monkeypatch.setattr(common, "HEAP_SHARE", share)
+        stored(spark.range(3).toDF("x"), "trimmed-step")
+    assert calls == [True, True]
