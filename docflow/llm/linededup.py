@@ -19,7 +19,7 @@ shorter), in lower case. A line goes if an earlier line, in order of (doc_id, te
 
 A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
 and its count come from a sum over the salts' rows, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
-hot. A shingle's hash runs over its words, so that no shingle is ever made as a text.
+hot. A shingle's hash runs over its words' hashes, so that no shingle is ever made as a text.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
 (BROADCAST_ROWS). Shuffle files of a step are let go once its result is stored, so that disk holds those of one large step at a time. Identities are told apart by 128 bits, tokens by 64 (their order by 56, meetings by 41 and the level).
@@ -56,7 +56,8 @@ def _own() -> list[Column]:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(no_id, doc, th, line, s) of every line, in lower case with one blank between words; s is empty where it has none."""
-    raw = docs.select(*_own(), F.posexplode_outer(F.split(F.lower(F.col("text").cast("string")), "\n")).alias("line", "s"))
+    whole = docs.select(*_own(), F.lower(F.col("text").cast("string")).alias("text"))  # before the lines, else each would hash its whole text
+    raw = whole.select("no_id", "doc", "th", F.posexplode_outer(F.split("text", "\n")).alias("line", "s"))
     s = F.col("s")
     odd = s.contains("  ") | s.startswith(" ") | s.endswith(" ")
     for blank in _BLANKS[1:]:
@@ -72,31 +73,38 @@ def identities(docs: DataFrame) -> DataFrame:
     return stored(first.select("h1", "h2", F.struct("at.no_id", "at.doc", "at.th", "at.line").alias("at"), F.col("at.s").alias("s")), "identities", compression="zstd")
 
 
-def _worded_lines(lines: DataFrame) -> DataFrame:
-    """lines with words, an array, in place of s; exploded so that they are cut once, not in each use."""
-    return lines.select(*(c for c in lines.columns if c != "s"), F.explode_outer(F.array(F.split("s", " "))).alias("words"))
+def _bound(value: Column, of) -> Column:
+    """of(value), with value worked out once and held as it is, not packed into a row from which each use would read it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
-def _places(k: int) -> Column:
+def _places(words: Column, k: int) -> Column:
     """Where shingles begin: one at least."""
-    return F.sequence(F.lit(0), F.greatest(F.size("words") - k, F.lit(0)))
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0)))
 
 
-def _shingle(place: Column, k: int) -> Column:
-    """The hash of k words from a place on, or of all, where there are fewer."""
-    return F.xxhash64(*(F.get("words", place + i) for i in range(k)))
+def _shingles(s: Column, k: int) -> Column:
+    """The hashes of a line's shingles, in their order: of k words' hashes from each place on, or of all, where there are fewer."""
+    hashes = F.transform(F.split(s, " "), lambda w: F.xxhash64(w))
+    return _bound(hashes, lambda h: F.transform(_places(h, k), lambda place: F.xxhash64(*(F.get(h, place + i) for i in range(k)))))
 
 
 def _tokens(lines: DataFrame, k: int) -> DataFrame:
     """lines with tokens, the distinct hashes of a line's shingles, in place of s."""
-    cut = _worded_lines(lines)
-    return cut.select(*(c for c in cut.columns if c != "words"), F.array_distinct(F.transform(_places(k), lambda i: _shingle(i, k))).alias("tokens"))
+    return lines.select(*(c for c in lines.columns if c != "s"), F.array_distinct(_shingles(F.col("s"), k)).alias("tokens"))
+
+
+def _shingle_rows(lines: DataFrame, k: int) -> DataFrame:
+    """(t) of every shingle of every line, the same hashes in rows, for which Spark makes code."""
+    words = F.col("words")
+    cut = lines.select(F.explode_outer(F.array(F.split("s", " "))).alias("words"))  # exploded so that they are cut once, not in each use
+    word = lambda place: F.when(place < F.size(words), F.xxhash64(F.get(words, place)))
+    return cut.select(words, F.explode_outer(_places(words, k)).alias("place")).select(F.xxhash64(*(word(F.col("place") + i) for i in range(k))).alias("t"))
 
 
 def levels(lines: DataFrame, k: int) -> list[int]:
     """For each of 65,536 buckets of tokens how frequent it is, in quarter octaves above the mean, below 128."""
-    shingles = _worded_lines(lines.select("s")).select("words", F.explode_outer(_places(k)).alias("i")).select(_shingle(F.col("i"), k).alias("t"))
-    count = shingles.groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
+    count = _shingle_rows(lines, k).groupBy(F.shiftrightunsigned("t", 48).cast("int").alias("bucket")).count().collect()
     mean = max(1.0, sum(r["count"] for r in count) / (1 << 16))
     out = [0] * (1 << 16)
     for r in count:
@@ -119,9 +127,11 @@ def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
     (doc, h1, n, pos) the earliest (by document) of them. A null id counts as the largest."""
     by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
     level = lambda t: F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int"))
-    key = lambda t: F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8))
+    # never null, so that keys are sorted as plain numbers
+    key = lambda t: F.coalesce(F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8)), F.lit(0).cast("long"))
     doc = F.when(F.col("at.no_id"), F.lit((1 << 63) - 1)).otherwise(F.col("at.doc"))
-    ranked = _tokens(lines.select("h1", doc.alias("doc"), "s"), k).select("h1", "doc", F.sort_array(F.transform("tokens", key)).alias("sorted"))
+    # made distinct once they are keys: Spark makes code of what lies around functions over arrays, not of what lies within
+    ranked = lines.select("h1", doc.alias("doc"), F.sort_array(F.array_distinct(F.transform(_shingles(F.col("s"), k), key))).alias("sorted"))
     n = F.size("sorted")
     first = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
     # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one, and

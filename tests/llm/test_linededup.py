@@ -116,3 +116,19 @@ def test_shuffle_files_go_with_their_step(spark, monkeypatch):
     assert settled(before) <= before
     linededup.meetings(lines, 5, 80)
     assert settled(before) <= before
+
+
+def test_texts_are_hashed_once_not_by_line(spark):
+    """A text's hash belongs below its cut into lines; above it, each line would hash the whole text."""
+    plan = linededup._lines(spark.createDataFrame([(1, "a\nb")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "xxhash64" in below and "xxhash64" not in above
+
+
+def test_shingles_of_rows_are_those_of_arrays(spark):
+    """Rarity is counted over rows of shingles and looked up for arrays of them: both are the same hashes, of short lines too."""
+    lines = spark.createDataFrame([("one",), ("a b",), ("a b c d",), ("a b c d e",), ("a b c d e f g",), ("x " * 40 + "y",), ("",)], "s string")
+    arrays = lines.select(F.explode(linededup._shingles(F.col("s"), 5)).alias("t"))
+    rows = linededup._shingle_rows(lines, 5)
+    assert sorted(r.t for r in arrays.collect()) == sorted(r.t for r in rows.collect())
+    assert arrays.count() == 1 + 1 + 1 + 1 + 3 + 37 + 1
