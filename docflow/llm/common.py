@@ -84,7 +84,7 @@ def released(spark: SparkSession) -> None:
 
 def trimmed(spark: SparkSession) -> bool:
     """Has the driver's JVM give back what it has freed outside its heap (compilers, buffers), which the C library keeps thread by thread
-    for later, up to half of the JVM's memory. False where the JVM has no such command: not on Linux, or older than 17.0.9."""
+    for later. False where the JVM has no such command: not on Linux, or older than 17.0.9."""
     gateway, java = spark.sparkContext._gateway, spark.sparkContext._jvm
     try:
         # by the interface, as the server's own class can't be called from outside its module
