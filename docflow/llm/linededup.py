@@ -6,19 +6,21 @@ shorter), in lower case. A line goes if an earlier line, in order of (doc_id, te
 
 1. Lines of equal words form an identity; only its first occurrence can stay. Texts are read for this once; the identities are
    stored with their words, and every later step reads those, so that copies of a line cost nothing from here on.
-2. Tokens are ordered by rarity, from counts of all identities' tokens in 2**16 buckets, then by hash. Lines that match share
-   two (where a set can match with one token: one) of their first n - ceil(n * percent / 100) + 2 tokens. Only these are shuffled,
-   once; where they meet, a token's lines are counted and its earliest is told, and tokens that one identity alone has are dropped.
+2. Lines that match share two (where a set can match with one token: one) of their first n - ceil(n * percent / 100) + 2 tokens,
+   in any order of tokens that all lines keep. Only these are shuffled; where they meet, a token's lines are counted and its earliest
+   is told, and tokens that one identity alone has are dropped. The first order is that of the tokens' hashes. Tokens that many lines
+   have are given up there; a pair whose first two in common are not both left has such a token on either line, so all lines that
+   have one among their first tokens meet once more, in order of rarity, from counts of all their tokens in 2**16 buckets.
 3. What meets passes the length filter and the positional filter (the tokens left after the shared one must suffice).
    First every line is held against the earliest line of each of its tokens, which makes no pairs within a
    group; lines that match it are decided. Only the others are joined with the earlier lines of their tokens; where they share
    few tokens, with those of lists of over LONG_LIST lines by pairs of tokens, the shared one and one after it, as lines that match
-   share both.
+   share both. Pairs that meet by one token only, where two are shared by all that match, go.
 4. Candidates are verified on their whole token sets.
 5. Lines of a text that have words and aren't the kept occurrence of an identity go.
 
-A token whose bucket holds over 16 times the mean is dealt out by salts where lines of a token are gathered; its earliest line
-and its count come from a sum over the salts' rows, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
+In the first order a token's rows are gathered by one task, however many (they are counted there, and make no pairs). In that by
+rarity a token whose bucket holds over 16 times the mean is dealt out by salts; its earliest line and its count come from a sum over the salts' rows, and joins on tokens and lines are plain equality joins, which Spark splits where a key is
 hot. A shingle's hash runs over its words' hashes, so that no shingle is ever made as a text.
 
 Sizes: the counters are a fixed 65,536; lines that take part in candidates are broadcast only if counted to be few
@@ -43,6 +45,8 @@ PERCENT = 80
 BROADCAST_ROWS = 250_000
 #: Lines that share at most FEW_SHARED tokens meet those of lists of over LONG_LIST lines by pairs of tokens.
 LONG_LIST, FEW_SHARED = 64, 4
+#: Tokens of lists of over OFTEN * LONG_LIST lines are left to the order by rarity.
+OFTEN = 4
 #: Level (quarter octaves above the mean) from which a bucket's tokens are dealt out by SALTS.
 HOT_LEVEL, SALTS = 17, 64
 _BLANKS = " \t\x0b\x0c\r"
@@ -117,34 +121,60 @@ def _least(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100).cast("int")
 
 
-def _may_match(n: Column, pos: Column, m: Column, other: Column, percent: int) -> Column:
-    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return fits & (F.least(n - pos, m - other) >= F.ceil((n + m) * percent / (100 + percent)))
+def _met(n: Column, pos: Column, m: Column, other: Column, percent: int) -> tuple[Column, Column, Column]:
+    """Of a token at pos among the n of one line and at other among the m of another: whether the lines may match if it is the
+    second that they share or an earlier one, whether they may if it is the first, and what it counts for: 2 where one can do."""
+    least = F.ceil((n + m) * percent / (100 + percent))
+    left = F.least(n - pos, m - other)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (left >= least - 1), left >= least, F.when(least < 2, 2).otherwise(1)
+
+
+def _posted(lines: DataFrame, keys: Column, percent: int) -> DataFrame:
+    """(doc, h1, place, token) of the first tokens of every line in order of keys; a null id counts as the largest."""
+    doc = F.when(F.col("at.no_id"), F.lit((1 << 63) - 1)).otherwise(F.col("at.doc"))
+    ranked = lines.select("h1", doc.alias("doc"), F.sort_array(F.array_distinct(keys)).alias("sorted"))
+    n = F.size("sorted")
+    first = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
+    # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one
+    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("place")
+    return first.select("doc", "h1", place, F.shiftrightunsigned("token", 16).alias("token"))
+
+
+def _of_place(place: Column) -> tuple[Column, Column]:
+    return F.shiftrightunsigned(place, 32).cast("int").alias("n"), place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
+
+
+def _gathered(posted: DataFrame, key: str, alone: Column) -> DataFrame:
+    """(token, h1, doc, n, pos, lines, pivot): with each row how many have its key, and the earliest of them. Rows that have
+    theirs alone are dropped, but for those of which alone is true."""
+    slot = Window.partitionBy(key)
+    # most have theirs alone, and go before any are compared
+    met = posted.select("*", F.count("*").over(slot).alias("lines")).filter(alone | (F.col("lines") > 1)).select("*", F.min(F.struct("doc", "h1", "place")).over(slot).alias("pivot"))
+    pivot = F.struct("pivot.doc", "pivot.h1", *_of_place(F.col("pivot.place"))).alias("pivot")
+    return met.select("token", "h1", "doc", *_of_place(F.col("place")), "lines", pivot)
 
 
 def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
     """(token, h1, doc, n, pos, lines, pivot) of the first tokens that lines share: lines is how many have the token, pivot
-    (doc, h1, n, pos) the earliest (by document) of them. A null id counts as the largest."""
+    (doc, h1, n, pos) the earliest (by document) of them. Lines with a token that over OFTEN * LONG_LIST have meet by their rarest tokens instead of by those."""
+    met = stored(_gathered(_posted(lines, _shingles(F.col("s"), k), percent), "token", F.lit(False)), "met")
+    often = F.col("lines") > OFTEN * LONG_LIST
+    again = stored(met.filter(often).select("h1").distinct(), "again")
+    some = stored(lines.join(_few(again), "h1", "left_semi").select("h1", "at", "s"), "lines-again", compression="zstd")
+    return met.filter(~often).unionByName(_rarest(some, k, percent))
+
+
+def _rarest(lines: DataFrame, k: int, percent: int) -> DataFrame:
+    """What meetings() has, of the first tokens by rarity. Bit 48 is set in these tokens, so that they meet none of the other order."""
     by_bucket = F.split(F.lit(",".join(map(str, levels(lines, k)))), ",").cast("array<bigint>")
     level = lambda t: F.get(by_bucket, F.shiftrightunsigned(t, 48).cast("int"))
     # never null, so that keys are sorted as plain numbers
     key = lambda t: F.coalesce(F.shiftleft(level(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8)), F.lit(0).cast("long"))
-    doc = F.when(F.col("at.no_id"), F.lit((1 << 63) - 1)).otherwise(F.col("at.doc"))
     # made distinct once they are keys: Spark makes code of what lies around functions over arrays, not of what lies within
-    ranked = lines.select("h1", doc.alias("doc"), F.sort_array(F.array_distinct(F.transform(_shingles(F.col("s"), k), key))).alias("sorted"))
-    n = F.size("sorted")
-    first = ranked.select("h1", "doc", n.alias("n"), F.posexplode_outer(F.slice("sorted", F.lit(1), F.least(n, n - _least(n, percent) + 2))).alias("pos", "token"))
-    # what is shuffled is kept short: a token's first 48 bits (two that share them make candidates, no results), n and pos in one, and
-    # a struct that the window takes as it is, else it would be shuffled beside its fields
-    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("place")
-    posted = first.select(F.struct("doc", "h1", place).alias("at"), F.shiftrightunsigned("token", 16).alias("token"))
-    hot = F.shiftrightunsigned("token", 40) >= HOT_LEVEL
-    of_place = lambda place: (F.shiftrightunsigned(place, 32).cast("int").alias("n"), place.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
-    slot = Window.partitionBy("slot")
-    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("at.h1", F.lit(SALTS)))).otherwise(F.col("token")))
-    met = dealt.select("*", F.count("*").over(slot).alias("lines"), F.min("at").over(slot).alias("pivot")).filter(hot | (F.col("lines") > 1))
-    pivot = F.struct("pivot.doc", "pivot.h1", *of_place(F.col("pivot.place"))).alias("pivot")
-    met = stored(met.select("token", "at.h1", "at.doc", *of_place(F.col("at.place")), "lines", pivot), "met")
+    posted = _posted(lines, F.transform(_shingles(F.col("s"), k), key), percent).withColumn("token", F.col("token").bitwiseOR(F.lit(1 << 48)))
+    hot = F.shiftrightunsigned("token", 40).bitwiseAND(F.lit(255)) >= HOT_LEVEL
+    dealt = posted.withColumn("slot", F.when(hot, F.xxhash64("token", F.pmod("h1", F.lit(SALTS)))).otherwise(F.col("token")))
+    met = stored(_gathered(dealt, "slot", hot), "met-again")
     lists = stored(met.filter(hot).groupBy("token").agg(F.count("*").alias("lines"), F.min("pivot").alias("pivot")).filter("lines > 1"), "hot-lists")
     return met.filter(~hot).unionByName(stored(met.filter(hot).drop("lines", "pivot").join(_few(lists), "token"), "met-hot"))
 
@@ -155,8 +185,10 @@ def _few(rows: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataFrame:
-    """(h1, h2) of the later identity of every pair (a, b) of h1 that matches."""
-    pairs = stored(pairs.distinct(), "pairs")
+    """(h1, h2) of the later identity of every pair (a, b) of h1 that matches. pairs has rows (a, b, first, weight) of tokens that
+    they share: those of a pair that matches weigh 2, and one may be the first."""
+    together = pairs.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("first").alias("first"))
+    pairs = stored(together.filter((F.col("weight") > 1) & F.col("first")).select("a", "b"), "pairs")
     some = stored(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "lines-of-pairs")
     sets = stored(_tokens(lines.join(_few(some), "h1", "left_semi").select("h1", "h2", "at", "s"), k), "line-sets")
     side = lambda x: sets.select(*(F.col(c).alias(f"{x}_{c}") for c in sets.columns))
@@ -168,34 +200,39 @@ def _verified(pairs: DataFrame, lines: DataFrame, k: int, percent: int) -> DataF
 
 
 def _others(met: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a line of rest, which isn't decided, and one of an earlier or the same document that it shares tokens with."""
+    """Rows (a, b, first, weight) of a line of rest, which isn't decided, and one of an earlier or the same document that it shares tokens with."""
     few = rest.groupBy("h1").agg(F.count("*").alias("q"), F.max("lines").alias("most")).filter((F.col("most") > LONG_LIST) & (F.col("q") <= FEW_SHARED))
     few = _few(stored(few.select("h1"), "few-shared"))
-    long = rest.filter(F.col("lines") > LONG_LIST)
+    own = rest.join(few, "h1", "left_semi")
     columns = ("token", "h1", "doc", "n", "pos")
     named = lambda rows, x, *more: rows.select(*(F.col(c).alias(f"{x}_{c}") for c in (*columns, *more)))
-    fits = (F.col("b_doc") <= F.col("a_doc")) & (F.col("a_h1") != F.col("b_h1")) & (F.col("b_h1") != F.col("a_pivot.h1")) & _may_match(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent)
-    found = named(rest.filter(F.col("lines") <= LONG_LIST).unionByName(long.join(few, "h1", "left_anti")), "a", "pivot").join(named(met, "b"), (F.col("a_token") == F.col("b_token")) & fits)
+    may, first, weight = _met(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent)
+    fits = (F.col("b_doc") <= F.col("a_doc")) & (F.col("a_h1") != F.col("b_h1")) & may
+    # a line that meets by pairs of tokens may have the second of those it shares in a long list: its others count for two
+    alone = rest.join(few, "h1", "left_anti").withColumn("weight", F.lit(1)).unionByName(own.filter(F.col("lines") <= LONG_LIST).withColumn("weight", F.lit(2)))
+    found = named(alone, "a", "weight").join(named(met, "b"), (F.col("a_token") == F.col("b_token")) & fits)
     # tokens of long lists, each with those after it on the same line; with itself where one shared token can do
     after = lambda rows: rows.select(F.col("h1").alias("own"), F.col("pos").alias("next"), F.col("token").alias("second"))
     ordered = (F.struct("next", "second") > F.struct("pos", "token")) | ((F.col("second") == F.col("token")) & (_least(F.col("n"), percent) < 2))
     pairs_of = lambda rows, all_of: rows.join(after(all_of), (F.col("h1") == F.col("own")) & ordered).drop("own", "next")
-    mine = stored(pairs_of(long.join(few, "h1", "left_semi"), rest), "token-pairs")
+    mine = stored(pairs_of(own.filter(F.col("lines") > LONG_LIST), rest), "token-pairs")
     tokens = stored(mine.select("token").distinct(), "long-lists")
     seconds = stored(mine.select("second").distinct().withColumnRenamed("second", "token"), "seconds")
     theirs = pairs_of(met.join(_few(tokens), "token", "left_semi"), met.join(_few(seconds), "token", "left_semi"))
-    found_too = named(mine, "a", "second", "pivot").join(named(theirs, "b", "second"), (F.col("a_token") == F.col("b_token")) & (F.col("a_second") == F.col("b_second")) & fits)
-    return found.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")).unionByName(found_too.select(F.col("a_h1").alias("a"), F.col("b_h1").alias("b")))
+    found_too = named(mine, "a", "second").join(named(theirs, "b", "second"), (F.col("a_token") == F.col("b_token")) & (F.col("a_second") == F.col("b_second")) & fits)
+    pair = (F.col("a_h1").alias("a"), F.col("b_h1").alias("b"), first.alias("first"))
+    return found.select(*pair, F.greatest(F.col("a_weight"), weight).alias("weight")).unionByName(found_too.select(*pair, F.lit(2).alias("weight")))
 
 
 def kept_lines(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(no_id, doc, th, kept): per document the numbers of the lines with words that stay, in no order; no row where none does."""
     lines = identities(docs)
     met = meetings(lines, k, percent)
-    star = met.filter((F.col("h1") != F.col("pivot.h1")) & _may_match(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent))
-    later = _verified(star.select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b")), lines, k, percent)
+    may, first, weight = _met(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos"), percent)
+    star = met.filter((F.col("h1") != F.col("pivot.h1")) & may).select(F.col("h1").alias("a"), F.col("pivot.h1").alias("b"), first.alias("first"), weight.alias("weight"))
+    later = _verified(star, lines, k, percent)
     decided = stored(later.select("h1").distinct(), "decided")
-    later = stored(later.unionByName(_verified(_others(met, stored(met.join(_few(decided), "h1", "left_anti"), "undecided"), percent), lines, k, percent)).distinct(), "all-later")
+    later = stored(later.unionByName(_verified(_others(met, stored(met.drop("pivot").join(_few(decided), "h1", "left_anti"), "undecided"), percent), lines, k, percent)).distinct(), "all-later")
     stays = lines.select("h1", "h2", "at").join(_few(later), ["h1", "h2"], "left_anti").select("at.*")
     return stored(stays.groupBy("no_id", "doc", "th").agg(F.collect_list("line").alias("kept")), "kept-lines")
 

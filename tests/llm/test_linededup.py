@@ -132,3 +132,24 @@ def test_shingles_of_rows_are_those_of_arrays(spark):
     rows = linededup._shingle_rows(lines, 5)
     assert sorted(r.t for r in arrays.collect()) == sorted(r.t for r in rows.collect())
     assert arrays.count() == 1 + 1 + 1 + 1 + 3 + 37 + 1
+
+
+def test_only_lines_of_frequent_tokens_are_ordered_by_rarity(spark, tmp_path, monkeypatch):
+    """Rarity is counted for lines that have a token of a long list, not for all; what both orders find together is whole."""
+    monkeypatch.setattr(linededup, "LONG_LIST", 2)
+    seen, levels = [], linededup.levels
+    monkeypatch.setattr(linededup, "levels", lambda lines, k: seen.append(lines.count()) or levels(lines, k))
+    rng = random.Random(5)
+    words = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    passage, bases = words(20), [words(40) for _ in range(6)]
+    lines = [" ".join(passage + words(rng.choice([1, 2, 9]))) for _ in range(30)]
+    for i in range(60):
+        own = list(bases[i % 6]) if i < 18 else words(40)
+        own[rng.randrange(40)] = "x"
+        lines.append(" ".join(own))
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[i::9])) for i in range(9)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_lines, [int(i) for i in r.removed_lines.split(",") if i]) for r in op7_line_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == brute(rows)
+    assert len(seen) == 1 and 0 < seen[0] <= 30
