@@ -43,10 +43,9 @@ from .common import stored, table
 WORDS = 5
 PERCENT = 80
 BROADCAST_ROWS = 250_000
-#: Lines that share at most FEW_SHARED tokens meet those of lists of over LONG_LIST lines by pairs of tokens.
+#: Tokens of lists of over LONG_LIST lines are left to the order by rarity; there, lines that share at most FEW_SHARED tokens meet those
+#: of such lists by pairs of tokens.
 LONG_LIST, FEW_SHARED = 64, 4
-#: Tokens of lists of over OFTEN * LONG_LIST lines are left to the order by rarity.
-OFTEN = 4
 #: Level (quarter octaves above the mean) from which a bucket's tokens are dealt out by SALTS.
 HOT_LEVEL, SALTS = 17, 64
 _BLANKS = " \t\x0b\x0c\r"
@@ -156,9 +155,9 @@ def _gathered(posted: DataFrame, key: str, alone: Column) -> DataFrame:
 
 def meetings(lines: DataFrame, k: int, percent: int) -> DataFrame:
     """(token, h1, doc, n, pos, lines, pivot) of the first tokens that lines share: lines is how many have the token, pivot
-    (doc, h1, n, pos) the earliest (by document) of them. Lines with a token that over OFTEN * LONG_LIST have meet by their rarest tokens instead of by those."""
+    (doc, h1, n, pos) the earliest (by document) of them. Lines with a token that over LONG_LIST have meet by their rarest tokens instead of by those."""
     met = stored(_gathered(_posted(lines, _shingles(F.col("s"), k), percent), "token", F.lit(False)), "met")
-    often = F.col("lines") > OFTEN * LONG_LIST
+    often = F.col("lines") > LONG_LIST
     again = stored(met.filter(often).select("h1").distinct(), "again")
     some = stored(lines.join(_few(again), "h1", "left_semi").select("h1", "at", "s"), "lines-again", compression="zstd")
     return met.filter(~often).unionByName(_rarest(some, k, percent))

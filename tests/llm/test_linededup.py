@@ -136,7 +136,7 @@ def test_shingles_of_rows_are_those_of_arrays(spark):
 
 def test_only_lines_of_frequent_tokens_are_ordered_by_rarity(spark, tmp_path, monkeypatch):
     """Rarity is counted for lines that have a token of a long list, not for all; what both orders find together is whole."""
-    monkeypatch.setattr(linededup, "LONG_LIST", 2)
+    monkeypatch.setattr(linededup, "LONG_LIST", 8)
     seen, levels = [], linededup.levels
     monkeypatch.setattr(linededup, "levels", lambda lines, k: seen.append(lines.count()) or levels(lines, k))
     rng = random.Random(5)
